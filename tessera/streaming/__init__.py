@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The pipeline is batch by design - its source is a periodic full snapshot, and
+each run replaces one dated snapshot - so it has no watermark, window, state or
+late-data logic to rebuild with Structured Streaming. The batch jobs in
+:mod:`tessera.plans` are idempotent per run date and can be scheduled as often
+as snapshots arrive.
+"""
