@@ -1,0 +1,143 @@
+"""Data-quality checks, placeholders, multi-value fields, top-N + Other, periods."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tessera.functions.dates import truncate_period
+from tessera.functions.multivalue import split_values, unnest
+from tessera.functions.nulls import placeholder_to_null
+from tessera.operators.aggregates import counts_by_period, element_frequency, population
+from tessera.operators.projection import SPARSE_COLUMNS, drop_columns, keep_columns, rename_cast
+from tessera.operators.quality import output_checks, range_check, reconciliation, schema_check
+from tessera.operators.topk import top_n_other
+from tessera.plans.marts import additions_mart, category_mart, multivalue_mart, write_product_fact
+
+SCHEMA = "code string, product_name string, generic_name string, completeness double"
+FAULTY = [
+    ("1", "a", None, 0.5),
+    ("1", "a2", None, 0.4),   # duplicate key
+    ("2", None, None, 0.7),   # no name
+    (None, "x", None, 1.2),   # null key, out of range
+    ("3", None, "g", -0.1),   # generic only, out of range
+    ("4", "d", None, 1.0),
+]
+
+
+def _long(df):
+    return {r["check"]: r["rows"] for r in df.collect()}
+
+
+def test_reconciliation_counts_every_rule(spark):
+    df = spark.createDataFrame(FAULTY, SCHEMA)
+    rec = _long(reconciliation(df, "code", ["product_name", "generic_name"]))
+    assert rec == {"rows_in": 6, "dropped_null_key": 1, "dropped_no_name": 1, "dropped_duplicate": 1, "rows_out": 3}
+    assert rec["rows_in"] - rec["dropped_null_key"] - rec["dropped_no_name"] - rec["dropped_duplicate"] == rec["rows_out"]
+
+
+def test_output_checks_find_planted_faults(spark):
+    df = spark.createDataFrame(FAULTY, SCHEMA)
+    assert _long(output_checks(df, "code", ["product_name", "generic_name"])) == {
+        "null_key": 1, "duplicate_key": 1, "no_name": 1
+    }
+
+
+def test_range_check_reports_not_drops(spark):
+    df = spark.createDataFrame(FAULTY, SCHEMA)
+    r = range_check(df, "completeness").collect()[0]
+    assert (r.below, r.above, r.out_of_range, r.min_value, r.max_value) == (1, 1, 2, -0.1, 1.2)
+
+
+def test_schema_check(spark):
+    df = spark.createDataFrame([], "a string, c string")
+    rows = [(r.expected, r.actual, r.matches) for r in schema_check(df, ["a", "b"]).orderBy("position").collect()]
+    assert rows == [("a", "a", True), ("b", "c", False)]
+
+
+def test_placeholders_and_population(spark):
+    df = spark.createDataFrame([("a",), ("unknown",), ("not-applicable",), (None,)], "grade string")
+    vals = [r[0] for r in df.select(placeholder_to_null("grade")).collect()]
+    assert vals == ["a", None, None, None]
+    pop = population(df, ["grade"]).collect()[0]
+    assert (pop.total_rows, pop.non_null_rows, pop.populated_rows, pop.population_rate) == (4, 3, 1, 0.25)
+
+
+def test_split_keeps_empty_elements(spark):
+    df = spark.createDataFrame(
+        [("p1", "en:france,en:italy,en:spain"), ("p2", ""), ("p3", "a,,b"), ("p4", None)], "code string, countries_tags string"
+    )
+    arrays = {r.code: r.a for r in df.select("code", split_values("countries_tags").alias("a")).collect()}
+    assert arrays == {"p1": ["en:france", "en:italy", "en:spain"], "p2": [""], "p3": ["a", "", "b"], "p4": None}
+    assert unnest(df, "countries_tags").count() == 7
+    assert unnest(df, "countries_tags", keep_nulls=True).count() == 8
+    freq = {r.value: r.cnt for r in element_frequency(df, "countries_tags", drop_empty=True).collect()}
+    assert freq == {"en:france": 1, "en:italy": 1, "en:spain": 1, "a": 1, "b": 1}
+
+
+def test_top_n_other_with_ties_and_null(spark):
+    vals = ["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d"] * 1 + [None] * 4
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    out = {r.label: r.cnt for r in top_n_other(df, "v", 2).collect()}
+    # counts: a 5, NULL 4, b 3, c 3, d 1 -> top 2 = a, NULL
+    assert out == {"a": 5, None: 4, "Other": 7}
+    out3 = {r.label: r.cnt for r in top_n_other(df, "v", 3).collect()}
+    assert out3 == {"a": 5, None: 4, "b": 3, "Other": 4}  # b wins the tie with c by value
+
+
+def test_top_n_other_broadcasts_only_the_top_list(spark):
+    df = spark.range(0, 1000).selectExpr("cast(id % 37 AS string) AS v")
+    plan = top_n_other(df, "v", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_marts(spark):
+    rows = [
+        ("1", "en:france,en:italy", "dog-food", dt.datetime(2026, 1, 5, 10)),
+        ("2", "en:france", "unknown", dt.datetime(2026, 1, 6, 10)),
+        ("3", "en:spain, en:france", "cat-food", dt.datetime(2026, 1, 12, 10)),
+    ]
+    df = spark.createDataFrame(rows, "code string, countries_tags string, main_category string, created_datetime timestamp_ntz")
+    countries = {r.label: r.products for r in multivalue_mart(df, n=1).collect()}
+    assert countries == {"en:france": 3, "Other": 2}
+    cats = {r.label: r.products for r in category_mart(df, n=5).collect()}
+    assert cats == {"dog-food": 1, "cat-food": 1, None: 1}
+    weeks = [(r.period, r.products) for r in additions_mart(df, unit="week").collect()]
+    assert weeks == [(dt.date(2026, 1, 5), 2), (dt.date(2026, 1, 12), 1)]
+
+
+def test_week_starts_monday_and_periods(spark):
+    df = spark.createDataFrame([(dt.datetime(2026, 1, 4, 23, 59),), (dt.datetime(2026, 1, 5, 0, 0),)], "t timestamp_ntz")
+    got = df.select(
+        truncate_period("t", "week").alias("w"), truncate_period("t", "month").alias("m"), truncate_period("t", "day").alias("d")
+    ).collect()
+    assert [(r.w, r.m, r.d) for r in got] == [
+        (dt.date(2025, 12, 29), dt.date(2026, 1, 1), dt.date(2026, 1, 4)),
+        (dt.date(2026, 1, 5), dt.date(2026, 1, 1), dt.date(2026, 1, 5)),
+    ]
+    assert counts_by_period(df, "t", "year").collect()[0].cnt == 2
+
+
+def test_projections(spark):
+    cols = ["code", *SPARSE_COLUMNS, "x"]
+    df = spark.createDataFrame([tuple(str(i) for i in range(len(cols)))], ", ".join(f"`{c}` string" for c in cols))
+    assert drop_columns(df, SPARSE_COLUMNS).columns == ["code", "x"]
+    assert keep_columns(df, ["x", "code"]).columns == ["x", "code"]
+    staged = rename_cast(df, {"code": ("product_code", "bigint")})
+    assert staged.schema["product_code"].dataType.simpleString() == "bigint"
+
+
+def test_partitioned_fact_prunes_partitions(spark, workdir):
+    rows = [
+        ("1", "dog-food", dt.datetime(2026, 1, 5)),
+        ("2", "cat-food", dt.datetime(2026, 2, 6)),
+        ("3", "cat-food", dt.datetime(2026, 2, 7)),
+    ]
+    df = spark.createDataFrame(rows, "code string, main_category string, created_datetime timestamp_ntz")
+    path = write_product_fact(df, workdir + "/fact")
+    back = spark.read.parquet(path).where(F.col("created_month") == F.lit(dt.date(2026, 2, 1)))
+    assert sorted(r.code for r in back.collect()) == ["2", "3"]
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_month" in plan
