@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that every session of this library wants. Timestamps are compared
 # and rendered in UTC (the silver rules normalise to UTC), AQE re-plans shuffles
@@ -89,3 +89,17 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.sparkContext.defaultParallelism)
     except Exception:
         return int(os.cpu_count() or 8)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the input has fewer partitions
+    than cores (a gzip file, or a Parquet file written as one row group),
+    before per-row heavy work such as an unpivot.
+
+    On cluster-sized input the scan already has far more splits than cores and
+    this is a no-op, so no extra shuffle is added there.
+    """
+    cores = default_parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

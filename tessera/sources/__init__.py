@@ -12,7 +12,7 @@ from tessera.sources.snapshot import (
     snapshot_path,
     write_snapshot,
 )
-from tessera.sources.tsv import read_text_table, read_tsv, spread
+from tessera.sources.tsv import read_text_table, read_tsv
 from tessera.sources.warehouse import load_table, write_bucketed_table, write_partitioned
 
 __all__ = [
@@ -28,7 +28,6 @@ __all__ = [
     "read_text_table",
     "read_tsv",
     "snapshot_path",
-    "spread",
     "sql_type_name",
     "write_bucketed_table",
     "write_parquet",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import checkpoint_dir, default_parallelism
+from tessera.session import checkpoint_dir, spread
 from tessera.sources.inference import apply_types, infer_types
 
 
@@ -32,16 +32,6 @@ def read_text_table(
     )
 
 
-def spread(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan has fewer partitions
-    than cores - a gzip file is not splittable and arrives as one partition."""
-    spark = spark or df.sparkSession
-    cores = default_parallelism(spark)
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def read_tsv(
     spark: SparkSession,
     path: str,
@@ -60,6 +50,6 @@ def read_tsv(
     text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
     if stage:
         checkpoint_dir(spark)
-        text = spread(text, spark).checkpoint(eager=True)
+        text = spread(text).checkpoint(eager=True)
     types = infer_types(text)
     return apply_types(text, types)
