@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
+from tessera.session import checkpoint_dir
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -26,22 +27,94 @@ def _order(order_by: Sequence[str], descending: bool) -> list[Column]:
     return [qcol(c).desc_nulls_last() if descending else qcol(c).asc_nulls_last() for c in order_by]
 
 
+# A key with more rows than this is numbered in range-partitioned pieces
+# spread over many tasks instead of in one task.
+MAX_GROUP_ROWS = 4_000_000
+
+
+def largest_group(df: DataFrame, key: str | Sequence[str]) -> int:
+    """Row count of the largest key group (one number back to the driver)."""
+    counts = df.groupBy(*[qcol(k) for k in _as_list(key)]).agg(F.count(F.lit(1)).alias("_n"))
+    return int(counts.agg(F.max("_n")).first()[0] or 0)
+
+
 def row_number_per_key(
     df: DataFrame,
     key: str | Sequence[str],
     order_by: str | Sequence[str],
     descending: bool = True,
     rank_col: str = "rn",
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``rank_col`` (bigint): 1 for the first row of each key by ``order_by``.
 
     List a unique column last in ``order_by`` to make the numbering
     deterministic when order values tie.
+
+    A window puts every row of a key into one task. When the largest key
+    holds more than ``max_group_rows`` rows the numbering is done in pieces
+    instead (:func:`_row_number_in_pieces`); ``max_group_rows=None`` skips the
+    check and always uses the plain window.
     """
-    w = Window.partitionBy(*[qcol(k) for k in _as_list(key)]).orderBy(*_order(_as_list(order_by), descending))
+    keys = _as_list(key)
+    orders = _as_list(order_by)
+    if max_group_rows is not None and largest_group(df, keys) > max_group_rows:
+        return _row_number_in_pieces(df, keys, orders, descending, rank_col)
+    w = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(*_order(orders, descending))
     return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
 
 
+def _row_number_in_pieces(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    descending: bool,
+    rank_col: str,
+    pieces: int | None = None,
+) -> DataFrame:
+    """Skew-proof row numbering.
+
+    1. Range-partition on (key, order columns, row hash): a hot key is cut
+       into many ordered pieces, equal order values are split by the hash;
+       the piece id is stored with each row and the result is checkpointed to
+       the shared checkpoint folder, so the assignment is fixed (the range
+       bounds come from a sample) and later stages never recompute it.
+    2. Number rows inside each (key, piece) - a bounded group.
+    3. A key's rows in earlier pieces give its offset in a later piece. Only a
+       key cut by a piece boundary has a non-zero offset, so there are fewer
+       such (key, piece) pairs than pieces: that table is broadcast.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key_cols = [qcol(k) for k in keys]
+    order = _order(order_by, descending) + [F.col("_h").asc()]
+    cut = (
+        df.withColumn("_h", F.xxhash64(*[qcol(c) for c in df.columns]))
+        .repartitionByRange(n, *[k.asc_nulls_last() for k in key_cols], *order)
+        .withColumn("_piece", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*key_cols, "_piece").orderBy(*order)))
+
+    key_alias = [f"_k{i}" for i in range(len(keys))]
+    sizes = cut.groupBy(*[k.alias(a) for k, a in zip(key_cols, key_alias)], F.col("_piece").alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    before = Window.partitionBy(*key_alias).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        sizes.withColumn("_offset", F.sum("_n").over(before))
+        .where(F.col("_offset") > 0)
+        .drop("_n")
+    )
+    cond = F.col("_piece") == F.col("_p")
+    for k, a in zip(key_cols, key_alias):
+        cond = cond & k.eqNullSafe(F.col(a))
+    joined = local.join(F.broadcast(offsets), cond, "left")
+    rank = (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("long")
+    return joined.select(*[qcol(c) for c in df.columns], rank.alias(rank_col))
+
+
 def latest_per_key(
     df: DataFrame,
     key: str | Sequence[str],
