@@ -542,7 +542,12 @@ WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP
 def q_warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-style load into a catalog table of the ``raw`` layer, read back."""
     name = "raw.events"
-    load_table(table(spark, sf_dir, "events"), name, path=scratch_path(spark, "warehouse-raw-events"))
+    load_table(
+        table(spark, sf_dir, "events"),
+        name,
+        path=scratch_path(spark, "warehouse-raw-events"),
+        database_location=scratch_path(spark, "warehouse-raw-db"),
+    )
     return spark.table(name)
 
 

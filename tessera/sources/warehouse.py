@@ -20,16 +20,22 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}{loc}")
 
 
-def load_table(df: DataFrame, table: str = "raw.products", path: str | None = None) -> str:
+def load_table(
+    df: DataFrame,
+    table: str = "raw.products",
+    path: str | None = None,
+    database_location: str | None = None,
+) -> str:
     """Load ``df`` unchanged into a catalog table (e.g. the ``raw`` layer).
 
     ``path`` makes it an external table at that location (shared storage on a
     cluster); without it the table lives in the session's warehouse folder.
-    A rerun replaces the table.
+    ``database_location`` places a database created here. A rerun replaces
+    the table.
     """
     database, _ = _split_table(table)
     if database:
-        ensure_database(df.sparkSession, database)
+        ensure_database(df.sparkSession, database, database_location)
     writer = df.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
