@@ -34,7 +34,7 @@ from tessera.operators.projection import drop_columns, rename_cast
 from tessera.operators.quality import output_checks, range_check, reconciliation
 from tessera.operators.topk import sort_asc, top_k, top_n_other
 from tessera.plans.bronze import bronze_layer
-from tessera.plans.marts import multivalue_mart
+from tessera.plans.marts import category_mart, multivalue_mart
 from tessera.plans.silver import silver_transform
 from tessera.session import scratch_path
 from tessera.sources.report import write_profile_json
@@ -448,6 +448,18 @@ SELECT label, cnt AS products FROM ({_topn_other_sql("element", "elements", 5)})
 """
 
 
+def q_category_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categorical tile: events per type with 'error' counting as missing,
+    top 3 + Other."""
+    return category_mart(table(spark, sf_dir, "events"), "event_type", n=3, placeholders=(_NO_TYPE,))
+
+
+SQL_CATEGORY_MART = f"""
+SELECT label, cnt AS products
+FROM ({_topn_other_sql(f"NULLIF(event_type, '{_NO_TYPE}')", "events", 3)}) m
+"""
+
+
 def q_additions_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_by_period(table(spark, sf_dir, "orders"), "o_orderdate", "month")
 
@@ -597,6 +609,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "topn_other": (q_topn_other, SQL_TOPN_OTHER),
     "topn_other_docs": (q_topn_other_docs, SQL_TOPN_OTHER_DOCS),
     "country_mart": (q_country_mart, SQL_COUNTRY_MART),
+    "category_mart": (q_category_mart, SQL_CATEGORY_MART),
     "additions_by_day": (q_additions_by_day, SQL_ADDITIONS_BY_DAY),
     "additions_by_week": (q_additions_by_week, SQL_ADDITIONS_BY_WEEK),
     "additions_by_month": (q_additions_by_month, SQL_ADDITIONS_BY_MONTH),

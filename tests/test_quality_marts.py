@@ -141,3 +141,25 @@ def test_partitioned_fact_prunes_partitions(spark, workdir):
     assert sorted(r.code for r in back.collect()) == ["2", "3"]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(created_month" in plan
+
+
+def test_bucketed_table_aggregates_without_shuffle(spark, workdir):
+    from tessera.sources.warehouse import write_bucketed_table
+
+    df = spark.range(0, 2000).selectExpr("id % 50 AS k", "id AS v")
+    write_bucketed_table(df, "mart.bucketed_test", buckets=4, bucket_by=["k"], sort_by=["k"], path=workdir + "/bucketed")
+    agg = spark.table("mart.bucketed_test").groupBy("k").count()
+    plan = agg._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert agg.count() == 50
+
+
+def test_object_store_helpers():
+    from tessera.sources.snapshot import is_remote, object_store_conf
+
+    assert is_remote("gs://bucket/x") and is_remote("s3a://b/x")
+    assert not is_remote("/data/x") and not is_remote("data/x") and not is_remote("file:/tmp/x")
+    assert object_store_conf({"fs.gs.project.id": "p", "spark.x": "1"}) == {
+        "spark.hadoop.fs.gs.project.id": "p",
+        "spark.x": "1",
+    }
