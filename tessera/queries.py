@@ -143,29 +143,44 @@ FROM events
 """
 
 
-def q_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze job end to end: part is written as gzip TSV, scanned back with
+def _bronze_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Bronze job end to end: a table is written as gzip TSV, scanned back with
     full-file typing, written as a dated Parquet snapshot and read again."""
-    part = table(spark, sf_dir, "part")
-    raw_dir = scratch_path(spark, "raw-part")
+    raw_dir = scratch_path(spark, f"raw-{name}")
     (
-        part.write.mode("overwrite")
+        table(spark, sf_dir, name)
+        .write.mode("overwrite")
         .option("sep", "\t")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("compression", "gzip")
+        # full microsecond precision (the writer's default keeps milliseconds)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
         .csv(raw_dir)
     )
     path = bronze_layer(spark, raw_dir, scratch_path(spark, "bronze"), run_date=date(2026, 7, 1))
     return spark.read.parquet(path)
 
 
+def q_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part: integers come back as bigint, prices as double, names as text."""
+    return _bronze_roundtrip(spark, sf_dir, "part")
+
+
+def q_tsv_roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events: timestamps typed from text, quoted ``{"k": n}`` fields intact."""
+    return _bronze_roundtrip(spark, sf_dir, "events")
+
+
 SQL_TSV_ROUNDTRIP = """
 SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice
 FROM part
 """
 
+SQL_TSV_ROUNDTRIP_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
 
 # ---------------------------------------------------------------------------
 # profiles
@@ -590,6 +605,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "latest_with_ties": (q_latest_with_ties, SQL_LATEST_WITH_TIES),
     "utc_normalize": (q_utc_normalize, SQL_UTC_NORMALIZE),
     "tsv_roundtrip": (q_tsv_roundtrip, SQL_TSV_ROUNDTRIP),
+    "tsv_roundtrip_events": (q_tsv_roundtrip_events, SQL_TSV_ROUNDTRIP_EVENTS),
     "profile_table": (q_profile_table, SQL_PROFILE_TABLE),
     "profile_subset": (q_profile_subset, SQL_PROFILE_SUBSET),
     "profile_sampled": (q_profile_sampled, None),

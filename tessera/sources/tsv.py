@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir, spread
+from tessera.functions.columns import qcol
+from tessera.session import scratch_path, spread
 from tessera.sources.inference import apply_types, infer_types
 
 
@@ -43,13 +45,20 @@ def read_tsv(
     """Scan a delimited file and type every column from the whole file.
 
     With ``stage`` (the default) the text is decompressed and parsed once,
-    spread over the cluster and checkpointed to the shared checkpoint folder;
-    inference and the typed result both read that copy, so neither the single
-    gzip reader nor its lineage is needed again, also when an executor is lost.
+    spread over the cluster and written as a Parquet table in the shared
+    checkpoint folder (compressed, splittable, columnar, under positional
+    column names so any source name is safe); inference and the typed result
+    both read that copy. Neither the single-threaded gzip reader nor the text
+    parser runs twice, and a lost executor recomputes from the staged table,
+    not from the raw file.
     """
     text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
     if stage:
-        checkpoint_dir(spark)
-        text = spread(text).checkpoint(eager=True)
+        names = list(text.columns)
+        staged_path = scratch_path(spark, "staged-text")
+        positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
+        spread(text.select(*positional)).write.mode("overwrite").parquet(staged_path)
+        staged = spark.read.parquet(staged_path)
+        text = staged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
     types = infer_types(text)
     return apply_types(text, types)
