@@ -105,7 +105,8 @@ def population(
             F.coalesce("populated_rows", F.lit(0)).cast("long").alias("populated_rows"),
         )
         .withColumn("population_rate", share(F.col("populated_rows"), F.col("total_rows"), digits))
-        .orderBy("position")
+        .coalesce(1)  # one row per column
+        .sortWithinPartitions("position")
         .drop("position")
     )
 

@@ -135,13 +135,18 @@ def profile(
     """
     src = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed) if sample_fraction else df
     stats = column_stats(src, columns, approx=approx, rsd=rsd)
-    out = stats.select(
-        "position",
-        "column",
-        "type",
-        null_rate(F.col("total_rows"), F.col("non_null_rows")).alias("null_rate"),
-        "distinct_values",
-    ).orderBy("position")
+    # One row per profiled column: a single sorted partition, no range sort.
+    out = (
+        stats.select(
+            "position",
+            "column",
+            "type",
+            null_rate(F.col("total_rows"), F.col("non_null_rows")).alias("null_rate"),
+            "distinct_values",
+        )
+        .coalesce(1)
+        .sortWithinPartitions("position")
+    )
     return out if with_position else out.drop("position")
 
 
