@@ -11,8 +11,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.projection import passthrough
+from tessera.session import remove_scratch
 from tessera.sources.snapshot import write_snapshot
-from tessera.sources.tsv import read_tsv
+from tessera.sources.tsv import read_tsv, read_tsv_staged
 
 
 def bronze_transform(spark: SparkSession, source_path: str, sep: str = "\t", stage: bool = True) -> DataFrame:
@@ -28,5 +29,12 @@ def bronze_layer(
     sep: str = "\t",
 ) -> str:
     """Write the bronze snapshot of ``run_date`` (default today) and return
-    ``{dest_dir}/{YYYY-MM-DD}/products.parquet``. A rerun replaces it."""
-    return write_snapshot(bronze_transform(spark, source_path, sep=sep), dest_dir, run_date)
+    ``{dest_dir}/{YYYY-MM-DD}/products.parquet``. A rerun replaces it.
+
+    The staged text copy is removed once the snapshot is written.
+    """
+    typed, staged = read_tsv_staged(spark, source_path, sep=sep)
+    try:
+        return write_snapshot(passthrough(typed), dest_dir, run_date)
+    finally:
+        remove_scratch(spark, staged)

@@ -35,6 +35,7 @@ from tessera.operators.quality import output_checks, range_check, reconciliation
 from tessera.operators.topk import sort_asc, top_k, top_n_other
 from tessera.plans.bronze import bronze_layer
 from tessera.plans.marts import category_mart, multivalue_mart
+from tessera.plans.profile_job import profile_dataset
 from tessera.plans.silver import silver_transform
 from tessera.session import scratch_path
 from tessera.sources.report import write_profile_json
@@ -143,9 +144,8 @@ FROM events
 """
 
 
-def _bronze_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Bronze job end to end: a table is written as gzip TSV, scanned back with
-    full-file typing, written as a dated Parquet snapshot and read again."""
+def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A table as a raw gzip TSV snapshot folder in the scratch area."""
     raw_dir = scratch_path(spark, f"raw-{name}")
     (
         table(spark, sf_dir, name)
@@ -160,6 +160,13 @@ def _bronze_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
         .csv(raw_dir)
     )
+    return raw_dir
+
+
+def _bronze_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Bronze job end to end: a table is written as gzip TSV, scanned back with
+    full-file typing, written as a dated Parquet snapshot and read again."""
+    raw_dir = _write_raw_tsv(spark, sf_dir, name)
     path = bronze_layer(spark, raw_dir, scratch_path(spark, "bronze"), run_date=date(2026, 7, 1))
     return spark.read.parquet(path)
 
@@ -231,6 +238,20 @@ SQL_PROFILE_SUBSET = "WITH ev AS (SELECT event_id, ts, user_id, event_type, NULL
 ) + _profile_sql("ev", _EVENT_PROFILE_COLUMNS)
 
 
+def q_profile_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile job on a raw file: part as gzip TSV, typed from the whole file,
+    then profiled (integers come back as bigint)."""
+    raw_dir = _write_raw_tsv(spark, sf_dir, "part")
+    return profile_dataset(spark, raw_dir, fmt="tsv")
+
+
+SQL_PROFILE_TSV = (
+    "WITH part_t AS (SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
+    "p_retailprice FROM part) "
+    + _profile_sql("part_t", ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
+)
+
+
 def q_profile_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Bernoulli sample of about half of lineitem, profiled (sampling is the
     feature; one row per column whatever the sample)."""
@@ -609,6 +630,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "profile_table": (q_profile_table, SQL_PROFILE_TABLE),
     "profile_subset": (q_profile_subset, SQL_PROFILE_SUBSET),
     "profile_sampled": (q_profile_sampled, None),
+    "profile_tsv": (q_profile_tsv, SQL_PROFILE_TSV),
     "profile_report": (q_profile_report, SQL_PROFILE_REPORT),
     "value_freq": (q_value_freq, SQL_VALUE_FREQ),
     "top_values": (q_top_values, SQL_TOP_VALUES),

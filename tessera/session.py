@@ -25,6 +25,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files once their RDD is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -103,3 +105,16 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library created below :func:`scratch_path` (through
+    the Hadoop file system, so shared storage works too). Other paths are
+    refused."""
+    root = f"{checkpoint_dir(spark)}/tessera/"
+    if not str(path).startswith(root):
+        raise ValueError(f"not a scratch path of this session: {path}")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

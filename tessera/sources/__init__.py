@@ -12,7 +12,7 @@ from tessera.sources.snapshot import (
     snapshot_path,
     write_snapshot,
 )
-from tessera.sources.tsv import read_text_table, read_tsv
+from tessera.sources.tsv import read_text_table, read_tsv, read_tsv_staged
 from tessera.sources.warehouse import load_table, write_bucketed_table, write_partitioned
 
 __all__ = [
@@ -27,6 +27,7 @@ __all__ = [
     "read_snapshots",
     "read_text_table",
     "read_tsv",
+    "read_tsv_staged",
     "snapshot_path",
     "sql_type_name",
     "write_bucketed_table",

@@ -34,6 +34,25 @@ def read_text_table(
     )
 
 
+def read_tsv_staged(
+    spark: SparkSession,
+    path: str,
+    sep: str = "\t",
+    header: bool = True,
+    multiline: bool = False,
+) -> tuple[DataFrame, str]:
+    """:func:`read_tsv` with staging, also returning the staged table's path so
+    a job can remove it once its output is written."""
+    text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
+    names = list(text.columns)
+    staged_path = scratch_path(spark, "staged-text")
+    positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
+    spread(text.select(*positional)).write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    text = staged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
+    return apply_types(text, infer_types(text)), staged_path
+
+
 def read_tsv(
     spark: SparkSession,
     path: str,
@@ -52,13 +71,7 @@ def read_tsv(
     parser runs twice, and a lost executor recomputes from the staged table,
     not from the raw file.
     """
-    text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
     if stage:
-        names = list(text.columns)
-        staged_path = scratch_path(spark, "staged-text")
-        positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
-        spread(text.select(*positional)).write.mode("overwrite").parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        text = staged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
-    types = infer_types(text)
-    return apply_types(text, types)
+        return read_tsv_staged(spark, path, sep=sep, header=header, multiline=multiline)[0]
+    text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
+    return apply_types(text, infer_types(text))

@@ -125,3 +125,23 @@ def test_column_names_with_special_characters(spark, workdir):
     df = bronze_transform(spark, src)
     assert df.columns == ["a.b", "c d", "e`f"]
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["bigint", "string", "double"]
+
+
+def test_staged_copy_removed_after_bronze_write(spark, workdir):
+    import glob
+
+    from tessera.session import checkpoint_dir, remove_scratch
+    from tessera.sources.tsv import read_tsv_staged
+
+    root = checkpoint_dir(spark).removeprefix("file:") + "/tessera"
+    src0 = _write(os.path.join(workdir, "p0.csv"), SAMPLE)
+    _, staged = read_tsv_staged(spark, src0)
+    assert os.path.isdir(staged.removeprefix("file:"))
+    remove_scratch(spark, staged)
+    assert not os.path.exists(staged.removeprefix("file:"))
+    before = set(glob.glob(root + "/staged-text-*"))
+    src = _write(os.path.join(workdir, "products.csv"), SAMPLE)
+    bronze_layer(spark, src, os.path.join(workdir, "bronze"), run_date=date(2026, 7, 1))
+    assert set(glob.glob(root + "/staged-text-*")) == before
+    with pytest.raises(ValueError):
+        remove_scratch(spark, workdir)
