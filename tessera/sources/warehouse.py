@@ -61,13 +61,15 @@ def write_partitioned(
     """
     keys = [qcol(c) for c in (*partition_by, *cluster_by)]
     spreader = F.xxhash64(*[qcol(c) for c in df.columns]).alias("_spread")
-    n = target_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = (
-        df.withColumn("_spread", spreader)
-        .repartitionByRange(n, *keys, F.col("_spread"))
-        .sortWithinPartitions(*keys)
-        .drop("_spread")
+    ranged = df.withColumn("_spread", spreader)
+    # Without an explicit count AQE coalesces adjacent ranges to the advisory
+    # partition size, so small outputs do not become many tiny files.
+    ranged = (
+        ranged.repartitionByRange(target_partitions, *keys, F.col("_spread"))
+        if target_partitions
+        else ranged.repartitionByRange(*keys, F.col("_spread"))
     )
+    laid_out = ranged.sortWithinPartitions(*keys).drop("_spread")
     laid_out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
