@@ -55,13 +55,26 @@ def build_session(
     return spark
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # Spark Connect has no SparkContext
+        return spark.conf.get("spark.master", "") or ""
+
+
+def is_local_session(spark: SparkSession) -> bool:
+    """True when driver and executors share one machine (``local[...]``)."""
+    return _master(spark).startswith("local")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data.
 
     On a cluster this is the folder the cluster names in
-    ``spark.checkpoint.dir`` (shared storage every executor can reach). Only
-    when the session has none - a test or a laptop - is a folder of our own
-    created and registered.
+    ``spark.checkpoint.dir`` (shared storage every executor can reach); a
+    cluster session without one is refused rather than given a folder of a
+    single machine. Only a local session (a test or a laptop) without the
+    setting gets a folder of our own, created and registered here.
     """
     configured = None
     try:
@@ -71,6 +84,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_session(spark):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on storage every executor can reach "
+                "(e.g. an object-store or HDFS path) for staged and checkpointed data"
+            )
         configured = tempfile.mkdtemp(prefix="tessera-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", configured)
     try:
