@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", choices=("tsv", "parquet"), default="tsv")
     p.add_argument("--out", default="data/bronze/profile_report.json")
     p.add_argument("--sample-rows", type=int, default=None)
+    p.add_argument("--layout", choices=("array", "lines"), default="array")
 
     args = parser.parse_args(argv)
     spark = build_session(app_name=f"tessera-{args.command}")
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
         from tessera.plans.profile_job import profile_dataset, save_profile
 
         prof = profile_dataset(spark, args.source_path, fmt=args.format, sample_rows=args.sample_rows)
-        path = save_profile(prof, args.out)
+        path = save_profile(prof, args.out, layout=args.layout)
     log.info("wrote %s", path)
     print(path)
 

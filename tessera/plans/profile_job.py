@@ -37,6 +37,7 @@ def profile_dataset(
     return profile(df, columns=columns, approx=approx, sample_fraction=fraction)
 
 
-def save_profile(profile_df: DataFrame, out_dir: str = DEFAULT_REPORT_DIR) -> str:
-    """Write the profile as a JSON-lines report folder."""
-    return write_profile_json(profile_df, out_dir)
+def save_profile(profile_df: DataFrame, out_dir: str = DEFAULT_REPORT_DIR, layout: str = "array") -> str:
+    """Write the profile as a JSON report (one JSON array by default, or
+    ``layout="lines"``) and return its path."""
+    return write_profile_json(profile_df, out_dir, layout=layout)

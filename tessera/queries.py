@@ -28,7 +28,7 @@ from tessera.operators.aggregates import (
     value_frequency,
 )
 from tessera.operators.dedup import row_number_per_key
-from tessera.operators.filters import at_least
+from tessera.operators.filters import at_least, equals
 from tessera.operators.profile import profile
 from tessera.operators.projection import drop_columns, rename_cast
 from tessera.operators.quality import output_checks, range_check, reconciliation
@@ -208,14 +208,24 @@ _LINEITEM_COLUMNS = (
 )
 
 
+def _sql_ident(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def _profile_sql(source: str, columns: tuple[str, ...]) -> str:
-    parts = [
-        f"""SELECT '{c}' AS "column", (SELECT typeof({c}) FROM {source} LIMIT 1) AS type,
+    parts = []
+    for name in columns:
+        c = _sql_ident(name)
+        parts.append(
+            f"""SELECT {_sql_text(name)} AS "column", (SELECT typeof({c}) FROM {source} LIMIT 1) AS type,
        round(1 - count({c}) / count(*), 4) AS null_rate,
        count(DISTINCT {c}) AS distinct_values
 FROM {source}"""
-        for c in columns
-    ]
+        )
     return "\nUNION ALL\n".join(parts)
 
 
@@ -252,6 +262,42 @@ SQL_PROFILE_TSV = (
 )
 
 
+# Customer columns under names that only work quoted (space,
+# dot, double quote, back-quote, single quote).
+_ODD_NAMES = (
+    ("c_custkey", "customer key"),
+    ("c_name", "c.name"),
+    ("c_nationkey", 'nation "id"'),
+    ("c_acctbal", "acct`bal"),
+    ("c_mktsegment", "seg-ment's"),
+)
+
+
+def q_profile_quoted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dynamic, quoted column list: customer under awkward column names
+    (segment 'BUILDING' made NULL), profiled by name."""
+    cust = table(spark, sf_dir, "customer")
+    renamed = cust.select(
+        *[
+            (F.nullif(F.col(src), F.lit("BUILDING")) if src == "c_mktsegment" else F.col(src)).alias(dst)
+            for src, dst in _ODD_NAMES
+        ]
+    )
+    return profile(renamed, columns=[dst for _, dst in _ODD_NAMES])
+
+
+def _odd_name_source_sql(src: str) -> str:
+    return "NULLIF(c_mktsegment, 'BUILDING')" if src == "c_mktsegment" else src
+
+
+SQL_PROFILE_QUOTED_NAMES = (
+    "WITH c AS (SELECT "
+    + ", ".join(f"{_odd_name_source_sql(src)} AS {_sql_ident(dst)}" for src, dst in _ODD_NAMES)
+    + " FROM customer) "
+    + _profile_sql("c", tuple(dst for _, dst in _ODD_NAMES))
+)
+
+
 def q_profile_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Bernoulli sample of about half of lineitem, profiled (sampling is the
     feature; one row per column whatever the sample)."""
@@ -259,9 +305,14 @@ def q_profile_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile of orders written as a JSON report and read back."""
+    """The profile of orders written as a JSON report (one JSON array) and
+    read back."""
     out = write_profile_json(profile(table(spark, sf_dir, "orders")), scratch_path(spark, "profile-report"))
-    return spark.read.schema("column string, type string, null_rate double, distinct_values long").json(out)
+    return (
+        spark.read.option("multiLine", True)
+        .schema("column string, type string, null_rate double, distinct_values long")
+        .json(out)
+    )
 
 
 _ORDERS_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -531,6 +582,17 @@ FROM events GROUP BY 1 ORDER BY 1
 # ---------------------------------------------------------------------------
 
 
+def q_equality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``WHERE column = value``, pushed into the Parquet scan."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    return equals(orders, "o_orderpriority", "1-URGENT")
+
+
+SQL_EQUALITY_FILTER = """
+SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'
+"""
+
+
 def q_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
     return at_least(li, "l_discount", 0.05)
@@ -632,6 +694,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "profile_sampled": (q_profile_sampled, None),
     "profile_tsv": (q_profile_tsv, SQL_PROFILE_TSV),
     "profile_report": (q_profile_report, SQL_PROFILE_REPORT),
+    "profile_quoted_names": (q_profile_quoted_names, SQL_PROFILE_QUOTED_NAMES),
     "value_freq": (q_value_freq, SQL_VALUE_FREQ),
     "top_values": (q_top_values, SQL_TOP_VALUES),
     "newest_orders": (q_newest_orders, SQL_NEWEST_ORDERS),
@@ -651,6 +714,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "additions_by_day": (q_additions_by_day, SQL_ADDITIONS_BY_DAY),
     "additions_by_week": (q_additions_by_week, SQL_ADDITIONS_BY_WEEK),
     "additions_by_month": (q_additions_by_month, SQL_ADDITIONS_BY_MONTH),
+    "equality_filter": (q_equality_filter, SQL_EQUALITY_FILTER),
     "quality_filter": (q_quality_filter, SQL_QUALITY_FILTER),
     "staging_rename_cast": (q_staging_rename_cast, SQL_STAGING_RENAME_CAST),
     "drop_columns": (q_drop_columns, SQL_DROP_COLUMNS),

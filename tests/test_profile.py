@@ -82,22 +82,51 @@ def test_describe(spark):
     assert sql_type_name(T.ArrayType(T.StringType())) == "VARCHAR[]"
 
 
+def _report_files(out):
+    return [os.path.join(out, f) for f in sorted(os.listdir(out)) if not f.startswith((".", "_"))]
+
+
+_EXPECTED_REPORT = [
+    {"column": "code", "type": "VARCHAR", "null_rate": 0.0, "distinct_values": 2},
+    {"column": "name", "type": "VARCHAR", "null_rate": 0.3333, "distinct_values": 2},
+    {"column": "score", "type": "DOUBLE", "null_rate": 0.3333, "distinct_values": 2},
+]
+
+
 def test_profile_job_on_tsv_and_report(spark, workdir):
     src = os.path.join(workdir, "p.tsv")
     with open(src, "w") as fh:
         fh.write("code\tname\tscore\n0001\tA\t0.5\n0002\t\t0.8\n0002\tB\t\n")
     prof = profile_dataset(spark, src)
+
+    # default: one file holding one JSON array, records in column order
     out = save_profile(prof, os.path.join(workdir, "report"))
+    files = [f for f in _report_files(out) if os.path.getsize(f) > 0]
+    assert len(files) == 1
+    with open(files[0]) as fh:
+        assert json.load(fh) == _EXPECTED_REPORT
+    back = spark.read.option("multiLine", True).json(out)
+    assert sorted(back.columns) == ["column", "distinct_values", "null_rate", "type"]
+    assert back.count() == 3
+
+    # JSON lines
+    out = save_profile(prof, os.path.join(workdir, "report-lines"), layout="lines")
     lines = []
-    for f in sorted(os.listdir(out)):
-        if f.endswith(".json"):
-            with open(os.path.join(out, f)) as fh:
-                lines += [json.loads(x) for x in fh if x.strip()]
-    assert lines == [
-        {"column": "code", "type": "VARCHAR", "null_rate": 0.0, "distinct_values": 2},
-        {"column": "name", "type": "VARCHAR", "null_rate": 0.3333, "distinct_values": 2},
-        {"column": "score", "type": "DOUBLE", "null_rate": 0.3333, "distinct_values": 2},
-    ]
+    for f in _report_files(out):
+        with open(f) as fh:
+            lines += [json.loads(x) for x in fh if x.strip()]
+    assert lines == _EXPECTED_REPORT
+
+
+def test_report_of_empty_table_keeps_null_rates(spark, workdir):
+    empty = spark.createDataFrame([], "a string, b double")
+    out = save_profile(profile(empty), os.path.join(workdir, "empty-report"))
+    files = [f for f in _report_files(out) if os.path.getsize(f) > 0]
+    with open(files[0]) as fh:
+        assert json.load(fh) == [
+            {"column": "a", "type": "VARCHAR", "null_rate": None, "distinct_values": 0},
+            {"column": "b", "type": "DOUBLE", "null_rate": None, "distinct_values": 0},
+        ]
 
 
 def test_profile_is_one_scan_per_type_group(spark):
