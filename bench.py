@@ -2,8 +2,14 @@
 
 Each query is built and then executed in full through the ``noop`` sink (the
 whole plan runs, nothing is collected to the driver). Jobs that write data as
-part of the query (bronze round trip, marts, snapshots) include those writes.
-Prints one JSON line.
+part of the query (bronze round trip, marts, snapshots) include those writes,
+and the time to build a query (inference, size checks) is counted too.
+
+Before timing, every query runs once, untimed, on the smallest tables
+(``BENCH_WARMUP_DIR``, a different scale from the one measured, so nothing of
+the measured input is cached): this loads classes and JIT-compiles the JVM
+code paths, as a long-running cluster job has done after its first seconds.
+``BENCH_WARMUP=0`` turns it off. Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 """
@@ -35,12 +41,18 @@ def main() -> None:
 
     from tessera.queries import REGISTRY
 
-    # JVM warm-up (class loading, JIT), not timed: the flagship on the tiny
-    # smoke tables, a different scale from the one measured.
+    # JVM warm-up (class loading, JIT), not timed: every query once on the
+    # tiny smoke tables, a different scale from the one measured.
     smoke = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
-    if os.path.isdir(smoke):
-        REGISTRY["silver_latest"][0](spark, smoke).write.format("noop").mode("overwrite").save()
-        REGISTRY["profile_table"][0](spark, smoke).write.format("noop").mode("overwrite").save()
+    warm = os.environ.get("BENCH_WARMUP", "1") != "0" and os.path.isdir(smoke) and smoke.rstrip("/") != sf_dir
+    warmup_sec = 0.0
+    if warm:
+        start = time.perf_counter()
+        for name, (fn, _) in REGISTRY.items():
+            if only and name not in only:
+                continue
+            fn(spark, smoke).write.format("noop").mode("overwrite").save()
+        warmup_sec = round(time.perf_counter() - start, 3)
 
     timings: dict[str, float] = {}
     for name, (fn, _) in REGISTRY.items():
@@ -60,6 +72,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                "warmup": {"dir": smoke if warm else None, "sec": warmup_sec},
             }
         )
     )
