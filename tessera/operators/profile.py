@@ -1,13 +1,20 @@
 """Column profile: type, row count, non-NULL count, NULL rate, distinct count.
 
-The whole table is profiled in one job rather than one scan per column. Columns
-are grouped by type; each group is unpivoted into ``(slot, v)`` pairs in its
-native type (no casts to text, so -0.0/0.0 and NaN are grouped as SQL groups
-them) and aggregated by slot. The exact distinct count is planned as a first
-aggregation on ``(slot, v)`` - hash-partitioned on the value too, so one wide
-or one very frequent column does not land in one task, and a hot value is
-collapsed map-side - followed by a tiny one on ``slot``. Each type group scans
-only its own columns, so together they read the table's bytes once.
+The whole table is profiled in one job rather than one scan per column. Every
+column is mapped to a value *domain* by a lossless, one-to-one encoding
+(integers, booleans, dates and timestamps become ``bigint``: the value itself,
+epoch days or epoch microseconds; ``float`` widens to ``double``; text stays
+text; other types keep their own domain). Each domain is unpivoted into
+``(slot, v)`` pairs and aggregated by slot. No value is cast to text, so
+-0.0/0.0 and NaN are grouped as SQL groups them, and since a slot is one
+column, an encoding only has to be one-to-one within a column.
+
+The exact distinct count is planned as a first aggregation on ``(slot, v)`` -
+hash-partitioned on the value too, so one wide or one very frequent column
+does not land in one task, and a hot value is collapsed map-side - followed by
+a tiny one on ``slot``. Each domain scans only its own columns, so together
+the domains read the table's bytes once; a table of the usual column types
+has at most three domains (numbers and times, doubles, text).
 """
 
 from __future__ import annotations
@@ -15,41 +22,51 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import qcol
 from tessera.functions.numeric import null_rate
+from tessera.functions.timezone import ntz_micros
 from tessera.sources.schema import sql_type_name
 
-_GROUPABLE = (
-    T.StringType,
-    T.LongType,
-    T.IntegerType,
-    T.ShortType,
-    T.ByteType,
-    T.DoubleType,
-    T.FloatType,
-    T.BooleanType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-    T.DecimalType,
-    T.BinaryType,
-    T.ArrayType,
-    T.StructType,
-)
-
-
-def _value_domain(dtype: T.DataType) -> str:
-    """Columns of one domain are unpivoted together; maps (not groupable) and
-    other exotic types are compared through their text form."""
-    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.MapType):
-        return "string"
-    if isinstance(dtype, _GROUPABLE):
-        return dtype.simpleString()
-    return "string"
+_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_OWN_DOMAIN = (T.DecimalType, T.BinaryType, T.ArrayType, T.StructType)
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    """Maps cannot be grouped, also inside arrays and structs."""
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return False
+
+
+def _encode(col: Column, dtype: T.DataType) -> tuple[str, Column]:
+    """``(domain, value)`` of one column: equal encodings <=> equal values."""
+    if isinstance(dtype, _INTEGRAL):
+        return "bigint", col.cast("bigint")
+    if isinstance(dtype, T.BooleanType):
+        return "bigint", col.cast("bigint")
+    if isinstance(dtype, T.DateType):
+        return "bigint", F.unix_date(col).cast("bigint")
+    if isinstance(dtype, T.TimestampType):
+        return "bigint", F.unix_micros(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        return "bigint", ntz_micros(col)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return "double", col.cast("double")
+    if isinstance(dtype, T.StringType):
+        return "string", col
+    if _has_map(dtype):  # compared through their JSON text
+        return "string", F.to_json(col)
+    if isinstance(dtype, _OWN_DOMAIN):
+        return dtype.simpleString(), col
+    return "string", col.cast("string")
 
 
 STATS_SCHEMA = "slot string, position int, column string, type string"
@@ -69,20 +86,15 @@ def column_stats(
     """
     cols = list(columns) if columns is not None else list(df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    groups: dict[str, list[tuple[int, str]]] = {}
+    groups: dict[str, list[tuple[str, Column]]] = {}
     for pos, name in enumerate(cols):
-        groups.setdefault(_value_domain(fields[name]), []).append((pos, name))
+        domain, value = _encode(qcol(name), fields[name])
+        groups.setdefault(domain, []).append((f"_p{pos}", value))
 
     parts = []
-    for domain, members in groups.items():
-        slots = [f"_p{pos}" for pos, _ in members]
-        values = [
-            (qcol(name) if domain != "string" or isinstance(fields[name], T.StringType) else qcol(name).cast("string")).alias(
-                slot
-            )
-            for (pos, name), slot in zip(members, slots)
-        ]
-        pairs = df.select(*values).unpivot([], slots, "slot", "v")
+    for members in groups.values():
+        slots = [slot for slot, _ in members]
+        pairs = df.select(*[value.alias(slot) for slot, value in members]).unpivot([], slots, "slot", "v")
         distinct = F.approx_count_distinct("v", rsd) if approx else F.count_distinct("v")
         parts.append(
             pairs.groupBy("slot").agg(
