@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 import logging
 
-from tessera.session import build_session
+from tessera.session import build_session, size_shuffles_for_input
 
 log = logging.getLogger("tessera")
 
@@ -38,6 +38,10 @@ def main(argv: list[str] | None = None) -> None:
 
     args = parser.parse_args(argv)
     spark = build_session(app_name=f"tessera-{args.command}")
+    source = args.bronze_path if args.command == "silver" else args.source_path
+    # gzip text decompresses to roughly ten times its size
+    expansion = 10.0 if str(source).endswith(".gz") else 1.0
+    log.info("shuffle partitions: %d", size_shuffles_for_input(spark, source, expansion))
 
     if args.command == "bronze":
         from tessera.plans.bronze import bronze_layer
@@ -48,10 +52,11 @@ def main(argv: list[str] | None = None) -> None:
 
         path = silver_layer(spark, args.bronze_path, args.dest_dir)
     else:
-        from tessera.plans.profile_job import profile_dataset, save_profile
+        from tessera.plans.profile_job import profile_job
 
-        prof = profile_dataset(spark, args.source_path, fmt=args.format, sample_rows=args.sample_rows)
-        path = save_profile(prof, args.out, layout=args.layout)
+        path = profile_job(
+            spark, args.source_path, args.out, fmt=args.format, sample_rows=args.sample_rows, layout=args.layout
+        )
     log.info("wrote %s", path)
     print(path)
 

@@ -9,7 +9,7 @@ from tessera.plans.marts import (
     product_fact,
     write_product_fact,
 )
-from tessera.plans.profile_job import profile_dataset, save_profile
+from tessera.plans.profile_job import profile_dataset, profile_job, save_profile
 from tessera.plans.silver import silver_layer, silver_transform
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "multivalue_mart",
     "product_fact",
     "profile_dataset",
+    "profile_job",
     "save_profile",
     "silver_layer",
     "silver_transform",

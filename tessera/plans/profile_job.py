@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.profile import profile, sample_fraction_for
+from tessera.session import remove_scratch
 from tessera.sources.report import write_profile_json
-from tessera.sources.tsv import read_tsv
+from tessera.sources.tsv import read_tsv, read_tsv_staged
 
 DEFAULT_REPORT_DIR = "data/bronze/profile_report.json"
 
@@ -41,3 +42,36 @@ def save_profile(profile_df: DataFrame, out_dir: str = DEFAULT_REPORT_DIR, layou
     """Write the profile as a JSON report (one JSON array by default, or
     ``layout="lines"``) and return its path."""
     return write_profile_json(profile_df, out_dir, layout=layout)
+
+
+def profile_job(
+    spark: SparkSession,
+    path: str,
+    out_dir: str = DEFAULT_REPORT_DIR,
+    fmt: str = "tsv",
+    columns: Sequence[str] | None = None,
+    sample_rows: int | None = None,
+    approx: bool = False,
+    sep: str = "\t",
+    layout: str = "array",
+) -> str:
+    """Profile a source and write the JSON report; return the report path.
+
+    For a delimited source the staged Parquet copy of the text (see
+    :func:`tessera.sources.tsv.read_tsv`) is removed once the report is
+    written, as the bronze job does.
+    """
+    staged = None
+    if fmt == "tsv":
+        df, staged = read_tsv_staged(spark, path, sep=sep)
+    elif fmt == "parquet":
+        df = spark.read.parquet(path)
+    else:
+        raise ValueError("fmt must be 'tsv' or 'parquet'")
+    try:
+        fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
+        prof = profile(df, columns=columns, approx=approx, sample_fraction=fraction)
+        return write_profile_json(prof, out_dir, layout=layout)
+    finally:
+        if staged:
+            remove_scratch(spark, staged)

@@ -41,7 +41,8 @@ def build_session(
     ``master`` is left to the launcher (``spark-submit``) when ``None``.
     ``shuffle_partitions`` is the *initial* partition count of a shuffle; AQE
     coalesces it down at run time, so on a cluster it should be sized for the
-    largest shuffle (input bytes / ~128 MB), not the smallest.
+    largest shuffle, not the smallest (:func:`shuffle_partitions_for`,
+    :func:`size_shuffles_for_input`).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -104,6 +105,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
+# Target bytes of one shuffle partition: large enough that task overhead is
+# small, small enough that a task's sort / hash buffers rarely spill.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Upper bound of the initial shuffle partition count (map-output bookkeeping
+# grows with maps x partitions); AQE coalesces below it at run time and splits
+# skewed partitions above the advisory size.
+MAX_SHUFFLE_PARTITIONS = 100_000
+_SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
+
+
+def shuffle_partitions_for(shuffle_bytes: int, cores: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial shuffle partition count for a shuffle of about ``shuffle_bytes``:
+    about ``target_bytes`` per partition, at least two per core so every core
+    has work and stragglers are short, at most :data:`MAX_SHUFFLE_PARTITIONS`."""
+    by_size = -(-int(shuffle_bytes) // int(target_bytes))
+    return int(min(MAX_SHUFFLE_PARTITIONS, max(2 * int(cores), by_size)))
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of a file or folder on any Hadoop file system (local, HDFS,
+    object store), read from the file system's metadata, not the data. Globs
+    are summed over their matches."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    matches = fs.globStatus(hpath) or []
+    return int(sum(fs.getContentSummary(st.getPath()).getLength() for st in matches))
+
+
+def size_shuffles_for_input(spark: SparkSession, path: str, expansion: float = 1.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the
+    session already carries an explicit value. ``expansion`` scales the input
+    size to the expected shuffle size (e.g. > 1 for decompressed text).
+    Returns the partition count in effect."""
+    current = spark.conf.get("spark.sql.shuffle.partitions", _SPARK_DEFAULT_SHUFFLE_PARTITIONS)
+    if current != _SPARK_DEFAULT_SHUFFLE_PARTITIONS:
+        return int(current)
+    n = shuffle_partitions_for(int(input_bytes(spark, path) * expansion), default_parallelism(spark))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.sparkContext.defaultParallelism)

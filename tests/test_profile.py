@@ -171,3 +171,21 @@ def test_every_domain_counts_like_python(spark):
                          "arr": 2, "m": 2, "st": 2}
     for name, n in expected_distinct.items():
         assert got[name] == (0.25, n), name
+
+
+def test_profile_command_writes_report_and_removes_staged_text(spark, workdir):
+    from tessera.__main__ import main
+    from tessera.session import checkpoint_dir
+
+    src = os.path.join(workdir, "cli.tsv")
+    with open(src, "w") as fh:
+        fh.write("code\tname\tscore\n0001\tA\t0.5\n0002\t\t0.8\n0002\tB\t\n")
+    staged_root = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tessera")
+    before = {d for d in os.listdir(staged_root) if d.startswith("staged-text-")} if os.path.isdir(staged_root) else set()
+    out = os.path.join(workdir, "cli-report")
+    main(["profile", src, "--out", out])
+    files = [f for f in _report_files(out) if os.path.getsize(f) > 0]
+    with open(files[0]) as fh:
+        assert json.load(fh) == _EXPECTED_REPORT
+    after = {d for d in os.listdir(staged_root) if d.startswith("staged-text-")}
+    assert after == before

@@ -63,3 +63,22 @@ def test_local_session_gets_its_own_folder_only_when_unset():
 def test_real_session_is_local(spark):
     assert S.is_local_session(spark)
     assert S.checkpoint_dir(spark)
+
+
+def test_shuffle_partitions_follow_input_size():
+    gib = 1024**3
+    assert S.shuffle_partitions_for(1 * gib, cores=8) == 16  # two per core at least
+    assert S.shuffle_partitions_for(100 * gib, cores=8) == 400  # 256 MiB each
+    assert S.shuffle_partitions_for(100 * 1024**4, cores=8000) == S.MAX_SHUFFLE_PARTITIONS
+
+
+def test_size_shuffles_for_input(spark, workdir):
+    import os
+
+    path = os.path.join(workdir, "f.txt")
+    with open(path, "w") as fh:
+        fh.write("x" * 1000)
+    assert S.input_bytes(spark, path) == 1000
+    assert S.input_bytes(spark, os.path.join(workdir, "*.txt")) == 1000
+    # the test session sets its own count, which is kept
+    assert S.size_shuffles_for_input(spark, path) == int(spark.conf.get("spark.sql.shuffle.partitions"))
