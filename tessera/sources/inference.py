@@ -14,7 +14,7 @@ partial aggregate leaves one row per column per input partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
@@ -36,6 +36,42 @@ TYPE_LATTICE: list[tuple[str, str]] = [
 ]
 
 
+# First characters a number (or NaN) can start with, under the
+# patterns above.
+_NUMBER_START = (" ", "-", ".", "e", "E", "n", "N", *"0123456789")
+
+
+def _gate(type_name: str, v: Column) -> Column:
+    """A cheap necessary condition of ``type_name``'s pattern, tested on the
+    raw string before the pattern: the pattern engine (which works on a
+    converted copy of the text) and the cast run only for values that pass."""
+    if type_name == "boolean":
+        return F.length(v) <= 5
+    if type_name in ("bigint", "double"):
+        return F.substring(v, 1, 1).isin(*_NUMBER_START)
+    # date, timestamp_ntz, timestamp: 'dddd-' first
+    return (F.length(v) >= 8) & (F.substring(v, 5, 1) == F.lit("-"))
+
+
+def value_checks(v: Column) -> dict[str, Column]:
+    """Per candidate type: does this (non-NULL) text value hold it?
+
+    A value holds a type when it passes the gate, matches the pattern in full
+    and survives ``try_cast``. Every integer text is also a valid double and
+    every naive timestamp also a valid zoned one, so those checks reuse the
+    narrower one's answer first.
+    """
+    checks: dict[str, Column] = {}
+    for type_name, pattern in TYPE_LATTICE:
+        ok = _gate(type_name, v) & v.rlike(f"^(?:{pattern})$") & v.try_cast(type_name).isNotNull()
+        if type_name == "double":
+            ok = checks["bigint"] | ok
+        elif type_name == "timestamp":
+            ok = checks["timestamp_ntz"] | ok
+        checks[type_name] = ok
+    return checks
+
+
 def _slot(i: int) -> str:
     return f"_c{i}"
 
@@ -53,10 +89,7 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     text = df.select(*[qcol(c).cast("string").alias(s) for c, s in zip(cols, slots)])
     pairs = text.unpivot([], slots, "slot", "v")
     v = F.col("v")
-    checks = [
-        F.bool_and(v.isNull() | (v.rlike(f"^(?:{pattern})$") & v.try_cast(type_name).isNotNull())).alias(type_name)
-        for type_name, pattern in TYPE_LATTICE
-    ]
+    checks = [F.bool_and(v.isNull() | ok).alias(type_name) for type_name, ok in value_checks(v).items()]
     stats = pairs.groupBy("slot").agg(F.count(v).alias("n_values"), *checks)
     decided: dict[str, str] = {}
     for row in stats.collect():  # one row per column

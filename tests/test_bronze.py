@@ -145,3 +145,35 @@ def test_staged_copy_removed_after_bronze_write(spark, workdir):
     assert set(glob.glob(root + "/staged-text-*")) == before
     with pytest.raises(ValueError):
         remove_scratch(spark, workdir)
+
+
+def test_gated_checks_equal_plain_pattern_and_cast(spark):
+    """The gates in front of the patterns only skip values that cannot match."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import functions as F
+
+    from tessera.sources.inference import TYPE_LATTICE, value_checks
+
+    alphabet = st.sampled_from(list("0123456789 -+.:eEnNaTZtrufalsyoFx/"))
+    values = st.lists(st.text(alphabet, min_size=0, max_size=22), min_size=1, max_size=400)
+    samples = [
+        "2026-01-01", "2026-1-1 10:00", "2026-01-01T00:00:00Z", "2026-01-01 00:00:00+02:00",
+        " 12 ", "-0", "1e5", "e5", ".", "-", "NaN", "nan", "Yes", "f", "9223372036854775808",
+        "2026-13-01", "1.", ".5", "", "   ",
+    ]
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(values)
+    def check(batch):
+        df = spark.createDataFrame([(x,) for x in batch + samples], "v string")
+        v = F.col("v")
+        gated = value_checks(v)
+        cols = []
+        for type_name, pattern in TYPE_LATTICE:
+            plain = v.rlike(f"^(?:{pattern})$") & v.try_cast(type_name).isNotNull()
+            cols.append(F.count_if(gated[type_name] != plain).alias(type_name))
+        row = df.agg(*cols).first()
+        assert all(row[t] == 0 for t, _ in TYPE_LATTICE), row
+
+    check()
