@@ -9,7 +9,9 @@ Before timing, every query runs once, untimed, on the smallest tables
 (``BENCH_WARMUP_DIR``, a different scale from the one measured, so nothing of
 the measured input is cached): this loads classes and JIT-compiles the JVM
 code paths, as a long-running cluster job has done after its first seconds.
-``BENCH_WARMUP=0`` turns it off. Prints one JSON line.
+``BENCH_WARMUP=0`` turns it off. Each query is then timed ``BENCH_REPEAT``
+times (default 3), built from scratch every time so no shuffle output or plan
+is reused, and its median is reported. Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 """
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -28,6 +31,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
 
     from tessera.session import build_session
 
@@ -58,9 +62,12 @@ def main() -> None:
     for name, (fn, _) in REGISTRY.items():
         if only and name not in only:
             continue
-        start = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - start, 3)
+        runs = []
+        for _ in range(repeat):
+            start = time.perf_counter()
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        timings[name] = round(statistics.median(runs), 3)
 
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
@@ -72,6 +79,8 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                "repeat": repeat,
+                "stat": "median",
                 "warmup": {"dir": smoke if warm else None, "sec": warmup_sec},
             }
         )
