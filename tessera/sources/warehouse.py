@@ -43,6 +43,27 @@ def load_table(
     return table
 
 
+def layout_for_write(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    cluster_by: Sequence[str] = (),
+    target_partitions: int | None = None,
+) -> DataFrame:
+    """Rows arranged for a partitioned, clustered write.
+
+    A ``REBALANCE`` by the partition keys: one hash exchange that sends each
+    partition value to one task (so a folder gets one file, not one per task),
+    while AQE splits a value that holds a large share of all rows over several
+    tasks and merges small ones up to the advisory partition size. Unlike a
+    range partitioning it needs no extra pass over the input to sample bounds.
+    Inside each task rows are sorted by partition and cluster keys, so the
+    Parquet row groups are clustered and their min/max statistics prune well.
+    """
+    keys = [qcol(c) for c in (*partition_by, *cluster_by)]
+    hint_args = ([target_partitions] if target_partitions else []) + [qcol(c) for c in partition_by]
+    return df.hint("rebalance", *hint_args).sortWithinPartitions(*keys)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -50,26 +71,9 @@ def write_partitioned(
     cluster_by: Sequence[str] = (),
     target_partitions: int | None = None,
 ) -> str:
-    """Write a mart partitioned by ``partition_by`` and clustered by ``cluster_by``.
-
-    Rows are range-partitioned on (partition keys, cluster keys, a row hash):
-    each task writes a few contiguous partition folders, and a partition value
-    that holds a large share of all rows is split over several tasks by the
-    cluster keys and the hash instead of landing in one. Within a task rows are
-    sorted by partition and cluster keys, so the Parquet row groups are
-    clustered and their min/max statistics prune well.
-    """
-    keys = [qcol(c) for c in (*partition_by, *cluster_by)]
-    spreader = F.xxhash64(*[qcol(c) for c in df.columns]).alias("_spread")
-    ranged = df.withColumn("_spread", spreader)
-    # Without an explicit count AQE coalesces adjacent ranges to the advisory
-    # partition size, so small outputs do not become many tiny files.
-    ranged = (
-        ranged.repartitionByRange(target_partitions, *keys, F.col("_spread"))
-        if target_partitions
-        else ranged.repartitionByRange(*keys, F.col("_spread"))
-    )
-    laid_out = ranged.sortWithinPartitions(*keys).drop("_spread")
+    """Write a mart partitioned by ``partition_by`` (one folder per value) and
+    clustered by ``cluster_by`` inside its files; see :func:`layout_for_write`."""
+    laid_out = layout_for_write(df, partition_by, cluster_by, target_partitions)
     laid_out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
