@@ -30,14 +30,45 @@ def _order(order_by: Sequence[str], descending: bool) -> list[Column]:
 # A key with more rows than this is numbered in range-partitioned pieces
 # spread over many tasks instead of in one task.
 MAX_GROUP_ROWS = 4_000_000
+# Rows of the sample the largest group is estimated from when the table is
+# larger than that.
+SKEW_SAMPLE_ROWS = 10_000_000
 
 
 def largest_group(df: DataFrame, key: str | Sequence[str]) -> int:
-    """Row count of the largest key group (one number back to the driver)."""
+    """Exact row count of the largest key group (one number back to the driver)."""
     counts = df.groupBy(*[qcol(k) for k in _as_list(key)]).agg(F.count(F.lit(1)).alias("_n"))
     return int(counts.agg(F.max("_n")).first()[0] or 0)
 
 
+def has_large_group(
+    df: DataFrame,
+    key: str | Sequence[str],
+    max_group_rows: int = MAX_GROUP_ROWS,
+    sample_rows: int = SKEW_SAMPLE_ROWS,
+    seed: int = 17,
+) -> bool:
+    """Does some key hold more than ``max_group_rows`` rows?
+
+    A table of at most ``max_group_rows`` rows cannot (one count). Otherwise
+    the largest group is measured exactly when the table has at most
+    ``sample_rows`` rows, else estimated from a Bernoulli sample of about
+    ``sample_rows`` key values (only the key columns are read), with a margin
+    of two: a key of a third of all rows shows up as millions of sampled rows,
+    and a key near the limit that the estimate misses still fits one task.
+    Only the plan depends on the answer, never the result.
+    """
+    keys = _as_list(key)
+    total = df.count()
+    if total <= max_group_rows:
+        return False
+    if total <= sample_rows:
+        return largest_group(df, keys) > max_group_rows
+    fraction = sample_rows / total
+    sampled = df.select(*[qcol(k) for k in keys]).sample(withReplacement=False, fraction=fraction, seed=seed)
+    return largest_group(sampled, keys) / fraction > max_group_rows / 2
+
+
 def row_number_per_key(
     df: DataFrame,
     key: str | Sequence[str],
@@ -51,14 +82,14 @@ def row_number_per_key(
     List a unique column last in ``order_by`` to make the numbering
     deterministic when order values tie.
 
-    A window puts every row of a key into one task. When the largest key
-    holds more than ``max_group_rows`` rows the numbering is done in pieces
-    instead (:func:`_row_number_in_pieces`); ``max_group_rows=None`` skips the
-    check and always uses the plain window.
+    A window puts every row of a key into one task. When some key holds more
+    than ``max_group_rows`` rows (:func:`has_large_group`) the numbering is
+    done in pieces instead (:func:`_row_number_in_pieces`);
+    ``max_group_rows=None`` skips the check and always uses the plain window.
     """
     keys = _as_list(key)
     orders = _as_list(order_by)
-    if max_group_rows is not None and largest_group(df, keys) > max_group_rows:
+    if max_group_rows is not None and has_large_group(df, keys, max_group_rows):
         return _row_number_in_pieces(df, keys, orders, descending, rank_col)
     w = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(*_order(orders, descending))
     return df.withColumn(rank_col, F.row_number().over(w).cast("long"))

@@ -183,3 +183,19 @@ def test_row_number_in_pieces_equals_plain_window(spark):
     # and a row with a smaller t never gets a smaller number (descending order)
     hot = sorted((r.rn, r.t) for r in loose.collect() if r.k == "hot")  # noqa: C414
     assert all(a[1] >= b[1] for a, b in zip(hot, hot[1:]))
+
+
+def test_large_group_check_exact_and_sampled(spark):
+    from tessera.operators.dedup import has_large_group
+
+    rows = [("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    # small table: no key can exceed the limit, not even checked by key
+    assert not has_large_group(df, "k", max_group_rows=10_000)
+    # exact when the table fits the sample size
+    assert has_large_group(df, "k", max_group_rows=2000)
+    assert not has_large_group(df, "k", max_group_rows=3500)
+    # estimated from a sample of about 400 keys
+    assert has_large_group(df, "k", max_group_rows=1000, sample_rows=400)
+    uniform = spark.range(0, 4000).selectExpr("id % 1000 AS k")
+    assert not has_large_group(uniform, "k", max_group_rows=1000, sample_rows=400)
