@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,11 +12,33 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> str:
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def write_parquet(df: DataFrame, path: str, replace_after_commit: bool = True) -> str:
     """Write ``df`` as a Parquet dataset at ``path``; a rerun replaces it.
 
-    Spark's commit protocol makes the replace all-or-nothing per job, and
-    failed tasks are retried on another executor.
+    Failed tasks are retried on other executors by Spark. With
+    ``replace_after_commit`` (the default) the data is first written to a
+    sibling folder on the same file system and only swapped in once the job
+    has committed, so a job that fails part-way leaves the previous snapshot
+    at ``path`` untouched. (``mode("overwrite")`` alone deletes it before the
+    first row is written.)
     """
-    df.write.mode("overwrite").parquet(path)
+    path = str(path).rstrip("/")
+    if not replace_after_commit:
+        df.write.mode("overwrite").parquet(path)
+        return path
+    spark = df.sparkSession
+    staging = f"{path}.__writing-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(staging)
+    fs, target = _fs(spark, path)
+    _, staged = _fs(spark, staging)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(staged, target):
+        raise OSError(f"could not move {staging} to {path}")
     return path

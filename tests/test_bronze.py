@@ -177,3 +177,20 @@ def test_gated_checks_equal_plain_pattern_and_cast(spark):
         assert all(row[t] == 0 for t, _ in TYPE_LATTICE), row
 
     check()
+
+
+def test_failed_rerun_keeps_previous_snapshot(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tessera.sources.snapshot import write_snapshot
+
+    run = date(2026, 7, 1)
+    path = write_snapshot(spark.range(0, 5), workdir + "/snap/", run)
+    assert path == workdir + "/snap/2026-07-01/products.parquet"
+    failing = spark.range(0, 5).withColumn("x", F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))))
+    with pytest.raises(Exception, match="boom"):
+        write_snapshot(failing, workdir + "/snap", run)
+    assert spark.read.parquet(path).count() == 5
+    # a successful rerun replaces it
+    write_snapshot(spark.range(0, 2), workdir + "/snap", run)
+    assert spark.read.parquet(path).count() == 2
