@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,12 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def write_parquet(df: DataFrame, path: str, replace_after_commit: bool = True) -> str:
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    replace_after_commit: bool = True,
+    partition_by: Sequence[str] = (),
+) -> str:
     """Write ``df`` as a Parquet dataset at ``path``; a rerun replaces it.
 
     Failed tasks are retried on other executors by Spark. With
@@ -26,15 +32,16 @@ def write_parquet(df: DataFrame, path: str, replace_after_commit: bool = True) -
     sibling folder on the same file system and only swapped in once the job
     has committed, so a job that fails part-way leaves the previous snapshot
     at ``path`` untouched. (``mode("overwrite")`` alone deletes it before the
-    first row is written.)
+    first row is written.) ``partition_by`` writes one folder per value.
     """
     path = str(path).rstrip("/")
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     if not replace_after_commit:
-        df.write.mode("overwrite").parquet(path)
+        writer.mode("overwrite").parquet(path)
         return path
     spark = df.sparkSession
     staging = f"{path}.__writing-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(staging)
+    writer.mode("errorifexists").parquet(staging)
     fs, target = _fs(spark, path)
     _, staged = _fs(spark, staging)
     if fs.exists(target):

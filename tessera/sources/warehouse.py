@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol, quote_name
+from tessera.sources.parquet import write_parquet
 
 
 def _split_table(table: str) -> tuple[str | None, str]:
@@ -74,8 +75,7 @@ def write_partitioned(
     """Write a mart partitioned by ``partition_by`` (one folder per value) and
     clustered by ``cluster_by`` inside its files; see :func:`layout_for_write`."""
     laid_out = layout_for_write(df, partition_by, cluster_by, target_partitions)
-    laid_out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return path
+    return write_parquet(laid_out, path, partition_by=list(partition_by))
 
 
 def write_bucketed_table(
