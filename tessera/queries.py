@@ -31,7 +31,7 @@ from tessera.operators.dedup import row_number_per_key
 from tessera.operators.filters import at_least, equals
 from tessera.operators.profile import profile
 from tessera.operators.projection import drop_columns, rename_cast
-from tessera.operators.quality import output_checks, range_check, reconciliation
+from tessera.operators.quality import output_checks, range_check, reconciliation, schema_check
 from tessera.operators.topk import sort_asc, top_k, top_n_other
 from tessera.plans.bronze import bronze_layer
 from tessera.plans.marts import category_mart, multivalue_mart
@@ -39,6 +39,7 @@ from tessera.plans.profile_job import profile_dataset
 from tessera.plans.silver import silver_transform
 from tessera.session import scratch_path
 from tessera.sources.report import write_profile_json
+from tessera.sources.schema import describe
 from tessera.sources.snapshot import read_snapshots, write_snapshot
 from tessera.sources.warehouse import load_table, write_partitioned
 
@@ -189,6 +190,31 @@ FROM part
 SQL_TSV_ROUNDTRIP_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 
+def q_describe_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``DESCRIBE`` of the bronze table built from events as raw text: column
+    names and the SQL types inferred from the whole file."""
+    return describe(_bronze_roundtrip(spark, sf_dir, "events")).select("column", "type")
+
+
+SQL_DESCRIBE_BRONZE = """
+SELECT column_name AS "column", column_type AS type
+FROM (DESCRIBE SELECT event_id, ts, user_id, event_type, value, props FROM events)
+"""
+
+
+def q_schema_preserved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze keeps the source's columns in order: position by position, the
+    columns of part against those of its bronze copy."""
+    expected = table(spark, sf_dir, "part").columns
+    return schema_check(_bronze_roundtrip(spark, sf_dir, "part"), expected)
+
+
+SQL_SCHEMA_PRESERVED = """
+SELECT ordinal_position - 1 AS position, column_name AS expected, column_name AS actual, true AS matches
+FROM information_schema.columns WHERE table_name = 'part'
+"""
+
+
 # ---------------------------------------------------------------------------
 # profiles
 # ---------------------------------------------------------------------------
@@ -689,6 +715,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "utc_normalize": (q_utc_normalize, SQL_UTC_NORMALIZE),
     "tsv_roundtrip": (q_tsv_roundtrip, SQL_TSV_ROUNDTRIP),
     "tsv_roundtrip_events": (q_tsv_roundtrip_events, SQL_TSV_ROUNDTRIP_EVENTS),
+    "describe_bronze": (q_describe_bronze, SQL_DESCRIBE_BRONZE),
+    "schema_preserved": (q_schema_preserved, SQL_SCHEMA_PRESERVED),
     "profile_table": (q_profile_table, SQL_PROFILE_TABLE),
     "profile_subset": (q_profile_subset, SQL_PROFILE_SUBSET),
     "profile_sampled": (q_profile_sampled, None),
