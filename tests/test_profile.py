@@ -189,3 +189,17 @@ def test_profile_command_writes_report_and_removes_staged_text(spark, workdir):
         assert json.load(fh) == _EXPECTED_REPORT
     after = {d for d in os.listdir(staged_root) if d.startswith("staged-text-")}
     assert after == before
+
+
+def test_profile_of_every_driver_table_matches_sql(spark):
+    """Exact profile of each test table (text, arrays, timestamps, ...) against
+    one DuckDB query per column."""
+    from compare import TABLES, compare, duckdb_connection
+
+    from tessera.queries import _profile_sql
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb_connection(sf)
+    for name in TABLES:
+        df = spark.read.parquet(f"{sf}/{name}.parquet")
+        assert compare(profile(df), con, _profile_sql(name, tuple(df.columns))) is None, name
