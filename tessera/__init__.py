@@ -5,6 +5,12 @@ Raw delimited snapshots are typed from the whole file and kept as Parquet
 column by column in one job, checked rule by rule, and aggregated into marts.
 """
 
-from tessera.session import build_session, checkpoint_dir, scratch_path
+from tessera.session import (
+    build_session,
+    checkpoint_dir,
+    scratch_path,
+    shuffle_partitions_for,
+    size_shuffles_for_input,
+)
 
-__all__ = ["build_session", "checkpoint_dir", "scratch_path"]
+__all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions_for", "size_shuffles_for_input"]

@@ -11,7 +11,7 @@ from tessera.operators.aggregates import (
     row_count,
     value_frequency,
 )
-from tessera.operators.dedup import latest_per_key, row_number_per_key
+from tessera.operators.dedup import has_large_group, largest_group, latest_per_key, row_number_per_key
 from tessera.operators.filters import any_of_present, at_least, equals, not_null
 from tessera.operators.profile import column_stats, profile, sample_fraction_for
 from tessera.operators.projection import (
@@ -38,8 +38,10 @@ __all__ = [
     "element_frequency",
     "equals",
     "filtered_count",
+    "has_large_group",
     "keep_columns",
     "key_cardinality",
+    "largest_group",
     "latest_per_key",
     "not_null",
     "numeric_range",

@@ -13,7 +13,7 @@ from tessera.sources.snapshot import (
     write_snapshot,
 )
 from tessera.sources.tsv import read_text_table, read_tsv, read_tsv_staged
-from tessera.sources.warehouse import load_table, write_bucketed_table, write_partitioned
+from tessera.sources.warehouse import layout_for_write, load_table, write_bucketed_table, write_partitioned
 
 __all__ = [
     "TYPE_LATTICE",
@@ -21,6 +21,7 @@ __all__ = [
     "describe",
     "infer_types",
     "is_remote",
+    "layout_for_write",
     "load_table",
     "object_store_conf",
     "read_parquet",
