@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
-from tessera.session import checkpoint_dir
+from tessera.session import MAX_SHUFFLE_PARTITIONS, checkpoint_dir
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -41,6 +41,24 @@ def largest_group(df: DataFrame, key: str | Sequence[str]) -> int:
     return int(counts.agg(F.max("_n")).first()[0] or 0)
 
 
+def _group_check(
+    df: DataFrame,
+    keys: list[str],
+    max_group_rows: int,
+    sample_rows: int,
+    seed: int,
+) -> tuple[bool, int]:
+    """(is some key larger than ``max_group_rows``, total rows)."""
+    total = df.count()
+    if total <= max_group_rows:
+        return False, total
+    if total <= sample_rows:
+        return largest_group(df, keys) > max_group_rows, total
+    fraction = sample_rows / total
+    sampled = df.select(*[qcol(k) for k in keys]).sample(withReplacement=False, fraction=fraction, seed=seed)
+    return largest_group(sampled, keys) / fraction > max_group_rows / 2, total
+
+
 def has_large_group(
     df: DataFrame,
     key: str | Sequence[str],
@@ -58,15 +76,14 @@ def has_large_group(
     and a key near the limit that the estimate misses still fits one task.
     Only the plan depends on the answer, never the result.
     """
-    keys = _as_list(key)
-    total = df.count()
-    if total <= max_group_rows:
-        return False
-    if total <= sample_rows:
-        return largest_group(df, keys) > max_group_rows
-    fraction = sample_rows / total
-    sampled = df.select(*[qcol(k) for k in keys]).sample(withReplacement=False, fraction=fraction, seed=seed)
-    return largest_group(sampled, keys) / fraction > max_group_rows / 2
+    return _group_check(df, _as_list(key), max_group_rows, sample_rows, seed)[0]
+
+
+def pieces_for(total_rows: int, max_group_rows: int, minimum: int) -> int:
+    """Number of ordered pieces for the skew path: about ``max_group_rows / 2``
+    rows each, at least ``minimum``, at most :data:`MAX_SHUFFLE_PARTITIONS`."""
+    wanted = -(-int(total_rows) // max(1, int(max_group_rows) // 2))
+    return int(min(MAX_SHUFFLE_PARTITIONS, max(int(minimum), wanted)))
 
 
 def row_number_per_key(
@@ -84,13 +101,18 @@ def row_number_per_key(
 
     A window puts every row of a key into one task. When some key holds more
     than ``max_group_rows`` rows (:func:`has_large_group`) the numbering is
-    done in pieces instead (:func:`_row_number_in_pieces`);
-    ``max_group_rows=None`` skips the check and always uses the plain window.
+    done in pieces instead (:func:`_row_number_in_pieces`), as many as the
+    row count asks for (:func:`pieces_for`); ``max_group_rows=None`` skips the
+    check and always uses the plain window.
     """
     keys = _as_list(key)
     orders = _as_list(order_by)
-    if max_group_rows is not None and has_large_group(df, keys, max_group_rows):
-        return _row_number_in_pieces(df, keys, orders, descending, rank_col)
+    if max_group_rows is not None:
+        large, total = _group_check(df, keys, max_group_rows, SKEW_SAMPLE_ROWS, 17)
+        if large:
+            minimum = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            pieces = pieces_for(total, max_group_rows, minimum)
+            return _row_number_in_pieces(df, keys, orders, descending, rank_col, pieces=pieces)
     w = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(*_order(orders, descending))
     return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
 

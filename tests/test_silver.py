@@ -199,3 +199,13 @@ def test_large_group_check_exact_and_sampled(spark):
     assert has_large_group(df, "k", max_group_rows=1000, sample_rows=400)
     uniform = spark.range(0, 4000).selectExpr("id % 1000 AS k")
     assert not has_large_group(uniform, "k", max_group_rows=1000, sample_rows=400)
+
+
+def test_pieces_follow_the_row_count():
+    from tessera.operators.dedup import pieces_for
+    from tessera.session import MAX_SHUFFLE_PARTITIONS
+
+    assert pieces_for(3000, 100, minimum=8) == 60  # 50 rows a piece
+    assert pieces_for(300, 1000, minimum=8) == 8
+    # a third of 10^12 rows in one key still gets pieces of bounded size
+    assert pieces_for(10**12, 4_000_000, minimum=200) == MAX_SHUFFLE_PARTITIONS
