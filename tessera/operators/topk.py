@@ -59,6 +59,7 @@ def top_n_other(
 ) -> DataFrame:
     """Counts of the ``n`` most frequent values, every other value folded into
     one ``other`` row. Ties at the cut are broken by value; NULL is a value.
+    ``label`` is a text column for any value type.
 
     The input is aggregated once to one row per distinct value; the top list
     (``n`` rows) is a ``TakeOrderedAndProject`` over those counts and is
@@ -75,5 +76,7 @@ def top_n_other(
     if n <= BROADCAST_TOP_LIMIT:
         top = F.broadcast(top)
     marked = counts.join(top, counts["_value"].eqNullSafe(top["_top_value"]), "left")
-    labelled = F.when(F.col("_in_top"), F.col("_value")).otherwise(F.lit(other))
+    # the label is text whatever the column's type (ties above are broken on
+    # the value itself, e.g. numerically)
+    labelled = F.when(F.col("_in_top"), F.col("_value").cast("string")).otherwise(F.lit(other))
     return marked.groupBy(labelled.alias(label)).agg(F.sum("_cnt").cast("long").alias(count_col))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.dates import truncate_period
 from tessera.functions.multivalue import split_values, unnest
@@ -163,3 +164,15 @@ def test_object_store_helpers():
         "spark.hadoop.fs.gs.project.id": "p",
         "spark.x": "1",
     }
+
+
+def test_top_n_other_on_numeric_and_date_columns(spark):
+    rows = [(1, dt.date(2026, 1, 1))] * 4 + [(2, dt.date(2026, 1, 2))] * 3 + [(3, dt.date(2026, 1, 3))] * 3 + \
+           [(10, None)] * 2 + [(None, dt.date(2026, 1, 4))]
+    df = spark.createDataFrame(rows, "n long, d date")
+    got = {(r.label, r.cnt) for r in top_n_other(df, "n", 2).collect()}
+    # 2 and 3 tie at 3 rows: the smaller value wins, numerically
+    assert got == {("1", 4), ("2", 3), ("Other", 6)}
+    got = {(r.label, r.cnt) for r in top_n_other(df, "d", 1).collect()}
+    assert got == {("2026-01-01", 4), ("Other", 9)}
+    assert top_n_other(df, "n", 2).schema["label"].dataType == T.StringType()
