@@ -19,12 +19,16 @@ def _as_col(c: str | Column) -> Column:
 
 
 def placeholder_to_null(c: str | Column, placeholders: Iterable[str] = DEFAULT_PLACEHOLDERS) -> Column:
-    """The value, or NULL when it is one of ``placeholders`` (exact match)."""
+    """The value, or NULL when it is one of ``placeholders`` (exact match).
+
+    Placeholders are text, so the column's text form is compared (a no-op for
+    text columns); a numeric or date column keeps its type and values.
+    """
     col = _as_col(c)
     values = list(placeholders)
     if not values:
         return col
-    return F.when(~col.isin(*values), col)
+    return F.when(~col.cast("string").isin(*values), col)
 
 
 def all_null(cols: Iterable[str | Column]) -> Column:

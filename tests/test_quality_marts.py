@@ -176,3 +176,11 @@ def test_top_n_other_on_numeric_and_date_columns(spark):
     got = {(r.label, r.cnt) for r in top_n_other(df, "d", 1).collect()}
     assert got == {("2026-01-01", 4), ("Other", 9)}
     assert top_n_other(df, "n", 2).schema["label"].dataType == T.StringType()
+
+
+def test_placeholders_on_non_text_columns(spark):
+    from tessera.plans.marts import category_mart
+
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "n long")
+    assert [r[0] for r in df.select(placeholder_to_null("n", ("2",)).alias("n")).collect()] == [1, None, None, None]
+    assert {(r.label, r.products) for r in category_mart(df, "n", n=1).collect()} == {("2", 2), ("Other", 2)}
