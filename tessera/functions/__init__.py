@@ -2,7 +2,7 @@
 
 from tessera.functions.columns import qcol, quote_name
 from tessera.functions.dates import truncate_period
-from tessera.functions.multivalue import split_values, unnest
+from tessera.functions.multivalue import split_values, unnest, values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, all_null, any_present, placeholder_to_null
 from tessera.functions.numeric import null_rate, share
 from tessera.functions.timezone import (
@@ -31,5 +31,6 @@ __all__ = [
     "to_utc_wall",
     "truncate_period",
     "unnest",
+    "values_of",
     "utc_wall_to_instant",
 ]

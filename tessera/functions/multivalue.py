@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.columns import qcol
 
@@ -26,6 +27,24 @@ def split_values(c: str | Column, sep: str = ",", trim: bool = False, drop_empty
     return arr
 
 
+def values_of(
+    df: DataFrame, column: str, sep: str = ",", trim: bool = False, drop_empty: bool = False
+) -> Column:
+    """The elements of ``df[column]`` as an array: a text field is split on
+    ``sep`` (:func:`split_values`); a column that already is an array is used
+    as it is (``trim`` / ``drop_empty`` apply to text elements)."""
+    dtype = df.schema[column].dataType
+    if not isinstance(dtype, T.ArrayType):
+        return split_values(column, sep=sep, trim=trim, drop_empty=drop_empty)
+    arr = qcol(column)
+    if isinstance(dtype.elementType, T.StringType):
+        if trim:
+            arr = F.transform(arr, lambda x: F.trim(x))
+        if drop_empty:
+            arr = F.filter(arr, lambda x: x != F.lit(""))
+    return arr
+
+
 def unnest(
     df: DataFrame,
     column: str,
@@ -42,7 +61,7 @@ def unnest(
     element). The explode is a narrow, per-row operator: no shuffle.
     """
     out = out or column
-    arr = split_values(column, sep=sep, trim=trim, drop_empty=drop_empty)
+    arr = values_of(df, column, sep=sep, trim=trim, drop_empty=drop_empty)
     exploded = F.explode_outer(arr) if keep_nulls else F.explode(arr)
     others = [qcol(c) for c in df.columns if c != out]
     return df.select(*others, exploded.alias(out))

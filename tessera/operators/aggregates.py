@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
 from tessera.functions.dates import truncate_period
-from tessera.functions.multivalue import split_values
+from tessera.functions.multivalue import values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, placeholder_to_null
 from tessera.functions.numeric import share
 
@@ -120,7 +120,7 @@ def element_frequency(
     drop_empty: bool = False,
 ) -> DataFrame:
     """Rows per element of a multi-value field (products per country)."""
-    elements = df.select(F.explode(split_values(column, sep=sep, drop_empty=drop_empty)).alias(alias))
+    elements = df.select(F.explode(values_of(df, column, sep=sep, drop_empty=drop_empty)).alias(alias))
     return elements.groupBy(alias).agg(F.count(F.lit(1)).alias(count_col))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
 from tessera.functions.dates import truncate_period
-from tessera.functions.multivalue import split_values
+from tessera.functions.multivalue import values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, placeholder_to_null
 from tessera.operators.aggregates import counts_by_period
 from tessera.operators.topk import top_n_other
@@ -28,7 +28,7 @@ def multivalue_mart(
 ) -> DataFrame:
     """Products per element of a multi-value field (e.g. per country), the
     ``n`` largest kept and the rest folded into ``Other``."""
-    elements = df.select(F.explode(split_values(column, sep=sep, trim=True, drop_empty=drop_empty)).alias("_element"))
+    elements = df.select(F.explode(values_of(df, column, sep=sep, trim=True, drop_empty=drop_empty)).alias("_element"))
     return top_n_other(elements, "_element", n, label=label, count_col=count_col)
 
 

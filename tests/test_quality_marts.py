@@ -184,3 +184,12 @@ def test_placeholders_on_non_text_columns(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "n long")
     assert [r[0] for r in df.select(placeholder_to_null("n", ("2",)).alias("n")).collect()] == [1, None, None, None]
     assert {(r.label, r.products) for r in category_mart(df, "n", n=1).collect()} == {("2", 2), ("Other", 2)}
+
+
+def test_array_columns_are_multi_value_fields(spark):
+    from tessera.plans.marts import multivalue_mart
+
+    df = spark.createDataFrame([(["a", " b", ""],), (["a"],), (None,)], "tags array<string>")
+    assert {(r.value, r.cnt) for r in element_frequency(df, "tags").collect()} == {("a", 2), (" b", 1), ("", 1)}
+    assert {(r.label, r.products) for r in multivalue_mart(df, "tags", n=1).collect()} == {("a", 2), ("Other", 1)}
+    assert unnest(df, "tags", keep_nulls=True).count() == 5
