@@ -154,18 +154,30 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(os.cpu_count() or 8)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the input has fewer partitions
-    than cores (a gzip file, or a Parquet file written as one row group),
-    before per-row heavy work such as an unpivot.
+# Smallest share of the input one spread piece gets: a single large file is
+# cut into pieces of at least this much text, not into one piece per core of
+# a large cluster (which would make thousands of tiny files downstream).
+MIN_SPREAD_BYTES = 16 * 1024 * 1024
 
-    On cluster-sized input the scan already has far more splits than cores and
-    this is a no-op, so no extra shuffle is added there.
+
+def spread(df: DataFrame, input_size: int | None = None, min_piece_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
+    """Round-robin the rows over the cluster when the input has fewer
+    partitions than cores (a gzip file, or a Parquet file written as one row
+    group), before per-row heavy work such as an unpivot.
+
+    With ``input_size`` (estimated bytes of the input) the number of pieces is
+    capped so each holds at least ``min_piece_bytes``. On cluster-sized input
+    the scan already has far more splits than cores and this is a no-op, so no
+    extra shuffle is added there.
     """
     cores = default_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    current = df.rdd.getNumPartitions()
+    if current >= cores:
+        return df
+    pieces = cores
+    if input_size is not None:
+        pieces = min(cores, max(1, -(-int(input_size) // int(min_piece_bytes))))
+    return df.repartition(pieces) if pieces > current else df
 
 
 def remove_scratch(spark: SparkSession, path: str) -> bool:

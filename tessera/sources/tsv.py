@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
-from tessera.session import scratch_path, spread
+from tessera.session import default_parallelism, scratch_path, spread
 from tessera.sources.inference import apply_types, infer_types
 
 
@@ -34,6 +34,21 @@ def read_text_table(
     )
 
 
+def estimated_text_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of text behind a file, folder or glob, from file-system metadata:
+    gzip files count ten times their size (a typical ratio for text)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    total = 0
+    for status in fs.globStatus(hpath) or []:
+        files = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for f in files:
+            if f.isFile():
+                total += f.getLen() * (10 if f.getPath().getName().endswith(".gz") else 1)
+    return int(total)
+
+
 def read_tsv_staged(
     spark: SparkSession,
     path: str,
@@ -47,7 +62,10 @@ def read_tsv_staged(
     names = list(text.columns)
     staged_path = scratch_path(spark, "staged-text")
     positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
-    spread(text.select(*positional)).write.mode("overwrite").parquet(staged_path)
+    scan = text.select(*positional)
+    if scan.rdd.getNumPartitions() < default_parallelism(spark):  # few large (gzip) files
+        scan = spread(scan, input_size=estimated_text_bytes(spark, path))
+    scan.write.mode("overwrite").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     text = staged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
     return apply_types(text, infer_types(text)), staged_path
@@ -64,7 +82,8 @@ def read_tsv(
     """Scan a delimited file and type every column from the whole file.
 
     With ``stage`` (the default) the text is decompressed and parsed once,
-    spread over the cluster and written as a Parquet table in the shared
+    spread over the cluster (pieces of at least 16 MB of text, see
+    :func:`tessera.session.spread`) and written as a Parquet table in the shared
     checkpoint folder (compressed, splittable, columnar, under positional
     column names so any source name is safe); inference and the typed result
     both read that copy. Neither the single-threaded gzip reader nor the text
