@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.projection import passthrough
 from tessera.session import remove_scratch
-from tessera.sources.snapshot import write_snapshot
+from tessera.sources.snapshot import require_object_store, write_snapshot
 from tessera.sources.tsv import read_tsv, read_tsv_staged
 
 
@@ -26,13 +26,19 @@ def bronze_layer(
     source_path: str,
     dest_dir: str,
     run_date: date | None = None,
+    gcs: bool = False,
     sep: str = "\t",
 ) -> str:
     """Write the bronze snapshot of ``run_date`` (default today) and return
     ``{dest_dir}/{YYYY-MM-DD}/products.parquet``. A rerun replaces it.
 
-    The staged text copy is removed once the snapshot is written.
+    ``gcs=True`` asks for an object-store destination (a ``gs://`` URI);
+    local and remote paths otherwise go through the same writer, which creates
+    folders itself. The staged text copy is removed once the snapshot is
+    written.
     """
+    if gcs:
+        require_object_store(dest_dir)
     typed, staged = read_tsv_staged(spark, source_path, sep=sep)
     try:
         return write_snapshot(passthrough(typed), dest_dir, run_date)

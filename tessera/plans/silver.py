@@ -24,7 +24,7 @@ from tessera.operators.dedup import latest_per_key
 from tessera.operators.filters import any_of_present, not_null
 from tessera.operators.projection import SILVER_COLUMNS, keep_columns
 from tessera.sources.parquet import read_parquet
-from tessera.sources.snapshot import write_snapshot
+from tessera.sources.snapshot import require_object_store, write_snapshot
 
 # The defaults of the product table's curation rules.
 KEY = "code"
@@ -74,9 +74,13 @@ def silver_layer(
     bronze_path: str,
     dest_dir: str,
     run_date: date | None = None,
+    gcs: bool = False,
     **options,
 ) -> str:
     """Read a bronze snapshot, curate it and write the silver snapshot of
-    ``run_date``; return ``{dest_dir}/{YYYY-MM-DD}/products.parquet``."""
+    ``run_date``; return ``{dest_dir}/{YYYY-MM-DD}/products.parquet``.
+    ``gcs=True`` asks for a ``gs://`` destination, as in :func:`bronze_layer`."""
+    if gcs:
+        require_object_store(dest_dir)
     curated = silver_transform(read_parquet(spark, str(bronze_path)), **options)
     return write_snapshot(curated, str(dest_dir), run_date)

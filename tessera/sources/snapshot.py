@@ -39,6 +39,16 @@ def read_snapshots(spark: SparkSession, dest_dir: str, name: str = DEFAULT_NAME)
     )
 
 
+def require_object_store(dest_dir: str, scheme: str = "gs") -> str:
+    """The explicit object-store switch of the jobs (``gcs=True``): the
+    destination must be a ``{scheme}://`` URI. Nothing is guessed from the
+    path otherwise, and access itself comes from the session's Hadoop file
+    system settings (:func:`object_store_conf`)."""
+    if not str(dest_dir).startswith(f"{scheme}://"):
+        raise ValueError(f"an object-store destination must be a {scheme}:// URI, got {dest_dir!r}")
+    return str(dest_dir)
+
+
 def is_remote(path: str) -> bool:
     """True for a URI with a scheme other than ``file``."""
     head = str(path).split("/", 1)[0]

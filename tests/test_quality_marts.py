@@ -193,3 +193,17 @@ def test_array_columns_are_multi_value_fields(spark):
     assert {(r.value, r.cnt) for r in element_frequency(df, "tags").collect()} == {("a", 2), (" b", 1), ("", 1)}
     assert {(r.label, r.products) for r in multivalue_mart(df, "tags", n=1).collect()} == {("a", 2), ("Other", 1)}
     assert unnest(df, "tags", keep_nulls=True).count() == 5
+
+
+def test_object_store_switch_needs_a_gs_uri(spark, workdir):
+    import pytest
+
+    from tessera.plans.bronze import bronze_layer
+    from tessera.plans.silver import silver_layer
+    from tessera.sources.snapshot import require_object_store
+
+    assert require_object_store("gs://bucket/bronze") == "gs://bucket/bronze"
+    with pytest.raises(ValueError, match="gs://"):
+        bronze_layer(spark, workdir + "/none.tsv", workdir + "/bronze", gcs=True)
+    with pytest.raises(ValueError, match="gs://"):
+        silver_layer(spark, workdir + "/none.parquet", "s3a://bucket/silver", gcs=True)
