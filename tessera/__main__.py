@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", choices=("tsv", "parquet"), default="tsv")
     p.add_argument("--out", default="data/bronze/profile_report.json")
     p.add_argument("--sample-rows", type=int, default=None)
-    p.add_argument("--layout", choices=("array", "lines"), default="array")
+    p.add_argument("--layout", choices=("file", "array", "lines"), default="file")
 
     args = parser.parse_args(argv)
     spark = build_session(app_name=f"tessera-{args.command}")

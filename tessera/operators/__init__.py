@@ -13,7 +13,7 @@ from tessera.operators.aggregates import (
 )
 from tessera.operators.dedup import has_large_group, largest_group, latest_per_key, row_number_per_key
 from tessera.operators.filters import any_of_present, at_least, equals, not_null
-from tessera.operators.profile import column_stats, profile, sample_fraction_for
+from tessera.operators.profile import column_stats, profile, profile_records, sample_fraction_for
 from tessera.operators.projection import (
     SILVER_COLUMNS,
     SPARSE_COLUMNS,
@@ -49,6 +49,7 @@ __all__ = [
     "passthrough",
     "population",
     "profile",
+    "profile_records",
     "range_check",
     "reconciliation",
     "rename_cast",

@@ -172,3 +172,35 @@ def sample_fraction_for(df: DataFrame, rows: int) -> float | None:
     if total <= rows:
         return None
     return rows / total
+
+
+def profile_records(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    approx: bool = False,
+    rsd: float = 0.05,
+) -> list[dict]:
+    """The profile as a list of records ``{column, type, null_rate,
+    distinct_values}`` in source column order.
+
+    The counts come from the distributed :func:`column_stats` job; only its
+    result - one row per column, bounded by the schema width - reaches the
+    driver, where the NULL rate is computed in Python as
+    ``round(1 - non_null / total, 4)`` (``None`` for an empty table). That is
+    the same double arithmetic and rounding of the exact binary value as a
+    Python-side report, so even exact ties (e.g. 0.00015) come out the same.
+    """
+    rows = sorted(column_stats(df, columns, approx=approx, rsd=rsd).collect(), key=lambda r: r["position"])
+    records = []
+    for r in rows:
+        total, non_null = r["total_rows"], r["non_null_rows"]
+        rate = 1 - (non_null / total) if total else None
+        records.append(
+            {
+                "column": r["column"],
+                "type": r["type"],
+                "null_rate": round(rate, 4) if rate is not None else None,
+                "distinct_values": int(r["distinct_values"]),
+            }
+        )
+    return records

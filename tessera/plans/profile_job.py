@@ -6,14 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators.profile import profile, sample_fraction_for
+from tessera.operators.profile import profile, profile_records, sample_fraction_for
 from tessera.session import remove_scratch
-from tessera.sources.report import write_profile_json
+from tessera.sources.report import write_profile_json, write_profile_records
 from tessera.sources.tsv import read_tsv, read_tsv_staged
 
 DEFAULT_REPORT_DIR = "data/bronze/profile_report.json"
 
 
+def _source(spark: SparkSession, path: str, fmt: str, sep: str) -> DataFrame:
+    if fmt == "tsv":
+        return read_tsv(spark, path, sep=sep)
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    raise ValueError("fmt must be 'tsv' or 'parquet'")
+
+
 def profile_dataset(
     spark: SparkSession,
     path: str,
@@ -22,26 +30,38 @@ def profile_dataset(
     sample_rows: int | None = None,
     approx: bool = False,
     sep: str = "\t",
-) -> DataFrame:
+    as_records: bool = False,
+) -> DataFrame | list[dict]:
     """Profile a delimited file (typed from the whole file) or a Parquet dataset.
 
     Full scan by default; ``sample_rows`` profiles a random sample of about that
-    many rows instead; ``approx`` uses approximate distinct counts.
+    many rows instead; ``approx`` uses approximate distinct counts. Returns a
+    DataFrame, or with ``as_records`` the list of records
+    (:func:`tessera.operators.profile.profile_records`).
     """
-    if fmt == "tsv":
-        df = read_tsv(spark, path, sep=sep)
-    elif fmt == "parquet":
-        df = spark.read.parquet(path)
-    else:
-        raise ValueError("fmt must be 'tsv' or 'parquet'")
+    df = _source(spark, path, fmt, sep)
     fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
+    if as_records:
+        src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
+        return profile_records(src, columns=columns, approx=approx)
     return profile(df, columns=columns, approx=approx, sample_fraction=fraction)
 
 
-def save_profile(profile_df: DataFrame, out_dir: str = DEFAULT_REPORT_DIR, layout: str = "array") -> str:
-    """Write the profile as a JSON report (one JSON array by default, or
-    ``layout="lines"``) and return its path."""
-    return write_profile_json(profile_df, out_dir, layout=layout)
+def save_profile(
+    profile_data: DataFrame | list[dict], out_dir: str = DEFAULT_REPORT_DIR, layout: str = "array"
+) -> str:
+    """Write the profile as a JSON report and return its path.
+
+    A DataFrame is written by Spark into the folder ``out_dir`` (one JSON
+    array by default, or ``layout="lines"``); a list of records is written as
+    the single file ``out_dir``, one JSON array indented by two.
+    """
+    if isinstance(profile_data, DataFrame):
+        return write_profile_json(profile_data, out_dir, layout=layout)
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        raise RuntimeError("no active Spark session to write the report with")
+    return write_profile_records(spark, list(profile_data), out_dir)
 
 
 def profile_job(
@@ -53,23 +73,28 @@ def profile_job(
     sample_rows: int | None = None,
     approx: bool = False,
     sep: str = "\t",
-    layout: str = "array",
+    layout: str = "file",
 ) -> str:
     """Profile a source and write the JSON report; return the report path.
 
-    For a delimited source the staged Parquet copy of the text (see
+    ``layout="file"`` (the default) writes ``out_dir`` as one file holding an
+    indented JSON array of records (:func:`save_profile` of
+    :func:`tessera.operators.profile.profile_records`); ``"array"`` and
+    ``"lines"`` write a report folder with Spark's JSON writer. For a
+    delimited source the staged Parquet copy of the text (see
     :func:`tessera.sources.tsv.read_tsv`) is removed once the report is
     written, as the bronze job does.
     """
     staged = None
     if fmt == "tsv":
         df, staged = read_tsv_staged(spark, path, sep=sep)
-    elif fmt == "parquet":
-        df = spark.read.parquet(path)
     else:
-        raise ValueError("fmt must be 'tsv' or 'parquet'")
+        df = _source(spark, path, fmt, sep)
     try:
         fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
+        if layout == "file":
+            src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
+            return write_profile_records(spark, profile_records(src, columns=columns, approx=approx), out_dir)
         prof = profile(df, columns=columns, approx=approx, sample_fraction=fraction)
         return write_profile_json(prof, out_dir, layout=layout)
     finally:

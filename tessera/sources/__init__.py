@@ -3,7 +3,7 @@ snapshots, JSON reports, schema description and warehouse tables."""
 
 from tessera.sources.inference import TYPE_LATTICE, apply_types, infer_types
 from tessera.sources.parquet import read_parquet, write_parquet
-from tessera.sources.report import write_profile_json
+from tessera.sources.report import write_profile_json, write_profile_records
 from tessera.sources.schema import describe, sql_type_name
 from tessera.sources.snapshot import (
     is_remote,
@@ -35,5 +35,6 @@ __all__ = [
     "write_parquet",
     "write_partitioned",
     "write_profile_json",
+    "write_profile_records",
     "write_snapshot",
 ]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAYOUTS = ("array", "lines")
@@ -47,3 +49,19 @@ def write_profile_json(profile: DataFrame, out_dir: str, layout: str = "array")
     )
     report.coalesce(1).write.mode("overwrite").text(out_dir)
     return out_dir
+
+
+def write_profile_records(spark: SparkSession, records: list[dict], out_path: str) -> str:
+    """Write profile records (a list bounded by the schema width) as one JSON
+    array file, indented by two, at ``out_path`` on any Hadoop file system;
+    parent folders are created, an existing file is replaced."""
+    text = json.dumps(records, indent=2)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(str(out_path))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(path, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return str(out_path)

@@ -51,8 +51,8 @@ def test_bronze_then_silver_then_profile(spark, workdir, capsys):
     out = os.path.join(workdir, "profile_report.json")
     main(["profile", src, "--out", out])
     assert _last_line(capsys) == out
-    files = [os.path.join(out, f) for f in os.listdir(out) if not f.startswith((".", "_"))]
-    report = json.load(open([f for f in files if os.path.getsize(f) > 0][0]))
+    with open(out) as fh:  # one file, an indented JSON array
+        report = json.load(fh)
     assert [r["column"] for r in report] == HEADER
     by_name = {r["column"]: r for r in report}
     assert by_name["code"] == {"column": "code", "type": "VARCHAR", "null_rate": 0.25, "distinct_values": 2}

@@ -183,7 +183,7 @@ def test_profile_command_writes_report_and_removes_staged_text(spark, workdir):
     staged_root = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tessera")
     before = {d for d in os.listdir(staged_root) if d.startswith("staged-text-")} if os.path.isdir(staged_root) else set()
     out = os.path.join(workdir, "cli-report")
-    main(["profile", src, "--out", out])
+    main(["profile", src, "--out", out, "--layout", "array"])
     files = [f for f in _report_files(out) if os.path.getsize(f) > 0]
     with open(files[0]) as fh:
         assert json.load(fh) == _EXPECTED_REPORT
@@ -203,3 +203,28 @@ def test_profile_of_every_driver_table_matches_sql(spark):
     for name in TABLES:
         df = spark.read.parquet(f"{sf}/{name}.parquet")
         assert compare(profile(df), con, _profile_sql(name, tuple(df.columns))) is None, name
+
+
+def test_profile_records_round_like_python(spark, workdir):
+    from tessera.operators.profile import profile_records
+
+    # 20,000 rows with 3 NULLs: 1 - 19997/20000 sits at a decimal tie
+    df = spark.range(0, 20000).selectExpr("CASE WHEN id < 3 THEN NULL ELSE id END AS v", "id % 7 AS w")
+    records = profile_records(df)
+    assert records[0] == {"column": "v", "type": "BIGINT", "null_rate": round(1 - 19997 / 20000, 4),
+                          "distinct_values": 19997}
+    assert records[1] == {"column": "w", "type": "BIGINT", "null_rate": 0.0, "distinct_values": 7}
+    empty = profile_records(spark.createDataFrame([], "a string"))
+    assert empty == [{"column": "a", "type": "VARCHAR", "null_rate": None, "distinct_values": 0}]
+
+    out = save_profile(records, os.path.join(workdir, "reports", "profile_report.json"))
+    with open(out) as fh:
+        text = fh.read()
+    assert json.loads(text) == records and text.startswith("[\n  {")
+
+
+def test_profile_dataset_as_records(spark, workdir):
+    src = os.path.join(workdir, "r.tsv")
+    with open(src, "w") as fh:
+        fh.write("code\tname\tscore\n0001\tA\t0.5\n0002\t\t0.8\n0002\tB\t\n")
+    assert profile_dataset(spark, src, as_records=True) == _EXPECTED_REPORT
