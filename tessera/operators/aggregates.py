@@ -8,6 +8,7 @@ pre-aggregated in each task before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tessera.functions.dates import truncate_period
 from tessera.functions.multivalue import values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, placeholder_to_null
 from tessera.functions.numeric import share
+from tessera.session import column_chunks
 
 
 def row_count(df: DataFrame, alias: str = "total_rows") -> DataFrame:
@@ -87,13 +89,18 @@ def population(
     """
     values = list(placeholders)
     slots = [f"_p{i}" for i in range(len(columns))]
-    text = df.select(*[qcol(c).cast("string").alias(s) for c, s in zip(columns, slots)])
-    pairs = text.unpivot([], slots, "slot", "v")
-    stats = pairs.groupBy("slot").agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count("v").alias("non_null_rows"),
-        F.count(placeholder_to_null(F.col("v"), values)).alias("populated_rows"),
-    )
+    parts = []
+    for chunk in column_chunks(list(zip(columns, slots))):  # wide inputs: see column_chunks
+        text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
+        pairs = text.unpivot([], [s for _, s in chunk], "slot", "v")
+        parts.append(
+            pairs.groupBy("slot").agg(
+                F.count(F.lit(1)).alias("total_rows"),
+                F.count("v").alias("non_null_rows"),
+                F.count(placeholder_to_null(F.col("v"), values)).alias("populated_rows"),
+            )
+        )
+    stats = reduce(DataFrame.unionByName, parts)
     names = df.sparkSession.createDataFrame(list(zip(slots, range(len(columns)), columns)), "slot string, position int, column string")
     return (
         names.join(F.broadcast(stats), "slot", "left")

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from tessera.functions.columns import qcol
 from tessera.functions.numeric import null_rate
 from tessera.functions.timezone import ntz_micros
+from tessera.session import column_chunks
 from tessera.sources.schema import sql_type_name
 
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
@@ -92,7 +93,9 @@ def column_stats(
         groups.setdefault(domain, []).append((f"_p{pos}", value))
 
     parts = []
-    for members in groups.values():
+    # one unpivot per domain, and per chunk of a wide domain (see
+    # tessera.session.MAX_UNPIVOT_COLUMNS), each reading only its own columns
+    for members in [chunk for group in groups.values() for chunk in column_chunks(group)]:
         slots = [slot for slot, _ in members]
         pairs = df.select(*[value.alias(slot) for slot, value in members]).unpivot([], slots, "slot", "v")
         distinct = F.approx_count_distinct("v", rsd) if approx else F.count_distinct("v")

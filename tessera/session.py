@@ -115,6 +115,17 @@ MAX_SHUFFLE_PARTITIONS = 100_000
 _SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
 
 
+# Most columns one unpivot takes at a time. Spark compiles a stage into one
+# generated function only up to spark.sql.codegen.maxFields (100) columns;
+# wider tables are unpivoted in chunks, each reading only its own columns.
+MAX_UNPIVOT_COLUMNS = 64
+
+
+def column_chunks(items: list, size: int = MAX_UNPIVOT_COLUMNS) -> list[list]:
+    """``items`` in consecutive chunks of at most ``size``."""
+    return [items[i : i + size] for i in range(0, len(items), size)]
+
+
 def shuffle_partitions_for(shuffle_bytes: int, cores: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Initial shuffle partition count for a shuffle of about ``shuffle_bytes``:
     about ``target_bytes`` per partition, at least two per core so every core

@@ -14,10 +14,13 @@ partial aggregate leaves one row per column per input partition.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
+from tessera.session import column_chunks
 
 # The candidate types in the order they are tried, each with the
 # pattern every value must match in full. They reproduce the typing rules of the
@@ -60,10 +63,18 @@ def value_checks(v: Column) -> dict[str, Column]:
     and survives ``try_cast``. Every integer text is also a valid double and
     every naive timestamp also a valid zoned one, so those checks reuse the
     narrower one's answer first.
+
+    The steps are nested ``CASE WHEN``s, not a chain of ``AND``s: a branch is
+    evaluated only when its condition holds, whatever the optimizer does with
+    repeated subexpressions, so the cast (slow when it fails) never runs on a
+    value the pattern rejected. (Written as ``AND``s the same checks ran five
+    times slower on lineitem text.)
     """
+    no = F.lit(False)
     checks: dict[str, Column] = {}
     for type_name, pattern in TYPE_LATTICE:
-        ok = _gate(type_name, v) & v.rlike(f"^(?:{pattern})$") & v.try_cast(type_name).isNotNull()
+        matched = F.when(v.rlike(f"^(?:{pattern})$"), v.try_cast(type_name).isNotNull()).otherwise(no)
+        ok = F.when(_gate(type_name, v), matched).otherwise(no)
         if type_name == "double":
             ok = checks["bigint"] | ok
         elif type_name == "timestamp":
@@ -86,11 +97,16 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     if not cols:
         return {}
     slots = [_slot(i) for i in range(len(cols))]
-    text = df.select(*[qcol(c).cast("string").alias(s) for c, s in zip(cols, slots)])
-    pairs = text.unpivot([], slots, "slot", "v")
     v = F.col("v")
     checks = [F.bool_and(v.isNull() | ok).alias(type_name) for type_name, ok in value_checks(v).items()]
-    stats = pairs.groupBy("slot").agg(F.count(v).alias("n_values"), *checks)
+    # one unpivot per chunk of columns (each reads only its own columns), so
+    # every stage stays within whole-stage code generation on wide tables
+    parts = []
+    for chunk in column_chunks(list(zip(cols, slots))):
+        text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
+        pairs = text.unpivot([], [s for _, s in chunk], "slot", "v")
+        parts.append(pairs.groupBy("slot").agg(F.count(v).alias("n_values"), *checks))
+    stats = reduce(DataFrame.unionByName, parts)
     decided: dict[str, str] = {}
     for row in stats.collect():  # one row per column
         chosen = "string"

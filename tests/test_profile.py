@@ -228,3 +228,23 @@ def test_profile_dataset_as_records(spark, workdir):
     with open(src, "w") as fh:
         fh.write("code\tname\tscore\n0001\tA\t0.5\n0002\t\t0.8\n0002\tB\t\n")
     assert profile_dataset(spark, src, as_records=True) == _EXPECTED_REPORT
+
+
+def test_wide_table_is_unpivoted_in_chunks(spark):
+    """250 columns: profile and inference split the unpivot, results unchanged."""
+    from pyspark.sql import functions as F
+
+    from tessera.session import MAX_UNPIVOT_COLUMNS
+    from tessera.sources.inference import infer_types
+
+    base = spark.range(0, 50).select(F.col("id"), (F.col("id") % 7).cast("string").alias("s"))
+    wide = base.select(*[(F.col("id") + i).alias(f"n{i}") for i in range(125)],
+                       *[F.concat(F.col("s"), F.lit(f"-{i}")).alias(f"t{i}") for i in range(125)])
+    plan = profile(wide)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") >= -(-250 // MAX_UNPIVOT_COLUMNS)
+    rows = profile(wide).collect()
+    assert [r["column"] for r in rows] == wide.columns
+    assert all(r["distinct_values"] == 50 for r in rows[:125]) and all(r["distinct_values"] == 7 for r in rows[125:])
+    text = wide.select(*[F.col(c).cast("string").alias(c) for c in wide.columns])
+    types = infer_types(text)
+    assert all(types[f"n{i}"] == "bigint" for i in range(125)) and all(types[f"t{i}"] == "string" for i in range(125))
