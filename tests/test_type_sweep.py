@@ -4,7 +4,6 @@ type it cannot take under ANSI mode."""
 
 from __future__ import annotations
 
-import pytest
 from pyspark.sql import types as T
 
 from compare import TABLES
