@@ -9,6 +9,7 @@ from tessera.operators.aggregates import (
     numeric_range,
     population,
     row_count,
+    value_frequencies,
     value_frequency,
 )
 from tessera.operators.dedup import has_large_group, largest_group, latest_per_key, row_number_per_key
@@ -61,6 +62,7 @@ __all__ = [
     "sort_desc",
     "top_k",
     "top_n_other",
+    "value_frequencies",
     "value_frequency",
     "with_computed",
 ]

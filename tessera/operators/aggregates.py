@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
@@ -50,6 +50,37 @@ def value_frequency(
     return freq
 
 
+def value_frequencies(
+    df: DataFrame,
+    columns: Sequence[str],
+    top: int | None = None,
+    count_col: str = "cnt",
+) -> DataFrame:
+    """Value frequencies of several columns in one job: ``column, value, cnt``.
+
+    The columns are unpivoted (values as text) and counted by ``(column,
+    value)``: one scan and one shuffle for all of them, hot values combined in
+    every map task first. NULL is a value of its own. With ``top`` only the
+    ``top`` most frequent values of each column are kept (ties by value,
+    ascending, NULL last); the per-column limit is planned as a
+    ``WindowGroupLimit``, applied in every task before the shuffle by column,
+    so a column with many distinct values never gathers them in one task.
+    """
+    names = list(columns)
+    slots = [f"_f{i}" for i in range(len(names))]
+    label = F.create_map(*[x for s, n in zip(slots, names) for x in (F.lit(s), F.lit(n))])
+    parts = []
+    for chunk in column_chunks(list(zip(names, slots))):  # wide inputs: see column_chunks
+        text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
+        pairs = text.unpivot([], [s for _, s in chunk], "_slot", "value")
+        parts.append(pairs.groupBy("_slot", "value").agg(F.count(F.lit(1)).alias(count_col)))
+    counts = reduce(DataFrame.unionByName, parts)
+    if top is not None:
+        order = Window.partitionBy("_slot").orderBy(F.col(count_col).desc(), F.col("value").asc_nulls_last())
+        counts = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top).drop("_rank")
+    return counts.select(label[F.col("_slot")].alias("column"), "value", count_col)
+
+
 def numeric_range(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:
     """``MIN, MAX, AVG`` of one column (``avg`` optionally rounded)."""
     avg = F.avg(qcol(column))

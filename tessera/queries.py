@@ -25,6 +25,7 @@ from tessera.operators.aggregates import (
     key_cardinality,
     numeric_range,
     population,
+    value_frequencies,
     value_frequency,
 )
 from tessera.operators.dedup import row_number_per_key
@@ -360,6 +361,21 @@ GROUP BY event_type ORDER BY cnt DESC, event_type
 """
 
 
+_FREQ_COLUMNS = ("event_type", "props", "user_id")
+
+
+def q_value_freq_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most frequent values of several event columns, one job."""
+    return value_frequencies(_events_with_nulls(spark, sf_dir), _FREQ_COLUMNS, top=5)
+
+
+SQL_VALUE_FREQ_COLUMNS = f"WITH e AS ({_EVENTS_WITH_NULLS_SQL})\n" + "\nUNION ALL\n".join(
+    f"""(SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS cnt
+ FROM e GROUP BY 2 ORDER BY cnt DESC, value ASC NULLS LAST LIMIT 5)"""
+    for c in _FREQ_COLUMNS
+)
+
+
 def q_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     freq = value_frequency(table(spark, sf_dir, "part"), "p_brand", ordered=False)
     return top_k(freq, "cnt", 10, descending=True, tiebreak=("p_brand",))
@@ -724,6 +740,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "profile_report": (q_profile_report, SQL_PROFILE_REPORT),
     "profile_quoted_names": (q_profile_quoted_names, SQL_PROFILE_QUOTED_NAMES),
     "value_freq": (q_value_freq, SQL_VALUE_FREQ),
+    "value_freq_columns": (q_value_freq_columns, SQL_VALUE_FREQ_COLUMNS),
     "top_values": (q_top_values, SQL_TOP_VALUES),
     "newest_orders": (q_newest_orders, SQL_NEWEST_ORDERS),
     "first_keys": (q_first_keys, SQL_FIRST_KEYS),

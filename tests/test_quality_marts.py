@@ -207,3 +207,17 @@ def test_object_store_switch_needs_a_gs_uri(spark, workdir):
         bronze_layer(spark, workdir + "/none.tsv", workdir + "/bronze", gcs=True)
     with pytest.raises(ValueError, match="gs://"):
         silver_layer(spark, workdir + "/none.parquet", "s3a://bucket/silver", gcs=True)
+
+
+def test_value_frequencies_of_several_columns(spark):
+    from tessera.operators.aggregates import value_frequencies
+
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("b", 2), ("c", 2), (None, 3), (None, None)], "s string, n int"
+    )
+    got = {(r.column, r.value, r.cnt) for r in value_frequencies(df, ["s", "n"]).collect()}
+    assert got == {("s", "a", 2), ("s", "b", 1), ("s", "c", 1), ("s", None, 2),
+                   ("n", "1", 2), ("n", "2", 2), ("n", "3", 1), ("n", None, 1)}
+    # top 2: ties broken by value, NULL last
+    top = {(r.column, r.value, r.cnt) for r in value_frequencies(df, ["s", "n"], top=2).collect()}
+    assert top == {("s", "a", 2), ("s", None, 2), ("n", "1", 2), ("n", "2", 2)}
