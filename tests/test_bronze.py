@@ -194,3 +194,17 @@ def test_failed_rerun_keeps_previous_snapshot(spark, workdir):
     # a successful rerun replaces it
     write_snapshot(spark.range(0, 2), workdir + "/snap", run)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_read_snapshots_all_or_chosen_dates(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tessera.sources.snapshot import read_snapshots, write_snapshot
+
+    root = workdir + "/hist"
+    for day, n in ((1, 3), (2, 5), (3, 7)):
+        write_snapshot(spark.range(0, n), root, date(2026, 7, day))
+    counts = {r[0]: r[1] for r in read_snapshots(spark, root).groupBy("snapshot_date").count().collect()}
+    assert counts == {date(2026, 7, 1): 3, date(2026, 7, 2): 5, date(2026, 7, 3): 7}
+    some = read_snapshots(spark, root, dates=[date(2026, 7, 3)])
+    assert some.agg(F.count(F.lit(1)), F.min("snapshot_date")).first() == (7, date(2026, 7, 3))
