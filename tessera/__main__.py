@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", default="data/bronze/profile_report.json")
     p.add_argument("--sample-rows", type=int, default=None)
     p.add_argument("--layout", choices=("file", "array", "lines"), default="file")
+    p.add_argument("--columns", default=None, help="comma-separated subset of columns to profile")
+    p.add_argument("--approx", action="store_true", help="approximate distinct counts (HyperLogLog++)")
 
     args = parser.parse_args(argv)
     spark = build_session(app_name=f"tessera-{args.command}")
@@ -56,8 +58,16 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from tessera.plans.profile_job import profile_job
 
+        columns = [c for c in args.columns.split(",") if c] if args.columns else None
         path = profile_job(
-            spark, args.source_path, args.out, fmt=args.format, sample_rows=args.sample_rows, layout=args.layout
+            spark,
+            args.source_path,
+            args.out,
+            fmt=args.format,
+            columns=columns,
+            sample_rows=args.sample_rows,
+            approx=args.approx,
+            layout=args.layout,
         )
     log.info("wrote %s", path)
     print(path)

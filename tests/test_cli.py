@@ -57,3 +57,14 @@ def test_bronze_then_silver_then_profile(spark, workdir, capsys):
     by_name = {r["column"]: r for r in report}
     assert by_name["code"] == {"column": "code", "type": "VARCHAR", "null_rate": 0.25, "distinct_values": 2}
     assert by_name["generic_name"]["null_rate"] == 1.0
+
+
+def test_profile_of_a_column_subset(spark, workdir, capsys):
+    src = os.path.join(workdir, "subset.tsv")
+    with open(src, "w") as fh:
+        fh.write("\n".join("\t".join(r) for r in [HEADER, *ROWS]) + "\n")
+    out = os.path.join(workdir, "subset_report.json")
+    main(["profile", src, "--out", out, "--columns", "brands,code"])
+    with open(_last_line(capsys)) as fh:
+        report = json.load(fh)
+    assert [r["column"] for r in report] == ["brands", "code"]
