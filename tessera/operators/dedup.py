@@ -10,9 +10,11 @@ exchange, not all of its rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.columns import qcol
 from tessera.session import MAX_SHUFFLE_PARTITIONS, checkpoint_dir
@@ -41,22 +43,39 @@ def largest_group(df: DataFrame, key: str | Sequence[str]) -> int:
     return int(counts.agg(F.max("_n")).first()[0] or 0)
 
 
+# Most hot keys split off by key; with more, every row takes the pieces path.
+MAX_HOT_KEYS = 10_000
+
+
 def _group_check(
     df: DataFrame,
     keys: list[str],
     max_group_rows: int,
     sample_rows: int,
     seed: int,
-) -> tuple[bool, int]:
-    """(is some key larger than ``max_group_rows``, total rows)."""
+) -> tuple[bool, int, list[tuple] | None, int]:
+    """(is some key larger than ``max_group_rows``, total rows, the hot keys
+    with their row counts (``None`` when there are more than
+    :data:`MAX_HOT_KEYS`), rows of the hot keys)."""
     total = df.count()
     if total <= max_group_rows:
-        return False, total
+        return False, total, [], 0
+    key_cols = [qcol(k) for k in keys]
     if total <= sample_rows:
-        return largest_group(df, keys) > max_group_rows, total
-    fraction = sample_rows / total
-    sampled = df.select(*[qcol(k) for k in keys]).sample(withReplacement=False, fraction=fraction, seed=seed)
-    return largest_group(sampled, keys) / fraction > max_group_rows / 2, total
+        counts, scale, limit = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")), 1.0, max_group_rows
+    else:
+        fraction = sample_rows / total
+        sampled = df.select(*key_cols).sample(withReplacement=False, fraction=fraction, seed=seed)
+        counts, scale = sampled.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")), 1.0 / fraction
+        limit = max_group_rows / 2  # margin for the estimate
+    # only hot keys come back, and at most MAX_HOT_KEYS + 1 of them
+    hot = counts.where(F.col("_n") * F.lit(scale) > F.lit(limit)).limit(MAX_HOT_KEYS + 1).collect()
+    if not hot:
+        return False, total, [], 0
+    if len(hot) > MAX_HOT_KEYS:
+        return True, total, None, total
+    hot_rows = min(total, int(sum(r["_n"] for r in hot) * scale))
+    return True, total, [tuple(r)[: len(keys)] for r in hot], hot_rows
 
 
 def has_large_group(
@@ -108,11 +127,29 @@ def row_number_per_key(
     keys = _as_list(key)
     orders = _as_list(order_by)
     if max_group_rows is not None:
-        large, total = _group_check(df, keys, max_group_rows, SKEW_SAMPLE_ROWS, 17)
+        large, total, hot, hot_rows = _group_check(df, keys, max_group_rows, SKEW_SAMPLE_ROWS, 17)
         if large:
             minimum = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            pieces = pieces_for(total, max_group_rows, minimum)
-            return _row_number_in_pieces(df, keys, orders, descending, rank_col, pieces=pieces)
+            pieces = pieces_for(hot_rows, max_group_rows, minimum)
+            if hot is None:  # too many hot keys to list: every row in pieces
+                return _row_number_in_pieces(df, keys, orders, descending, rank_col, pieces=pieces)
+            # Only the hot keys' rows take the pieces path; the other keys are
+            # numbered by the plain window. The hot-key list is at most
+            # MAX_HOT_KEYS rows, so it is broadcast to split the input.
+            hot_df = df.sparkSession.createDataFrame(
+                hot, T.StructType([T.StructField(f"_hk{i}", df.schema[k].dataType) for i, k in enumerate(keys)])
+            )
+            on = reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)])
+            hot_part = df.join(F.broadcast(hot_df), on, "left_semi")
+            rest = df.join(F.broadcast(hot_df), on, "left_anti")
+            numbered_hot = _row_number_in_pieces(hot_part, keys, orders, descending, rank_col, pieces=pieces)
+            return numbered_hot.unionByName(_window_row_number(rest, keys, orders, descending, rank_col))
+    return _window_row_number(df, keys, orders, descending, rank_col)
+
+
+def _window_row_number(
+    df: DataFrame, keys: list[str], orders: list[str], descending: bool, rank_col: str
+) -> DataFrame:
     w = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(*_order(orders, descending))
     return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
 

@@ -209,3 +209,28 @@ def test_pieces_follow_the_row_count():
     assert pieces_for(300, 1000, minimum=8) == 8
     # a third of 10^12 rows in one key still gets pieces of bounded size
     assert pieces_for(10**12, 4_000_000, minimum=200) == MAX_SHUFFLE_PARTITIONS
+
+
+def test_only_hot_keys_take_the_pieces_path(spark):
+    def canon(d):
+        return sorted(repr(tuple(r)) for r in d.collect())
+
+    # a NULL key holding most rows, a second hot key, many small keys
+    rows = [(None, i % 5, i) for i in range(2000)] + [("hot", i % 3, i) for i in range(800)] + \
+           [(f"k{i % 40}", i % 4, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t int, id long")
+    plain = row_number_per_key(df, "k", ("t", "id"), max_group_rows=None)
+    split = row_number_per_key(df, "k", ("t", "id"), max_group_rows=500)
+    assert canon(split) == canon(plain)
+    plan = split._jdf.queryExecution().analyzed().toString()
+    # the hot side is checkpointed (its semi join sits behind the checkpoint);
+    # the other keys reach a plain window through the anti join
+    assert "LeftAnti" in plan and "Union" in plan
+
+    # composite keys
+    rows2 = [("a", 1, i % 7, i) for i in range(1200)] + [("a", 2, i % 7, i) for i in range(30)] + \
+            [("b", 1, i % 2, i) for i in range(30)]
+    df2 = spark.createDataFrame(rows2, "k1 string, k2 int, t int, id long")
+    plain2 = row_number_per_key(df2, ("k1", "k2"), ("t", "id"), max_group_rows=None)
+    split2 = row_number_per_key(df2, ("k1", "k2"), ("t", "id"), max_group_rows=300)
+    assert canon(split2) == canon(plain2)
