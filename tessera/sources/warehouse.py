@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,11 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}{loc}")
 
 
+def _qualified(table: str) -> str:
+    database, name = _split_table(table)
+    return f"{quote_name(database)}.{quote_name(name)}" if database else quote_name(name)
+
+
 def load_table(
     df: DataFrame,
     table: str = "raw.products",
@@ -28,18 +34,39 @@ def load_table(
 ) -> str:
     """Load ``df`` unchanged into a catalog table (e.g. the ``raw`` layer).
 
-    ``path`` makes it an external table at that location (shared storage on a
-    cluster); without it the table lives in the session's warehouse folder.
-    ``database_location`` places a database created here. A rerun replaces
-    the table.
+    ``path`` makes it an external table below that location (shared storage
+    on a cluster); without it the table lives in the session's warehouse
+    folder. ``database_location`` places a database created here. A rerun
+    replaces the table.
+
+    With ``path`` every load is written to a new version folder
+    ``{path}/v-{id}`` first; only when that job has committed is the table
+    pointed at it (a metadata change: the external table's definition is
+    replaced, its data kept) and the previous version folder removed. A load
+    that fails part-way leaves the previous table whole and readable.
     """
+    spark = df.sparkSession
     database, _ = _split_table(table)
     if database:
-        ensure_database(df.sparkSession, database, database_location)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        ensure_database(spark, database, database_location)
+    if not path:
+        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+        return table
+
+    root = str(path).rstrip("/")
+    version = f"{root}/v-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(version)
+
+    previous = None
+    if spark.catalog.tableExists(table):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_qualified(table)}").collect()
+        previous = next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+        spark.sql(f"DROP TABLE {_qualified(table)}")  # external: the data stays
+    spark.catalog.createTable(table, path=version, source="parquet")
+    if previous and f"{root}/v-" in previous:
+        jvm = spark.sparkContext._jvm
+        old = jvm.org.apache.hadoop.fs.Path(previous)
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
     return table
 
 

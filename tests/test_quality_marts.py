@@ -221,3 +221,26 @@ def test_value_frequencies_of_several_columns(spark):
     # top 2: ties broken by value, NULL last
     top = {(r.column, r.value, r.cnt) for r in value_frequencies(df, ["s", "n"], top=2).collect()}
     assert top == {("s", "a", 2), ("s", None, 2), ("n", "1", 2), ("n", "2", 2)}
+
+
+def test_table_load_replaces_only_after_the_new_data_is_written(spark, workdir):
+    import os
+
+    import pytest
+
+    from tessera.sources.warehouse import load_table
+
+    path = workdir + "/raw_products"
+    load_table(spark.range(0, 5), "raw.load_test", path=path)
+    assert spark.table("raw.load_test").count() == 5
+    failing = spark.range(0, 5).withColumn("x", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))))
+    with pytest.raises(Exception, match="boom"):
+        load_table(failing, "raw.load_test", path=path)
+    assert spark.table("raw.load_test").count() == 5  # previous load intact
+    load_table(spark.range(0, 3).withColumn("y", F.lit("a")), "raw.load_test", path=path)
+    back = spark.table("raw.load_test")
+    assert back.count() == 3 and back.columns == ["id", "y"]
+    # one committed version folder left (the failed one may remain as debris)
+    versions = [d for d in os.listdir(path) if d.startswith("v-")]
+    committed = [d for d in versions if os.path.exists(os.path.join(path, d, "_SUCCESS"))]
+    assert len(committed) == 1
