@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
-from tessera.session import column_chunks
+from tessera.session import MAX_UNPIVOT_COLUMNS, column_chunks
 
 # The candidate types in the order they are tried, each with the
 # pattern every value must match in full. They reproduce the typing rules of the
@@ -87,11 +87,18 @@ def _slot(i: int) -> str:
     return f"_c{i}"
 
 
-def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
+def infer_types(
+    df: DataFrame,
+    columns: list[str] | None = None,
+    chunk_columns: int | None = MAX_UNPIVOT_COLUMNS,
+) -> dict[str, str]:
     """Map each column to the Spark SQL type name inferred from all its values.
 
     ``df`` is normally an all-string scan. The result has one entry per column
     (the size of the schema, not of the data) and is returned to the driver.
+    ``chunk_columns`` columns are unpivoted at a time, each chunk reading only
+    its own columns - right for a columnar source; ``None`` takes all columns
+    in one pass, for a source whose every read parses whole lines (raw text).
     """
     cols = list(columns) if columns is not None else list(df.columns)
     if not cols:
@@ -102,7 +109,7 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     # one unpivot per chunk of columns (each reads only its own columns), so
     # every stage stays within whole-stage code generation on wide tables
     parts = []
-    for chunk in column_chunks(list(zip(cols, slots))):
+    for chunk in column_chunks(list(zip(cols, slots)), chunk_columns or max(1, len(cols))):
         text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
         pairs = text.unpivot([], [s for _, s in chunk], "slot", "v")
         parts.append(pairs.groupBy("slot").agg(F.count(v).alias("n_values"), *checks))

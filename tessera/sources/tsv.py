@@ -93,4 +93,5 @@ def read_tsv(
     if stage:
         return read_tsv_staged(spark, path, sep=sep, header=header, multiline=multiline)[0]
     text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
-    return apply_types(text, infer_types(text))
+    # every read of raw text parses whole lines: one unpivot over all columns
+    return apply_types(text, infer_types(text, chunk_columns=None))
