@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,19 +20,33 @@ def _long_table(wide: DataFrame, names: Sequence[str], label: str = "check", val
     return wide.select(*[F.col(n).cast("long").alias(n) for n in names]).unpivot([], list(names), label, value)
 
 
+def _per_key(df: DataFrame, key: str, counts: dict[str, Column]) -> DataFrame:
+    """One row per key value (NULL included) with the given conditional
+    counts and its row count ``_n``: a hash aggregation with a map-side step,
+    so a hot key is one row per task before the shuffle."""
+    return df.groupBy(qcol(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(cond).alias(name) for name, cond in counts.items()]
+    )
+
+
 def output_checks(df: DataFrame, key: str, name_columns: Sequence[str]) -> DataFrame:
     """Checks on a curated table; every count should be 0.
 
     * ``null_key``      - rows whose key is NULL
     * ``duplicate_key`` - rows beyond the first of their key
     * ``no_name``       - rows where every name column is NULL
+
+    Counted per key first, then over the keys (no distinct aggregate, so no
+    row is duplicated for it).
     """
-    wide = df.agg(
-        F.count_if(qcol(key).isNull()).alias("null_key"),
-        (F.count(qcol(key)) - F.count_distinct(qcol(key))).alias("duplicate_key"),
-        F.count_if(all_null(list(name_columns))).alias("no_name"),
+    per_key = _per_key(df, key, {"_no_name": all_null(list(name_columns))})
+    has_key = F.col("_key").isNotNull()
+    wide = per_key.agg(
+        F.sum(F.when(~has_key, F.col("_n")).otherwise(0)).alias("null_key"),
+        F.sum(F.when(has_key, F.col("_n") - 1).otherwise(0)).alias("duplicate_key"),
+        F.sum("_no_name").alias("no_name"),
     )
-    return _long_table(wide, ["null_key", "duplicate_key", "no_name"])
+    return _long_table(wide.na.fill(0), ["null_key", "duplicate_key", "no_name"])
 
 
 def reconciliation(df: DataFrame, key: str, name_columns: Sequence[str]) -> DataFrame:
@@ -41,15 +55,20 @@ def reconciliation(df: DataFrame, key: str, name_columns: Sequence[str]) -> Data
     ``rows_in - dropped_null_key - dropped_no_name - dropped_duplicate = rows_out``,
     each count reported even when it is 0. The rules apply in the curation
     order: the key and name filters first, then one row per remaining key.
+    Counted per key first, then over the keys.
     """
-    eligible = qcol(key).isNotNull() & any_present(list(name_columns))
-    wide = df.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(qcol(key).isNull()).alias("dropped_null_key"),
-        F.count_if(qcol(key).isNotNull() & all_null(list(name_columns))).alias("dropped_no_name"),
-        F.count_if(eligible).alias("_eligible"),
-        F.count_distinct(F.when(eligible, qcol(key))).alias("rows_out"),
-    ).withColumn("dropped_duplicate", F.col("_eligible") - F.col("rows_out"))
+    per_key = _per_key(
+        df, key, {"_no_name": all_null(list(name_columns)), "_eligible": any_present(list(name_columns))}
+    )
+    has_key = F.col("_key").isNotNull()
+    wide = per_key.agg(
+        F.sum("_n").alias("rows_in"),
+        F.sum(F.when(~has_key, F.col("_n")).otherwise(0)).alias("dropped_null_key"),
+        F.sum(F.when(has_key, F.col("_no_name")).otherwise(0)).alias("dropped_no_name"),
+        F.sum(F.when(has_key, F.col("_eligible")).otherwise(0)).alias("_eligible"),
+        F.count_if(has_key & (F.col("_eligible") > 0)).alias("rows_out"),
+    ).na.fill(0)
+    wide = wide.withColumn("dropped_duplicate", F.col("_eligible") - F.col("rows_out"))
     return _long_table(wide, ["rows_in", "dropped_null_key", "dropped_no_name", "dropped_duplicate", "rows_out"])
 
 

@@ -244,3 +244,14 @@ def test_table_load_replaces_only_after_the_new_data_is_written(spark, workdir):
     versions = [d for d in os.listdir(path) if d.startswith("v-")]
     committed = [d for d in versions if os.path.exists(os.path.join(path, d, "_SUCCESS"))]
     assert len(committed) == 1
+
+
+def test_checks_on_an_empty_table_report_zeros(spark):
+    empty = spark.createDataFrame([], "code string, product_name string, generic_name string")
+    assert {r["check"]: r["rows"] for r in reconciliation(empty, "code", ["product_name", "generic_name"]).collect()} == {
+        "rows_in": 0, "dropped_null_key": 0, "dropped_no_name": 0, "dropped_duplicate": 0, "rows_out": 0}
+    assert {r["check"]: r["rows"] for r in output_checks(empty, "code", ["product_name"]).collect()} == {
+        "null_key": 0, "duplicate_key": 0, "no_name": 0}
+    df = spark.createDataFrame([("a", "x", None)], "code string, product_name string, generic_name string")
+    plan = reconciliation(df, "code", ["product_name"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan  # no row duplication for a distinct count
