@@ -39,6 +39,7 @@ def main(sf_dir: str, scratch: str) -> None:
     from tessera.operators.aggregates import value_frequencies
     from tessera.operators.dedup import row_number_per_key
     from tessera.operators.profile import profile
+    from tessera.operators.quality import reconciliation
     from tessera.operators.topk import top_n_other
     from tessera.plans.silver import silver_transform
 
@@ -68,6 +69,7 @@ def main(sf_dir: str, scratch: str) -> None:
     run("top_n_other", lambda: top_n_other(df, "user_id", 5))
     run("value_frequencies", lambda: value_frequencies(df, ["user_id", "event_type"], top=5))
     run("profile", lambda: profile(df.select("user_id", "event_type")))
+    run("reconciliation", lambda: reconciliation(df, "user_id", ["event_type", "props"]))
     run("row_number_pieces", lambda: row_number_per_key(df, "user_id", ("ts", "event_id"), max_group_rows=2000))
     run("row_number_window", lambda: row_number_per_key(df, "user_id", ("ts", "event_id"), max_group_rows=None))
     spark.stop()

@@ -29,5 +29,5 @@ def test_hot_key_is_split_or_combined_before_the_shuffle():
     # ... the skew path cuts it into pieces over many tasks
     assert largest["row_number_pieces"] < hot / 2
     # partial top-1 / partial aggregation: at most one row per key per map task
-    for name in ("silver", "top_n_other", "value_frequencies", "profile"):
+    for name in ("silver", "top_n_other", "value_frequencies", "profile", "reconciliation"):
         assert largest[name] < hot / 10, (name, largest)
