@@ -115,8 +115,8 @@ def population(
     """Real population per column: rows that are neither NULL nor a placeholder.
 
     One row per column: ``column, total_rows, non_null_rows, populated_rows,
-    population_rate``. One pass: the columns are unpivoted (as text) and counted
-    by slot, so the job has a fixed shape however many columns are asked for.
+    population_rate``. One job: the columns are unpivoted (as text, up to 64
+    at a time, each chunk reading only its columns) and counted by slot.
     """
     values = list(placeholders)
     slots = [f"_p{i}" for i in range(len(columns))]

@@ -5,6 +5,11 @@ planned by Spark as a ``WindowGroupLimit``: a partial limit runs in every map
 task *before* the shuffle, so each task sends at most one row per key, and a
 key that holds a large share of all rows costs one row per task in the
 exchange, not all of its rows.
+
+A full numbering (every row keeps its number) cannot be cut short like that:
+keys above a size limit are found first (a count, then an exact or sampled
+count by key), and only their rows are numbered in ordered pieces spread over
+many tasks; every other key gets the plain window.
 """
 
 from __future__ import annotations
