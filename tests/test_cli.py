@@ -68,3 +68,15 @@ def test_profile_of_a_column_subset(spark, workdir, capsys):
     with open(_last_line(capsys)) as fh:
         report = json.load(fh)
     assert [r["column"] for r in report] == ["brands", "code"]
+
+
+def test_gcs_switch_requires_a_gs_destination(spark, workdir):
+    import pytest
+
+    src = os.path.join(workdir, "g.tsv")
+    with open(src, "w") as fh:
+        fh.write("a\n1\n")
+    with pytest.raises(ValueError, match="gs://"):
+        main(["bronze", src, "--dest-dir", os.path.join(workdir, "bronze"), "--gcs"])
+    with pytest.raises(ValueError, match="gs://"):
+        main(["silver", os.path.join(workdir, "none.parquet"), "--dest-dir", "s3a://b/silver", "--gcs"])
