@@ -70,9 +70,6 @@ def _encode(col: Column, dtype: T.DataType) -> tuple[str, Column]:
     return "string", col.cast("string")
 
 
-STATS_SCHEMA = "slot string, position int, column string, type string"
-
-
 def column_stats(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -92,43 +89,45 @@ def column_stats(
         domain, value = _encode(qcol(name), fields[name])
         groups.setdefault(domain, []).append((f"_p{pos}", value))
 
+    spark = df.sparkSession
+    position = {f"_p{pos}": pos for pos in range(len(cols))}
+
+    def lookup(values: dict[str, object]) -> Column:
+        # slot -> literal, a map the size of the schema
+        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])[F.col("slot")]
+
     parts = []
     # one unpivot per domain, and per chunk of a wide domain (see
     # tessera.session.MAX_UNPIVOT_COLUMNS), each reading only its own columns
     for members in [chunk for group in groups.values() for chunk in column_chunks(group)]:
         slots = [slot for slot, _ in members]
         pairs = df.select(*[value.alias(slot) for slot, value in members]).unpivot([], slots, "slot", "v")
+        # one weightless row per column, so a column of an empty table still
+        # gets its row (counts 0) without a join after the aggregation
+        empty = spark.createDataFrame([(slot,) for slot in slots], "slot string").select(
+            "slot", F.lit(None).cast(pairs.schema["v"].dataType).alias("v"), F.lit(0).alias("_w")
+        )
+        weighted = pairs.withColumn("_w", F.lit(1)).unionByName(empty)
         distinct = F.approx_count_distinct("v", rsd) if approx else F.count_distinct("v")
         parts.append(
-            pairs.groupBy("slot").agg(
-                F.count(F.lit(1)).alias("total_rows"),
-                F.count("v").alias("non_null_rows"),
-                distinct.alias("distinct_values"),
+            weighted.groupBy("slot").agg(
+                F.sum("_w").cast("long").alias("total_rows"),
+                F.sum(F.when(F.col("v").isNotNull(), F.col("_w")).otherwise(0)).cast("long").alias("non_null_rows"),
+                distinct.cast("long").alias("distinct_values"),
             )
         )
 
-    meta_rows = [(f"_p{pos}", pos, name, sql_type_name(fields[name])) for pos, name in enumerate(cols)]
-    meta = df.sparkSession.createDataFrame(meta_rows, STATS_SCHEMA)
-    if not parts:
-        return meta.select(
-            "position",
-            "column",
-            "type",
-            F.lit(0).cast("long").alias("total_rows"),
-            F.lit(0).cast("long").alias("non_null_rows"),
-            F.lit(0).cast("long").alias("distinct_values"),
-        )
+    if not parts:  # no columns to profile
+        return spark.createDataFrame([], "position int, column string, type string, total_rows long, "
+                                         "non_null_rows long, distinct_values long")
     stats = reduce(DataFrame.unionByName, parts)
-    # Both sides have one row per profiled column (bounded by the schema width);
-    # the left join keeps every column when the table is empty.
-    joined = meta.join(F.broadcast(stats), "slot", "left")
-    return joined.select(
-        "position",
-        "column",
-        "type",
-        F.coalesce("total_rows", F.lit(0)).cast("long").alias("total_rows"),
-        F.coalesce("non_null_rows", F.lit(0)).cast("long").alias("non_null_rows"),
-        F.coalesce("distinct_values", F.lit(0)).cast("long").alias("distinct_values"),
+    return stats.select(
+        lookup(position).cast("int").alias("position"),
+        lookup({f"_p{pos}": name for pos, name in enumerate(cols)}).alias("column"),
+        lookup({f"_p{pos}": sql_type_name(fields[name]) for pos, name in enumerate(cols)}).alias("type"),
+        "total_rows",
+        "non_null_rows",
+        "distinct_values",
     )
 
 
