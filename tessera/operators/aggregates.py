@@ -120,27 +120,35 @@ def population(
     """
     values = list(placeholders)
     slots = [f"_p{i}" for i in range(len(columns))]
+    spark = df.sparkSession
     parts = []
     for chunk in column_chunks(list(zip(columns, slots))):  # wide inputs: see column_chunks
         text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
-        pairs = text.unpivot([], [s for _, s in chunk], "slot", "v")
+        pairs = text.unpivot([], [s for _, s in chunk], "slot", "v").withColumn("_w", F.lit(1))
+        # one zero-weight row per column keeps the columns of an empty table
+        empty = spark.createDataFrame([(s,) for _, s in chunk], "slot string").select(
+            "slot", F.lit(None).cast("string").alias("v"), F.lit(0).alias("_w")
+        )
+        v, w = F.col("v"), F.col("_w")
         parts.append(
-            pairs.groupBy("slot").agg(
-                F.count(F.lit(1)).alias("total_rows"),
-                F.count("v").alias("non_null_rows"),
-                F.count(placeholder_to_null(F.col("v"), values)).alias("populated_rows"),
+            pairs.unionByName(empty).groupBy("slot").agg(
+                F.sum(w).cast("long").alias("total_rows"),
+                F.sum(F.when(v.isNotNull(), w).otherwise(0)).cast("long").alias("non_null_rows"),
+                F.sum(F.when(placeholder_to_null(v, values).isNotNull(), w).otherwise(0)).cast("long").alias("populated_rows"),
             )
         )
     stats = reduce(DataFrame.unionByName, parts)
-    names = df.sparkSession.createDataFrame(list(zip(slots, range(len(columns)), columns)), "slot string, position int, column string")
+
+    def lookup(mapping: dict) -> Column:  # slot -> literal, the size of the column list
+        return F.create_map(*[x for k, val in mapping.items() for x in (F.lit(k), F.lit(val))])[F.col("slot")]
+
     return (
-        names.join(F.broadcast(stats), "slot", "left")
-        .select(
-            "position",
-            "column",
-            F.coalesce("total_rows", F.lit(0)).cast("long").alias("total_rows"),
-            F.coalesce("non_null_rows", F.lit(0)).cast("long").alias("non_null_rows"),
-            F.coalesce("populated_rows", F.lit(0)).cast("long").alias("populated_rows"),
+        stats.select(
+            lookup(dict(zip(slots, range(len(columns))))).alias("position"),
+            lookup(dict(zip(slots, columns))).alias("column"),
+            "total_rows",
+            "non_null_rows",
+            "populated_rows",
         )
         .withColumn("population_rate", share(F.col("populated_rows"), F.col("total_rows"), digits))
         .coalesce(1)  # one row per column

@@ -257,3 +257,9 @@ def test_checks_on_an_empty_table_report_zeros(spark):
     # the only Expand is the unpivot of the one-row result into (check, rows):
     # no input row is duplicated for a distinct count
     assert plan.count("Expand [") == 1 and "Expand [[rows_in" in plan
+
+
+def test_population_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a string, b long")
+    rows = [tuple(r) for r in population(empty, ["a", "b"]).collect()]
+    assert rows == [("a", 0, 0, 0, None), ("b", 0, 0, 0, None)]
