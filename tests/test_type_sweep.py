@@ -7,7 +7,15 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from compare import TABLES
-from tessera.operators.aggregates import counts_by_period, element_frequency, key_cardinality, numeric_range, population, value_frequency
+from tessera.operators.aggregates import (
+    counts_by_period,
+    element_frequency,
+    key_cardinality,
+    numeric_range,
+    population,
+    value_frequencies,
+    value_frequency,
+)
 from tessera.operators.dedup import latest_per_key, row_number_per_key
 from tessera.operators.quality import output_checks, range_check, reconciliation
 from tessera.operators.topk import sort_asc, top_k, top_n_other
@@ -33,6 +41,7 @@ def _ops(df, c):
     other = [x for x in df.columns if x != c][:1] or [c]
     ops = {
         "value_frequency": lambda: value_frequency(df, c),
+        "value_frequencies": lambda: value_frequencies(df, [c, other[0]], top=3),
         "top_n_other": lambda: top_n_other(df, c, 3),
         "category_mart": lambda: category_mart(df, c, n=3),
         "multivalue_mart": lambda: multivalue_mart(df, c, n=3),
