@@ -263,3 +263,29 @@ def test_population_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "a string, b long")
     rows = [tuple(r) for r in population(empty, ["a", "b"]).collect()]
     assert rows == [("a", 0, 0, 0, None), ("b", 0, 0, 0, None)]
+
+
+def test_top_n_other_matches_brute_force(spark):
+    from collections import Counter
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    values = st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=12)), min_size=0, max_size=60)
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(values, st.integers(min_value=1, max_value=5))
+    def check(xs, n):
+        counts = Counter(xs)
+        # most frequent first, ties by value ascending with NULL last
+        ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] if kv[0] is not None else 0))
+        top = ranked[:n]
+        expected = Counter({(None if v is None else str(v)): c for v, c in top})
+        rest = sum(c for _, c in ranked[n:])
+        if rest:
+            expected["Other"] += rest
+        df = spark.createDataFrame([(x,) for x in xs], "v int")
+        got = Counter({r.label: r.cnt for r in top_n_other(df, "v", n).collect()})
+        assert got == expected
+
+    check()
