@@ -248,3 +248,33 @@ def test_wide_table_is_unpivoted_in_chunks(spark):
     text = wide.select(*[F.col(c).cast("string").alias(c) for c in wide.columns])
     types = infer_types(text)
     assert all(types[f"n{i}"] == "bigint" for i in range(125)) and all(types[f"t{i}"] == "string" for i in range(125))
+
+
+def test_profile_counts_match_brute_force(spark):
+    import math
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(
+        st.one_of(st.none(), st.integers(min_value=-3, max_value=3)),
+        st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, float("nan"), -2.25])),
+        st.one_of(st.none(), st.sampled_from(["", "a", "A", "a ", "é"])),
+    )
+
+    def key(v):  # SQL grouping: NaN is one value, -0.0 equals 0.0
+        if isinstance(v, float):
+            return "nan" if math.isnan(v) else v + 0.0
+        return v
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=0, max_size=40))
+    def check(rows):
+        df = spark.createDataFrame(rows, "i int, d double, s string")
+        got = {r["column"]: (r["total_rows"], r["non_null_rows"], r["distinct_values"])
+               for r in column_stats(df).collect()}
+        for pos, name in enumerate(["i", "d", "s"]):
+            present = [x[pos] for x in rows if x[pos] is not None]
+            assert got[name] == (len(rows), len(present), len({key(v) for v in present})), name
+
+    check()
