@@ -234,3 +234,33 @@ def test_only_hot_keys_take_the_pieces_path(spark):
     plain2 = row_number_per_key(df2, ("k1", "k2"), ("t", "id"), max_group_rows=None)
     split2 = row_number_per_key(df2, ("k1", "k2"), ("t", "id"), max_group_rows=300)
     assert canon(split2) == canon(plain2)
+
+
+def test_silver_matches_brute_force(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(
+        st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+        st.one_of(st.none(), st.sampled_from(["n1", "n2"])),
+        st.one_of(st.none(), st.sampled_from(["g1"])),
+        st.one_of(st.none(), st.integers(min_value=0, max_value=4)),
+    )
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=0, max_size=30))
+    def check(rows):
+        data = [(c, n, g, None if t is None else D(2026, 1, 1 + t), i) for i, (c, n, g, t) in enumerate(rows)]
+        df = spark.createDataFrame(data, "code string, product_name string, generic_name string, "
+                                         "last_modified_datetime timestamp_ntz, id long")
+        got = silver_transform(df, order_by=("last_modified_datetime", "id"), keep=("code", "id"), utc_columns=())
+        best = {}
+        for c, n, g, t, i in data:
+            if c is None or (n is None and g is None):
+                continue
+            rank = (t is not None, t or D(1970, 1, 1), i)  # newest first, NULL last, id breaks ties
+            if c not in best or rank > best[c][0]:
+                best[c] = (rank, i)
+        assert sorted((r.code, r.id) for r in got.collect()) == sorted((c, v[1]) for c, v in best.items())
+
+    check()
