@@ -264,3 +264,26 @@ def test_silver_matches_brute_force(spark):
         assert sorted((r.code, r.id) for r in got.collect()) == sorted((c, v[1]) for c, v in best.items())
 
     check()
+
+
+def test_row_numbers_match_brute_force_on_every_path(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["h", "x", "y"])), st.one_of(st.none(), st.integers(0, 3)))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=0, max_size=60), st.sampled_from([None, 5, 20]))
+    def check(rows, limit):
+        data = [(k, t, i) for i, (k, t) in enumerate(rows)]
+        df = spark.createDataFrame(data, "k string, t int, id long")
+        got = {r.id: r.rn for r in row_number_per_key(df, "k", ("t", "id"), max_group_rows=limit).collect()}
+        expected = {}
+        for k in {r[0] for r in data}:
+            group = [r for r in data if r[0] == k]
+            # descending, NULL order values last
+            group.sort(key=lambda r: (r[1] is not None, r[1] if r[1] is not None else 0, r[2]), reverse=True)
+            expected.update({r[2]: n + 1 for n, r in enumerate(group)})
+        assert got == expected
+
+    check()
