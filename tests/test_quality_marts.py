@@ -289,3 +289,28 @@ def test_top_n_other_matches_brute_force(spark):
         assert got == expected
 
     check()
+
+
+def test_value_frequencies_match_brute_force(spark):
+    from collections import Counter
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tessera.operators.aggregates import value_frequencies
+
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["p", "q", "r", "s"])), st.one_of(st.none(), st.integers(0, 5)))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=0, max_size=50), st.integers(1, 4))
+    def check(rows, top):
+        df = spark.createDataFrame(rows, "a string, b int")
+        got = {(r.column, r.value, r.cnt) for r in value_frequencies(df, ["a", "b"], top=top).collect()}
+        expected = set()
+        for pos, name in enumerate(["a", "b"]):
+            counts = Counter(None if x[pos] is None else str(x[pos]) for x in rows)
+            ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] or ""))
+            expected |= {(name, v, c) for v, c in ranked[:top]}
+        assert got == expected
+
+    check()
