@@ -314,3 +314,23 @@ def test_value_frequencies_match_brute_force(spark):
         assert got == expected
 
     check()
+
+
+def test_element_frequency_matches_brute_force(spark):
+    from collections import Counter
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    field = st.one_of(st.none(), st.lists(st.sampled_from(["en:fr", "en:it", "", "x y"]), max_size=4).map(",".join))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(field, max_size=30))
+    def check(fields):
+        df = spark.createDataFrame([(f,) for f in fields], "tags string")
+        got = {(r.value, r.cnt) for r in element_frequency(df, "tags").collect()}
+        # string_split semantics: '' is one empty element, empty elements kept, NULL gives none
+        expected = Counter(e for f in fields if f is not None for e in f.split(","))
+        assert got == set(expected.items())
+
+    check()
