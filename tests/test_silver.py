@@ -287,3 +287,31 @@ def test_row_numbers_match_brute_force_on_every_path(spark):
         assert got == expected
 
     check()
+
+
+def test_utc_conversions_match_python(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    micros = st.integers(min_value=-2_000_000_000_000_000, max_value=4_000_000_000_000_000)
+    epoch = dt.datetime(1970, 1, 1)
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(micros, min_size=1, max_size=20))
+    def check(values):
+        previous = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # a zone with DST
+        try:
+            df = spark.createDataFrame([(m,) for m in values], "us long").select(
+                "us", F.timestamp_micros("us").alias("instant")
+            )
+            wall = at_time_zone_utc(F.col("instant"), T.TimestampType())
+            back = at_time_zone_utc(wall, T.TimestampNTZType())
+            rows = df.select("us", wall.alias("wall"), F.unix_micros(back).alias("back")).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", previous)
+        for r in rows:
+            assert r.wall == epoch + dt.timedelta(microseconds=r.us)  # naive UTC wall time
+            assert r.back == r.us  # and back to the same instant
+
+    check()
