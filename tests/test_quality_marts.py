@@ -334,3 +334,33 @@ def test_element_frequency_matches_brute_force(spark):
         assert got == set(expected.items())
 
     check()
+
+
+def test_periods_match_python(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.datetimes(min_value=dt.datetime(1960, 1, 1), max_value=dt.datetime(2040, 12, 31))
+
+    def start(d, unit):
+        if unit == "day":
+            return d
+        if unit == "week":  # weeks start on Monday
+            return d - dt.timedelta(days=d.weekday())
+        if unit == "month":
+            return d.replace(day=1)
+        if unit == "quarter":
+            return d.replace(month=3 * ((d.month - 1) // 3) + 1, day=1)
+        return d.replace(month=1, day=1)
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(stamps, min_size=1, max_size=25))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "ts timestamp_ntz")
+        units = ["day", "week", "month", "quarter", "year"]
+        got = df.select("ts", *[truncate_period("ts", u).alias(u) for u in units]).collect()
+        for r in got:
+            for u in units:
+                assert r[u] == start(r.ts.date(), u), (r.ts, u)
+
+    check()
