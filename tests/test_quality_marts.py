@@ -364,3 +364,37 @@ def test_periods_match_python(spark):
                 assert r[u] == start(r.ts.date(), u), (r.ts, u)
 
     check()
+
+
+def test_quality_checks_match_brute_force(spark):
+    from collections import Counter
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+                    st.one_of(st.none(), st.just("n")), st.one_of(st.none(), st.just("g")))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame(rows, "code string, product_name string, generic_name string")
+        names = ["product_name", "generic_name"]
+        got = {r["check"]: r["rows"] for r in reconciliation(df, "code", names).collect()}
+        eligible = [r for r in rows if r[0] is not None and (r[1] is not None or r[2] is not None)]
+        assert got == {
+            "rows_in": len(rows),
+            "dropped_null_key": sum(r[0] is None for r in rows),
+            "dropped_no_name": sum(r[0] is not None and r[1] is None and r[2] is None for r in rows),
+            "dropped_duplicate": len(eligible) - len({r[0] for r in eligible}),
+            "rows_out": len({r[0] for r in eligible}),
+        }
+        out = {r["check"]: r["rows"] for r in output_checks(df, "code", names).collect()}
+        keyed = Counter(r[0] for r in rows if r[0] is not None)
+        assert out == {
+            "null_key": sum(r[0] is None for r in rows),
+            "duplicate_key": sum(n - 1 for n in keyed.values()),
+            "no_name": sum(r[1] is None and r[2] is None for r in rows),
+        }
+
+    check()
