@@ -398,3 +398,30 @@ def test_quality_checks_match_brute_force(spark):
         }
 
     check()
+
+
+def test_multivalue_mart_matches_brute_force(spark):
+    from collections import Counter
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tessera.plans.marts import multivalue_mart
+
+    field = st.one_of(st.none(), st.lists(st.sampled_from(["en:fr", " en:fr", "en:it ", "", "en:es"]), max_size=4).map(",".join))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(field, max_size=30), st.integers(1, 3))
+    def check(fields, n):
+        df = spark.createDataFrame([(f,) for f in fields], "countries string")
+        got = {(r.label, r.products) for r in multivalue_mart(df, "countries", n=n).collect()}
+        # elements trimmed, empty ones dropped, top n by count then value, rest is Other
+        counts = Counter(e.strip() for f in fields if f is not None for e in f.split(",") if e.strip())
+        ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
+        expected = Counter(dict(ranked[:n]))
+        rest = sum(c for _, c in ranked[n:])
+        if rest:
+            expected["Other"] += rest
+        assert got == set(expected.items())
+
+    check()
