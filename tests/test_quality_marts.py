@@ -425,3 +425,26 @@ def test_multivalue_mart_matches_brute_force(spark):
         assert got == set(expected.items())
 
     check()
+
+
+def test_population_matches_brute_force(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["a", "unknown", "not-applicable", "b"])),
+                    st.one_of(st.none(), st.integers(0, 2)))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame(rows, "grade string, n int")
+        got = [tuple(r) for r in population(df, ["grade", "n"]).collect()]
+        expected = []
+        for pos, name in enumerate(["grade", "n"]):
+            present = [r[pos] for r in rows if r[pos] is not None]
+            populated = [v for v in present if str(v) not in ("unknown", "not-applicable")]
+            rate = round(len(populated) / len(rows), 4) if rows else None
+            expected.append((name, len(rows), len(present), len(populated), rate))
+        assert got == expected
+
+    check()
