@@ -114,16 +114,43 @@ def write_bucketed_table(
     path: str | None = None,
 ) -> str:
     """Catalog table bucketed (and sorted) on ``bucket_by``, so later joins and
-    aggregations on those keys read co-partitioned data without a shuffle."""
-    database, _ = _split_table(table)
+    aggregations on those keys read co-partitioned data without a shuffle.
+
+    With ``path`` the data goes to a new version folder ``{path}/v-{id}`` as a
+    table under a temporary name; once that job has committed, the previous
+    table is dropped (external: its data stays) and the new one renamed into
+    place, then the previous version folder is removed. A write that fails
+    part-way leaves the previous table whole.
+    """
+    spark = df.sparkSession
+    database, name = _split_table(table)
     if database:
-        ensure_database(df.sparkSession, database)
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *bucket_by)
-    if sort_by:
-        writer = writer.sortBy(*sort_by)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        ensure_database(spark, database)
+
+    def writer(target_path: str | None):
+        w = df.write.format("parquet").bucketBy(buckets, *bucket_by)
+        if sort_by:
+            w = w.sortBy(*sort_by)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        return w.option("path", target_path) if target_path else w
+
+    if not path:
+        writer(None).mode("overwrite").saveAsTable(table)
+        return table
+
+    root = str(path).rstrip("/")
+    tag = uuid.uuid4().hex
+    staging = f"{database}.{name}__v{tag}" if database else f"{name}__v{tag}"
+    writer(f"{root}/v-{tag}").mode("errorifexists").saveAsTable(staging)
+    previous = None
+    if spark.catalog.tableExists(table):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_qualified(table)}").collect()
+        previous = next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+        spark.sql(f"DROP TABLE {_qualified(table)}")  # external: the data stays
+    spark.sql(f"ALTER TABLE {_qualified(staging)} RENAME TO {_qualified(table)}")
+    if previous and f"{root}/v-" in previous:
+        jvm = spark.sparkContext._jvm
+        old = jvm.org.apache.hadoop.fs.Path(previous)
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
     return table

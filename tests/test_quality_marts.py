@@ -448,3 +448,22 @@ def test_population_matches_brute_force(spark):
         assert got == expected
 
     check()
+
+
+def test_bucketed_rewrite_keeps_the_table_on_failure(spark, workdir):
+    import pytest
+
+    from tessera.sources.warehouse import write_bucketed_table
+
+    path = workdir + "/bucketed2"
+    df = spark.range(0, 100).selectExpr("id % 10 AS k", "id AS v")
+    write_bucketed_table(df, "mart.bucketed_swap", buckets=4, bucket_by=["k"], path=path)
+    failing = df.withColumn("v", F.when(F.col("v") == 7, F.raise_error(F.lit("boom"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="boom"):
+        write_bucketed_table(failing, "mart.bucketed_swap", buckets=4, bucket_by=["k"], path=path)
+    assert spark.table("mart.bucketed_swap").count() == 100
+    write_bucketed_table(df.limit(30), "mart.bucketed_swap", buckets=4, bucket_by=["k"], path=path)
+    back = spark.table("mart.bucketed_swap")
+    assert back.count() == 30
+    # still bucketed: an aggregation on the key needs no shuffle
+    assert "Exchange hashpartitioning" not in back.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
