@@ -3,6 +3,7 @@
 from tessera.operators.aggregates import (
     conditional_count,
     counts_by_period,
+    counts_by_periods,
     element_frequency,
     filtered_count,
     key_cardinality,
@@ -35,6 +36,7 @@ __all__ = [
     "column_stats",
     "conditional_count",
     "counts_by_period",
+    "counts_by_periods",
     "drop_columns",
     "element_frequency",
     "equals",

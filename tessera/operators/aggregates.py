@@ -183,3 +183,25 @@ def counts_by_period(
         .agg(F.count(F.lit(1)).alias(count_col))
         .orderBy(F.col(alias).asc_nulls_last())
     )
+
+
+def counts_by_periods(
+    df: DataFrame,
+    column: str,
+    units: Sequence[str] = ("day", "week", "month"),
+    count_col: str = "cnt",
+) -> DataFrame:
+    """Rows per period for several period lengths at once: ``unit, period, cnt``.
+
+    One scan and one shuffle: the rows are counted per day (combined map-side
+    in every task), and the per-day table - one row per distinct day, small
+    whatever the data size - is rolled up to each longer period.
+    """
+    days = df.groupBy(truncate_period(column, "day").alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = [
+        days.groupBy(F.lit(unit).alias("unit"), truncate_period(F.col("_day"), unit).alias("period")).agg(
+            F.sum("_n").cast("long").alias(count_col)
+        )
+        for unit in units
+    ]
+    return reduce(DataFrame.unionByName, parts)

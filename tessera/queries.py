@@ -20,6 +20,7 @@ from tessera.functions.timezone import at_time_zone_utc, ntz_micros
 from tessera.operators.aggregates import (
     conditional_count,
     counts_by_period,
+    counts_by_periods,
     element_frequency,
     filtered_count,
     key_cardinality,
@@ -619,6 +620,18 @@ FROM events GROUP BY 1 ORDER BY 1
 """
 
 
+def q_additions_by_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The temporal tile at three grains in one job: events per day, week and
+    month, the longer periods rolled up from the per-day counts."""
+    return counts_by_periods(table(spark, sf_dir, "events"), "ts", ("day", "week", "month"))
+
+
+SQL_ADDITIONS_BY_PERIODS = "\nUNION ALL\n".join(
+    f"SELECT '{unit}' AS unit, CAST(date_trunc('{unit}', ts) AS DATE) AS period, count(*) AS cnt FROM events GROUP BY 2"
+    for unit in ("day", "week", "month")
+)
+
+
 # ---------------------------------------------------------------------------
 # projections and filters
 # ---------------------------------------------------------------------------
@@ -759,6 +772,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "additions_by_day": (q_additions_by_day, SQL_ADDITIONS_BY_DAY),
     "additions_by_week": (q_additions_by_week, SQL_ADDITIONS_BY_WEEK),
     "additions_by_month": (q_additions_by_month, SQL_ADDITIONS_BY_MONTH),
+    "additions_by_periods": (q_additions_by_periods, SQL_ADDITIONS_BY_PERIODS),
     "equality_filter": (q_equality_filter, SQL_EQUALITY_FILTER),
     "quality_filter": (q_quality_filter, SQL_QUALITY_FILTER),
     "staging_rename_cast": (q_staging_rename_cast, SQL_STAGING_RENAME_CAST),
