@@ -467,3 +467,25 @@ def test_bucketed_rewrite_keeps_the_table_on_failure(spark, workdir):
     assert back.count() == 30
     # still bucketed: an aggregation on the key needs no shuffle
     assert "Exchange hashpartitioning" not in back.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sorts_and_top_k_match_python(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tessera.operators.topk import sort_asc, top_k
+
+    row = st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 1000))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, max_size=40, unique_by=lambda r: r[1]), st.integers(1, 6))
+    def check(rows, k):
+        df = spark.createDataFrame(rows, "v int, id int")
+        # ORDER BY v, id with NULLs last (SQL's ascending default elsewhere)
+        asc = [(r.v, r.id) for r in sort_asc(df, ("v", "id")).collect()]
+        assert asc == sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        # ORDER BY v DESC NULLS LAST, id ASC LIMIT k
+        got = [(r.v, r.id) for r in top_k(df, "v", k, descending=True, tiebreak=("id",)).collect()]
+        assert got == sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[:k]
+
+    check()
