@@ -88,7 +88,9 @@ def read_tsv(
     column names so any source name is safe); inference and the typed result
     both read that copy. Neither the single-threaded gzip reader nor the text
     parser runs twice, and a lost executor recomputes from the staged table,
-    not from the raw file.
+    not from the raw file. The result is lazy, so the staged copy stays in the
+    scratch folder; jobs that write their output use :func:`read_tsv_staged`
+    and remove it afterwards (``bronze_layer``, ``profile_job``).
     """
     if stage:
         return read_tsv_staged(spark, path, sep=sep, header=header, multiline=multiline)[0]
