@@ -39,11 +39,21 @@ def profile_dataset(
     DataFrame, or with ``as_records`` the list of records
     (:func:`tessera.operators.profile.profile_records`).
     """
+    if as_records:  # eager: the staged text copy can be removed right after
+        staged = None
+        if fmt == "tsv":
+            df, staged = read_tsv_staged(spark, path, sep=sep)
+        else:
+            df = _source(spark, path, fmt, sep)
+        try:
+            fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
+            src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
+            return profile_records(src, columns=columns, approx=approx)
+        finally:
+            if staged:
+                remove_scratch(spark, staged)
     df = _source(spark, path, fmt, sep)
     fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
-    if as_records:
-        src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
-        return profile_records(src, columns=columns, approx=approx)
     return profile(df, columns=columns, approx=approx, sample_fraction=fraction)
 
 
