@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from compare import TABLES
 from tessera.operators.aggregates import (
     counts_by_period,
+    counts_by_periods,
     element_frequency,
     key_cardinality,
     numeric_range,
@@ -59,6 +60,7 @@ def _ops(df, c):
     }
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         ops["counts_by_period"] = lambda: counts_by_period(df, c, "week")
+        ops["counts_by_periods"] = lambda: counts_by_periods(df, c)
         ops["additions_mart"] = lambda: additions_mart(df, c, "month")
         if not isinstance(dtype, T.DateType):
             ops["normalize_utc"] = lambda: normalize_utc(df, [c], "flip")
