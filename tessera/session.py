@@ -95,6 +95,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
+        # Spark works in a folder of its own below: always name that one
+        configured = spark.sparkContext.getCheckpointDir() or configured
     except Exception:
         pass
     return configured.rstrip("/")
