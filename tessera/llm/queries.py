@@ -8,19 +8,111 @@ can state the result; the other queries are tested against plain Python.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm.decontaminate import decontaminate
+from tessera.llm.line_dedup import drop_repeated_lines
 from tessera.llm.ngram_join import ngram_jaccard_join
+from tessera.llm.packing import pack_documents
+from tessera.llm.quality_qda import quality_scores
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of op2, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by 3-word shingles at a Jaccard similarity of 0.9."""
-    return ngram_jaccard_join(_table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in sequences of at most 4096 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without lines that at least five of them hold."""
+    cleaned = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL_OP6 = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+    FROM documents),
+keys AS (
+    SELECT doc_id, i, line,
+           translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM lines),
+often AS (
+    SELECT k, max(doc_id) AS last_doc FROM keys
+    WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+    SELECT doc_id, i, line, (o.k IS NOT NULL AND doc_id < last_doc) AS gone
+    FROM keys LEFT JOIN often o USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the benchmark's ten-word windows."""
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+SQL_OP7 = """
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+    FROM documents),
+b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, list_slice(w, s + 1, s + 10) AS words
+    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS s FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(words) AS n FROM windows),
+spots AS (
+    SELECT doc_id, n, s, list_slice(w, s + 1, s + n) AS words
+    FROM (SELECT doc_id, w, n, unnest(range(greatest(len(w) - n + 1, 0))) AS s FROM d, sizes)),
+hits AS (SELECT doc_id, s, n, item_id FROM spots JOIN windows USING (words)),
+hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
 
 
 REGISTRY = {
     "op1_ngram_join": (op1_ngram_join, None),
+    "op2_packing": (op2_packing, None),
+    "op4_quality": (op4_quality, None),
+    "op6_line_dedup": (op6_line_dedup, SQL_OP6),
+    "op7_decontamination": (op7_decontamination, SQL_OP7),
 }
