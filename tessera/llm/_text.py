@@ -62,6 +62,11 @@ class SpanHash:
     def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((sums[end] - sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
 
+    def rolling(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of every span of ``size`` bytes."""
+        n = max(0, len(sums) - size)
+        return mix((sums[size:] - sums[:n]) * self._inverse[:n])
+
 
 @lru_cache(maxsize=None)
 def span_hash(seed: int) -> SpanHash:

@@ -313,13 +313,15 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
         index = build_index(docs.select("doc_id", "text"), scratch, min_chars)
         drops = scratch.keep(repeated_lines(index, scratch, min_docs), "line-drops")
     drops = drops.select(F.col("doc_id").alias("_drop_id"), F.col("drop").alias("_drop"))
-    text = F.coalesce("text", F.lit(""))
-    lines = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_drop")
-    cleaned = F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))
     joined = docs.join(drops, docs["doc_id"] == drops["_drop_id"], "left")
+    # the split lines are a column of their own, so that each text is split once
+    joined = joined.withColumn("_text", F.coalesce("text", F.lit("")))
+    joined = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), F.split("_text", "\n", -1)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
+    kept = F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n")
+    cleaned = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept)
     return joined.select(
         *[cleaned.alias(c) if c == "text" else docs[c] for c in docs.columns if c not in ("n_lines", "n_dropped")],
-        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"),
     )

@@ -11,10 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.decontaminate import decontaminate
+from tessera.llm.exact_dedup import exact_duplicates
+from tessera.llm.licenses import scan_licences
 from tessera.llm.line_dedup import drop_repeated_lines
 from tessera.llm.ngram_join import ngram_jaccard_join
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality_qda import quality_scores
+from tessera.llm.secrets import base_spans, scan_secrets, span_text
+from tessera.llm.suffix_dedup import repeated_spans
+from tessera.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +43,33 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal documents."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL_OP3 = """
+WITH plain AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM plain WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score of every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    digest = F.sha2(span_text(base_spans(F.col("spans"))), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, span_text(F.col("spans")).alias("spans"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that at least five of them hold."""
     cleaned = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -109,10 +136,57 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur twice in the documents."""
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of the documents, as files source/lang/doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string"))
+    found = scan_licences(docs.select(path.alias("path"), "text"))
+    doc_id = F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id")
+    return found.select(doc_id, "path", "licence", F.round("score", 6).alias("score"), "how", "source_dir", "licence_file")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL."""
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("terms")
+
+
+def _sql_op10() -> str:
+    hit = "regexp_matches(lower(coalesce(url, '')), '(^|[^\\p{{L}}\\p{{N}}]){}([^\\p{{L}}\\p{{N}}]|$)')"
+    strict = " OR ".join(hit.format(t) for t in STRICT)
+    soft = " + ".join(f"(CASE WHEN {hit.format(t)} THEN {w} ELSE 0 END)" for t, w in SOFT.items())
+    cases = []
+    for action, rule in sorted(RULES, key=lambda r: -len(r[1])):
+        host, _, path = rule.partition("/")
+        cases.append((f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')", action, rule))
+    rules = " ".join(f"WHEN {c} THEN '{r}'" for c, _, r in cases)
+    verdicts = " ".join(f"WHEN {c} THEN '{a}'" for c, a, _ in cases)
+    return f"""
+WITH parts AS (
+    SELECT page_id, url,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages)
+SELECT page_id, host, path, CASE {rules} END AS rule,
+       CASE {verdicts} WHEN {strict} THEN 'block' WHEN {soft} >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+FROM parts
+"""
+
+
 REGISTRY = {
     "op1_ngram_join": (op1_ngram_join, None),
     "op2_packing": (op2_packing, None),
+    "op3_exact_dedup": (op3_exact_dedup, SQL_OP3),
     "op4_quality": (op4_quality, None),
+    "op5_secrets": (op5_secrets, None),
     "op6_line_dedup": (op6_line_dedup, SQL_OP6),
     "op7_decontamination": (op7_decontamination, SQL_OP7),
+    "op8_suffix_dedup": (op8_suffix_dedup, None),
+    "op9_licenses": (op9_licenses, None),
+    "op10_url_filter": (op10_url_filter, _sql_op10()),
 }
