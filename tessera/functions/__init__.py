@@ -1,6 +1,6 @@
 """Column-level functions (all built-in Spark expressions, no UDFs)."""
 
-from tessera.functions.columns import qcol, quote_name
+from tessera.functions.columns import fresh_names, has_map, map_free, qcol, quote_name, resolve
 from tessera.functions.dates import truncate_period
 from tessera.functions.multivalue import split_values, unnest, values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, all_null, any_present, placeholder_to_null
@@ -19,13 +19,17 @@ __all__ = [
     "all_null",
     "any_present",
     "at_time_zone_utc",
+    "fresh_names",
+    "has_map",
     "instant_to_utc_wall",
     "normalize_utc",
+    "map_free",
     "ntz_micros",
     "null_rate",
     "placeholder_to_null",
     "qcol",
     "quote_name",
+    "resolve",
     "share",
     "split_values",
     "to_utc_wall",

@@ -6,23 +6,23 @@ task *before* the shuffle, so each task sends at most one row per key, and a
 key that holds a large share of all rows costs one row per task in the
 exchange, not all of its rows.
 
-A full numbering (every row keeps its number) cannot be cut short like that:
-keys above a size limit are found first (a count, then an exact or sampled
-count by key), and only their rows are numbered in ordered pieces spread over
-many tasks; every other key gets the plain window.
+A full numbering (every row keeps its number) cannot be cut short like that. It
+has two strategies with the same result; the caller names one, nothing is
+measured.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.functions.columns import qcol
-from tessera.session import MAX_SHUFFLE_PARTITIONS, checkpoint_dir
+from tessera.functions.columns import fresh_names, has_map, qcol
+from tessera.scratch import Scratch, shuffle_partitions
+
+# Bytes of input per piece of the "pieces" strategy.
+PIECE_BYTES = 128 * 1024 * 1024
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -34,80 +34,9 @@ def _order(order_by: Sequence[str], descending: bool) -> list[Column]:
     return [qcol(c).desc_nulls_last() if descending else qcol(c).asc_nulls_last() for c in order_by]
 
 
-# A key with more rows than this is numbered in range-partitioned pieces
-# spread over many tasks instead of in one task.
-MAX_GROUP_ROWS = 4_000_000
-# Rows of the sample the largest group is estimated from when the table is
-# larger than that.
-SKEW_SAMPLE_ROWS = 10_000_000
-
-
-def largest_group(df: DataFrame, key: str | Sequence[str]) -> int:
-    """Exact row count of the largest key group (one number back to the driver)."""
-    counts = df.groupBy(*[qcol(k) for k in _as_list(key)]).agg(F.count(F.lit(1)).alias("_n"))
-    return int(counts.agg(F.max("_n")).first()[0] or 0)
-
-
-# Most hot keys split off by key; with more, every row takes the pieces path.
-MAX_HOT_KEYS = 10_000
-
-
-def _group_check(
-    df: DataFrame,
-    keys: list[str],
-    max_group_rows: int,
-    sample_rows: int,
-    seed: int,
-) -> tuple[bool, int, list[tuple] | None, int]:
-    """(is some key larger than ``max_group_rows``, total rows, the hot keys
-    with their row counts (``None`` when there are more than
-    :data:`MAX_HOT_KEYS`), rows of the hot keys)."""
-    total = df.count()
-    if total <= max_group_rows:
-        return False, total, [], 0
-    key_cols = [qcol(k) for k in keys]
-    if total <= sample_rows:
-        counts, scale, limit = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")), 1.0, max_group_rows
-    else:
-        fraction = sample_rows / total
-        sampled = df.select(*key_cols).sample(withReplacement=False, fraction=fraction, seed=seed)
-        counts, scale = sampled.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")), 1.0 / fraction
-        limit = max_group_rows / 2  # margin for the estimate
-    # only hot keys come back, and at most MAX_HOT_KEYS + 1 of them
-    hot = counts.where(F.col("_n") * F.lit(scale) > F.lit(limit)).limit(MAX_HOT_KEYS + 1).collect()
-    if not hot:
-        return False, total, [], 0
-    if len(hot) > MAX_HOT_KEYS:
-        return True, total, None, total
-    hot_rows = min(total, int(sum(r["_n"] for r in hot) * scale))
-    return True, total, [tuple(r)[: len(keys)] for r in hot], hot_rows
-
-
-def has_large_group(
-    df: DataFrame,
-    key: str | Sequence[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
-    sample_rows: int = SKEW_SAMPLE_ROWS,
-    seed: int = 17,
-) -> bool:
-    """Does some key hold more than ``max_group_rows`` rows?
-
-    A table of at most ``max_group_rows`` rows cannot (one count). Otherwise
-    the largest group is measured exactly when the table has at most
-    ``sample_rows`` rows, else estimated from a Bernoulli sample of about
-    ``sample_rows`` key values (only the key columns are read), with a margin
-    of two: a key of a third of all rows shows up as millions of sampled rows,
-    and a key near the limit that the estimate misses still fits one task.
-    Only the plan depends on the answer, never the result.
-    """
-    return _group_check(df, _as_list(key), max_group_rows, sample_rows, seed)[0]
-
-
-def pieces_for(total_rows: int, max_group_rows: int, minimum: int) -> int:
-    """Number of ordered pieces for the skew path: about ``max_group_rows / 2``
-    rows each, at least ``minimum``, at most :data:`MAX_SHUFFLE_PARTITIONS`."""
-    wanted = -(-int(total_rows) // max(1, int(max_group_rows) // 2))
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(int(minimum), wanted)))
+def _row_hash(df: DataFrame) -> Column:
+    """Decides ties: a hash of the row (maps can't be hashed and stay out)."""
+    return F.xxhash64(*[qcol(f.name) for f in df.schema.fields if not has_map(f.dataType)])
 
 
 def row_number_per_key(
@@ -116,97 +45,63 @@ def row_number_per_key(
     order_by: str | Sequence[str],
     descending: bool = True,
     rank_col: str = "rn",
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    strategy: str = "window",
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` (bigint): 1 for the first row of each key by ``order_by``.
 
-    List a unique column last in ``order_by`` to make the numbering
-    deterministic when order values tie.
+    Rows that tie are numbered by a hash of the row, then, when they are the
+    same in every column, in any order; both strategies number alike.
 
-    A window puts every row of a key into one task. When some key holds more
-    than ``max_group_rows`` rows (:func:`has_large_group`) the numbering is
-    done in pieces instead (:func:`_row_number_in_pieces`), as many as the
-    row count asks for (:func:`pieces_for`); ``max_group_rows=None`` skips the
-    check and always uses the plain window.
+    ``strategy="window"`` is one shuffle by key, with all rows of a key in one
+    task. ``strategy="pieces"`` is for a key that holds more rows than a task
+    should take: the rows are cut into ordered pieces by (key, order), at most
+    a piece in one task whatever the keys hold, numbered inside, and shifted by
+    what the same key has in earlier pieces. It writes the input twice to the
+    shared folder. ``pieces`` is their number (default: by the input's size).
     """
-    keys = _as_list(key)
-    orders = _as_list(order_by)
-    if max_group_rows is not None:
-        large, total, hot, hot_rows = _group_check(df, keys, max_group_rows, SKEW_SAMPLE_ROWS, 17)
-        if large:
-            minimum = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            pieces = pieces_for(hot_rows, max_group_rows, minimum)
-            if hot is None:  # too many hot keys to list: every row in pieces
-                return _row_number_in_pieces(df, keys, orders, descending, rank_col, pieces=pieces)
-            # Only the hot keys' rows take the pieces path; the other keys are
-            # numbered by the plain window. The hot-key list is at most
-            # MAX_HOT_KEYS rows, so it is broadcast to split the input.
-            hot_df = df.sparkSession.createDataFrame(
-                hot, T.StructType([T.StructField(f"_hk{i}", df.schema[k].dataType) for i, k in enumerate(keys)])
-            )
-            on = reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)])
-            hot_part = df.join(F.broadcast(hot_df), on, "left_semi")
-            rest = df.join(F.broadcast(hot_df), on, "left_anti")
-            numbered_hot = _row_number_in_pieces(hot_part, keys, orders, descending, rank_col, pieces=pieces)
-            return numbered_hot.unionByName(_window_row_number(rest, keys, orders, descending, rank_col))
-    return _window_row_number(df, keys, orders, descending, rank_col)
-
-
-def _window_row_number(
-    df: DataFrame, keys: list[str], orders: list[str], descending: bool, rank_col: str
-) -> DataFrame:
-    w = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(*_order(orders, descending))
-    return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+    keys, orders = _as_list(key), _as_list(order_by)
+    if strategy == "window":
+        (tie,) = fresh_names(df, 1)
+        window = Window.partitionBy(*map(qcol, keys)).orderBy(*_order(orders, descending), F.col(tie))
+        numbered = df.withColumn(tie, _row_hash(df)).withColumn(rank_col, F.row_number().over(window).cast("long"))
+        return numbered.drop(tie)
+    if strategy != "pieces":
+        raise ValueError(f"strategy must be 'window' or 'pieces', not {strategy!r}")
+    return _row_number_in_pieces(df, keys, orders, descending, rank_col, pieces)
 
 
 def _row_number_in_pieces(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    descending: bool,
-    rank_col: str,
-    pieces: int | None = None,
+    df: DataFrame, keys: list[str], order_by: list[str], descending: bool, rank_col: str, pieces: int | None
 ) -> DataFrame:
-    """Skew-proof row numbering.
-
-    1. Range-partition on (key, order columns, row hash): a hot key is cut
-       into many ordered pieces, equal order values are split by the hash;
-       the piece id is stored with each row and the result is checkpointed to
-       the shared checkpoint folder, so the assignment is fixed (the range
-       bounds come from a sample) and later stages never recompute it.
-    2. Number rows inside each (key, piece) - a bounded group.
-    3. A key's rows in earlier pieces give its offset in a later piece. Only a
-       key cut by a piece boundary has a non-zero offset, so there are fewer
-       such (key, piece) pairs than pieces: that table is broadcast.
+    """1. Give every row a hash and a number, and write that: both stay the same
+          however often a later task runs.
+    2. Range-partition on (key, order, hash, number) and write each row with its
+       piece; a key, or rows that are all the same, are cut like others.
+    3. Number the rows of each (key, piece), and add the rows that the key has
+       in earlier pieces. Only a key cut by a boundary has any, so there are
+       fewer such (key, piece) pairs than pieces, and that table is broadcast.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tie, row, piece, local, before, *aliases = fresh_names(df, 5 + len(keys))
+    n = pieces or shuffle_partitions(df, PIECE_BYTES)
     key_cols = [qcol(k) for k in keys]
-    order = _order(order_by, descending) + [F.col("_h").asc()]
-    cut = (
-        df.withColumn("_h", F.xxhash64(*[qcol(c) for c in df.columns]))
-        .repartitionByRange(n, *[k.asc_nulls_last() for k in key_cols], *order)
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*key_cols, "_piece").orderBy(*order)))
-
-    key_alias = [f"_k{i}" for i in range(len(keys))]
-    sizes = cut.groupBy(*[k.alias(a) for k, a in zip(key_cols, key_alias)], F.col("_piece").alias("_p")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    before = Window.partitionBy(*key_alias).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sizes.withColumn("_offset", F.sum("_n").over(before))
-        .where(F.col("_offset") > 0)
-        .drop("_n")
-    )
-    cond = F.col("_piece") == F.col("_p")
-    for k, a in zip(key_cols, key_alias):
-        cond = cond & k.eqNullSafe(F.col(a))
-    joined = local.join(F.broadcast(offsets), cond, "left")
-    rank = (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("long")
+    order = [*_order(order_by, descending), F.col(tie).asc(), F.col(row).asc()]
+    with Scratch(spark) as scratch:
+        marked = scratch.table(df.withColumn(tie, _row_hash(df)).withColumn(row, F.monotonically_increasing_id()), "rows")
+        cut = marked.repartitionByRange(n, *[k.asc_nulls_last() for k in key_cols], *order)
+        cut = scratch.keep(cut.withColumn(piece, F.spark_partition_id()), "pieces")
+        sizes = cut.groupBy(*[k.alias(a) for k, a in zip(key_cols, aliases)], piece).agg(F.count("*").alias(local))
+        earlier = Window.partitionBy(*aliases).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+        shifts = sizes.withColumn(before, F.sum(local).over(earlier)).where(F.col(before) > 0)
+        shifts = scratch.keep(shifts.select(*aliases, F.col(piece).alias(tie), before), "shifts")
+    window = Window.partitionBy(*key_cols, piece).orderBy(*order)
+    numbered = cut.withColumn(local, F.row_number().over(window)).drop(tie, row)
+    match = F.col(piece) == F.col(tie)
+    for k, a in zip(key_cols, aliases):
+        match = match & k.eqNullSafe(F.col(a))
+    joined = numbered.join(F.broadcast(shifts), match, "left")
+    rank = (F.col(local) + F.coalesce(F.col(before), F.lit(0))).cast("long")
     return joined.select(*[qcol(c) for c in df.columns], rank.alias(rank_col))
 
 
@@ -217,6 +112,6 @@ def latest_per_key(
     descending: bool = True,
 ) -> DataFrame:
     """Keep the first row of each key by ``order_by`` (default: newest)."""
+    (rank,) = fresh_names(df, 1)
     w = Window.partitionBy(*[qcol(k) for k in _as_list(key)]).orderBy(*_order(_as_list(order_by), descending))
-    rn = "__rn"
-    return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)

@@ -70,8 +70,8 @@ def main(sf_dir: str, scratch: str) -> None:
     run("value_frequencies", lambda: value_frequencies(df, ["user_id", "event_type"], top=5))
     run("profile", lambda: profile(df.select("user_id", "event_type")))
     run("reconciliation", lambda: reconciliation(df, "user_id", ["event_type", "props"]))
-    run("row_number_pieces", lambda: row_number_per_key(df, "user_id", ("ts", "event_id"), max_group_rows=2000))
-    run("row_number_window", lambda: row_number_per_key(df, "user_id", ("ts", "event_id"), max_group_rows=None))
+    run("row_number_pieces", lambda: row_number_per_key(df, "user_id", ("ts", "event_id"), strategy="pieces", pieces=48))
+    run("row_number_window", lambda: row_number_per_key(df, "user_id", ("ts", "event_id"), strategy="window"))
     spark.stop()
 
     log = [f for f in glob.glob(events_log + "/**/*", recursive=True) if os.path.isfile(f) and "events_" in f]

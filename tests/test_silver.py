@@ -168,14 +168,14 @@ def test_row_number_in_pieces_equals_plain_window(spark):
     rows = [("hot", i % 7, i) for i in range(3000)] + [("cold", i % 3, i) for i in range(50)] + \
            [(None, 1, i) for i in range(40)] + [("x", None, 1), ("x", None, 2), ("x", 5, 3)]
     df = spark.createDataFrame(rows, "k string, t int, id long")
-    plain = row_number_per_key(df, "k", ("t", "id"), max_group_rows=None)
-    pieces = row_number_per_key(df, "k", ("t", "id"), max_group_rows=100)
+    plain = row_number_per_key(df, "k", ("t", "id"), strategy="window")
+    pieces = row_number_per_key(df, "k", ("t", "id"), strategy="pieces", pieces=30)
     def canon(d):
         return sorted((repr(tuple(r)) for r in d.collect()))
 
     assert canon(pieces) == canon(plain)
     # with ties left unbroken the numbering is still a permutation 1..n per key
-    loose = row_number_per_key(df, "k", "t", max_group_rows=100)
+    loose = row_number_per_key(df, "k", "t", strategy="pieces", pieces=30)
     per_key = {}
     for r in loose.collect():
         per_key.setdefault(r.k, []).append(r.rn)
@@ -185,55 +185,40 @@ def test_row_number_in_pieces_equals_plain_window(spark):
     assert all(a[1] >= b[1] for a, b in zip(hot, hot[1:]))
 
 
-def test_large_group_check_exact_and_sampled(spark):
-    from tessera.operators.dedup import has_large_group
+def test_both_strategies_number_ties_alike(spark):
+    rows = [("hot", i % 7, i % 5) for i in range(900)] + [(None, 1, 0)] * 30 + [("same", 2, 2)] * 200
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    # ties are decided by the row, rows that are the same are interchangeable
+    window = sorted(repr(tuple(r)) for r in row_number_per_key(df, "k", "t").collect())
+    pieces = sorted(repr(tuple(r)) for r in row_number_per_key(df, "k", "t", strategy="pieces", pieces=25).collect())
+    assert window == pieces
 
-    rows = [("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(1000)]
-    df = spark.createDataFrame(rows, "k string, v long")
-    # small table: no key can exceed the limit, not even checked by key
-    assert not has_large_group(df, "k", max_group_rows=10_000)
-    # exact when the table fits the sample size
-    assert has_large_group(df, "k", max_group_rows=2000)
-    assert not has_large_group(df, "k", max_group_rows=3500)
-    # estimated from a sample of about 400 keys
-    assert has_large_group(df, "k", max_group_rows=1000, sample_rows=400)
-    uniform = spark.range(0, 4000).selectExpr("id % 1000 AS k")
-    assert not has_large_group(uniform, "k", max_group_rows=1000, sample_rows=400)
 
+@pytest.mark.parametrize("strategy", ["window", "pieces"])
+def test_numbering_keeps_every_column(spark, strategy):
+    names = ["_h", "_piece", "_local", "_k0", "_p", "_offset", "_helper0", "_HELPER1", "slot"]
+    rows = [(i % 3, i, {"a": i, "b": 2}, [{"x": i}], *[f"{n}{i}" for n in names]) for i in range(200)]
+    schema = "k int, id long, m map<string,int>, n array<map<string,int>>, " + ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame(rows, schema)
+    got = row_number_per_key(df, "k", "id", descending=False, strategy=strategy, **({"pieces": 12} if strategy == "pieces" else {}))
+    assert got.columns == [*df.columns, "rn"]
+    assert sorted(tuple(r) for r in got.select("id", "rn").collect()) == [(i, i // 3 + 1) for i in range(200)]
+    by_id = {r["id"]: tuple(r) for r in df.collect()}
+    assert all(tuple(r)[:-1] == by_id[r["id"]] for r in got.collect())
 
-def test_pieces_follow_the_row_count():
-    from tessera.operators.dedup import pieces_for
-    from tessera.session import MAX_SHUFFLE_PARTITIONS
 
-    assert pieces_for(3000, 100, minimum=8) == 60  # 50 rows a piece
-    assert pieces_for(300, 1000, minimum=8) == 8
-    # a third of 10^12 rows in one key still gets pieces of bounded size
-    assert pieces_for(10**12, 4_000_000, minimum=200) == MAX_SHUFFLE_PARTITIONS
+def test_pieces_bound_the_rows_of_a_task(spark):
+    df = spark.range(4000).selectExpr("0 AS k", "id % 2 AS t", "'same' AS v")  # one key, two different rows
+    numbered = row_number_per_key(df, "k", "t", strategy="pieces", pieces=40)
+    assert sorted(r["rn"] for r in numbered.collect()) == list(range(1, 4001))
+    read = [p for p in numbered.inputFiles() if "pieces-" in p]
+    sizes = [r["n"] for r in spark.read.parquet(*read).groupBy("_helper2").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) < 400
 
 
-def test_only_hot_keys_take_the_pieces_path(spark):
-    def canon(d):
-        return sorted(repr(tuple(r)) for r in d.collect())
-
-    # a NULL key holding most rows, a second hot key, many small keys
-    rows = [(None, i % 5, i) for i in range(2000)] + [("hot", i % 3, i) for i in range(800)] + \
-           [(f"k{i % 40}", i % 4, i) for i in range(400)]
-    df = spark.createDataFrame(rows, "k string, t int, id long")
-    plain = row_number_per_key(df, "k", ("t", "id"), max_group_rows=None)
-    split = row_number_per_key(df, "k", ("t", "id"), max_group_rows=500)
-    assert canon(split) == canon(plain)
-    plan = split._jdf.queryExecution().analyzed().toString()
-    # the hot side is checkpointed (its semi join sits behind the checkpoint);
-    # the other keys reach a plain window through the anti join
-    assert "LeftAnti" in plan and "Union" in plan
-
-    # composite keys
-    rows2 = [("a", 1, i % 7, i) for i in range(1200)] + [("a", 2, i % 7, i) for i in range(30)] + \
-            [("b", 1, i % 2, i) for i in range(30)]
-    df2 = spark.createDataFrame(rows2, "k1 string, k2 int, t int, id long")
-    plain2 = row_number_per_key(df2, ("k1", "k2"), ("t", "id"), max_group_rows=None)
-    split2 = row_number_per_key(df2, ("k1", "k2"), ("t", "id"), max_group_rows=300)
-    assert canon(split2) == canon(plain2)
+def test_unknown_strategy(spark):
+    with pytest.raises(ValueError, match="strategy"):
+        row_number_per_key(spark.range(1), "id", "id", strategy="auto")
 
 
 def test_silver_matches_brute_force(spark):
@@ -273,11 +258,11 @@ def test_row_numbers_match_brute_force_on_every_path(spark):
     row = st.tuples(st.one_of(st.none(), st.sampled_from(["h", "x", "y"])), st.one_of(st.none(), st.integers(0, 3)))
 
     @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(st.lists(row, min_size=0, max_size=60), st.sampled_from([None, 5, 20]))
-    def check(rows, limit):
+    @given(st.lists(row, min_size=0, max_size=60), st.sampled_from([None, 1, 9]))
+    def check(rows, pieces):
         data = [(k, t, i) for i, (k, t) in enumerate(rows)]
         df = spark.createDataFrame(data, "k string, t int, id long")
-        got = {r.id: r.rn for r in row_number_per_key(df, "k", ("t", "id"), max_group_rows=limit).collect()}
+        got = {r.id: r.rn for r in row_number_per_key(df, "k", ("t", "id"), strategy="pieces" if pieces else "window", pieces=pieces).collect()}
         expected = {}
         for k in {r[0] for r in data}:
             group = [r for r in data if r[0] == k]
