@@ -10,7 +10,7 @@ from tessera.session import (
     checkpoint_dir,
     scratch_path,
     shuffle_partitions_for,
-    size_shuffles_for_input,
+    shuffles_sized_for,
 )
 
-__all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions_for", "size_shuffles_for_input"]
+__all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions_for", "shuffles_sized_for"]

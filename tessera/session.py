@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,14 @@ BASE_CONF = {
 }
 
 
+def object_store_conf(options: dict[str, str]) -> dict[str, str]:
+    """Session settings from Hadoop file-system options of an object store:
+    ``{"fs.gs.project.id": "p"}`` becomes ``{"spark.hadoop.fs.gs.project.id": "p"}``,
+    ``spark.`` settings stay. Credentials are given by the caller, never read
+    from the environment here."""
+    return {k if k.startswith("spark.") else f"spark.hadoop.{k}": v for k, v in options.items()}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tessera",
@@ -38,16 +48,17 @@ def build_session(
 ) -> SparkSession:
     """Return a session with :data:`BASE_CONF` applied.
 
+    ``conf`` may hold Hadoop file-system options (:func:`object_store_conf`).
     ``master`` is left to the launcher (``spark-submit``) when ``None``.
     ``shuffle_partitions`` is the *initial* partition count of a shuffle; AQE
     coalesces it down at run time, so on a cluster it should be sized for the
     largest shuffle, not the smallest (:func:`shuffle_partitions_for`,
-    :func:`size_shuffles_for_input`).
+    :func:`shuffles_sized_for`).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**BASE_CONF, **(conf or {})}.items():
+    for key, value in {**BASE_CONF, **object_store_conf(conf or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -110,16 +121,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # Target bytes of one shuffle partition: large enough that task overhead is
 # small, small enough that a task's sort / hash buffers rarely spill.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-# Upper bound of the initial shuffle partition count (map-output bookkeeping
-# grows with maps x partitions); AQE coalesces below it at run time and splits
-# skewed partitions above the advisory size.
-MAX_SHUFFLE_PARTITIONS = 100_000
-_SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
 
 
-# Most columns one unpivot takes at a time. Spark compiles a stage into one
-# generated function only up to spark.sql.codegen.maxFields (100) columns;
-# wider tables are unpivoted in chunks, each reading only its own columns.
+# Most columns of a staged table that type inference unpivots at a time. Spark
+# compiles a stage into one generated function only up to
+# spark.sql.codegen.maxFields (100) columns; a wider Parquet table is unpivoted
+# in chunks, each reading only its own columns.
 MAX_UNPIVOT_COLUMNS = 64
 
 
@@ -130,10 +137,9 @@ def column_chunks(items: list, size: int = MAX_UNPIVOT_COLUMNS) -> list[list]:
 
 def shuffle_partitions_for(shuffle_bytes: int, cores: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Initial shuffle partition count for a shuffle of about ``shuffle_bytes``:
-    about ``target_bytes`` per partition, at least two per core so every core
-    has work and stragglers are short, at most :data:`MAX_SHUFFLE_PARTITIONS`."""
-    by_size = -(-int(shuffle_bytes) // int(target_bytes))
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(2 * int(cores), by_size)))
+    about ``target_bytes`` per partition at every size, at least two per core so
+    every core has work and stragglers are short."""
+    return int(max(2 * int(cores), -(-int(shuffle_bytes) // int(target_bytes))))
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -147,17 +153,22 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(sum(fs.getContentSummary(st.getPath()).getLength() for st in matches))
 
 
-def size_shuffles_for_input(spark: SparkSession, path: str, expansion: float = 1.0) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the
-    session already carries an explicit value. ``expansion`` scales the input
-    size to the expected shuffle size (e.g. > 1 for decompressed text).
-    Returns the partition count in effect."""
-    current = spark.conf.get("spark.sql.shuffle.partitions", _SPARK_DEFAULT_SHUFFLE_PARTITIONS)
-    if current != _SPARK_DEFAULT_SHUFFLE_PARTITIONS:
-        return int(current)
-    n = shuffle_partitions_for(int(input_bytes(spark, path) * expansion), default_parallelism(spark))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, path: str, expansion: float = 1.0) -> Iterator[int]:
+    """Within the block, ``spark.sql.shuffle.partitions`` follows the size of
+    ``path`` and the count is yielded; a count that the user has set, in the
+    session or for the application, stays. The session is as before afterwards,
+    so each job is sized for its own input. ``expansion`` scales the input size
+    to the expected shuffle size (e.g. > 1 for decompressed text)."""
+    key = "spark.sql.shuffle.partitions"
+    if key in spark.conf.getAll:
+        yield int(spark.conf.get(key))
+        return
+    spark.conf.set(key, str(shuffle_partitions_for(int(input_bytes(spark, path) * expansion), default_parallelism(spark))))
+    try:
+        yield int(spark.conf.get(key))
+    finally:
+        spark.conf.unset(key)
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -167,30 +178,20 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(os.cpu_count() or 8)
 
 
-# Smallest share of the input one spread piece gets: a single large file is
-# cut into pieces of at least this much text, not into one piece per core of
-# a large cluster (which would make thousands of tiny files downstream).
-MIN_SPREAD_BYTES = 16 * 1024 * 1024
+# Text in one piece of a spread input.
+SPREAD_BYTES = 256 * 1024 * 1024
 
 
-def spread(df: DataFrame, input_size: int | None = None, min_piece_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
-    """Round-robin the rows over the cluster when the input has fewer
-    partitions than cores (a gzip file, or a Parquet file written as one row
-    group), before per-row heavy work such as an unpivot.
-
-    With ``input_size`` (estimated bytes of the input) the number of pieces is
-    capped so each holds at least ``min_piece_bytes``. On cluster-sized input
-    the scan already has far more splits than cores and this is a no-op, so no
-    extra shuffle is added there.
-    """
-    cores = default_parallelism(df.sparkSession)
-    current = df.rdd.getNumPartitions()
-    if current >= cores:
-        return df
-    pieces = cores
-    if input_size is not None:
-        pieces = min(cores, max(1, -(-int(input_size) // int(min_piece_bytes))))
-    return df.repartition(pieces) if pieces > current else df
+def spread(df: DataFrame, input_size: int, piece_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Round-robin the rows into pieces of about ``piece_bytes``, before per-row
+    heavy work on an input whose partitions can't be split (gzip files, or text
+    read with line breaks in its fields). There are at least as many pieces as
+    cores while a piece has a sixteenth of that, and an input that has enough
+    partitions already is left as it is."""
+    by_size = -(-int(input_size) // int(piece_bytes))
+    by_cores = min(default_parallelism(df.sparkSession), -(-16 * int(input_size) // int(piece_bytes)))
+    pieces = max(1, by_size, by_cores)
+    return df.repartition(pieces) if pieces > df.rdd.getNumPartitions() else df
 
 
 def remove_scratch(spark: SparkSession, path: str) -> bool:

@@ -69,10 +69,10 @@ def test_shuffle_partitions_follow_input_size():
     gib = 1024**3
     assert S.shuffle_partitions_for(1 * gib, cores=8) == 16  # two per core at least
     assert S.shuffle_partitions_for(100 * gib, cores=8) == 400  # 256 MiB each
-    assert S.shuffle_partitions_for(100 * 1024**4, cores=8000) == S.MAX_SHUFFLE_PARTITIONS
+    assert S.shuffle_partitions_for(100 * 1024**4, cores=8000) == 409_600  # no cap
 
 
-def test_size_shuffles_for_input(spark, workdir):
+def test_shuffles_sized_for_each_job(spark, workdir):
     import os
 
     path = os.path.join(workdir, "f.txt")
@@ -80,5 +80,50 @@ def test_size_shuffles_for_input(spark, workdir):
         fh.write("x" * 1000)
     assert S.input_bytes(spark, path) == 1000
     assert S.input_bytes(spark, os.path.join(workdir, "*.txt")) == 1000
-    # the test session sets its own count, which is kept
-    assert S.size_shuffles_for_input(spark, path) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    # a count the user has set is kept, Spark's default number too
+    for own in (before, "200"):
+        spark.conf.set(key, own)
+        with S.shuffles_sized_for(spark, path) as n:
+            assert n == int(own)
+    spark.conf.unset(key)
+    cores = S.default_parallelism(spark)
+    try:
+        for expansion, wanted in ((1.0, 2 * cores), (10**9, -(-(10**12) // S.TARGET_PARTITION_BYTES))):
+            if key in spark.conf.getAll:  # set for the whole application: can't be unset here
+                break
+            with S.shuffles_sized_for(spark, path, expansion) as n:
+                assert n == wanted == int(spark.conf.get(key))
+            assert key not in spark.conf.getAll
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_spread_follows_the_bytes(spark):
+    one = spark.range(1000).coalesce(1)
+    mib, cores = 1024**2, S.default_parallelism(spark)
+    assert S.spread(one, 1000).rdd.getNumPartitions() == 1
+    assert S.spread(one, 64 * mib).rdd.getNumPartitions() == min(cores, 4)
+    assert S.spread(one, 100 * 1024 * mib).rdd.getNumPartitions() == 400  # more than cores
+    assert S.spread(spark.range(0, 10, 1, 7), 1000).rdd.getNumPartitions() == 7
+
+
+def test_object_store_options():
+    assert S.object_store_conf({"fs.gs.project.id": "p", "spark.x": "1"}) == {"spark.hadoop.fs.gs.project.id": "p", "spark.x": "1"}
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from tessera import scratch
+
+    with scratch.Scratch(spark) as s:
+        assert s.table(spark.range(3)).count() == 3
+        inner, kept = s.last, s.keep(spark.range(4))
+        assert os.path.isdir(inner.removeprefix("file:"))
+    assert not os.path.exists(inner.removeprefix("file:")) and kept.count() == 4
+    path = scratch._KEPT[-1][1].removeprefix("file:")
+    assert os.path.isdir(path)
+    scratch._remove_kept()
+    assert not os.path.exists(path)
