@@ -7,16 +7,11 @@ default) provides and prints the path it wrote.
 from __future__ import annotations
 
 import argparse
-import logging
 
-from tessera.session import build_session, size_shuffles_for_input
-
-log = logging.getLogger("tessera")
+from tessera.session import build_session, shuffles_sized_for
 
 
 def main(argv: list[str] | None = None) -> None:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    logging.getLogger("py4j").setLevel(logging.WARNING)
     parser = argparse.ArgumentParser(prog="tessera")
     sub = parser.add_subparsers(dest="command", required=True)
 
@@ -24,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("source_path")
     p.add_argument("--dest-dir", default="data/bronze")
     p.add_argument("--sep", default="\t")
+    p.add_argument("--single-line", action="store_true", help="no line breaks inside quoted fields: plain text is split")
     p.add_argument("--gcs", action="store_true", help="destination is a gs:// URI")
 
     p = sub.add_parser("silver", help="bronze snapshot -> curated snapshot")
@@ -38,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--sample-rows", type=int, default=None)
     p.add_argument("--layout", choices=("file", "array", "lines"), default="file")
     p.add_argument("--columns", default=None, help="comma-separated subset of columns to profile")
+    p.add_argument("--single-line", action="store_true", help="no line breaks inside quoted fields: plain text is split")
     p.add_argument("--approx", action="store_true", help="approximate distinct counts (HyperLogLog++)")
 
     args = parser.parse_args(argv)
@@ -45,32 +42,34 @@ def main(argv: list[str] | None = None) -> None:
     source = args.bronze_path if args.command == "silver" else args.source_path
     # gzip text decompresses to roughly ten times its size
     expansion = 10.0 if str(source).endswith(".gz") else 1.0
-    log.info("shuffle partitions: %d", size_shuffles_for_input(spark, source, expansion))
+    with shuffles_sized_for(spark, source, expansion):
+        print(_run(spark, args))
+
 
+def _run(spark, args) -> str:
     if args.command == "bronze":
         from tessera.plans.bronze import bronze_layer
 
-        path = bronze_layer(spark, args.source_path, args.dest_dir, gcs=args.gcs, sep=args.sep)
-    elif args.command == "silver":
+        return bronze_layer(
+            spark, args.source_path, args.dest_dir, gcs=args.gcs, sep=args.sep, multiline=not args.single_line
+        )
+    if args.command == "silver":
         from tessera.plans.silver import silver_layer
 
-        path = silver_layer(spark, args.bronze_path, args.dest_dir, gcs=args.gcs)
-    else:
-        from tessera.plans.profile_job import profile_job
-
-        columns = [c for c in args.columns.split(",") if c] if args.columns else None
-        path = profile_job(
-            spark,
-            args.source_path,
-            args.out,
-            fmt=args.format,
-            columns=columns,
-            sample_rows=args.sample_rows,
-            approx=args.approx,
-            layout=args.layout,
-        )
-    log.info("wrote %s", path)
-    print(path)
+        return silver_layer(spark, args.bronze_path, args.dest_dir, gcs=args.gcs)
+    from tessera.plans.profile_job import profile_job
+
+    return profile_job(
+        spark,
+        args.source_path,
+        args.out,
+        fmt=args.format,
+        columns=[c for c in args.columns.split(",") if c] if args.columns else None,
+        sample_rows=args.sample_rows,
+        approx=args.approx,
+        layout=args.layout,
+        multiline=not args.single_line,
+    )
 
 
 if __name__ == "__main__":

@@ -39,10 +39,12 @@ def category_mart(
     label: str = "label",
     count_col: str = "products",
     placeholders: Sequence[str] = DEFAULT_PLACEHOLDERS,
+    nulls: str = "other",
 ) -> DataFrame:
-    """Products per category (placeholders count as missing), top ``n`` + Other."""
+    """Products per category, top ``n`` + Other. Placeholders count as missing,
+    and missing takes none of the ``n`` places; ``nulls`` as in :func:`top_n_other`."""
     values = df.select(placeholder_to_null(qcol(column), placeholders).alias("_value"))
-    return top_n_other(values, "_value", n, label=label, count_col=count_col)
+    return top_n_other(values, "_value", n, label=label, count_col=count_col, nulls=nulls)
 
 
 def additions_mart(df: DataFrame, column: str = "created_datetime", unit: str = "day") -> DataFrame:

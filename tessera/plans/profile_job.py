@@ -14,9 +14,9 @@ from tessera.sources.tsv import read_tsv, read_tsv_staged
 DEFAULT_REPORT_DIR = "data/bronze/profile_report.json"
 
 
-def _source(spark: SparkSession, path: str, fmt: str, sep: str) -> DataFrame:
+def _source(spark: SparkSession, path: str, fmt: str, sep: str, multiline: bool) -> DataFrame:
     if fmt == "tsv":
-        return read_tsv(spark, path, sep=sep)
+        return read_tsv(spark, path, sep=sep, multiline=multiline)
     if fmt == "parquet":
         return spark.read.parquet(path)
     raise ValueError("fmt must be 'tsv' or 'parquet'")
@@ -31,20 +31,22 @@ def profile_dataset(
     approx: bool = False,
     sep: str = "\t",
     as_records: bool = False,
+    multiline: bool = True,
 ) -> DataFrame | list[dict]:
     """Profile a delimited file (typed from the whole file) or a Parquet dataset.
 
     Full scan by default; ``sample_rows`` profiles a random sample of about that
-    many rows instead; ``approx`` uses approximate distinct counts. Returns a
+    many rows instead; ``approx`` uses approximate distinct counts; ``multiline``
+    is that of :func:`tessera.sources.tsv.read_text_table`. Returns a
     DataFrame, or with ``as_records`` the list of records
     (:func:`tessera.operators.profile.profile_records`).
     """
     if as_records:  # eager: the staged text copy can be removed right after
         staged = None
         if fmt == "tsv":
-            df, staged = read_tsv_staged(spark, path, sep=sep)
+            df, staged = read_tsv_staged(spark, path, sep=sep, multiline=multiline)
         else:
-            df = _source(spark, path, fmt, sep)
+            df = _source(spark, path, fmt, sep, multiline)
         try:
             fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
             src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
@@ -52,7 +54,7 @@ def profile_dataset(
         finally:
             if staged:
                 remove_scratch(spark, staged)
-    df = _source(spark, path, fmt, sep)
+    df = _source(spark, path, fmt, sep, multiline)
     fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
     return profile(df, columns=columns, approx=approx, sample_fraction=fraction)
 
@@ -84,6 +86,7 @@ def profile_job(
     approx: bool = False,
     sep: str = "\t",
     layout: str = "file",
+    multiline: bool = True,
 ) -> str:
     """Profile a source and write the JSON report; return the report path.
 
@@ -97,9 +100,9 @@ def profile_job(
     """
     staged = None
     if fmt == "tsv":
-        df, staged = read_tsv_staged(spark, path, sep=sep)
+        df, staged = read_tsv_staged(spark, path, sep=sep, multiline=multiline)
     else:
-        df = _source(spark, path, fmt, sep)
+        df = _source(spark, path, fmt, sep, multiline)
     try:
         fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
         if layout == "file":

@@ -22,7 +22,7 @@ from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, placeholder_to_null
 from tessera.functions.timezone import normalize_utc
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.filters import any_of_present, not_null
-from tessera.operators.projection import SILVER_COLUMNS, keep_columns
+from tessera.operators.projection import SILVER_COLUMNS, SPARSE_COLUMNS, drop_columns, keep_columns
 from tessera.sources.parquet import read_parquet
 from tessera.sources.snapshot import require_object_store, write_snapshot
 
@@ -43,6 +43,7 @@ def silver_transform(
     utc_mode: str = "wall",
     placeholder_columns: Sequence[str] = (),
     placeholders: Sequence[str] = DEFAULT_PLACEHOLDERS,
+    drop: Sequence[str] = SPARSE_COLUMNS,
 ) -> DataFrame:
     """Curate ``df`` to one row per ``key``.
 
@@ -56,7 +57,8 @@ def silver_transform(
       ``AT TIME ZONE 'UTC'``);
     * ``placeholder_columns`` get placeholder strings replaced by NULL (off by
       default, as in the curation job);
-    * ``keep`` selects the output columns in order (``None`` keeps all).
+    * ``keep`` selects the output columns in order (``None`` keeps all but the
+      sparse ones, ``drop``).
     """
     curated = any_of_present(not_null(df, key), name_columns)
     latest = latest_per_key(curated, key, order_by, descending=True)
@@ -66,7 +68,7 @@ def silver_transform(
         normalized = normalized.withColumns(
             {c: placeholder_to_null(qcol(c), placeholders) for c in placeholder_columns}
         )
-    return keep_columns(normalized, keep) if keep is not None else normalized
+    return keep_columns(normalized, keep) if keep is not None else drop_columns(normalized, drop)
 
 
 def silver_layer(

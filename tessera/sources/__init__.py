@@ -6,8 +6,6 @@ from tessera.sources.parquet import read_parquet, write_parquet
 from tessera.sources.report import write_profile_json, write_profile_records
 from tessera.sources.schema import describe, sql_type_name
 from tessera.sources.snapshot import (
-    is_remote,
-    object_store_conf,
     read_snapshots,
     snapshot_path,
     write_snapshot,
@@ -20,10 +18,8 @@ __all__ = [
     "apply_types",
     "describe",
     "infer_types",
-    "is_remote",
     "layout_for_write",
     "load_table",
-    "object_store_conf",
     "read_parquet",
     "read_snapshots",
     "read_text_table",

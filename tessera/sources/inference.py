@@ -36,9 +36,19 @@ TYPE_LATTICE: list[tuple[str, str]] = [
     ("date", _DATE),
     ("timestamp_ntz", _DATE + _TIME),
     ("timestamp", _DATE + _TIME + r"(Z|[+-]\d{2}(:?\d{2})?)?"),
+    ("date:y/M/d", r"\d{4}/\d{1,2}/\d{1,2}"),
+    ("date:d/M/y", r"\d{1,2}/\d{1,2}/\d{4}"),
+    ("date:M/d/y", r"\d{1,2}/\d{1,2}/\d{4}"),
 ]
 
 
+def try_type(v: Column, type_name: str) -> Column:
+    """``v`` as a type of the lattice, NULL where it holds none; a type after
+    ``date:`` is a date in that form."""
+    kind, _, form = type_name.partition(":")
+    return F.try_to_date(v, form) if form else v.try_cast(kind)
+
+
 # First characters a number (or NaN) can start with, under the
 # patterns above.
 _NUMBER_START = (" ", "-", ".", "e", "E", "n", "N", *"0123456789")
@@ -52,6 +62,8 @@ def _gate(type_name: str, v: Column) -> Column:
         return F.length(v) <= 5
     if type_name in ("bigint", "double"):
         return F.substring(v, 1, 1).isin(*_NUMBER_START)
+    if type_name.startswith("date:"):
+        return (F.length(v) >= 8) & F.contains(v, F.lit("/"))
     # date, timestamp_ntz, timestamp: 'dddd-' first
     return (F.length(v) >= 8) & (F.substring(v, 5, 1) == F.lit("-"))
 
@@ -73,7 +85,7 @@ def value_checks(v: Column) -> dict[str, Column]:
     no = F.lit(False)
     checks: dict[str, Column] = {}
     for type_name, pattern in TYPE_LATTICE:
-        matched = F.when(v.rlike(f"^(?:{pattern})$"), v.try_cast(type_name).isNotNull()).otherwise(no)
+        matched = F.when(v.rlike(f"^(?:{pattern})$"), try_type(v, type_name).isNotNull()).otherwise(no)
         ok = F.when(_gate(type_name, v), matched).otherwise(no)
         if type_name == "double":
             ok = checks["bigint"] | ok
@@ -132,5 +144,5 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     for c in df.columns:
         t = types.get(c, "string")
         col = qcol(c)
-        out.append((col if t == "string" else col.try_cast(t)).alias(c))
+        out.append((col if t == "string" else try_type(col, t)).alias(c))
     return df.select(*out)

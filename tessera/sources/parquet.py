@@ -19,33 +19,58 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def write_parquet(
-    df: DataFrame,
-    path: str,
-    replace_after_commit: bool = True,
-    partition_by: Sequence[str] = (),
-) -> str:
+def _swap(fs, staged, target, aside) -> None:
+    """``staged`` in the place of ``target`` by renames; if the second one fails
+    the old folder comes back."""
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"could not move {target} aside")
+    moved = False
+    try:
+        moved = fs.rename(staged, target)
+        if not moved:
+            raise OSError(f"could not move {staged} to {target}")
+    finally:
+        if had and not moved and not fs.rename(aside, target):
+            raise OSError(f"the previous data of {target} is in {aside}")
+    if had:
+        fs.delete(aside, True)
+
+
+# File systems on which a folder is renamed as one step, without copying.
+RENAMES = ("file", "hdfs", "viewfs", "abfs", "abfss")
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as a Parquet dataset at ``path``; a rerun replaces it.
 
-    Failed tasks are retried on other executors by Spark. With
-    ``replace_after_commit`` (the default) the data is first written to a
-    sibling folder on the same file system and only swapped in once the job
-    has committed, so a job that fails part-way leaves the previous snapshot
-    at ``path`` untouched. (``mode("overwrite")`` alone deletes it before the
-    first row is written.) ``partition_by`` writes one folder per value.
+    Failed tasks are retried on other executors by Spark, and a job that fails
+    leaves the previous data at ``path``. (``mode("overwrite")`` alone deletes it
+    before the first row is written.) ``partition_by`` writes one folder per value.
+
+    Where folders are renamed in one step the new data is written beside
+    ``path``; once the job has committed, the old folder is moved aside, the new
+    one moved in and the old one deleted, and a rename that fails is undone. On
+    an object store, where a rename copies every byte, the job commits its files
+    into ``path`` and the files that were there before are deleted; between the
+    two a reader sees both.
     """
     path = str(path).rstrip("/")
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    if not replace_after_commit:
-        writer.mode("overwrite").parquet(path)
-        return path
     spark = df.sparkSession
-    staging = f"{path}.__writing-{uuid.uuid4().hex}"
-    writer.mode("errorifexists").parquet(staging)
     fs, target = _fs(spark, path)
-    _, staged = _fs(spark, staging)
+    if fs.getUri().getScheme() in RENAMES:
+        tag = uuid.uuid4().hex
+        staging = f"{path}.__writing-{tag}"
+        writer.mode("errorifexists").parquet(staging)
+        _swap(fs, _fs(spark, staging)[1], target, _fs(spark, f"{path}.__before-{tag}")[1])
+        return path
+    before = []
     if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(staged, target):
-        raise OSError(f"could not move {staging} to {path}")
+        listed = fs.listFiles(target, True)
+        while listed.hasNext():
+            before.append(listed.next().getPath())
+    writer.mode("append").parquet(path)
+    for old in before:
+        fs.delete(old, False)
     return path

@@ -59,23 +59,7 @@ def require_object_store(dest_dir: str, scheme: str = "gs") -> str:
     """The explicit object-store switch of the jobs (``gcs=True``): the
     destination must be a ``{scheme}://`` URI. Nothing is guessed from the
     path otherwise, and access itself comes from the session's Hadoop file
-    system settings (:func:`object_store_conf`)."""
+    system settings (:func:`tessera.session.object_store_conf`)."""
     if not str(dest_dir).startswith(f"{scheme}://"):
         raise ValueError(f"an object-store destination must be a {scheme}:// URI, got {dest_dir!r}")
     return str(dest_dir)
-
-
-def is_remote(path: str) -> bool:
-    """True for a URI with a scheme other than ``file``."""
-    head = str(path).split("/", 1)[0]
-    return head.endswith(":") and head not in ("file:",)
-
-
-def object_store_conf(options: dict[str, str]) -> dict[str, str]:
-    """Session settings for an object store, from Hadoop file-system options.
-
-    ``{"fs.gs.project.id": "p"}`` becomes ``{"spark.hadoop.fs.gs.project.id": "p"}``;
-    pass the result to :func:`tessera.session.build_session` as ``conf``.
-    Credentials are given by the caller, never read from the environment here.
-    """
-    return {k if k.startswith("spark.") else f"spark.hadoop.{k}": v for k, v in options.items()}

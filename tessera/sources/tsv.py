@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
-from tessera.session import default_parallelism, scratch_path, spread
+from tessera.scratch import lasting_path
+from tessera.session import scratch_path, spread
 from tessera.sources.inference import apply_types, infer_types
 
 
@@ -15,12 +16,17 @@ def read_text_table(
     path: str,
     sep: str = "\t",
     header: bool = True,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
     """Scan a delimited file (or folder / glob) with every column as text.
 
     Empty and quoted-empty fields read as NULL; a doubled quote inside a quoted
-    field is a literal quote. ``.gz`` files are decompressed in place.
+    field is a literal quote. ``.gz`` files are decompressed in place. A row with
+    more or fewer fields than the header is an error, when the data is read.
+
+    ``multiline`` (the default) keeps line breaks inside quoted fields. A plain
+    file is then one task, as a gzip file always is; turn it off for large plain
+    files that hold none, which are split.
     """
     return (
         spark.read.option("sep", sep)
@@ -29,24 +35,27 @@ def read_text_table(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)  # every row is checked in full
         .csv(path)
     )
 
 
-def estimated_text_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of text behind a file, folder or glob, from file-system metadata:
-    gzip files count ten times their size (a typical ratio for text)."""
+def text_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the files behind a file, folder or glob, from metadata."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(str(path))
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    total = 0
+    out = []
     for status in fs.globStatus(hpath) or []:
         files = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-        for f in files:
-            if f.isFile():
-                total += f.getLen() * (10 if f.getPath().getName().endswith(".gz") else 1)
-    return int(total)
+        out += [(f.getPath().getName(), f.getLen()) for f in files if f.isFile()]
+    return out
+
+
+def estimated_text_bytes(files: list[tuple[str, int]]) -> int:
+    """Bytes of text: gzip files count ten times their size (a typical ratio)."""
+    return sum(size * (10 if name.endswith(".gz") else 1) for name, size in files)
 
 
 def read_tsv_staged(
@@ -54,18 +63,20 @@ def read_tsv_staged(
     path: str,
     sep: str = "\t",
     header: bool = True,
-    multiline: bool = False,
-) -> tuple[DataFrame, str]:
-    """:func:`read_tsv` with staging, also returning the staged table's path so
+    multiline: bool = True,
+    lasting: bool = False,
+) -> tuple[DataFrame, str | None]:
+    """:func:`read_tsv`, also returning the staged table's path (or ``None``) so
     a job can remove it once its output is written."""
     text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
+    files = text_files(spark, path)
+    if not multiline and not any(name.endswith(".gz") for name, _ in files):
+        # splittable text: typed and read again in place, one pass over all columns
+        return apply_types(text, infer_types(text, chunk_columns=None)), None
     names = list(text.columns)
-    staged_path = scratch_path(spark, "staged-text")
+    staged_path = lasting_path(spark, "staged-text") if lasting else scratch_path(spark, "staged-text")
     positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
-    scan = text.select(*positional)
-    if scan.rdd.getNumPartitions() < default_parallelism(spark):  # few large (gzip) files
-        scan = spread(scan, input_size=estimated_text_bytes(spark, path))
-    scan.write.mode("overwrite").parquet(staged_path)
+    spread(text.select(*positional), estimated_text_bytes(files)).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     text = staged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
     return apply_types(text, infer_types(text)), staged_path
@@ -76,24 +87,16 @@ def read_tsv(
     path: str,
     sep: str = "\t",
     header: bool = True,
-    multiline: bool = False,
-    stage: bool = True,
+    multiline: bool = True,
 ) -> DataFrame:
     """Scan a delimited file and type every column from the whole file.
 
-    With ``stage`` (the default) the text is decompressed and parsed once,
-    spread over the cluster (pieces of at least 16 MB of text, see
-    :func:`tessera.session.spread`) and written as a Parquet table in the shared
-    checkpoint folder (compressed, splittable, columnar, under positional
-    column names so any source name is safe); inference and the typed result
-    both read that copy. Neither the single-threaded gzip reader nor the text
-    parser runs twice, and a lost executor recomputes from the staged table,
-    not from the raw file. The result is lazy, so the staged copy stays in the
-    scratch folder; jobs that write their output use :func:`read_tsv_staged`
-    and remove it afterwards (``bronze_layer``, ``profile_job``).
+    Text that can't be split (gzip, or line breaks in fields) is decompressed
+    and parsed once, spread over the cluster by size and written as a Parquet
+    table in the shared checkpoint folder (columnar, under positional column
+    names so any source name is safe); inference and the typed result both read
+    that copy, and a lost executor recomputes from it. The result is lazy, so
+    the copy stays until the driver process ends; jobs that write their output
+    use :func:`read_tsv_staged` and remove it then. Splittable text isn't copied.
     """
-    if stage:
-        return read_tsv_staged(spark, path, sep=sep, header=header, multiline=multiline)[0]
-    text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
-    # every read of raw text parses whole lines: one unpivot over all columns
-    return apply_types(text, infer_types(text, chunk_columns=None))
+    return read_tsv_staged(spark, path, sep=sep, header=header, multiline=multiline, lasting=True)[0]

@@ -11,19 +11,30 @@ from tessera.functions.columns import qcol, quote_name
 from tessera.sources.parquet import write_parquet
 
 
-def _split_table(table: str) -> tuple[str | None, str]:
-    parts = table.split(".")
-    return (parts[0], parts[1]) if len(parts) == 2 else (None, table)
+def _parts(table: str) -> list[str]:
+    """The parts of a table name; a catalog and a database are optional."""
+    return str(table).split(".")
+
+
+def _qualified(*parts: str) -> str:
+    return ".".join(map(quote_name, parts))
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}{loc}")
+    """``database`` may carry a catalog (``catalog.database``)."""
+    place = str(location).replace("\\", "\\\\").replace("'", "\\'") if location else None
+    loc = f" LOCATION '{place}'" if place else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_qualified(*_parts(database))}{loc}")
+
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
-def _qualified(table: str) -> str:
-    database, name = _split_table(table)
-    return f"{quote_name(database)}.{quote_name(name)}" if database else quote_name(name)
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def load_table(
@@ -32,7 +43,8 @@ def load_table(
     path: str | None = None,
     database_location: str | None = None,
 ) -> str:
-    """Load ``df`` unchanged into a catalog table (e.g. the ``raw`` layer).
+    """Load ``df`` unchanged into a catalog table (e.g. the ``raw`` layer), named
+    ``table``, ``database.table`` or ``catalog.database.table``.
 
     ``path`` makes it an external table below that location (shared storage
     on a cluster); without it the table lives in the session's warehouse
@@ -41,32 +53,38 @@ def load_table(
 
     With ``path`` every load is written to a new version folder
     ``{path}/v-{id}`` first; only when that job has committed is the table
-    pointed at it (a metadata change: the external table's definition is
-    replaced, its data kept) and the previous version folder removed. A load
-    that fails part-way leaves the previous table whole and readable.
+    pointed at it, by ``ALTER TABLE ... SET LOCATION``, and the previous version
+    folder removed. At every moment there is a table, whole and readable. (A
+    load with other columns replaces the table's definition, which takes a drop
+    and a create.)
     """
     spark = df.sparkSession
-    database, _ = _split_table(table)
-    if database:
-        ensure_database(spark, database, database_location)
+    parts = _parts(table)
+    name = _qualified(*parts)
+    if len(parts) > 1:
+        ensure_database(spark, ".".join(parts[:-1]), database_location)
     if not path:
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
         return table
 
     root = str(path).rstrip("/")
     version = f"{root}/v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
-
+    written = spark.read.parquet(version)
     previous = None
-    if spark.catalog.tableExists(table):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_qualified(table)}").collect()
-        previous = next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
-        spark.sql(f"DROP TABLE {_qualified(table)}")  # external: the data stays
-    spark.catalog.createTable(table, path=version, source="parquet")
+    if spark.catalog.tableExists(name):
+        previous = _location(spark, name)
+        if spark.table(name).dtypes == written.dtypes:
+            place = version.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(name)
+        else:
+            spark.sql(f"DROP TABLE {name}")  # external: the data stays
+            spark.catalog.createTable(name, path=version, source="parquet")
+    else:
+        spark.catalog.createTable(name, path=version, source="parquet")
     if previous and f"{root}/v-" in previous:
-        jvm = spark.sparkContext._jvm
-        old = jvm.org.apache.hadoop.fs.Path(previous)
-        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        _remove(spark, previous)
     return table
 
 
@@ -117,40 +135,46 @@ def write_bucketed_table(
     aggregations on those keys read co-partitioned data without a shuffle.
 
     With ``path`` the data goes to a new version folder ``{path}/v-{id}`` as a
-    table under a temporary name; once that job has committed, the previous
-    table is dropped (external: its data stays) and the new one renamed into
-    place, then the previous version folder is removed. A write that fails
-    part-way leaves the previous table whole.
+    table under a temporary name. Once that job has committed, an existing table
+    is pointed at the folder, as in :func:`load_table` (its columns and buckets
+    must be the same; otherwise it is dropped and the new one renamed into its
+    place). A write that fails part-way leaves the previous table whole.
     """
     spark = df.sparkSession
-    database, name = _split_table(table)
-    if database:
-        ensure_database(spark, database)
+    parts = _parts(table)
+    name = _qualified(*parts)
+    if len(parts) > 1:
+        ensure_database(spark, ".".join(parts[:-1]))
 
-    def writer(target_path: str | None):
+    def write(target: str, target_path: str | None, mode: str) -> None:
         w = df.write.format("parquet").bucketBy(buckets, *bucket_by)
         if sort_by:
             w = w.sortBy(*sort_by)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        return w.option("path", target_path) if target_path else w
+        (w.option("path", target_path) if target_path else w).mode(mode).saveAsTable(target)
 
     if not path:
-        writer(None).mode("overwrite").saveAsTable(table)
+        write(name, None, "overwrite")
         return table
 
-    root = str(path).rstrip("/")
-    tag = uuid.uuid4().hex
-    staging = f"{database}.{name}__v{tag}" if database else f"{name}__v{tag}"
-    writer(f"{root}/v-{tag}").mode("errorifexists").saveAsTable(staging)
-    previous = None
-    if spark.catalog.tableExists(table):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_qualified(table)}").collect()
-        previous = next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
-        spark.sql(f"DROP TABLE {_qualified(table)}")  # external: the data stays
-    spark.sql(f"ALTER TABLE {_qualified(staging)} RENAME TO {_qualified(table)}")
-    if previous and f"{root}/v-" in previous:
-        jvm = spark.sparkContext._jvm
-        old = jvm.org.apache.hadoop.fs.Path(previous)
-        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    root, tag = str(path).rstrip("/"), uuid.uuid4().hex
+    version = f"{root}/v-{tag}"
+    if not spark.catalog.tableExists(name):
+        write(name, version, "errorifexists")
+        return table
+    previous = _location(spark, name)
+    staging = _qualified(*parts[:-1], f"{parts[-1]}__v{tag}")
+    write(staging, version, "errorifexists")
+    layout = lambda t: [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect() if r["col_name"] in ("Num Buckets", "Bucket Columns", "Sort Columns")]
+    if spark.table(name).dtypes == spark.table(staging).dtypes and layout(name) == layout(staging) and not partition_by:
+        place = version.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(name)
+        spark.sql(f"DROP TABLE {staging}")  # external: the data stays
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    if f"{root}/v-" in previous:
+        _remove(spark, previous)
     return table

@@ -13,6 +13,7 @@ from tessera.plans.bronze import bronze_layer, bronze_transform
 from tessera.sources.inference import infer_types
 from tessera.sources.snapshot import snapshot_path
 
+# The two-row sample and the rows and types it must give.
 SAMPLE = "code\tproduct_name\tcompleteness\n0001\tProduct A\t0.5\n0002\tProduct B\t0.8\n"
 
 
@@ -26,24 +27,42 @@ def _write(path: str, text: str, gz: bool = False) -> str:
     return path
 
 
-def test_preserves_row_and_column_count(spark, workdir):
-    src = _write(os.path.join(workdir, "products.csv"), SAMPLE)
+@pytest.mark.parametrize("gz", [False, True])
+def test_snapshot_holds_the_typed_sample(spark, workdir, gz):
+    src = _write(os.path.join(workdir, "products.csv" + ".gz" * gz), SAMPLE, gz=gz)
     dest = bronze_layer(spark, src, os.path.join(workdir, "bronze"), run_date=date(2026, 7, 1))
     assert dest == os.path.join(workdir, "bronze", "2026-07-01", "products.parquet")
-    assert os.path.exists(dest)
     back = spark.read.parquet(dest)
-    assert back.count() == 2
-    assert back.columns == ["code", "product_name", "completeness"]
+    assert [(f.name, f.dataType.simpleString()) for f in back.schema.fields] == [
+        ("code", "string"), ("product_name", "string"), ("completeness", "double")
+    ]
+    assert sorted(tuple(r) for r in back.collect()) == [("0001", "Product A", 0.5), ("0002", "Product B", 0.8)]
 
 
-def test_preserves_all_values_and_types(spark, workdir):
-    src = _write(os.path.join(workdir, "products.csv.gz"), SAMPLE, gz=True)
-    dest = bronze_layer(spark, src, os.path.join(workdir, "bronze"), run_date=date(2026, 7, 1))
-    back = spark.read.parquet(dest)
-    assert back.schema["code"].dataType == T.StringType()
-    assert back.schema["completeness"].dataType == T.DoubleType()
-    rows = [tuple(r) for r in back.orderBy("code").collect()]
-    assert rows == [("0001", "Product A", 0.5), ("0002", "Product B", 0.8)]
+@pytest.mark.parametrize("gz", [False, True])
+def test_line_breaks_inside_quoted_fields(spark, workdir, gz):
+    text = 'id\ttext\n1\t"a\nb ""c""\t\n\nd"\n2\te\n'
+    src = _write(os.path.join(workdir, "lines.tsv" + ".gz" * gz), text, gz=gz)
+    rows = bronze_transform(spark, src).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 'a\nb "c"\t\n\nd'), (2, "e")]
+
+
+@pytest.mark.parametrize("line", ["1\t2\t3", "1"])
+@pytest.mark.parametrize("multiline", [False, True])
+def test_ragged_rows_are_an_error(spark, workdir, line, multiline):
+    src = _write(os.path.join(workdir, "ragged.tsv"), f"a\tb\n0\t0\n{line}\n")
+    dest = os.path.join(workdir, "bronze")
+    with pytest.raises(Exception, match="MALFORMED"):
+        bronze_layer(spark, src, dest, run_date=date(2026, 7, 1), multiline=multiline)
+    assert not os.path.exists(os.path.join(dest, "2026-07-01", "products.parquet"))
+
+
+def test_splittable_text_is_not_copied(spark, workdir):
+    from tessera.sources.tsv import read_tsv_staged
+
+    src = _write(os.path.join(workdir, "plain.tsv"), SAMPLE)
+    df, staged = read_tsv_staged(spark, src, multiline=False)
+    assert staged is None and sorted(tuple(r) for r in df.collect()) == [("0001", "Product A", 0.5), ("0002", "Product B", 0.8)]
 
 
 def test_rerun_same_date_replaces(spark, workdir):
@@ -75,7 +94,7 @@ def test_empty_and_quoted_empty_read_as_null(spark, workdir):
 
 
 # (values, expected Spark type) - the inference table of the survey, with the
-# documented differences (times and d/m/y dates stay text).
+# documented difference (times stay text).
 VECTORS = [
     (["1", "2"], "bigint"),
     (["01", "2"], "string"),
@@ -96,7 +115,13 @@ VECTORS = [
     (["2026-01-01 00:00:00", "2026-01-02 10:11:12"], "timestamp_ntz"),
     (["2026-01-01T00:00:00Z", "2026-01-02T00:00:00Z"], "timestamp"),
     (["10:00:00", "11:00:00"], "string"),
-    (["01/02/2026", "02/02/2026"], "string"),
+    (["01/02/2026", "02/02/2026"], "date:d/M/y"),
+    (["13/02/2026", "1/2/2026"], "date:d/M/y"),
+    (["02/13/2026", "01/02/2026"], "date:M/d/y"),
+    (["13/02/2026", "02/13/2026"], "string"),
+    (["31/02/2026"], "string"),
+    (["2026/01/01", "2026/12/31"], "date:y/M/d"),
+    (["2026/01/01", "2026-01-01"], "string"),
     (["a", "1"], "string"),
     ([None, None], "string"),
     (["2026-13-01", "2026-01-01"], "string"),
@@ -153,14 +178,14 @@ def test_gated_checks_equal_plain_pattern_and_cast(spark):
     from hypothesis import strategies as st
     from pyspark.sql import functions as F
 
-    from tessera.sources.inference import TYPE_LATTICE, value_checks
+    from tessera.sources.inference import TYPE_LATTICE, try_type, value_checks
 
     alphabet = st.sampled_from(list("0123456789 -+.:eEnNaTZtrufalsyoFx/"))
     values = st.lists(st.text(alphabet, min_size=0, max_size=22), min_size=1, max_size=400)
     samples = [
         "2026-01-01", "2026-1-1 10:00", "2026-01-01T00:00:00Z", "2026-01-01 00:00:00+02:00",
         " 12 ", "-0", "1e5", "e5", ".", "-", "NaN", "nan", "Yes", "f", "9223372036854775808",
-        "2026-13-01", "1.", ".5", "", "   ",
+        "2026-13-01", "1.", ".5", "", "   ", "13/02/2026", "2/13/2026", "2026/1/31", "2026/31/1",
     ]
 
     @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
@@ -171,7 +196,7 @@ def test_gated_checks_equal_plain_pattern_and_cast(spark):
         gated = value_checks(v)
         cols = []
         for type_name, pattern in TYPE_LATTICE:
-            plain = v.rlike(f"^(?:{pattern})$") & v.try_cast(type_name).isNotNull()
+            plain = v.rlike(f"^(?:{pattern})$") & try_type(v, type_name).isNotNull()
             cols.append(F.count_if(gated[type_name] != plain).alias(type_name))
         row = df.agg(*cols).first()
         assert all(row[t] == 0 for t, _ in TYPE_LATTICE), row
@@ -196,6 +221,45 @@ def test_failed_rerun_keeps_previous_snapshot(spark, workdir):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_failed_rename_keeps_previous_snapshot(spark, workdir, monkeypatch):
+    from tessera.sources import parquet as P
+
+    path = P.write_parquet(spark.range(5), workdir + "/swap/x.parquet")
+
+    class Failing:
+        """A file system on which the new folder can't be moved in."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, a, b):
+            return False if "__writing-" in a.toString() else self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    real = P._fs
+    monkeypatch.setattr(P, "_fs", lambda s, p: (Failing(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(OSError, match="could not move"):
+        P.write_parquet(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 5
+    monkeypatch.undo()
+    P.write_parquet(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+    assert [d for d in os.listdir(workdir + "/swap") if "__before" in d] == []
+
+
+def test_store_without_renames_is_written_in_place(spark, workdir, monkeypatch):
+    from tessera.sources import parquet as P
+
+    monkeypatch.setattr(P, "RENAMES", ())
+    path = P.write_parquet(spark.range(5), workdir + "/store/x.parquet")
+    assert spark.read.parquet(path).count() == 5
+    P.write_parquet(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+    assert os.listdir(workdir + "/store") == ["x.parquet"]
+
+
 def test_read_snapshots_all_or_chosen_dates(spark, workdir):
     from pyspark.sql import functions as F
 

@@ -10,6 +10,7 @@ from datetime import date
 
 from tessera.__main__ import main
 
+# The curation fixture.
 HEADER = [
     "code", "product_name", "generic_name", "created_datetime", "last_modified_datetime", "countries_tags",
     "brands", "categories_tags", "categories", "main_category", "completeness", "quantity", "product_quantity",
