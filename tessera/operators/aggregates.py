@@ -13,17 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import qcol
+from tessera.functions.columns import qcol, resolve
 from tessera.functions.dates import truncate_period
 from tessera.functions.multivalue import values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, placeholder_to_null
 from tessera.functions.numeric import share
-from tessera.session import column_chunks
-
-
-def row_count(df: DataFrame, alias: str = "total_rows") -> DataFrame:
-    """``COUNT(*)``."""
-    return df.agg(F.count(F.lit(1)).alias(alias))
+from tessera.operators.unpivot import SLOT, decode_text, lookup, typed_rows
 
 
 def conditional_count(df: DataFrame, conditions: dict[str, Column], total: str | None = "total_rows") -> DataFrame:
@@ -58,27 +53,29 @@ def value_frequencies(
 ) -> DataFrame:
     """Value frequencies of several columns in one job: ``column, value, cnt``.
 
-    The columns are unpivoted (values as text) and counted by ``(column,
-    value)``: one scan and one shuffle for all of them, hot values combined in
-    every map task first. NULL is a value of its own. With ``top`` only the
-    ``top`` most frequent values of each column are kept (ties by value,
-    ascending, NULL last); the per-column limit is planned as a
-    ``WindowGroupLimit``, applied in every task before the shuffle by column,
-    so a column with many distinct values never gathers them in one task.
+    The rows are unpivoted and counted by their typed value
+    (:mod:`tessera.operators.unpivot`): one run of the input and one shuffle for
+    all columns, hot values combined in every map task first; only the counted
+    value is turned into text. NULL is a value of its own. With ``top`` only the
+    ``top`` most frequent values of each column are kept (ties by the value's
+    text, ascending, NULL last): first of each hash bucket of the values, then
+    of what is left, so the distinct values of one column never meet in a task.
     """
-    names = list(columns)
-    slots = [f"_f{i}" for i in range(len(names))]
-    label = F.create_map(*[x for s, n in zip(slots, names) for x in (F.lit(s), F.lit(n))])
-    parts = []
-    for chunk in column_chunks(list(zip(names, slots))):  # wide inputs: see column_chunks
-        text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
-        pairs = text.unpivot([], [s for _, s in chunk], "_slot", "value")
-        parts.append(pairs.groupBy("_slot", "value").agg(F.count(F.lit(1)).alias(count_col)))
-    counts = reduce(DataFrame.unionByName, parts)
+    names = [resolve(df, c) for c in columns]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rows, values, home = typed_rows(df, names)
+    counts = rows.groupBy(SLOT, *values).agg(F.count(F.lit(1)).alias(count_col))
+    text = F.lit(None).cast("string")
+    for i, name in enumerate(names):
+        text = F.when(F.col(SLOT) == i, decode_text(F.col(home[i]), types[name])).otherwise(text)
+    counts = counts.select(SLOT, text.alias("value"), count_col, F.xxhash64(*values).alias("_hash"))
     if top is not None:
-        order = Window.partitionBy("_slot").orderBy(F.col(count_col).desc(), F.col("value").asc_nulls_last())
-        counts = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top).drop("_rank")
-    return counts.select(label[F.col("_slot")].alias("column"), "value", count_col)
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        order = [F.col(count_col).desc(), F.col("value").asc_nulls_last()]
+        for by in ([SLOT, F.pmod("_hash", F.lit(buckets))], [SLOT]):
+            rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+            counts = counts.withColumn("_rank", rank).where(F.col("_rank") <= top).drop("_rank")
+    return counts.select(lookup(list(columns)).alias("column"), "value", count_col)
 
 
 def numeric_range(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:
@@ -115,45 +112,28 @@ def population(
     """Real population per column: rows that are neither NULL nor a placeholder.
 
     One row per column: ``column, total_rows, non_null_rows, populated_rows,
-    population_rate``. One job: the columns are unpivoted (as text, up to 64
-    at a time, each chunk reading only its columns) and counted by slot.
+    population_rate``. One job and one run of the input: the columns are
+    unpivoted as text and counted by slot.
     """
-    values = list(placeholders)
-    slots = [f"_p{i}" for i in range(len(columns))]
-    spark = df.sparkSession
-    parts = []
-    for chunk in column_chunks(list(zip(columns, slots))):  # wide inputs: see column_chunks
-        text = df.select(*[qcol(c).cast("string").alias(s) for c, s in chunk])
-        pairs = text.unpivot([], [s for _, s in chunk], "slot", "v").withColumn("_w", F.lit(1))
-        # one zero-weight row per column keeps the columns of an empty table
-        empty = spark.createDataFrame([(s,) for _, s in chunk], "slot string").select(
-            "slot", F.lit(None).cast("string").alias("v"), F.lit(0).alias("_w")
-        )
-        v, w = F.col("v"), F.col("_w")
-        parts.append(
-            pairs.unionByName(empty).groupBy("slot").agg(
-                F.sum(w).cast("long").alias("total_rows"),
-                F.sum(F.when(v.isNotNull(), w).otherwise(0)).cast("long").alias("non_null_rows"),
-                F.sum(F.when(placeholder_to_null(v, values).isNotNull(), w).otherwise(0)).cast("long").alias("populated_rows"),
-            )
-        )
-    stats = reduce(DataFrame.unionByName, parts)
-
-    def lookup(mapping: dict) -> Column:  # slot -> literal, the size of the column list
-        return F.create_map(*[x for k, val in mapping.items() for x in (F.lit(k), F.lit(val))])[F.col("slot")]
-
+    names, marks = [resolve(df, c) for c in columns], list(placeholders)
+    cells = [x for i, c in enumerate(names) for x in (F.lit(i), qcol(c).cast("string"))]
+    pairs = df.select(F.stack(F.lit(len(names)), *cells).alias(SLOT, "v")).withColumn("_w", F.lit(1))
+    # one zero-weight row per column keeps the columns of an empty table
+    empty = df.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias(SLOT), F.lit(None).cast("string").alias("v"), F.lit(0).alias("_w")
+    )
+    v, w = F.col("v"), F.col("_w")
+    stats = pairs.unionByName(empty).groupBy(SLOT).agg(
+        F.sum(w).cast("long").alias("total_rows"),
+        F.sum(F.when(v.isNotNull(), w).otherwise(0)).cast("long").alias("non_null_rows"),
+        F.sum(F.when(placeholder_to_null(v, marks).isNotNull(), w).otherwise(0)).cast("long").alias("populated_rows"),
+    )
     return (
-        stats.select(
-            lookup(dict(zip(slots, range(len(columns))))).alias("position"),
-            lookup(dict(zip(slots, columns))).alias("column"),
-            "total_rows",
-            "non_null_rows",
-            "populated_rows",
-        )
+        stats.select(SLOT, lookup(list(columns)).alias("column"), "total_rows", "non_null_rows", "populated_rows")
         .withColumn("population_rate", share(F.col("populated_rows"), F.col("total_rows"), digits))
-        .coalesce(1)  # one row per column
-        .sortWithinPartitions("position")
-        .drop("position")
+        .repartition(1)  # one row per column
+        .sortWithinPartitions(SLOT)
+        .drop(SLOT)
     )
 
 

@@ -1,74 +1,25 @@
 """Column profile: type, row count, non-NULL count, NULL rate, distinct count.
 
-The whole table is profiled in one job rather than one scan per column. Every
-column is mapped to a value *domain* by a lossless, one-to-one encoding
-(integers, booleans, dates and timestamps become ``bigint``: the value itself,
-epoch days or epoch microseconds; ``float`` widens to ``double``; text stays
-text; other types keep their own domain). Each domain is unpivoted into
-``(slot, v)`` pairs and aggregated by slot. No value is cast to text, so
--0.0/0.0 and NaN are grouped as SQL groups them, and since a slot is one
-column, an encoding only has to be one-to-one within a column.
-
-The exact distinct count is planned as a first aggregation on ``(slot, v)`` -
-hash-partitioned on the value too, so one wide or one very frequent column
-does not land in one task, and a hot value is collapsed map-side - followed by
-a tiny one on ``slot``. Each domain scans only its own columns, so together
-the domains read the table's bytes once; a table of the usual column types
-has at most three domains (numbers and times, doubles, text).
+The whole table is profiled in one job, and its input runs once: every row is
+unpivoted into typed ``(slot, value)`` rows (:mod:`tessera.operators.unpivot`)
+and aggregated by slot. The exact distinct count is a first aggregation on
+(slot, value) - hash-partitioned on the value too, so one wide or one very
+frequent column does not land in one task, and a hot value is collapsed
+map-side - followed by a tiny one on the slot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.functions.columns import qcol
+from tessera.functions.columns import resolve
 from tessera.functions.numeric import null_rate
-from tessera.functions.timezone import ntz_micros
-from tessera.session import column_chunks
+from tessera.operators.unpivot import SLOT, lookup, typed_rows
 from tessera.sources.schema import sql_type_name
 
-_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-_OWN_DOMAIN = (T.DecimalType, T.BinaryType, T.ArrayType, T.StructType)
-
-
-def _has_map(dtype: T.DataType) -> bool:
-    """Maps cannot be grouped, also inside arrays and structs."""
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.ArrayType):
-        return _has_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_has_map(f.dataType) for f in dtype.fields)
-    return False
-
-
-def _encode(col: Column, dtype: T.DataType) -> tuple[str, Column]:
-    """``(domain, value)`` of one column: equal encodings <=> equal values."""
-    if isinstance(dtype, _INTEGRAL):
-        return "bigint", col.cast("bigint")
-    if isinstance(dtype, T.BooleanType):
-        return "bigint", col.cast("bigint")
-    if isinstance(dtype, T.DateType):
-        return "bigint", F.unix_date(col).cast("bigint")
-    if isinstance(dtype, T.TimestampType):
-        return "bigint", F.unix_micros(col)
-    if isinstance(dtype, T.TimestampNTZType):
-        return "bigint", ntz_micros(col)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return "double", col.cast("double")
-    if isinstance(dtype, T.StringType):
-        return "string", col
-    if _has_map(dtype):  # compared through their JSON text
-        return "string", F.to_json(col)
-    if isinstance(dtype, _OWN_DOMAIN):
-        return dtype.simpleString(), col
-    return "string", col.cast("string")
-
 
 def column_stats(
     df: DataFrame,
@@ -82,52 +33,36 @@ def column_stats(
     (``approx_count_distinct`` with relative error ``rsd``): no shuffle of
     values at all, for very wide high-cardinality tables.
     """
-    cols = list(columns) if columns is not None else list(df.columns)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    groups: dict[str, list[tuple[str, Column]]] = {}
-    for pos, name in enumerate(cols):
-        domain, value = _encode(qcol(name), fields[name])
-        groups.setdefault(domain, []).append((f"_p{pos}", value))
-
+    cols = [resolve(df, c) for c in columns] if columns is not None else list(df.columns)
     spark = df.sparkSession
-    position = {f"_p{pos}": pos for pos in range(len(cols))}
-
-    def lookup(values: dict[str, object]) -> Column:
-        # slot -> literal, a map the size of the schema
-        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])[F.col("slot")]
-
-    parts = []
-    # one unpivot per domain, and per chunk of a wide domain (see
-    # tessera.session.MAX_UNPIVOT_COLUMNS), each reading only its own columns
-    for members in [chunk for group in groups.values() for chunk in column_chunks(group)]:
-        slots = [slot for slot, _ in members]
-        pairs = df.select(*[value.alias(slot) for slot, value in members]).unpivot([], slots, "slot", "v")
-        # one weightless row per column, so a column of an empty table still
-        # gets its row (counts 0) without a join after the aggregation
-        empty = spark.createDataFrame([(slot,) for slot in slots], "slot string").select(
-            "slot", F.lit(None).cast(pairs.schema["v"].dataType).alias("v"), F.lit(0).alias("_w")
-        )
-        weighted = pairs.withColumn("_w", F.lit(1)).unionByName(empty)
-        distinct = F.approx_count_distinct("v", rsd) if approx else F.count_distinct("v")
-        parts.append(
-            weighted.groupBy("slot").agg(
-                F.sum("_w").cast("long").alias("total_rows"),
-                F.sum(F.when(F.col("v").isNotNull(), F.col("_w")).otherwise(0)).cast("long").alias("non_null_rows"),
-                distinct.cast("long").alias("distinct_values"),
-            )
-        )
-
-    if not parts:  # no columns to profile
+    if not cols:  # no columns to profile
         return spark.createDataFrame([], "position int, column string, type string, total_rows long, "
                                          "non_null_rows long, distinct_values long")
-    stats = reduce(DataFrame.unionByName, parts)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rows, values, _ = typed_rows(df, cols)
+    # one weightless row per column, so a column of an empty table still gets
+    # its row (counts 0) without a join after the aggregation
+    nulls = [F.lit(None).cast(rows.schema[v].dataType).alias(v) for v in values]
+    empty = spark.range(len(cols)).select(F.col("id").cast("int").alias(SLOT), *nulls, F.lit(0).alias("_w"))
+    weighted = rows.withColumn("_w", F.lit(1)).unionByName(empty)
+    present = F.coalesce(*[F.when(F.col(v).isNotNull(), F.lit(True)) for v in values]).isNotNull()
+    if approx:
+        distinct = F.approx_count_distinct(F.when(present, F.xxhash64(*values)), rsd)
+        stats = weighted.groupBy(SLOT).agg(
+            F.sum("_w").alias("total_rows"), F.sum(F.when(present, F.col("_w")).otherwise(0)).alias("non_null_rows"),
+            distinct.alias("distinct_values"),
+        )
+    else:
+        per_value = weighted.groupBy(SLOT, *values).agg(F.sum("_w").alias("_w"))
+        stats = per_value.groupBy(SLOT).agg(
+            F.sum("_w").alias("total_rows"), F.sum(F.when(present, F.col("_w")).otherwise(0)).alias("non_null_rows"),
+            F.count_if(present).alias("distinct_values"),
+        )
     return stats.select(
-        lookup(position).cast("int").alias("position"),
-        lookup({f"_p{pos}": name for pos, name in enumerate(cols)}).alias("column"),
-        lookup({f"_p{pos}": sql_type_name(fields[name]) for pos, name in enumerate(cols)}).alias("type"),
-        "total_rows",
-        "non_null_rows",
-        "distinct_values",
+        F.col(SLOT).alias("position"),
+        lookup(cols).alias("column"),
+        lookup([sql_type_name(types[c]) for c in cols]).alias("type"),
+        *[F.col(c).cast("long").alias(c) for c in ("total_rows", "non_null_rows", "distinct_values")],
     )
 
 
@@ -149,7 +84,8 @@ def profile(
     """
     src = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed) if sample_fraction else df
     stats = column_stats(src, columns, approx=approx, rsd=rsd)
-    # One row per profiled column: a single sorted partition, no range sort.
+    # One row per profiled column, sorted in a single partition; the exchange
+    # below it leaves the final aggregate itself on all tasks.
     out = (
         stats.select(
             "position",
@@ -158,7 +94,7 @@ def profile(
             null_rate(F.col("total_rows"), F.col("non_null_rows")).alias("null_rate"),
             "distinct_values",
         )
-        .coalesce(1)
+        .repartition(1)
         .sortWithinPartitions("position")
     )
     return out if with_position else out.drop("position")

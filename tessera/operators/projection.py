@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from tessera.functions.columns import qcol
 
@@ -67,24 +67,23 @@ def drop_columns(df: DataFrame, columns: Sequence[str], strict: bool = False) ->
     return df.select(*[qcol(c) for c in df.columns if c not in drop])
 
 
-def with_computed(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    """Add or replace columns by expression (``expr AS name``); a replaced
-    column keeps its position."""
-    return df.withColumns(dict(exprs))
-
-
-def rename_cast(df: DataFrame, spec: Mapping[str, tuple[str, str | None]]) -> DataFrame:
+def rename_cast(
+    df: DataFrame, spec: Mapping[str, tuple[str, str | None]], safe: bool = False
+) -> DataFrame:
     """Staging step: ``{old: (new, type or None)}``; other columns pass through.
 
-    Casts use ``try_cast`` (a value that does not fit becomes NULL rather than
-    failing the job under ANSI mode).
+    A value that does not fit its new type is an error (ANSI ``CAST``). With
+    ``safe`` it becomes NULL instead (``try_cast``). Names not in ``df`` are an
+    error too.
     """
+    missing = [c for c in spec if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns not in the input: {missing}")
     out = []
     for c in df.columns:
-        if c in spec:
-            new, type_name = spec[c]
-            col = qcol(c) if type_name is None else qcol(c).try_cast(type_name)
-            out.append(col.alias(new))
-        else:
-            out.append(qcol(c))
+        new, type_name = spec.get(c, (c, None))
+        col = qcol(c)
+        if type_name is not None:
+            col = col.try_cast(type_name) if safe else col.cast(type_name)
+        out.append(col.alias(new))
     return df.select(*out)

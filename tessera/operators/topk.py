@@ -14,21 +14,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
 
-# Largest top-N list that is broadcast to every task; beyond it the join is
-# left to the planner (a sort-merge join). N is a parameter, so its size is
-# known before the job runs.
-BROADCAST_TOP_LIMIT = 100_000
-
-
 def _keys(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def sort_desc(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
-    """``ORDER BY c DESC`` (NULLs last)."""
-    return df.orderBy(*[qcol(c).desc_nulls_last() for c in _keys(columns)])
-
-
 def sort_asc(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """``ORDER BY c`` with NULLs last (Spark's ascending default puts them first)."""
     return df.orderBy(*[qcol(c).asc_nulls_last() for c in _keys(columns)])
@@ -56,27 +45,40 @@ def top_n_other(
     label: str = "label",
     count_col: str = "cnt",
     other: str = "Other",
+    nulls: str = "value",
+    other_flag: str | None = None,
 ) -> DataFrame:
     """Counts of the ``n`` most frequent values, every other value folded into
-    one ``other`` row. Ties at the cut are broken by value; NULL is a value.
-    ``label`` is a text column for any value type.
+    one ``other`` row. Ties at the cut are broken by value. ``label`` is a text
+    column for any value type.
+
+    ``nulls`` says what NULL is: ``"value"`` (one of the values, which may take
+    a place), ``"other"`` (never a place, counted in the ``other`` row) or
+    ``"drop"`` (not counted). A real value equal to ``other`` stays a row of
+    its own when it is among the ``n``; ``other_flag`` names a boolean column
+    that tells the two rows apart.
 
     The input is aggregated once to one row per distinct value; the top list
-    (``n`` rows) is a ``TakeOrderedAndProject`` over those counts and is
-    broadcast back onto them, and the final re-aggregation is over at most
-    ``n + 1`` labels. Raw rows are never joined or sorted.
+    (``n`` rows, a ``TakeOrderedAndProject`` over those counts) is broadcast
+    back onto them, and the final aggregation is over at most ``n + 1`` rows.
+    Raw rows are never joined or sorted.
     """
+    if nulls not in ("value", "other", "drop"):
+        raise ValueError("nulls must be 'value', 'other' or 'drop'")
     col = qcol(column) if isinstance(column, str) else column
-    counts = df.groupBy(col.alias("_value")).agg(F.count(F.lit(1)).alias("_cnt"))
+    source = df.where(col.isNotNull()) if nulls == "drop" else df
+    counts = source.groupBy(col.alias("_value")).agg(F.count(F.lit(1)).alias("_cnt"))
+    places = counts.where(F.col("_value").isNotNull()) if nulls == "other" else counts
     top = (
-        counts.orderBy(F.col("_cnt").desc(), F.col("_value").asc_nulls_last())
+        places.orderBy(F.col("_cnt").desc(), F.col("_value").asc_nulls_last())
         .limit(n)
         .select(F.col("_value").alias("_top_value"), F.lit(True).alias("_in_top"))
     )
-    if n <= BROADCAST_TOP_LIMIT:
-        top = F.broadcast(top)
-    marked = counts.join(top, counts["_value"].eqNullSafe(top["_top_value"]), "left")
+    marked = counts.join(F.broadcast(top), counts["_value"].eqNullSafe(top["_top_value"]), "left")
+    folded = F.col("_in_top").isNull()
     # the label is text whatever the column's type (ties above are broken on
     # the value itself, e.g. numerically)
-    labelled = F.when(F.col("_in_top"), F.col("_value").cast("string")).otherwise(F.lit(other))
-    return marked.groupBy(labelled.alias(label)).agg(F.sum("_cnt").cast("long").alias(count_col))
+    text = F.when(folded, F.lit(other)).otherwise(F.col("_value").cast("string"))
+    rows = marked.groupBy(folded.alias("_folded"), text.alias("_label")).agg(F.sum("_cnt").cast("long").alias("_n"))
+    flag = [F.col("_folded").alias(other_flag)] if other_flag else []
+    return rows.select(F.col("_label").alias(label), F.col("_n").alias(count_col), *flag)

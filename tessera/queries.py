@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import truncate_period
 from tessera.functions.nulls import all_null, any_present
-from tessera.functions.timezone import at_time_zone_utc, ntz_micros
+from tessera.functions.timezone import at_time_zone_utc, ntz_micros, utc_wall_to_instant
 from tessera.operators.aggregates import (
     conditional_count,
     counts_by_period,
@@ -36,14 +36,15 @@ from tessera.operators.projection import drop_columns, rename_cast
 from tessera.operators.quality import output_checks, range_check, reconciliation, schema_check
 from tessera.operators.topk import sort_asc, top_k, top_n_other
 from tessera.plans.bronze import bronze_layer
-from tessera.plans.marts import category_mart, multivalue_mart
+from tessera.plans.marts import additions_mart, category_mart, multivalue_mart, write_product_fact
 from tessera.plans.profile_job import profile_dataset
-from tessera.plans.silver import silver_transform
-from tessera.session import scratch_path
+from tessera.plans.silver import silver_layer, silver_transform
+from tessera.scratch import Scratch, lasting_path
 from tessera.sources.report import write_profile_json
 from tessera.sources.schema import describe
+from tessera.sources.parquet import write_parquet
 from tessera.sources.snapshot import read_snapshots, write_snapshot
-from tessera.sources.warehouse import load_table, write_partitioned
+from tessera.sources.warehouse import load_table, write_bucketed_table, write_partitioned
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +58,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _NO_TYPE = "error"
+_NO_USER = 7
 _NO_PROPS = '{"k": 1}'
 
 
@@ -65,7 +67,7 @@ def _events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         "event_id",
         "ts",
-        "user_id",
+        F.nullif(F.col("user_id"), F.lit(_NO_USER).cast("long")).alias("user_id"),
         F.nullif(F.col("event_type"), F.lit(_NO_TYPE)).alias("event_type"),
         "value",
         F.nullif(F.col("props"), F.lit(_NO_PROPS)).alias("props"),
@@ -73,7 +75,7 @@ def _events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EVENTS_WITH_NULLS_SQL = f"""
-    SELECT event_id, ts, user_id,
+    SELECT event_id, ts, NULLIF(user_id, {_NO_USER}) AS user_id,
            NULLIF(event_type, '{_NO_TYPE}') AS event_type,
            value,
            NULLIF(props, '{_NO_PROPS}') AS props
@@ -125,6 +127,53 @@ FROM orders
 """
 
 
+def q_latest_of_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row number per user in ordered pieces, with one user holding a third of
+    all events: no task numbers that user's rows alone."""
+    events = table(spark, sf_dir, "events")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("user_id"))
+    rows = events.select("event_id", hot.alias("user_id"), "ts")
+    return row_number_per_key(rows, "user_id", ("ts", "event_id"), strategy="pieces")
+
+
+SQL_LATEST_OF_HOT_KEY = """
+SELECT event_id, user_id, ts,
+       CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS BIGINT) AS rn
+FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts FROM events) e
+"""
+
+
+def q_silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job file to file, on zoned timestamps: event times are wall
+    times of a zone five hours behind UTC, stored as instants, and come out as
+    naive UTC wall times."""
+    events = _events_with_nulls(spark, sf_dir)
+    zoned = events.withColumn("ts", utc_wall_to_instant(F.col("ts") + F.expr("INTERVAL 5 HOURS")))
+    with Scratch(spark) as scratch:
+        bronze = write_parquet(zoned, scratch.path("bronze"))
+        path = silver_layer(
+            spark,
+            bronze,
+            lasting_path(spark, "silver"),
+            run_date=date(2026, 7, 1),
+            key="user_id",
+            order_by=("ts", "event_id"),
+            name_columns=_EVENT_NAMES,
+            keep=("user_id", "event_id", "ts", "event_type", "value", "props"),
+            utc_columns=("ts",),
+        )
+    return spark.read.parquet(path)
+
+
+SQL_SILVER_LAYER = f"""
+WITH zoned AS (SELECT * REPLACE (ts AT TIME ZONE 'Etc/GMT+5' AS ts) FROM ({_EVENTS_WITH_NULLS_SQL}) e)
+SELECT user_id, event_id, ts AT TIME ZONE 'UTC' AS ts, event_type, value, props
+FROM zoned
+WHERE user_id IS NOT NULL AND coalesce(event_type, props) IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
+"""
+
+
 def q_utc_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``AT TIME ZONE 'UTC'`` both ways, as epoch microseconds: naive -> instant,
     and that instant -> naive UTC wall time again."""
@@ -147,9 +196,8 @@ FROM events
 """
 
 
-def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A table as a raw gzip TSV snapshot folder in the scratch area."""
-    raw_dir = scratch_path(spark, f"raw-{name}")
+def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str, raw_dir: str) -> str:
+    """A table as a raw gzip TSV snapshot folder."""
     (
         table(spark, sf_dir, name)
         .write.mode("overwrite")
@@ -169,8 +217,9 @@ def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str) -> str:
 def _bronze_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Bronze job end to end: a table is written as gzip TSV, scanned back with
     full-file typing, written as a dated Parquet snapshot and read again."""
-    raw_dir = _write_raw_tsv(spark, sf_dir, name)
-    path = bronze_layer(spark, raw_dir, scratch_path(spark, "bronze"), run_date=date(2026, 7, 1))
+    with Scratch(spark) as scratch:
+        raw_dir = _write_raw_tsv(spark, sf_dir, name, scratch.path(f"raw-{name}"))
+        path = bronze_layer(spark, raw_dir, lasting_path(spark, "bronze"), run_date=date(2026, 7, 1))
     return spark.read.parquet(path)
 
 
@@ -184,6 +233,13 @@ def q_tsv_roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_roundtrip(spark, sf_dir, "events")
 
 
+def q_tsv_roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents: quoted texts with line breaks and tabs come back whole."""
+    return _bronze_roundtrip(spark, sf_dir, "documents")
+
+
+SQL_TSV_ROUNDTRIP_DOCUMENTS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
 SQL_TSV_ROUNDTRIP = """
 SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice
 FROM part
@@ -217,6 +273,25 @@ FROM information_schema.columns WHERE table_name = 'part'
 """
 
 
+def q_schema_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of customer against those of a copy with one renamed and one
+    dropped: two positions that don't match."""
+    cust = table(spark, sf_dir, "customer")
+    return schema_check(drop_columns(rename_cast(cust, {"c_name": ("name", None)}), ["c_mktsegment"]), cust.columns)
+
+
+SQL_SCHEMA_MISMATCH = """
+WITH expected AS (
+    SELECT ordinal_position - 1 AS position, column_name AS expected
+    FROM information_schema.columns WHERE table_name = 'customer'),
+actual AS (
+    SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS actual
+    FROM (DESCRIBE SELECT c_custkey, c_name AS name, c_nationkey, c_acctbal FROM customer))
+SELECT position, expected, actual, expected IS NOT DISTINCT FROM actual AS matches
+FROM expected LEFT JOIN actual USING (position)
+"""
+
+
 # ---------------------------------------------------------------------------
 # profiles
 # ---------------------------------------------------------------------------
@@ -279,8 +354,9 @@ SQL_PROFILE_SUBSET = "WITH ev AS (SELECT event_id, ts, user_id, event_type, NULL
 def q_profile_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile job on a raw file: part as gzip TSV, typed from the whole file,
     then profiled (integers come back as bigint)."""
-    raw_dir = _write_raw_tsv(spark, sf_dir, "part")
-    return profile_dataset(spark, raw_dir, fmt="tsv")
+    with Scratch(spark) as scratch:
+        raw_dir = _write_raw_tsv(spark, sf_dir, "part", scratch.path("raw-part"))
+        return profile_dataset(spark, raw_dir, fmt="tsv")
 
 
 SQL_PROFILE_TSV = (
@@ -328,14 +404,20 @@ SQL_PROFILE_QUOTED_NAMES = (
 
 def q_profile_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Bernoulli sample of about half of lineitem, profiled (sampling is the
-    feature; one row per column whatever the sample)."""
-    return profile(table(spark, sf_dir, "lineitem"), sample_fraction=0.5, seed=7)
+    feature): what is the same whatever rows are drawn."""
+    sampled = profile(table(spark, sf_dir, "lineitem"), sample_fraction=0.5, seed=7)
+    full = table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n"))
+    bounded = (F.col("distinct_values") > 0) & (F.col("distinct_values") <= F.col("n"))
+    return sampled.join(F.broadcast(full)).select("column", "type", "null_rate", bounded.alias("distinct_in_range"))
+
+
+SQL_PROFILE_SAMPLED = "SELECT \"column\", type, null_rate, true AS distinct_in_range FROM (" + _profile_sql("lineitem", _LINEITEM_COLUMNS) + ") p"
 
 
 def q_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile of orders written as a JSON report (one JSON array) and
     read back."""
-    out = write_profile_json(profile(table(spark, sf_dir, "orders")), scratch_path(spark, "profile-report"))
+    out = write_profile_json(profile(table(spark, sf_dir, "orders")), lasting_path(spark, "profile-report"))
     return (
         spark.read.option("multiLine", True)
         .schema("column string, type string, null_rate double, distinct_values long")
@@ -377,6 +459,54 @@ SQL_VALUE_FREQ_COLUMNS = f"WITH e AS ({_EVENTS_WITH_NULLS_SQL})\n" + "\nUNION AL
 )
 
 
+def _typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.col("event_id") % 3
+    return table(spark, sf_dir, "events").select(
+        F.when(third == 0, F.lit(0.0)).when(third == 1, F.lit(-0.0)).otherwise(F.round("value", 0)).alias("amount"),
+        F.col("ts").cast("date").alias("day"),
+        (F.col("user_id") % 2 == 0).alias("even"),
+        F.when(third == 0, "Other").when(third == 1, F.col("event_type")).alias("kind"),
+    )
+
+
+_TYPED_EVENTS_SQL = """
+    SELECT CASE WHEN event_id % 3 <> 2 THEN 0.0::DOUBLE ELSE round(value, 0) + 0.0 END AS amount, CAST(ts AS DATE) AS day,
+           user_id % 2 = 0 AS even,
+           CASE event_id % 3 WHEN 0 THEN 'Other' WHEN 1 THEN event_type END AS kind
+    FROM events
+"""
+
+
+def q_value_freq_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequencies of typed columns: both signed zeros are one value, dates and
+    booleans are counted as such, more places than a window limit's threshold."""
+    return value_frequencies(_typed_events(spark, sf_dir), ("amount", "day", "even", "kind"), top=2000)
+
+
+SQL_VALUE_FREQ_TYPED = f"WITH e AS ({_TYPED_EVENTS_SQL})\n" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", value, cnt FROM (
+    SELECT CAST({c} AS VARCHAR) AS value, count(*) AS cnt FROM e GROUP BY 1
+    QUALIFY row_number() OVER (ORDER BY count(*) DESC, value ASC NULLS LAST) <= 2000)"""
+    for c in ("amount", "day", "even", "kind")
+)
+
+
+def q_topn_other_real(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that holds the value ``Other`` and NULLs: the value keeps its own
+    row beside the bucket, and NULL takes no place."""
+    return top_n_other(_typed_events(spark, sf_dir), "kind", 2, nulls="other", other_flag="folded")
+
+
+SQL_TOPN_OTHER_REAL = f"""
+WITH ranked AS (
+    SELECT kind, count(*) AS c, row_number() OVER (ORDER BY kind IS NULL, count(*) DESC, kind) AS place
+    FROM ({_TYPED_EVENTS_SQL}) e GROUP BY kind)
+SELECT kind AS label, c AS cnt, false AS folded FROM ranked WHERE place <= 2 AND kind IS NOT NULL
+UNION ALL
+SELECT 'Other', CAST(sum(c) AS BIGINT), true FROM ranked WHERE place > 2 OR kind IS NULL
+"""
+
+
 def q_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     freq = value_frequency(table(spark, sf_dir, "part"), "p_brand", ordered=False)
     return top_k(freq, "cnt", 10, descending=True, tiebreak=("p_brand",))
@@ -485,6 +615,20 @@ UNION ALL SELECT 'no_name', count(*) FILTER (WHERE event_type IS NULL AND props
 """
 
 
+def q_output_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output checks on a table that fails each of them: raw events with
+    NULL keys, several rows per key and rows without a name."""
+    return output_checks(_events_with_nulls(spark, sf_dir), "user_id", _EVENT_NAMES)
+
+
+SQL_OUTPUT_CHECKS = f"""
+WITH ev AS ({_EVENTS_WITH_NULLS_SQL})
+SELECT 'null_key' AS "check", count(*) FILTER (WHERE user_id IS NULL) AS rows FROM ev
+UNION ALL SELECT 'duplicate_key', count(user_id) - count(DISTINCT user_id) FROM ev
+UNION ALL SELECT 'no_name', count(*) FILTER (WHERE event_type IS NULL AND props IS NULL) FROM ev
+"""
+
+
 def q_range_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_check(table(spark, sf_dir, "lineitem"), "l_discount", 0.0, 0.05)
 
@@ -541,15 +685,16 @@ def q_topn_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n_other(table(spark, sf_dir, "part"), "p_brand", 5, label="label", count_col="cnt")
 
 
-def _topn_other_sql(expr: str, source: str, n: int) -> str:
+def _topn_other_sql(expr: str, source: str, n: int, null_takes_place: bool = True) -> str:
+    nulls_last = "" if null_takes_place else "v IS NULL, "
+    kept = f"place <= {n}" if null_takes_place else f"place <= {n} AND v IS NOT NULL"
     return f"""
-WITH counts AS (SELECT {expr} AS v, count(*) AS c FROM {source} GROUP BY {expr}),
-top AS (SELECT v FROM counts ORDER BY c DESC, v ASC NULLS LAST LIMIT {n})
-SELECT CASE WHEN t.v IS NOT NULL OR (counts.v IS NULL AND EXISTS (SELECT 1 FROM top WHERE v IS NULL))
-            THEN counts.v ELSE 'Other' END AS label,
-       CAST(sum(c) AS BIGINT) AS cnt
-FROM counts LEFT JOIN top t ON counts.v IS NOT DISTINCT FROM t.v
-GROUP BY 1
+WITH places AS (
+    SELECT v, count(*) AS c, row_number() OVER (ORDER BY {nulls_last}count(*) DESC, v ASC NULLS LAST) AS place
+    FROM (SELECT {expr} AS v FROM {source}) x GROUP BY v)
+SELECT CAST(v AS VARCHAR) AS label, c AS cnt FROM places WHERE {kept}
+UNION ALL
+SELECT 'Other', CAST(sum(c) AS BIGINT) FROM places WHERE NOT ({kept}) HAVING count(*) > 0
 """
 
 
@@ -586,7 +731,7 @@ def q_category_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_CATEGORY_MART = f"""
 SELECT label, cnt AS products
-FROM ({_topn_other_sql(f"NULLIF(event_type, '{_NO_TYPE}')", "events", 3)}) m
+FROM ({_topn_other_sql(f"NULLIF(event_type, '{_NO_TYPE}')", "events", 3, False)}) m
 """
 
 
@@ -675,6 +820,20 @@ FROM customer
 """
 
 
+def q_staging_cast_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cast with values that don't fit, as NULL on request."""
+    odd = F.when(F.col("p_size") % 5 == 0, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", odd.alias("size_text"), (F.col("p_partkey") * 100_000_000).alias("big"))
+    return rename_cast(parts, {"size_text": ("size", "int"), "big": ("small", "int")}, safe=True)
+
+
+SQL_STAGING_CAST_SAFE = """
+SELECT p_partkey, TRY_CAST(CASE WHEN p_size % 5 = 0 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS INTEGER) AS size,
+       TRY_CAST(p_partkey * 100000000 AS INTEGER) AS small
+FROM part
+"""
+
+
 def q_drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_columns(table(spark, sf_dir, "customer"), ["c_name", "c_acctbal"])
 
@@ -691,7 +850,7 @@ def q_mart_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written partitioned by month and clustered by priority, then one
     year read back: the filter on the partition column prunes folders."""
     orders = table(spark, sf_dir, "orders").withColumn("order_month", truncate_period("o_orderdate", "month"))
-    path = write_partitioned(orders, scratch_path(spark, "mart-orders"), ["order_month"], ["o_orderpriority"])
+    path = write_partitioned(orders, lasting_path(spark, "mart-orders"), ["order_month"], ["o_orderpriority"])
     back = spark.read.parquet(path)
     return back.where((F.col("order_month") >= F.lit(date(1996, 1, 1))) & (F.col("order_month") < F.lit(date(1997, 1, 1))))
 
@@ -710,8 +869,8 @@ def q_warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_table(
         table(spark, sf_dir, "events"),
         name,
-        path=scratch_path(spark, "warehouse-raw-events"),
-        database_location=scratch_path(spark, "warehouse-raw-db"),
+        path=lasting_path(spark, "warehouse-raw-events"),
+        database_location=lasting_path(spark, "warehouse-raw-db"),
     )
     return spark.table(name)
 
@@ -719,10 +878,65 @@ def q_warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_WAREHOUSE_LOAD = "SELECT * FROM events"
 
 
+def q_warehouse_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw table, staging, mart table: orders loaded twice under a three-part
+    name (the second load replaces the first), renamed and cast, counted per
+    priority and loaded as a table of the ``mart`` layer, read back."""
+    raw, mart = "spark_catalog.raw.orders", "spark_catalog.mart.priorities"
+    orders, path = table(spark, sf_dir, "orders"), lasting_path(spark, "warehouse-raw-orders")
+    for _ in range(2):
+        load_table(orders, raw, path=path, database_location=lasting_path(spark, "warehouse-raw-db"))
+    staged = rename_cast(spark.table(raw), {"o_orderpriority": ("priority", None), "o_custkey": ("customer_id", "bigint")})
+    tile = category_mart(staged, "priority", n=3, count_col="orders")
+    load_table(tile, mart, path=lasting_path(spark, "warehouse-mart"), database_location=lasting_path(spark, "warehouse-mart-db"))
+    return spark.table(mart)
+
+
+SQL_WAREHOUSE_MART = f"""
+SELECT label, cnt AS orders FROM ({_topn_other_sql("o_orderpriority", "orders", 3, False)}) m
+"""
+
+
+def q_bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a table bucketed by customer, read back with a row count per
+    customer that needs no shuffle."""
+    orders = table(spark, sf_dir, "orders")
+    name = "mart.orders_by_customer"
+    write_bucketed_table(orders, name, 8, ["o_custkey"], ["o_custkey"], path=lasting_path(spark, "bucketed-orders"))
+    return spark.table(name).groupBy("o_custkey").agg(F.count("*").alias("orders"), F.max("o_orderdate").alias("newest"))
+
+
+SQL_BUCKETED_TABLE = "SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS newest FROM orders GROUP BY o_custkey"
+
+
+def q_product_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table partitioned by month, clustered by priority, read back."""
+    path = write_product_fact(
+        table(spark, sf_dir, "orders"), lasting_path(spark, "product-fact"), "o_orderdate", cluster_by=("o_orderpriority",)
+    )
+    return spark.read.parquet(path)
+
+
+SQL_PRODUCT_FACT = """
+SELECT *, CAST(date_trunc('day', o_orderdate) AS DATE) AS created_date,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS created_month
+FROM orders
+"""
+
+
+def q_additions_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additions_mart(table(spark, sf_dir, "orders"), "o_orderdate", "day")
+
+
+SQL_ADDITIONS_MART = """
+SELECT CAST(date_trunc('day', o_orderdate) AS DATE) AS period, count(*) AS products FROM orders GROUP BY 1
+"""
+
+
 def q_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two dated snapshots of the curated events, read back at once with the
     snapshot date taken from the path."""
-    root = scratch_path(spark, "silver-history")
+    root = lasting_path(spark, "silver-history")
     silver = q_silver_latest(spark, sf_dir)
     write_snapshot(silver, root, date(2026, 7, 1))
     write_snapshot(silver.where(F.col("event_type").isNotNull()), root, date(2026, 7, 2))
@@ -748,7 +962,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "schema_preserved": (q_schema_preserved, SQL_SCHEMA_PRESERVED),
     "profile_table": (q_profile_table, SQL_PROFILE_TABLE),
     "profile_subset": (q_profile_subset, SQL_PROFILE_SUBSET),
-    "profile_sampled": (q_profile_sampled, None),
+    "profile_sampled": (q_profile_sampled, SQL_PROFILE_SAMPLED),
     "profile_tsv": (q_profile_tsv, SQL_PROFILE_TSV),
     "profile_report": (q_profile_report, SQL_PROFILE_REPORT),
     "profile_quoted_names": (q_profile_quoted_names, SQL_PROFILE_QUOTED_NAMES),
@@ -780,4 +994,16 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "mart_partitioned": (q_mart_partitioned, SQL_MART_PARTITIONED),
     "warehouse_load": (q_warehouse_load, SQL_WAREHOUSE_LOAD),
     "snapshot_history": (q_snapshot_history, SQL_SNAPSHOT_HISTORY),
+    "latest_of_hot_key": (q_latest_of_hot_key, SQL_LATEST_OF_HOT_KEY),
+    "silver_layer": (q_silver_layer, SQL_SILVER_LAYER),
+    "tsv_roundtrip_documents": (q_tsv_roundtrip_documents, SQL_TSV_ROUNDTRIP_DOCUMENTS),
+    "schema_mismatch": (q_schema_mismatch, SQL_SCHEMA_MISMATCH),
+    "value_freq_typed": (q_value_freq_typed, SQL_VALUE_FREQ_TYPED),
+    "topn_other_real": (q_topn_other_real, SQL_TOPN_OTHER_REAL),
+    "output_checks": (q_output_checks, SQL_OUTPUT_CHECKS),
+    "staging_cast_safe": (q_staging_cast_safe, SQL_STAGING_CAST_SAFE),
+    "warehouse_mart": (q_warehouse_mart, SQL_WAREHOUSE_MART),
+    "bucketed_table": (q_bucketed_table, SQL_BUCKETED_TABLE),
+    "product_fact": (q_product_fact, SQL_PRODUCT_FACT),
+    "additions_mart": (q_additions_mart, SQL_ADDITIONS_MART),
 }

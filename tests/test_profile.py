@@ -129,12 +129,11 @@ def test_report_of_empty_table_keeps_null_rates(spark, workdir):
         ]
 
 
-def test_profile_is_one_scan_per_type_group(spark):
+def test_profile_is_one_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     plan = profile(df)._jdf.queryExecution().executedPlan().toString()
-    # one scan per value domain: integers and times, doubles, text
-    assert plan.count("FileScan parquet") == 3
-    assert "Expand" in plan  # the unpivot
+    assert plan.count("FileScan parquet") == 1  # whatever the columns' domains
+    assert "Generate inline" in plan  # the unpivot
 
 
 def test_every_domain_counts_like_python(spark):
@@ -230,18 +229,15 @@ def test_profile_dataset_as_records(spark, workdir):
     assert profile_dataset(spark, src, as_records=True) == _EXPECTED_REPORT
 
 
-def test_wide_table_is_unpivoted_in_chunks(spark):
-    """250 columns: profile and inference split the unpivot, results unchanged."""
+def test_wide_table_and_its_inference(spark):
+    """250 columns in one profile pass; inference splits its unpivot."""
     from pyspark.sql import functions as F
 
-    from tessera.session import MAX_UNPIVOT_COLUMNS
     from tessera.sources.inference import infer_types
 
     base = spark.range(0, 50).select(F.col("id"), (F.col("id") % 7).cast("string").alias("s"))
     wide = base.select(*[(F.col("id") + i).alias(f"n{i}") for i in range(125)],
                        *[F.concat(F.col("s"), F.lit(f"-{i}")).alias(f"t{i}") for i in range(125)])
-    plan = profile(wide)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Expand") >= -(-250 // MAX_UNPIVOT_COLUMNS)
     rows = profile(wide).collect()
     assert [r["column"] for r in rows] == wide.columns
     assert all(r["distinct_values"] == 50 for r in rows[:125]) and all(r["distinct_values"] == 7 for r in rows[125:])
@@ -278,3 +274,48 @@ def test_profile_counts_match_brute_force(spark):
             assert got[name] == (len(rows), len(present), len({key(v) for v in present})), name
 
     check()
+
+
+def test_profiled_join_runs_once(spark):
+    """Whatever the columns' domains and number, the input is in the plan once,
+    and the final aggregation isn't merged into one task."""
+    left = spark.range(50).selectExpr("id AS k", "id * 0.5D AS d", "cast(id AS string) AS s", "current_date() AS day")
+    wide = left.select("*", *[left["s"].alias(f"t{i}") for i in range(70)])
+    right = spark.range(50).selectExpr("id AS k", "array(id) AS a")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = wide.join(right, "k")
+        plan = profile(joined)._jdf.queryExecution().executedPlan().toString()
+        rows = {r["column"]: r["distinct_values"] for r in profile(joined).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1
+    assert "Coalesce 1" not in plan
+    assert rows["k"] == rows["d"] == rows["s"] == rows["a"] == rows["t69"] == 50 and rows["day"] == 1
+
+
+def test_maps_are_compared_by_their_entries(spark):
+    """Microseconds count, the order of the entries doesn't; also inside arrays."""
+    stamps = [f"map('x', timestamp_micros({i}), 'y', timestamp_micros(0))" for i in range(5)]
+    same = "map('y', timestamp_micros(0), 'x', timestamp_micros(3))"
+    df = spark.sql(" UNION ALL ".join(f"SELECT {m} AS m, array({m}) AS a, named_struct('f', {m}) AS s" for m in [*stamps, same]) + " UNION ALL SELECT null, null, null")
+    assert {r["column"]: (r["distinct_values"], r["null_rate"]) for r in profile(df).collect()} == {c: (5, round(1 / 7, 4)) for c in "mas"}
+
+
+def test_columns_by_name_in_any_case(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, 2)], "Code int, a int")
+    assert [r["column"] for r in profile(df, ["code", "A"]).collect()] == ["Code", "a"]
+    with pytest.raises(ValueError, match="no such column"):
+        profile(df, ["none"])
+
+
+def test_sample_of_more_rows_than_the_table_is_the_full_profile(spark, workdir):
+    path = os.path.join(workdir, "p.parquet")
+    spark.range(300).selectExpr("id", "id % 7 AS w", "nullif(id % 3, 0) AS n").write.parquet(path)
+    full = profile(spark.read.parquet(path)).collect()
+    assert profile_dataset(spark, path, fmt="parquet", sample_rows=300).collect() == full
+    assert profile_dataset(spark, path, fmt="parquet", sample_rows=10**6).collect() == full
+    part = {r["column"]: r for r in profile_dataset(spark, path, fmt="parquet", sample_rows=60).collect()}
+    assert 10 < part["id"]["distinct_values"] < 150 and part["w"]["distinct_values"] <= 7

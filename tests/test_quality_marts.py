@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,7 +105,9 @@ def test_marts(spark):
     countries = {r.label: r.products for r in multivalue_mart(df, n=1).collect()}
     assert countries == {"en:france": 3, "Other": 2}
     cats = {r.label: r.products for r in category_mart(df, n=5).collect()}
-    assert cats == {"dog-food": 1, "cat-food": 1, None: 1}
+    assert cats == {"dog-food": 1, "cat-food": 1, "Other": 1}  # missing takes no place
+    assert {r.label for r in category_mart(df, n=5, nulls="value").collect()} == {"dog-food", "cat-food", None}
+    assert {r.label for r in category_mart(df, n=5, nulls="drop").collect()} == {"dog-food", "cat-food"}
     weeks = [(r.period, r.products) for r in additions_mart(df, unit="week").collect()]
     assert weeks == [(dt.date(2026, 1, 5), 2), (dt.date(2026, 1, 12), 1)]
 
@@ -130,6 +133,17 @@ def test_projections(spark):
     assert staged.schema["product_code"].dataType.simpleString() == "bigint"
 
 
+def test_casts_that_do_not_fit(spark):
+    df = spark.createDataFrame([("1", 5), ("x", 3_000_000_000)], "a string, b long")
+    for column, kind in (("a", "int"), ("b", "int")):
+        with pytest.raises(Exception, match="CAST"):
+            rename_cast(df, {column: (column, kind)}).collect()
+    safe = rename_cast(df, {"a": ("a", "int"), "b": ("b", "int")}, safe=True)
+    assert [tuple(r) for r in safe.collect()] == [(1, 5), (None, None)]
+    with pytest.raises(ValueError, match="not in the input"):
+        rename_cast(df, {"none": ("x", None)})
+
+
 def test_partitioned_fact_prunes_partitions(spark, workdir):
     rows = [
         ("1", "dog-food", dt.datetime(2026, 1, 5)),
@@ -155,17 +169,6 @@ def test_bucketed_table_aggregates_without_shuffle(spark, workdir):
     assert agg.count() == 50
 
 
-def test_object_store_helpers():
-    from tessera.sources.snapshot import is_remote, object_store_conf
-
-    assert is_remote("gs://bucket/x") and is_remote("s3a://b/x")
-    assert not is_remote("/data/x") and not is_remote("data/x") and not is_remote("file:/tmp/x")
-    assert object_store_conf({"fs.gs.project.id": "p", "spark.x": "1"}) == {
-        "spark.hadoop.fs.gs.project.id": "p",
-        "spark.x": "1",
-    }
-
-
 def test_top_n_other_on_numeric_and_date_columns(spark):
     rows = [(1, dt.date(2026, 1, 1))] * 4 + [(2, dt.date(2026, 1, 2))] * 3 + [(3, dt.date(2026, 1, 3))] * 3 + \
            [(10, None)] * 2 + [(None, dt.date(2026, 1, 4))]
@@ -489,3 +492,63 @@ def test_sorts_and_top_k_match_python(spark):
         assert got == sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[:k]
 
     check()
+
+
+def test_real_other_beside_the_bucket(spark):
+    df = spark.createDataFrame([(v,) for v in ["Other"] * 5 + ["a"] * 4 + ["b"] * 3 + [None] * 9], "v string")
+    rows = lambda **k: sorted(((r["label"], r["cnt"], r["f"]) for r in top_n_other(df, "v", 2, other_flag="f", **k).collect()), key=str)
+    assert rows() == sorted([(None, 9, False), ("Other", 5, False), ("Other", 7, True)], key=str)
+    assert rows(nulls="other") == sorted([("Other", 5, False), ("a", 4, False), ("Other", 12, True)], key=str)
+    assert rows(nulls="drop") == sorted([("Other", 5, False), ("a", 4, False), ("Other", 3, True)], key=str)
+    with pytest.raises(ValueError):
+        top_n_other(df, "v", 2, nulls="keep")
+
+
+def test_value_frequencies_of_typed_values(spark):
+    from tessera.operators.aggregates import value_frequencies
+
+    df = spark.sql("""SELECT * FROM VALUES
+        (0.0D, timestamp_micros(1), timestamp_ntz '2026-01-02 03:04:05', true, 1.5F, date '2026-01-01', map('k', 1)),
+        (-0.0D, timestamp_micros(1), timestamp_ntz '2026-01-02 03:04:05', false, 1.5F, date '2026-01-01', map('k', 1)),
+        (double('nan'), timestamp_micros(2), null, true, null, null, null) AS t(d, ts, ntz, b, f, day, m)""")
+    got = {(r["column"], r["value"]): r["cnt"] for r in value_frequencies(df, df.columns).collect()}
+    assert got[("d", "0.0")] == 2 and got[("d", "NaN")] == 1
+    assert got[("ts", "1970-01-01 00:00:00.000001")] == 2 and got[("ntz", "2026-01-02 03:04:05")] == 2 and got[("ntz", None)] == 1
+    assert got[("b", "true")] == 2 and got[("b", "false")] == 1 and got[("f", "1.5")] == 2 and got[("day", "2026-01-01")] == 2
+    assert sum(n for (c, _), n in got.items() if c == "m") == 3 and len(got) == 2 + 2 + 2 + 2 + 2 + 2 + 2
+
+
+def test_top_frequencies_do_not_meet_in_one_task(spark):
+    from tessera.operators.aggregates import value_frequencies
+
+    df = spark.range(6000).selectExpr("id % 2500 AS v")
+    top = value_frequencies(df, ["v"], top=1500)
+    assert top.count() == 1500
+    assert sorted((r["cnt"], int(r["value"])) for r in top.collect())[0][0] == 2
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number") == 2 or plan.count("row_number()") >= 2
+
+
+def test_three_part_names_and_odd_locations(spark, workdir):
+    from tessera.sources.warehouse import load_table, write_bucketed_table
+
+    name = "spark_catalog.raw_three.loads"
+    place = workdir + "/it's here"
+    for n in (3, 5):
+        load_table(spark.range(n), name, path=place + "/loads", database_location=place + "/db")
+        assert spark.table(name).count() == n
+    load_table(spark.range(2).selectExpr("id", "id AS other"), name, path=place + "/loads")  # other columns
+    assert spark.table(name).columns == ["id", "other"] and spark.table(name).count() == 2
+    for n in (4, 6):
+        write_bucketed_table(spark.range(n), "spark_catalog.raw_three.buckets", 2, ["id"], path=workdir + "/buckets")
+        assert spark.table("spark_catalog.raw_three.buckets").count() == n
+
+
+def test_reload_never_drops_the_table(spark, workdir, monkeypatch):
+    from tessera.sources.warehouse import load_table
+
+    load_table(spark.range(3), "raw_three.kept", path=workdir + "/kept")
+    said, plain = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (said.append(q), plain(self, q, *a, **k))[1])
+    load_table(spark.range(8), "raw_three.kept", path=workdir + "/kept")
+    assert not any("DROP" in q for q in said) and spark.table("raw_three.kept").count() == 8
