@@ -17,13 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 from tessera.llm.decontaminate import keep_uncontaminated
 from tessera.llm.line_dedup import drop_repeated_lines
 from tessera.llm.ngram_join import keep_one_per_group
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality_qda import keep_good
-from tessera.llm.queries import table, tokenizer_path
+from tessera.llm.queries import table, tokenizer_path, workers_import
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +31,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     cleaned = drop_repeated_lines(docs)
     length = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length).select(docs.columns)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     return keep_one_per_group(docs, shingle_words=5, percent=80)
 
 
@@ -45,6 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     return pack_documents(docs, tokenizer_path())
 
 

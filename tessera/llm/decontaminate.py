@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 
 WINDOW = 10
 #: Words to a shingle; items with fewer words are joined by shingles of that many.

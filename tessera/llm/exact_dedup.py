@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 
 #: Filter bits per row, up to MAX_BITS in all (64 MB, the most that is sent to
 #: the executors); a table far larger than that fills the filter, and more

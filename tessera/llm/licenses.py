@@ -18,7 +18,7 @@ from math import log, sqrt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 
 #: (licence, header or opening line); short notices as they stand in files.
 TEMPLATES = (

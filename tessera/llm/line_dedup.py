@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 from tessera.llm._text import LOWER, SPACE, chunks, mix, span_hash
 
 MIN_CHARS = 40

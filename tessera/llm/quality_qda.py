@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 from tessera.llm._text import LOWER, SPACE, chunks, span_hash, words
 
 FEATURES = (

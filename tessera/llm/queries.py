@@ -7,6 +7,8 @@ can state the result; the other queries are tested against plain Python.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,17 @@ from tessera.llm.suffix_dedup import repeated_spans
 from tessera.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, judge_urls
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it (a shared
+    folder, or one machine); an installed or shipped package is found anyway."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -16,7 +16,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 
 #: The base kinds in order, with their patterns (fixed values of the contract).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""

@@ -11,7 +11,7 @@ import pytest
 
 from conftest_llm import EDGE_TEXTS
 from tessera.llm import exact_dedup as E
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 
 
 def brute(texts):

@@ -10,7 +10,7 @@ import pytest
 
 from conftest_llm import EDGE_TEXTS
 from tessera.llm import line_dedup as L
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline as P
-from tessera.llm._scratch import Scratch
+from tessera.scratch import Scratch
 from tessera.llm.queries import table
 
 from test_decontaminate import brute as contaminated
