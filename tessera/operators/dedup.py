@@ -79,8 +79,8 @@ def _row_number_in_pieces(
     2. Range-partition on (key, order, hash, number) and write each row with its
        piece; a key, or rows that are all the same, are cut like others.
     3. Number the rows of each (key, piece), and add the rows that the key has
-       in earlier pieces. Only a key cut by a boundary has any, so there are
-       fewer such (key, piece) pairs than pieces, and that table is broadcast.
+       in earlier pieces, by a join on (key, piece). Only a key cut by a boundary
+       has any, so there are fewer such pairs than pieces.
     """
     spark = df.sparkSession
     tie, row, piece, local, before, *aliases = fresh_names(df, 5 + len(keys))
@@ -100,7 +100,7 @@ def _row_number_in_pieces(
     match = F.col(piece) == F.col(tie)
     for k, a in zip(key_cols, aliases):
         match = match & k.eqNullSafe(F.col(a))
-    joined = numbered.join(F.broadcast(shifts), match, "left")
+    joined = numbered.join(shifts, match, "left")
     rank = (F.col(local) + F.coalesce(F.col(before), F.lit(0))).cast("long")
     return joined.select(*[qcol(c) for c in df.columns], rank.alias(rank_col))
 
