@@ -14,23 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import remove_scratch, scratch_path
 
-_KEPT: list[tuple[SparkSession, str]] = []
+# (JVM, its file-system settings, folder): usable after the session has stopped
+_KEPT: list[tuple] = []
 
 
 @atexit.register
 def _remove_kept() -> None:
     while _KEPT:
-        spark, path = _KEPT.pop()
+        jvm, conf, path = _KEPT.pop()
         try:
-            remove_scratch(spark, path)
-        except Exception:  # the session has ended: the cluster's own clean-up takes the folder
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        except Exception:  # the JVM is gone: the cluster's own clean-up takes the folder
             pass
 
 
 def lasting_path(spark: SparkSession, name: str) -> str:
     """A fresh folder, not yet made, that goes when the driver process ends."""
     path = scratch_path(spark, name)
-    _KEPT.append((spark, path))
+    context = spark.sparkContext
+    _KEPT.append((context._jvm, context._jsc.hadoopConfiguration(), path))
     return path
 
 

@@ -123,7 +123,7 @@ def test_scratch_tables_go(spark):
         inner, kept = s.last, s.keep(spark.range(4))
         assert os.path.isdir(inner.removeprefix("file:"))
     assert not os.path.exists(inner.removeprefix("file:")) and kept.count() == 4
-    path = scratch._KEPT[-1][1].removeprefix("file:")
+    path = scratch._KEPT[-1][-1].removeprefix("file:")
     assert os.path.isdir(path)
     scratch._remove_kept()
     assert not os.path.exists(path)
