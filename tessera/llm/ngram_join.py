@@ -3,18 +3,21 @@
 Documents are sets of word shingles; two link when their Jaccard similarity
 reaches a threshold. The join is exact:
 
-1. *Candidates.* A set is cut by hash range into parts, more of them non-empty
-   than two linked sets can differ in elements, so two linked sets agree on at
-   least one whole part (pigeonhole). Equal parts are joined as stars; each
-   input batch sends one document per part, so a part that a third of all
-   documents share is combined before the shuffle.
-2. *Families.* Connected components of these stars hold every linked pair.
-3. *Signature trees.* Inside a family (cut into blocks of bounded size, every
+1. *Screen.* A document that links must have nearly all its shingles in common
+   with one other. The shingles of a fixed part of the hash range are counted,
+   and documents with more of them to themselves than a link allows are out.
+   Each input batch sends a shingle once, so one that a third of all documents
+   share is combined before the shuffle.
+2. *Candidates.* The sets left are cut by hash range into parts, more of them
+   non-empty than two linked sets can differ in elements, so two linked sets
+   agree on at least one whole part (pigeonhole). Equal parts are joined as stars.
+3. *Families.* Connected components of these stars hold every linked pair.
+4. *Signature trees.* Inside a family (cut into blocks of bounded size, every
    pair of blocks one task) sets become token bitmaps under a tree whose nodes
    hold the OR of their bitmaps and their size range. Two trees are traversed
    together, and a pair of nodes is dropped when its largest possible overlap,
    or its size ranges, can't reach the threshold.
-4. *Components* of the links found, over one representative per distinct set.
+5. *Components* of the links found, over one representative per distinct set.
 """
 
 from __future__ import annotations
@@ -64,6 +67,15 @@ class Threshold:
         """Smallest intersection of two linked sets with ``total`` elements together."""
         return -(-total * self.percent // (100 + self.percent))
 
+    def most_alone(self, n: int) -> int:
+        """Most elements of a set of ``n`` that a linked one lacks."""
+        return n - self.least_partner(n)
+
+    def screened(self) -> int:
+        """Hashes below this are counted by the screen: two and a half times the
+        share of a set that a linked one may lack."""
+        return min(2**64 - 1, (100 - self.percent) * 5 * 2**64 // 200)
+
     def most_difference(self, n: int) -> int:
         """Most elements in which a set of ``n`` and a larger linked one differ."""
         total = n + self.largest_partner(n)
@@ -128,78 +140,156 @@ def part_signatures(values: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-# -- step 1: signatures and stars of equal parts ------------------------------
+# -- steps 1 and 2: screen, signatures and stars of equal parts ------------------
 
+# rows that carry many entries: (partition to go to, kind, numbers, numbers)
+_PACKED_DDL = "bucket int, kind int, a binary, b binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
-_STEP = pa.schema([("kind", pa.int32()), ("u", pa.int64()), ("v", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
-_SET, _SIGNATURE, _STAR = 0, 1, 2
+_SET, _COUNT, _ENTRY = 0, 1, 2
 
 
-def _stars(signatures: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct signatures, smallest document of each, edge ends u > v)."""
-    order = np.lexsort((docs, signatures))
-    signatures, docs = signatures[order], docs[order]
-    head = np.concatenate(([True], signatures[1:] != signatures[:-1])) if len(docs) else np.zeros(0, dtype=bool)
-    least = docs[head][np.cumsum(head) - 1] if len(docs) else docs
-    pairs = np.unique(np.stack((docs, least), axis=1)[docs != least], axis=0).reshape(-1, 2)
-    return signatures[head], docs[head], pairs[:, 0], pairs[:, 1]
+def _deal(kind: int, bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple]:
+    """Rows of the entries (a, b), one for each bucket that has any."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, a, b = bucket[order], a[order], b[order]
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, dtype=np.int64)
+    return [(int(bucket[x]), kind, a[x:y].tobytes(), b[x:y].tobytes()) for x, y in zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist())]
 
 
-def _sign(size: int, percent: int, buckets: int):
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows), _PACKED.types)], schema=_PACKED)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+    out: dict[int, list] = {_SET: [], _COUNT: [], _ENTRY: []}
+    for batch in batches:
+        for kind, a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            out[kind].append((np.frombuffer(a, dtype=np.int64), np.frombuffer(b, dtype=np.int64)))
+    return out
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first of each run of equal sorted keys, run of each key)."""
+    head = np.concatenate((np.ones(min(1, len(keys)), dtype=bool), keys[1:] != keys[:-1]))
+    return np.flatnonzero(head), np.cumsum(head) - 1
+
+
+def _screen_batch(size: int, limit: Threshold, buckets: int):
+    """Each document's set in brief, with the number of its counted shingles that
+    no other document of the batch has; each counted shingle of the batch, with
+    the document that alone has it there, or -1."""
+    bound = _U64(limit.screened())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = np.asarray(batch.column(0)), []
-            info, signatures, owners = [], [], []
+            if not batch.num_rows:
+                continue
+            ids = np.asarray(batch.column(0))
+            brief, tokens = np.zeros((batch.num_rows, 4), dtype=np.int64), []
             for lo, hi, buf, offs in chunks(batch.column(1)):
-                for doc, values in zip(ids[lo:hi].tolist(), shingle_sets(buf, offs, size)):
+                for k, values in enumerate(shingle_sets(buf, offs, size), lo):
                     h1 = mix(values).sum(dtype=np.uint64)
                     h2 = mix(values ^ _U64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)
-                    info.append((doc, len(values), h1.astype(np.int64), h2.astype(np.int64)))
-                    signed = part_signatures(values, percent)
-                    signatures.append(signed)
-                    owners.append(np.full(len(signed), doc, dtype=np.int64))
-            if not info:
-                continue
-            signed, docs, u, v = _stars(np.concatenate(signatures), np.concatenate(owners))
-            bucket = (signed % _U64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-                own = order[cuts[k] : cuts[k + 1]]
-                rows.append((k, _SIGNATURE, signed[own].tobytes(), docs[own].tobytes()))
-            spread = int(info[0][0]) % buckets
-            rows.append((spread, _SET, np.array([x[0] for x in info], dtype=np.int64).tobytes(), np.array([x[1:] for x in info], dtype=np.int64).tobytes()))
-            rows.append((spread, _STAR, u.tobytes(), v.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows), _PACKED.types)], schema=_PACKED)
+                    tokens.append(values[: np.searchsorted(values, bound)])
+                    brief[k] = len(values), h1.astype(np.int64), h2.astype(np.int64), len(tokens[-1])
+            rows = np.repeat(np.arange(len(tokens)), brief[:, 3])
+            token = np.concatenate(tokens)
+            order = np.argsort(token, kind="stable")
+            token, rows = token[order], rows[order]
+            first, run_of = _runs(token)
+            single = np.diff(np.append(first, len(token))) == 1
+            shared = ~single[run_of] if len(token) else np.zeros(0, dtype=bool)
+            brief[:, 3] -= np.bincount(rows[shared], minlength=len(brief))
+            owner = np.where(single, ids[rows[first]], -1) if len(first) else first
+            token = token[first]
+            out = _deal(_ENTRY, (token % _U64(buckets)).astype(np.int64), token.view(np.int64), owner)
+            yield _packed(out + _deal(_SET, ids % buckets, ids, brief.view([("", np.int64)] * 4).ravel()))
 
     return run
 
 
-def _step_batch(kind: int, u, v, h1=None, h2=None) -> pa.RecordBatch:
-    none = pa.nulls(len(u), pa.int64())
-    columns = [pa.array(np.full(len(u), kind, dtype=np.int32)), pa.array(u), pa.array(v), none if h1 is None else pa.array(h1), none if h2 is None else pa.array(h2)]
-    return pa.RecordBatch.from_arrays(columns, schema=_STEP)
+def _count_shared(buckets: int):
+    """Of the entries of a bucket's shingles: how many shared ones each document
+    has, dealt by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = _unpack(batches)
+        if parts[_ENTRY]:
+            token, owner = (np.concatenate(x) for x in zip(*parts.pop(_ENTRY)))
+            order = np.argsort(token, kind="stable")
+            token, owner = token[order], owner[order]
+            first, run_of = _runs(token)
+            shared = np.diff(np.append(first, len(token)))[run_of] > 1
+            docs, counts = np.unique(owner[shared & (owner >= 0)], return_counts=True)
+            if len(docs):
+                yield _packed(_deal(_COUNT, docs % buckets, docs, counts))
+        for ids, brief in parts[_SET]:
+            yield _packed([(int(ids[0] % buckets), _SET, ids.tobytes(), brief.tobytes())])
+
+    return run
+
+
+_BRIEF_DDL = "doc_id long, n long, h1 long, h2 long, active boolean"
+
+
+def _decide(limit: Threshold):
+    """Each document's set in brief, and whether it may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = _unpack(batches)
+        if not parts[_SET]:
+            return
+        ids = np.concatenate([x for x, _ in parts[_SET]])
+        n, h1, h2, alone = np.concatenate([x for _, x in parts[_SET]]).reshape(-1, 4).T.copy()
+        order = np.argsort(ids, kind="stable")
+        for docs, counts in parts[_COUNT]:
+            np.subtract.at(alone, order[np.searchsorted(ids, docs, sorter=order)], counts)
+        active = (n > 0) & (alone <= n - -(-n * limit.percent // 100))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, n, h1, h2, active)], names=["doc_id", "n", "h1", "h2", "active"])
+
+    return run
+
+
+def _stars(signatures: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct signatures, smallest document of each, edges (document, smallest))."""
+    order = np.lexsort((docs, signatures))
+    signatures, docs = signatures[order], docs[order]
+    first, run_of = _runs(signatures)
+    least = docs[first][run_of] if len(docs) else docs
+    edges = np.unique(np.stack((docs, least), axis=1)[docs != least], axis=0).reshape(-1, 2)
+    return signatures[first], docs[first], edges
+
+
+def _sign(size: int, percent: int, buckets: int):
+    """Part signatures of a batch, each with the smallest document that has it,
+    and the edges of the batch's own stars."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, signatures = np.asarray(batch.column(0)), []
+            for _, _, buf, offs in chunks(batch.column(1)):
+                signatures += [part_signatures(values, percent) for values in shingle_sets(buf, offs, size)]
+            signed, docs, edges = _stars(np.concatenate(signatures), np.repeat(ids, [len(x) for x in signatures]))
+            rows = _deal(_ENTRY, (signed % _U64(buckets)).astype(np.int64), signed.view(np.int64), docs)
+            yield _packed(rows + _deal(_SET, edges[:, 0] % buckets, *edges.T.copy()))
+
+    return run
 
 
 def _link_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    signatures, docs = [], []
-    for batch in batches:
-        for _, kind, a, b in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            left = np.frombuffer(a, dtype=np.int64)
-            if kind == _SIGNATURE:
-                signatures.append(np.frombuffer(a, dtype=np.uint64))
-                docs.append(np.frombuffer(b, dtype=np.int64))
-            elif kind == _STAR:
-                yield _step_batch(_STAR, left, np.frombuffer(b, dtype=np.int64))
-            else:
-                info = np.frombuffer(b, dtype=np.int64).reshape(-1, 3)
-                yield _step_batch(_SET, left, info[:, 0].copy(), info[:, 1].copy(), info[:, 2].copy())
-    if signatures:
-        _, _, u, v = _stars(np.concatenate(signatures), np.concatenate(docs))
-        yield _step_batch(_STAR, u, v)
+    parts = _unpack(batches)
+    found = [np.stack(x, axis=1) for x in parts[_SET]]
+    if parts[_ENTRY]:
+        signatures, docs = (np.concatenate(x) for x in zip(*parts[_ENTRY]))
+        found.append(_stars(signatures, docs)[2])
+    if found:
+        u, v = np.concatenate(found).T.copy()
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-# -- step 3: signature trees ---------------------------------------------------
+# -- step 4: signature trees ---------------------------------------------------
 
 
 class SignatureTree:
@@ -378,28 +468,35 @@ def ngram_jaccard_join(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     distinct non-null integer; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    limit = Threshold(percent)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = shuffle_partitions(source, 16 << 20)
+    buckets = shuffle_partitions(source, 32 << 20)
     with Scratch(spark) as scratch:
-        packed = source.mapInArrow(_sign(shingle_words, percent, buckets), "bucket int, kind int, a binary, b binary")
-        linked = packed.repartition(buckets, "bucket").mapInArrow(_link_parts, "kind int, u long, v long, h1 long, h2 long")
-        linked = scratch.table(linked, "ngram-parts")
-        sets = linked.where(F.col("kind") == _SET).select(F.col("u").alias("doc_id"), F.col("v").alias("n"), "h1", "h2")
-        families = scratch.table(connected_components(linked.where(F.col("kind") == _STAR).select("u", "v"), scratch), "families")
+        screened = source.mapInArrow(_screen_batch(shingle_words, limit, buckets), _PACKED_DDL)
+        screened = screened.repartition(buckets, "bucket").mapInArrow(_count_shared(buckets), _PACKED_DDL)
+        sets = scratch.table(screened.repartition(buckets, "bucket").mapInArrow(_decide(limit), _BRIEF_DDL), "ngram-sets")
 
         # one representative per distinct set, with the number of its documents
-        classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"))
+        classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(
+            F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.bool_or("active").alias("active")
+        )
         classes = scratch.table(classes, "classes")
+        wanted = classes.where("active").select(F.col("rep").alias("doc_id")).hint("merge")
+        texts = scratch.table(source.join(wanted, "doc_id").select("doc_id", "text"), "ngram-texts")
+        signed = texts.mapInArrow(_sign(shingle_words, percent, buckets), _PACKED_DDL)
+        stars = signed.repartition(buckets, "bucket").mapInArrow(_link_parts, "u long, v long")
+        families = scratch.table(connected_components(stars, scratch), "families")
+
         members = classes.join(families, classes["rep"] == families["node"]).select("rep", "weight", "n", F.col("component").alias("family"))
-        totals = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
+        totals = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
         blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
         placed = (
             members.join(totals.select("family", blocks.alias("blocks")), "family")
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         )
-        # its text, once, then its set to every task of its block
-        texts = source.join(placed, source["doc_id"] == placed["rep"]).select("family", "rep", "weight", "block", "blocks", "text")
-        as_sets = texts.mapInArrow(_sets_of(shingle_words), "family long, rep long, weight long, block int, blocks int, items binary")
+        # each set to every task of its block
+        placed = texts.join(placed, texts["doc_id"] == placed["rep"]).select("family", "rep", "weight", "block", "blocks", "text")
+        as_sets = placed.mapInArrow(_sets_of(shingle_words), "family long, rep long, weight long, block int, blocks int, items binary")
         partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner")
         tasks = as_sets.select("family", "rep", "weight", "block", "items", partner).select(
             "family", F.least("block", "partner").alias("left"), F.greatest("block", "partner").alias("right"), "rep", "weight", "block", "items"
@@ -418,7 +515,7 @@ def ngram_jaccard_join(docs: DataFrame, shingle_words: int = 5, percent: int = 8
             .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
             .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
         )
-        result = sets.join(classes, ["h1", "h2", "n"], "left").select(
+        result = sets.select("doc_id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"], "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -73,6 +73,16 @@ def test_empty_table_and_stage(spark, docs_of):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90, 95])
+def test_screen_keeps_what_may_link(percent):
+    limit = Threshold(percent)
+    for n in [*range(1, 30), 100, 333]:
+        for m in range(limit.least_partner(n), limit.largest_partner(n) + 1):
+            both = limit.least_overlap(n + m)
+            if both <= min(n, m):
+                assert n - both <= limit.most_alone(n)
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 95])
 def test_linked_sets_share_a_signature(percent):
     rng = np.random.default_rng(percent)
