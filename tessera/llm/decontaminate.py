@@ -88,7 +88,7 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, scratch: Scratch,
     flagged = rows.join(wanted.select(F.col("shingle").alias("known")), F.col("shingle") == F.col("known"), "left")
     matched = scratch.table(flagged.where("pos = -1 or known is not null").select("doc_id", "pos", "shingle"), "item-shingles")
     counts = matched.where("pos = -1").select("doc_id", F.col("shingle").alias("n_words"))
-    matched = matched.where("pos >= 0")
+    matched = matched.where("pos >= 0").distinct()
 
     # each window's rarest shingle; windows with a shingle that no document holds fall out
     seen = matched.groupBy("shingle").agg(F.count("*").alias("seen"))
@@ -100,7 +100,7 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, scratch: Scratch,
     candidates = (
         matched.join(prefix, "shingle")
         .select("doc_id", (F.col("pos") - F.col("shift")).alias("start"), "window", "len", "n")
-        .join(counts.where("n_words > 0"), "doc_id")
+        .join(counts.where("n_words > 0").distinct(), "doc_id")
         .where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n_words")))
         .select("doc_id", "start", "window", "len", "n")
     )
@@ -125,8 +125,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     Null and empty texts have no words; an item without words matches nothing;
     an item of fewer words than ``window`` matches whole. Repeated items and
-    texts count like others, other columns are ignored. doc_id is distinct and
-    not null. An empty table of documents gives an empty result, an empty
+    texts count like others, other columns are ignored. doc_id is distinct but for
+    repeated rows, which each get the result; rows without one have no hits. An empty table of documents gives an empty result, an empty
     benchmark no hits.
     """
     with Scratch(docs.sparkSession) as scratch:

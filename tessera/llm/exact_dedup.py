@@ -103,7 +103,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts are equal when they are identical after each run of ASCII white space
     is one space; null is empty; whole texts count, of any length. doc_id is
-    distinct; a null one never is a keep_id unless its whole group's are null.
+    distinct but for repeated rows, which stay or go together; a null one never is
+    a keep_id unless its whole group's are null.
     Other columns are ignored. An empty table gives an empty result.
     """
     with Scratch(docs.sparkSession) as scratch:

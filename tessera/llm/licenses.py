@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from math import log, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.scratch import Scratch
@@ -65,6 +65,12 @@ def _vectors(templates, idf: dict[str, float]) -> list[tuple[int, str, dict[str,
     return out
 
 
+def _fixed_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """A small table of literals."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in r.items()]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _prefix(vector: dict[str, float], cosine: float) -> list[str]:
     """Heaviest terms, so many that the others alone can't reach the cosine."""
     rest, out = 1.0, []
@@ -88,11 +94,11 @@ def line_licences(files: DataFrame, scratch: Scratch, templates=TEMPLATES, cosin
     unseen = log(total + 1) + 1  # of words that no template holds
     vectors = _vectors(templates, idf)
     prefix = sorted({w for _, _, v in vectors for w in _prefix(v, cosine)})
-    empty = spark.createDataFrame([], "path string, line int, n_terms int, licence string, score double")
     if not prefix:
-        return empty
-    weights = spark.createDataFrame([(w, idf[w]) for w in vocabulary], "term string, idf double")
-    entries = spark.createDataFrame([(k, name, w, x) for k, name, v in vectors for w, x in v.items()], "template int, licence string, term string, part double")
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("line", "int"), ("n_terms", "int"), ("licence", "string"), ("score", "double"))]
+        return files.where("false").select("path", *none)
+    weights = _fixed_rows(spark, [{"term": w, "idf": idf[w]} for w in vocabulary])
+    entries = _fixed_rows(spark, [{"template": k, "licence": name, "term": w, "part": x} for k, name, v in vectors for w, x in v.items()])
     any_prefix = F.rlike(F.lower("text"), F.lit(r"(?<![a-z0-9])(?:" + "|".join(prefix) + r")(?![a-z0-9])"))
     lines = files.where(any_prefix).select("path", F.posexplode(F.split("text", r"\r\n|\n|\r", -1)).alias("line", "text")).where(any_prefix)
     lines = lines.select("path", "line", terms(F.col("text")).alias("terms"))
@@ -128,8 +134,8 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, cosine: float = COSINE,
     Null and empty texts have no licence of their own; whole texts are scanned.
     A file with several licence lines takes the best, of equal ones the first.
     A directory with several licence files takes the one with the best score,
-    of equal ones the smallest path. Paths are relative, parted by /, distinct
-    and not null. Other columns are ignored; an empty table gives an empty result.
+    of equal ones the smallest path. Paths are relative, parted by /, and distinct
+    but for repeated rows, which each get the result; a null one has no licence. Other columns are ignored; an empty table gives an empty result.
     """
     with Scratch(files.sparkSession) as scratch:
         source = files.select(F.col("path").cast("string").alias("path"), F.coalesce("text", F.lit("")).alias("text"))
@@ -137,7 +143,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, cosine: float = COSINE,
         first = F.max_by(F.struct("licence", "score"), F.struct("score", (-F.col("line")).alias("l"))).alias("b")
         own = found.groupBy("path").agg(first, F.sum("n_terms").alias("licence_terms"))
         own = own.select("path", "b.licence", "b.score", "licence_terms")
-        sizes = source.join(own.select("path"), "path", "left_semi").select("path", F.size(terms(F.col("text"))).alias("all_terms"))
+        sizes = source.join(own.select("path"), "path", "left_semi").select("path", F.size(terms(F.col("text"))).alias("all_terms")).distinct()
         own = own.join(sizes, "path").select("path", "licence", "score", (F.col("licence_terms") >= file_share * F.col("all_terms")).alias("licence_file"))
         own = scratch.table(own, "own-licences")
         placed = own.where("licence_file").select(F.regexp_extract("path", r"(?s)^(?:(.*)/)?[^/]*$", 1).alias("dir"), "path", "licence", "score")

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from tessera.scratch import Scratch
 from tessera.llm._text import LOWER, SPACE, chunks, mix, span_hash
+from tessera.scratch import Scratch
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -146,7 +146,7 @@ def line_refs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     ``min_chars`` code points, the numbers of its lines (from 0). The key is a
     128-bit hash of the line without white space at its ends, A-Z lower-cased."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return source.mapInArrow(_refs(min_chars), "k1 long, k2 long, doc_id long, lines array<int>")
+    return source.where("doc_id is not null").mapInArrow(_refs(min_chars), "k1 long, k2 long, doc_id long, lines array<int>")
 
 
 def _counts(refs: DataFrame) -> DataFrame:
@@ -294,7 +294,7 @@ def repeated_lines(index: LineIndex, scratch: Scratch, min_docs: int = MIN_DOCS)
         maybe.join(often, ["k1", "k2"])
         .where("doc_id < last_doc")
         .groupBy("doc_id")
-        .agg(F.flatten(F.collect_list("lines")).alias("drop"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("drop"))
     )
 
 
@@ -306,8 +306,9 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     lower-cased) has at least ``min_chars`` code points and occurs in at least
     ``min_docs`` documents; the document with the largest doc_id among them keeps
     all its lines with that key. Other columns pass unchanged; columns named
-    n_lines or n_dropped are replaced. doc_id is distinct; rows whose doc_id is
-    null count as documents and lose nothing. An empty table gives an empty result.
+    n_lines or n_dropped are replaced. doc_id is distinct but for repeated rows,
+    which count as further documents; rows whose doc_id is null lose nothing and
+    don't count. An empty table gives an empty result.
     """
     with Scratch(docs.sparkSession) as scratch:
         index = build_index(docs.select("doc_id", "text"), scratch, min_chars)

@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.scratch import Scratch, shuffle_partitions
 from tessera.llm._text import chunks, mix, shingle_sets
 from tessera.llm.components import connected_components
+from tessera.scratch import Scratch, shuffle_partitions
 
 #: Largest number of sets, and of their shingles, in one block of a family
 #: (a single larger set is a block of its own).
@@ -244,7 +244,7 @@ def _decide(limit: Threshold):
         order = np.argsort(ids, kind="stable")
         for docs, counts in parts[_COUNT]:
             np.subtract.at(alone, order[np.searchsorted(ids, docs, sorter=order)], counts)
-        active = (n > 0) & (alone <= n - -(-n * limit.percent // 100))
+        active = (n > 0) & (alone <= limit.most_alone(n))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, n, h1, h2, active)], names=["doc_id", "n", "h1", "h2", "active"])
 
     return run
@@ -419,8 +419,9 @@ def _join_blocks(percent: int):
     limit = Threshold(percent)
 
     def solve(key, docs, weights, blocks, sets) -> pa.RecordBatch | None:
-        docs, weights = np.array(docs, dtype=np.int64), np.array(weights, dtype=np.int64)
-        side = None if key[1] == key[2] else (np.array(blocks) == key[2]).astype(np.int64)
+        docs, once = np.unique(np.array(docs, dtype=np.int64), return_index=True)  # repeated rows
+        weights, sets = np.array(weights, dtype=np.int64)[once], [sets[k] for k in once.tolist()]
+        side = None if key[1] == key[2] else (np.array(blocks)[once] == key[2]).astype(np.int64)
         parent, links = np.arange(len(docs)), np.zeros(len(docs), dtype=np.int64)
         for i, j in tree_links([np.frombuffer(s, dtype=np.uint64) for s in sets], side, limit):
             np.add.at(links, i, weights[j])
@@ -464,13 +465,16 @@ def ngram_jaccard_join(docs: DataFrame, shingle_words: int = 5, percent: int = 8
 
     Null, empty and white-space texts have no shingles and link with nothing;
     rows with the same text link; texts of any length are compared whole. Other
-    columns of ``docs`` are ignored whatever their names. ``id_col`` must be a
-    distinct non-null integer; an empty table gives an empty result.
+    columns of ``docs`` are ignored whatever their names. ``id_col`` is an
+    integer, distinct but for repeated rows, which count as further documents
+    with the same text; a row whose id is null links with nothing and has no
+    n_shingles and component_id. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     limit = Threshold(percent)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = shuffle_partitions(source, 32 << 20)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    buckets = shuffle_partitions(rows, 32 << 20)
+    source = rows.where("doc_id is not null")
     with Scratch(spark) as scratch:
         screened = source.mapInArrow(_screen_batch(shingle_words, limit, buckets), _PACKED_DDL)
         screened = screened.repartition(buckets, "bucket").mapInArrow(_count_shared(buckets), _PACKED_DDL)
@@ -521,11 +525,14 @@ def ngram_jaccard_join(docs: DataFrame, shingle_words: int = 5, percent: int = 8
             F.coalesce("component_id", "doc_id").alias("component_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         )
-        return scratch.keep(result, "ngram-join")
+        none = [F.lit(None).cast("long").alias(c) for c in ("n_shingles", "component_id")]
+        nameless = rows.where("doc_id is null").select("doc_id", *none, F.lit(0).cast("long").alias("n_links"))
+        return scratch.keep(result.unionByName(nameless), "ngram-join")
 
 
 def keep_one_per_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the smallest doc_id of their group; all columns."""
+    """The rows of ``docs`` that are the smallest doc_id of their group, and those
+    without a doc_id; all columns."""
     groups = ngram_jaccard_join(docs, shingle_words, percent)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(first, docs["doc_id"] == first["_kept_id"], "left_semi")
+    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_other_id"))
+    return docs.join(others, docs["doc_id"] == others["_other_id"], "left_anti")

@@ -255,7 +255,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, e
     doc_tokens (with the end id), sequence_id, offset (in the sequence, gapless
     from 0) and, with ``with_ids``, ids.
 
-    Null and empty texts are the end id alone. Every token lies in one piece; a
+    Null and empty texts are the end id alone; a null doc_id is kept as it is. Every token lies in one piece; a
     sequence holds at most ``window`` tokens. Equal texts and repeated ids are
     packed like others, other columns are ignored, an empty table gives an empty
     result. ``tokenizer_path`` must be the same on every executor.

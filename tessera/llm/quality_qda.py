@@ -19,16 +19,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.scratch import Scratch
 from tessera.llm._text import LOWER, SPACE, chunks, span_hash, words
+from tessera.scratch import Scratch
 
 FEATURES = (
     "log_words", "log_word_length", "upper", "digit", "plain_punctuation", "symbol", "exclamation",
     "symbol_ended_words", "distinct_words", "top_word", "repeated_neighbours", "log_line_words", "log_sentence_words",
 )
-#: Weight of the pooled covariance in each class's, and of the mean variance on the diagonal.
-POOLED = 0.1
-RIDGE = 0.01
+#: Weight of the pooled covariance in each class's, and of the mean variance on
+#: the diagonal (the shrinkage; chosen on training rows).
+POOLED = 0.3
+RIDGE = 0.15
 
 _BYTE = np.arange(256)
 _UPPER = (_BYTE >= 0x41) & (_BYTE <= 0x5A)
@@ -196,18 +197,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null, empty and very long texts are scored like others. Without two labelled
     rows of each class every score is the share of label 1 (0.5 without labels).
-    Columns other than doc_id, text and quality are ignored. An empty table
-    gives an empty result.
+    Repeated rows and rows without a doc_id are scored like others (the latter are
+    not held out). Columns other than doc_id, text and quality are ignored. An
+    empty table gives an empty result.
     """
     with Scratch(docs.sparkSession) as scratch:
         features = scratch.keep(document_features(docs), "features")
         model = fit(features, labels.where(~held_out(F.col("doc_id"))))
     return score(features, model).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are predicted to be of label 1; all columns."""
-    good = quality_scores(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_good_id"))
-    return docs.join(good, docs["doc_id"] == good["_good_id"], "left_semi")
+    """The rows of ``docs`` but for those predicted to be of label 0; all columns.
+    Rows without a doc_id stay."""
+    bad = quality_scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_bad_id"))
+    return docs.join(bad, docs["doc_id"] == bad["_bad_id"], "left_anti")

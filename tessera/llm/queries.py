@@ -50,6 +50,32 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
 
 
+SQL_OP1 = """
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * common >= 90 * (p.n + q.n - common)),
+reach AS (
+    SELECT doc_id AS node, doc_id AS seen FROM documents
+    UNION SELECT node, y FROM reach JOIN links ON seen = x),
+components AS (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id,
+       (SELECT count(*) FROM links WHERE x = doc_id) AS n_links
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in sequences of at most 4096 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -191,7 +217,7 @@ FROM parts
 
 
 REGISTRY = {
-    "op1_ngram_join": (op1_ngram_join, None),
+    "op1_ngram_join": (op1_ngram_join, SQL_OP1),
     "op2_packing": (op2_packing, None),
     "op3_exact_dedup": (op3_exact_dedup, SQL_OP3),
     "op4_quality": (op4_quality, None),

@@ -59,7 +59,7 @@ def _tokens(docs: DataFrame) -> DataFrame:
         _found(text, _MARKOV, TOKEN, None),
     )
     rows = docs.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.kind", "f.i", "f.gap", "f.match")
-    rows = rows.withColumn("length", F.length("match")).repartition("doc_id")
+    rows = rows.withColumn("length", F.length("match")).repartition("doc_id").distinct()
     order = Window.partitionBy("doc_id", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.col("length")).over(order)
     value = F.when(F.col("kind") == 0, F.regexp_extract("match", ASSIGN, 2)).otherwise(F.col("match"))
@@ -109,8 +109,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have none; whole texts are scanned. Spans of one kind
     don't overlap; Markov spans overlap none of the others, and there are none
-    where the documents hold no sample of either label. doc_id is distinct and
-    not null. Other columns are ignored. An empty table gives an empty result.
+    where the documents hold no sample of either label. doc_id is distinct but for
+    repeated rows, which each get the result; rows without one have no spans. Other columns are ignored. An empty table gives an empty result.
     """
     with Scratch(docs.sparkSession) as scratch:
         source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.scratch import Scratch, shuffle_partitions
 from tessera.llm._text import chunks, mix, span_hash
+from tessera.scratch import Scratch, shuffle_partitions
 
 DEPTH = 400
 #: Documents with one anchor that meet in one task.
@@ -252,8 +252,9 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     Texts are whole UTF-8 byte strings, null is empty, strings never cross texts,
     and all strings are judged on the input. A text shorter than ``depth`` loses
     nothing; equal texts of at least that length lose everything. doc_id is
-    distinct and not null; other columns are ignored; an empty table gives an
-    empty result. ``depth`` is at least 64.
+    distinct but for repeated rows, which are equal texts; a row without one is
+    compared as a whole text only. Other columns are ignored; an empty table
+    gives an empty result. ``depth`` is at least 64.
     """
     if depth < 2 * _GRAM:
         raise ValueError(f"depth must be at least {2 * _GRAM}")
