@@ -149,5 +149,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no window of an item; all columns."""
-    hit = decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("_hit_id"))
+    hit = decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("_hit_id")).hint("merge")
     return docs.join(hit, docs["doc_id"] == hit["_hit_id"], "left_anti")

@@ -84,13 +84,18 @@ class Threshold:
 
 @lru_cache(maxsize=None)
 def _classes() -> tuple[int, ...]:
-    """First sizes of the size classes; linked sets are at most one class apart."""
+    """First sizes of the size classes. Narrow classes: a pair's parts are as few,
+    and so as large and telling, as the smaller set's class allows."""
     starts = [1]
     while starts[-1] < 1 << 40:
-        starts.append(max(starts[-1] + 1, starts[-1] * 2))
+        starts.append(max(starts[-1] + 1, starts[-1] * 11 // 10))
     return tuple(starts)
 
 
+def _class_of(n: int) -> int:
+    return bisect_right(_classes(), n) - 1
+
+
 @lru_cache(maxsize=None)
 def _parts(percent: int, klass: int) -> tuple[np.ndarray, int]:
     """(first hash of every part but the first, most differing elements) for
@@ -110,7 +115,8 @@ def _parts(percent: int, klass: int) -> tuple[np.ndarray, int]:
 def part_signatures(values: np.ndarray, percent: int) -> np.ndarray:
     """Signatures of one sorted set such that any two linked sets share one.
 
-    Two linked sets agree on all but ``differ`` parts; a set with more non-empty
+    A pair is cut as the class of its smaller set says, so a set signs for its
+    own class and for those of the smaller sets it may link to. Two linked sets agree on all but ``differ`` parts; a set with more non-empty
     parts than that therefore shares a non-empty one with each partner. A set
     with too few also signs a cut by another hash, where its partner, in the
     same case, does too, and in the end a signature common to its size class.
@@ -118,13 +124,8 @@ def part_signatures(values: np.ndarray, percent: int) -> np.ndarray:
     n = len(values)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    starts = _classes()
-    own = bisect_right(starts, n) - 1
-    tags = [own]
-    if own and Threshold(percent).least_partner(n) < starts[own]:
-        tags.append(own - 1)
     out = []
-    for tag in tags:
+    for tag in range(_class_of(Threshold(percent).least_partner(n)), _class_of(n) + 1):
         edges, differ = _parts(percent, tag)
         for seed in range(_RESEED + 1):
             keys = values if not seed else np.sort(mix(values + _U64(seed * 0x9E37)))
@@ -499,6 +500,7 @@ def ngram_jaccard_join(docs: DataFrame, shingle_words: int = 5, percent: int = 8
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         )
         # each set to every task of its block
+        placed = placed.hint("merge")
         placed = texts.join(placed, texts["doc_id"] == placed["rep"]).select("family", "rep", "weight", "block", "blocks", "text")
         as_sets = placed.mapInArrow(_sets_of(shingle_words), "family long, rep long, weight long, block int, blocks int, items binary")
         partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner")
@@ -534,5 +536,5 @@ def keep_one_per_group(docs: DataFrame, shingle_words: int = 5, percent: int = 8
     """The rows of ``docs`` that are the smallest doc_id of their group, and those
     without a doc_id; all columns."""
     groups = ngram_jaccard_join(docs, shingle_words, percent)
-    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_other_id"))
+    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_other_id")).hint("merge")
     return docs.join(others, docs["doc_id"] == others["_other_id"], "left_anti")

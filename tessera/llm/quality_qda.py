@@ -212,5 +212,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` but for those predicted to be of label 0; all columns.
     Rows without a doc_id stay."""
-    bad = quality_scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_bad_id"))
+    bad = quality_scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_bad_id")).hint("merge")
     return docs.join(bad, docs["doc_id"] == bad["_bad_id"], "left_anti")
