@@ -314,7 +314,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
         index = build_index(docs.select("doc_id", "text"), scratch, min_chars)
         drops = scratch.keep(repeated_lines(index, scratch, min_docs), "line-drops")
     drops = drops.select(F.col("doc_id").alias("_drop_id"), F.col("drop").alias("_drop"))
-    joined = docs.join(drops, docs["doc_id"] == drops["_drop_id"], "left")
+    # a merge join at every size: the texts are dealt by doc_id once
+    joined = docs.join(drops.hint("merge"), docs["doc_id"] == drops["_drop_id"], "left")
     # the split lines are a column of their own, so that each text is split once
     joined = joined.withColumn("_text", F.coalesce("text", F.lit("")))
     joined = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), F.split("_text", "\n", -1)))
