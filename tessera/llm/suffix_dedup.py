@@ -31,7 +31,7 @@ DEPTH = 400
 #: Documents with one anchor that meet in one task.
 TASK_DOCS = 4096
 #: Bytes that a task sorts at once, unless one anchor has more.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
 _GRAM = 32
 _DIGIT = 100
 _PLACE_BITS = 28  # a batch chunk's bytes; larger texts are cut into pieces of windows
