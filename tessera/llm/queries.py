@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.alignment import token_alignment
+from tessera.llm.context_mixing import language_model_scores
 from tessera.llm.decontaminate import decontaminate
 from tessera.llm.exact_dedup import exact_duplicates
 from tessera.llm.licenses import scan_licences
@@ -20,6 +22,7 @@ from tessera.llm.ngram_join import ngram_jaccard_join
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality_qda import quality_scores
 from tessera.llm.secrets import base_spans, scan_secrets, span_text
+from tessera.llm.source_divergence import source_divergence
 from tessera.llm.suffix_dedup import repeated_spans
 from tessera.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, judge_urls
 
@@ -38,11 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of op2, installed on every machine."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file (op2's by default), installed on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +219,60 @@ FROM parts
 """
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability by a model of those that aren't held out."""
+    return language_model_scores(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies, aligned in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their words."""
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+SQL_OP13 = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+words AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+used AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+cells AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n, lang_n
+    FROM (SELECT DISTINCT lang, source FROM d) JOIN kept USING (lang) LEFT JOIN used USING (lang, source, term)),
+totals AS (SELECT lang, source, sum(n) AS total, count(*) AS v, sum(lang_n) AS lang_total FROM cells GROUP BY ALL),
+probabilities AS (
+    SELECT lang, source, term, n,
+           1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // (total + v) AS p,
+           1 + (CAST(1000000000 AS HUGEINT) * (lang_n + 1)) // (lang_total + v) AS q
+    FROM cells JOIN totals USING (lang, source)),
+groups AS (SELECT DISTINCT lang, source FROM d),
+pairs AS (
+    SELECT g.lang, g.source, h.source AS item, coalesce(value, 0) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+        FROM probabilities a JOIN probabilities b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source),
+parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM probabilities WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 REGISTRY = {
     "op1_ngram_join": (op1_ngram_join, SQL_OP1),
     "op2_packing": (op2_packing, None),
@@ -227,4 +284,7 @@ REGISTRY = {
     "op8_suffix_dedup": (op8_suffix_dedup, None),
     "op9_licenses": (op9_licenses, None),
     "op10_url_filter": (op10_url_filter, _sql_op10()),
+    "op11_language_model": (op11_language_model, None),
+    "op12_token_alignment": (op12_token_alignment, None),
+    "op13_source_divergence": (op13_source_divergence, SQL_OP13),
 }
