@@ -230,12 +230,9 @@ def term_frequencies(docs: DataFrame, scratch: Scratch, block_bytes: int = BLOCK
     """(lang, source, term, n, docs): occurrences and documents of every term in
     every group; ``docs`` (lang, source, text) has no nulls."""
     shards = shuffle_partitions(docs, SHARD_BYTES)
-    runs = scratch.table(docs.select("lang", "source", "text").mapInArrow(_spill_runs(shards, block_bytes), RUN_DDL), "runs")
-    path = scratch.last
+    runs = docs.select("lang", "source", "text").mapInArrow(_spill_runs(shards, block_bytes), RUN_DDL)
     dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "run")
-    found = scratch.table(dealt.mapInArrow(_merge_shards, FREQUENCY_DDL), "frequencies")
-    scratch.drop(path)
-    return found
+    return scratch.table(dealt.mapInArrow(_merge_shards, FREQUENCY_DDL), "frequencies")
 
 
 def probability(n: Column, total: Column, terms: Column) -> Column:
