@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.profile import profile, profile_records, sample_fraction_for
 from tessera.session import remove_scratch
+from tessera.sources.parquet import read_parquet
 from tessera.sources.report import write_profile_json, write_profile_records
 from tessera.sources.tsv import read_tsv, read_tsv_staged
 
@@ -18,7 +19,7 @@ def _source(spark: SparkSession, path: str, fmt: str, sep: str, multiline: bool)
     if fmt == "tsv":
         return read_tsv(spark, path, sep=sep, multiline=multiline)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return read_parquet(spark, path)
     raise ValueError("fmt must be 'tsv' or 'parquet'")
 
 

@@ -939,7 +939,9 @@ def q_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = lasting_path(spark, "silver-history")
     silver = q_silver_latest(spark, sf_dir)
     write_snapshot(silver, root, date(2026, 7, 1))
-    write_snapshot(silver.where(F.col("event_type").isNotNull()), root, date(2026, 7, 2))
+    # the second one in versions, as on an object store, and loaded twice
+    write_snapshot(silver, root, date(2026, 7, 2), versions=True)
+    write_snapshot(silver.where(F.col("event_type").isNotNull()), root, date(2026, 7, 2), versions=True)
     return read_snapshots(spark, root).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -7,16 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Columnar scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(path)
+from tessera.sources.versions import current_version, publish
+from tessera.sources.versions import hadoop_path as _fs
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Columnar scan; Catalyst prunes columns and pushes filters into it. Of a
+    dataset in versions (:mod:`tessera.sources.versions`) the current one is read."""
+    return spark.read.parquet(current_version(spark, path))
 
 
 def _swap(fs, staged, target, aside) -> None:
@@ -37,11 +35,12 @@ def _swap(fs, staged, target, aside) -> None:
         fs.delete(aside, True)
 
 
-# File systems on which a folder is renamed as one step, without copying.
-RENAMES = ("file", "hdfs", "viewfs", "abfs", "abfss")
+# File systems on which a folder is renamed as one step, without copying. (What
+# is behind a viewfs mount may be an object store.)
+RENAMES = ("file", "hdfs", "abfs", "abfss")
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), versions: bool | None = None) -> str:
     """Write ``df`` as a Parquet dataset at ``path``; a rerun replaces it.
 
     Failed tasks are retried on other executors by Spark, and a job that fails
@@ -51,26 +50,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     Where folders are renamed in one step the new data is written beside
     ``path``; once the job has committed, the old folder is moved aside, the new
     one moved in and the old one deleted, and a rename that fails is undone. On
-    an object store, where a rename copies every byte, the job commits its files
-    into ``path`` and the files that were there before are deleted; between the
-    two a reader sees both.
+    an object store, where a rename copies every byte, the data is published as
+    a version behind a manifest (:func:`tessera.sources.versions.publish`), and
+    :func:`read_parquet` reads it. ``versions`` asks for one of the two.
     """
     path = str(path).rstrip("/")
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     spark = df.sparkSession
     fs, target = _fs(spark, path)
-    if fs.getUri().getScheme() in RENAMES:
-        tag = uuid.uuid4().hex
-        staging = f"{path}.__writing-{tag}"
-        writer.mode("errorifexists").parquet(staging)
-        _swap(fs, _fs(spark, staging)[1], target, _fs(spark, f"{path}.__before-{tag}")[1])
-        return path
-    before = []
-    if fs.exists(target):
-        listed = fs.listFiles(target, True)
-        while listed.hasNext():
-            before.append(listed.next().getPath())
-    writer.mode("append").parquet(path)
-    for old in before:
-        fs.delete(old, False)
+    if versions is None:
+        versions = fs.getUri().getScheme() not in RENAMES
+    if versions:
+        return publish(df, path, partition_by)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    tag = uuid.uuid4().hex
+    staging = f"{path}.__writing-{tag}"
+    writer.mode("errorifexists").parquet(staging)
+    _swap(fs, _fs(spark, staging)[1], target, _fs(spark, f"{path}.__before-{tag}")[1])
     return path

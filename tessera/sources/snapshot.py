@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.sources.parquet import write_parquet
+from tessera.sources.versions import current_version, hadoop_path
 
 DEFAULT_NAME = "products.parquet"
 
@@ -24,9 +25,10 @@ def snapshot_path(dest_dir: str, run_date: date | None = None, name: str = DEFAU
     return f"{str(dest_dir).rstrip('/')}/{run_date.isoformat()}/{name}"
 
 
-def write_snapshot(df: DataFrame, dest_dir: str, run_date: date | None = None, name: str = DEFAULT_NAME) -> str:
-    """Write ``df`` as the snapshot of ``run_date`` (rerun = replace); return its path."""
-    return write_parquet(df, snapshot_path(dest_dir, run_date, name))
+def write_snapshot(df: DataFrame, dest_dir: str, run_date: date | None = None, name: str = DEFAULT_NAME, versions: bool | None = None) -> str:
+    """Write ``df`` as the snapshot of ``run_date`` (rerun = replace); return its
+    path. ``versions`` is that of :func:`tessera.sources.parquet.write_parquet`."""
+    return write_parquet(df, snapshot_path(dest_dir, run_date, name), versions=versions)
 
 
 def read_snapshots(
@@ -39,17 +41,21 @@ def read_snapshots(
     column taken from each file's path.
 
     ``dates`` reads only those runs: the folders are named in the scan, so the
-    others are never listed or opened. The date is cut out of the path with
-    plain string functions (no pattern engine per row).
+    others are never listed or opened. Of a snapshot in versions the current one
+    is read. The date is cut out of the path with plain string functions (no
+    pattern engine per row).
     """
     root = str(dest_dir).rstrip("/")
     if dates is None:
-        df = spark.read.parquet(f"{root}/*/{name}")
+        fs, pattern = hadoop_path(spark, f"{root}/*/{name}")
+        paths = [s.getPath().toString() for s in fs.globStatus(pattern) or []]
+        if not paths:
+            raise FileNotFoundError(f"no snapshot {name} below {root}")
     else:
         paths = [snapshot_path(root, d, name) for d in dates]
         if not paths:
             raise ValueError("dates is empty")
-        df = spark.read.parquet(*paths)
+    df = spark.read.parquet(*[current_version(spark, p) for p in paths])
     # .../{YYYY-MM-DD}/{name}/part-....parquet -> YYYY-MM-DD
     run_folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), f"/{name}/", 1), "/", -1)
     return df.withColumn("snapshot_date", F.to_date(run_folder))
