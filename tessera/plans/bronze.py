@@ -16,7 +16,7 @@ from tessera.sources.snapshot import require_object_store, write_snapshot
 from tessera.sources.tsv import read_tsv, read_tsv_staged
 
 
-def bronze_transform(spark: SparkSession, source_path: str, sep: str = "\t", multiline: bool = True) -> DataFrame:
+def bronze_transform(spark: SparkSession, source_path: str, sep: str = "\t", multiline: bool | str = True) -> DataFrame:
     """The bronze table as a DataFrame (scan + full-file typing + ``SELECT *``)."""
     return passthrough(read_tsv(spark, source_path, sep=sep, multiline=multiline))
 
@@ -28,7 +28,7 @@ def bronze_layer(
     run_date: date | None = None,
     gcs: bool = False,
     sep: str = "\t",
-    multiline: bool = True,
+    multiline: bool | str = True,
 ) -> str:
     """Write the bronze snapshot of ``run_date`` (default today) and return
     ``{dest_dir}/{YYYY-MM-DD}/products.parquet``. A rerun replaces it.
@@ -36,8 +36,7 @@ def bronze_layer(
     ``gcs=True`` asks for an object-store destination (a ``gs://`` URI);
     local and remote paths otherwise go through the same writer, which creates
     folders itself. The staged text copy is removed once the snapshot is
-    written. ``multiline=False`` lets plain text without line breaks in its
-    fields be split (:func:`tessera.sources.tsv.read_text_table`).
+    written. ``multiline`` is that of :func:`tessera.sources.tsv.read_tsv`.
     """
     if gcs:
         require_object_store(dest_dir)

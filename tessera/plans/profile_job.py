@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators.profile import profile, profile_records, sample_fraction_for
+from tessera.operators.profile import profile, profile_records
+from tessera.operators.sample import sample_rows as exact_sample
 from tessera.session import remove_scratch
 from tessera.sources.parquet import read_parquet
 from tessera.sources.report import write_profile_json, write_profile_records
@@ -15,7 +16,7 @@ from tessera.sources.tsv import read_tsv, read_tsv_staged
 DEFAULT_REPORT_DIR = "data/bronze/profile_report.json"
 
 
-def _source(spark: SparkSession, path: str, fmt: str, sep: str, multiline: bool) -> DataFrame:
+def _source(spark: SparkSession, path: str, fmt: str, sep: str, multiline: bool | str) -> DataFrame:
     if fmt == "tsv":
         return read_tsv(spark, path, sep=sep, multiline=multiline)
     if fmt == "parquet":
@@ -32,13 +33,13 @@ def profile_dataset(
     approx: bool = False,
     sep: str = "\t",
     as_records: bool = False,
-    multiline: bool = True,
+    multiline: bool | str = True,
 ) -> DataFrame | list[dict]:
     """Profile a delimited file (typed from the whole file) or a Parquet dataset.
 
-    Full scan by default; ``sample_rows`` profiles a random sample of about that
-    many rows instead; ``approx`` uses approximate distinct counts; ``multiline``
-    is that of :func:`tessera.sources.tsv.read_text_table`. Returns a
+    Full scan by default; ``sample_rows`` profiles a sample of exactly that many
+    rows (:func:`tessera.operators.sample.sample_rows`) instead; ``approx`` uses approximate distinct counts; ``multiline``
+    is that of :func:`tessera.sources.tsv.read_tsv`. Returns a
     DataFrame, or with ``as_records`` the list of records
     (:func:`tessera.operators.profile.profile_records`).
     """
@@ -49,15 +50,13 @@ def profile_dataset(
         else:
             df = _source(spark, path, fmt, sep, multiline)
         try:
-            fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
-            src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
+            src = exact_sample(df, sample_rows) if sample_rows else df
             return profile_records(src, columns=columns, approx=approx)
         finally:
             if staged:
                 remove_scratch(spark, staged)
     df = _source(spark, path, fmt, sep, multiline)
-    fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
-    return profile(df, columns=columns, approx=approx, sample_fraction=fraction)
+    return profile(df, columns=columns, approx=approx, sample_rows=sample_rows)
 
 
 def save_profile(
@@ -87,7 +86,7 @@ def profile_job(
     approx: bool = False,
     sep: str = "\t",
     layout: str = "file",
-    multiline: bool = True,
+    multiline: bool | str = True,
 ) -> str:
     """Profile a source and write the JSON report; return the report path.
 
@@ -105,11 +104,10 @@ def profile_job(
     else:
         df = _source(spark, path, fmt, sep, multiline)
     try:
-        fraction = sample_fraction_for(df, sample_rows) if sample_rows else None
         if layout == "file":
-            src = df.sample(withReplacement=False, fraction=fraction, seed=42) if fraction else df
+            src = exact_sample(df, sample_rows) if sample_rows else df
             return write_profile_records(spark, profile_records(src, columns=columns, approx=approx), out_dir)
-        prof = profile(df, columns=columns, approx=approx, sample_fraction=fraction)
+        prof = profile(df, columns=columns, approx=approx, sample_rows=sample_rows)
         return write_profile_json(prof, out_dir, layout=layout)
     finally:
         if staged:

@@ -171,6 +171,19 @@ def shuffles_sized_for(spark: SparkSession, path: str, expansion: float = 1.0) -
         spark.conf.unset(key)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Within the block the session has these settings; for jobs that run in it."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.sparkContext.defaultParallelism)

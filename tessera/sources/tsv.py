@@ -9,6 +9,11 @@ from tessera.functions.columns import qcol
 from tessera.scratch import lasting_path
 from tessera.session import scratch_path, spread
 from tessera.sources.inference import apply_types, infer_types
+from tessera.sources.records import read_record_table
+
+
+#: Files that Spark decompresses, each in one task.
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 
 
 def read_text_table(
@@ -18,15 +23,16 @@ def read_text_table(
     header: bool = True,
     multiline: bool = True,
 ) -> DataFrame:
-    """Scan a delimited file (or folder / glob) with every column as text.
+    """Scan a delimited file (or folder / glob) with every column as text, by
+    Spark's own reader.
 
     Empty and quoted-empty fields read as NULL; a doubled quote inside a quoted
     field is a literal quote. ``.gz`` files are decompressed in place. A row with
     more or fewer fields than the header is an error, when the data is read.
 
     ``multiline`` (the default) keeps line breaks inside quoted fields. A plain
-    file is then one task, as a gzip file always is; turn it off for large plain
-    files that hold none, which are split.
+    file is then one task, as a gzip file always is. :func:`read_tsv` splits it
+    (:mod:`tessera.sources.records`).
     """
     return (
         spark.read.option("sep", sep)
@@ -63,13 +69,15 @@ def read_tsv_staged(
     path: str,
     sep: str = "\t",
     header: bool = True,
-    multiline: bool = True,
+    multiline: bool | str = True,
     lasting: bool = False,
 ) -> tuple[DataFrame, str | None]:
-    """:func:`read_tsv`, also returning the staged table's path (or ``None``) so
+    """:func:`read_tsv` (``multiline`` as there), also returning the staged table's path (or ``None``) so
     a job can remove it once its output is written."""
-    text = read_text_table(spark, path, sep=sep, header=header, multiline=multiline)
+    text = read_text_table(spark, path, sep=sep, header=header, multiline=bool(multiline))
     files = text_files(spark, path)
+    if multiline is True and files and not any(name.endswith(COMPRESSED) for name, _ in files):
+        text = read_record_table(spark, path, list(text.columns), sep=sep, header=header)
     if not multiline and not any(name.endswith(".gz") for name, _ in files):
         # splittable text: typed and read again in place, one pass over all columns
         return apply_types(text, infer_types(text, chunk_columns=None)), None
@@ -87,12 +95,18 @@ def read_tsv(
     path: str,
     sep: str = "\t",
     header: bool = True,
-    multiline: bool = True,
+    multiline: bool | str = True,
 ) -> DataFrame:
     """Scan a delimited file and type every column from the whole file.
 
-    Text that can't be split (gzip, or line breaks in fields) is decompressed
-    and parsed once, spread over the cluster by size and written as a Parquet
+    By default quoted fields may hold line breaks. Plain text is then split
+    like any other: records are told by the quotes before them
+    (:mod:`tessera.sources.records`), for which a quote must stand in quoted
+    fields only. ``multiline="whole"`` reads each plain file in one task instead,
+    where a quote inside an unquoted field is a character like others.
+    ``multiline=False`` says that no field holds a line break.
+
+    Compressed text and text with line breaks in fields is read and parsed once, spread over the cluster by size and written as a Parquet
     table in the shared checkpoint folder (columnar, under positional column
     names so any source name is safe); inference and the typed result both read
     that copy, and a lost executor recomputes from it. The result is lazy, so
