@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import resolve
 from tessera.functions.numeric import null_rate
+from tessera.operators.sample import sample_rows as exact_sample
 from tessera.operators.unpivot import SLOT, lookup, typed_rows
 from tessera.sources.schema import sql_type_name
 
@@ -74,15 +75,20 @@ def profile(
     sample_fraction: float | None = None,
     seed: int = 42,
     with_position: bool = False,
+    sample_rows: int | None = None,
+    sample_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """The column profile, in source column order:
     ``column, type, null_rate, distinct_values``.
 
     ``null_rate`` is ``round(1 - non_null / total, 4)`` and NULL for an empty
-    table. ``sample_fraction`` profiles a Bernoulli sample (every task samples
-    its own rows) instead of the full table.
+    table. ``sample_rows`` profiles a sample of exactly that many rows, drawn by
+    ``sample_keys`` (:func:`tessera.operators.sample.sample_rows`);
+    ``sample_fraction`` a Bernoulli sample, where every task samples its own rows.
     """
     src = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed) if sample_fraction else df
+    if sample_rows is not None:
+        src = exact_sample(src, sample_rows, sample_keys, seed)
     stats = column_stats(src, columns, approx=approx, rsd=rsd)
     # One row per profiled column, sorted in a single partition; the exchange
     # below it leaves the final aggregate itself on all tasks.
