@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -56,7 +58,7 @@ def load_table(
     pointed at it, by ``ALTER TABLE ... SET LOCATION``, and the previous version
     folder removed. At every moment there is a table, whole and readable. (A
     load with other columns replaces the table's definition, which takes a drop
-    and a create.)
+    and a create; :func:`load_view` has no such gap.)
     """
     spark = df.sparkSession
     parts = _parts(table)
@@ -122,6 +124,53 @@ def write_partitioned(
     return write_parquet(laid_out, path, partition_by=list(partition_by))
 
 
+def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> str:
+    """Replace those partitions of a mart at ``path`` that ``df`` has rows of, and
+    no others (their files stay as they are). Running it again gives the same.
+
+    Spark's dynamic partition overwrite: tasks write to a staging folder, and
+    when the job has committed, each new partition takes the place of the old
+    one. A job that fails leaves all as it was. A partition that is to be emptied
+    has no row in ``df``; remove its folder.
+    """
+    laid_out = layout_for_write(df, partition_by, cluster_by)
+    laid_out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*partition_by).parquet(str(path))
+    return str(path)
+
+
+def load_view(df: DataFrame, view: str, path: str, keep: int = 1) -> str:
+    """Load ``df`` into a version table behind a view, whatever its columns.
+
+    The rows go to ``{path}/v-{id}`` and a table ``{view}__v{id}`` over it; the
+    one catalog call ``CREATE OR REPLACE VIEW`` then takes readers from the last
+    version to this one, also when columns were added, dropped or changed. At
+    every moment the name stands for one whole version. ``keep`` versions stay,
+    this one included; older ones are dropped after the swap, with their files.
+    """
+    spark = df.sparkSession
+    parts = _parts(view)
+    if len(parts) > 1:
+        ensure_database(spark, ".".join(parts[:-1]))
+    tag = uuid.uuid4().hex
+    location = f"{str(path).rstrip('/')}/v-{tag}"
+    df.write.mode("errorifexists").parquet(location)
+    table = _qualified(*parts[:-1], f"{parts[-1]}__v{tag}")
+    spark.catalog.createTable(table, path=location, source="parquet", description=str(time.time_ns()))
+    columns = ", ".join(quote_name(c) for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {_qualified(*parts)} AS SELECT {columns} FROM {table}")
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES{' IN ' + _qualified(*parts[:-1]) if len(parts) > 1 else ''}").collect()]
+    mine = [n for n in names if re.fullmatch(re.escape(parts[-1].lower()) + "__v[0-9a-f]{32}", n.lower())]
+    versions = []
+    for name in mine:
+        full = _qualified(*parts[:-1], name)
+        made = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()}
+        versions.append((int(made["Comment"]), full, made["Location"]))
+    for _, full, folder in sorted(versions)[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        _remove(spark, folder)
+    return view
+
+
 def write_bucketed_table(
     df: DataFrame,
     table: str,
