@@ -31,20 +31,25 @@ from tessera.operators.aggregates import (
 )
 from tessera.operators.dedup import row_number_per_key
 from tessera.operators.filters import at_least, equals
+from tessera.operators.heavy_hitters import heavy_hitters
+from tessera.operators.mergeable import ERROR, merged_profile, profile_state
 from tessera.operators.profile import profile
 from tessera.operators.projection import drop_columns, rename_cast
 from tessera.operators.quality import output_checks, range_check, reconciliation, schema_check
+from tessera.operators.sample import sample_rows
 from tessera.operators.topk import sort_asc, top_k, top_n_other
 from tessera.plans.bronze import bronze_layer
 from tessera.plans.marts import additions_mart, category_mart, multivalue_mart, write_product_fact
 from tessera.plans.profile_job import profile_dataset
 from tessera.plans.silver import silver_layer, silver_transform
 from tessera.scratch import Scratch, lasting_path
+from tessera.session import session_conf
+from tessera.sources.footers import footer_stats
 from tessera.sources.report import write_profile_json
 from tessera.sources.schema import describe
 from tessera.sources.parquet import write_parquet
 from tessera.sources.snapshot import read_snapshots, write_snapshot
-from tessera.sources.warehouse import load_table, write_bucketed_table, write_partitioned
+from tessera.sources.warehouse import load_table, load_view, refresh_partitions, write_bucketed_table, write_partitioned
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -196,8 +201,8 @@ FROM events
 """
 
 
-def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str, raw_dir: str) -> str:
-    """A table as a raw gzip TSV snapshot folder."""
+def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str, raw_dir: str, compression: str = "gzip") -> str:
+    """A table as a raw TSV snapshot folder, gzip by default."""
     (
         table(spark, sf_dir, name)
         .write.mode("overwrite")
@@ -205,7 +210,7 @@ def _write_raw_tsv(spark: SparkSession, sf_dir: str, name: str, raw_dir: str) ->
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("compression", "gzip")
+        .option("compression", compression)
         # full microsecond precision (the writer's default keeps milliseconds)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
@@ -238,6 +243,17 @@ def q_tsv_roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_roundtrip(spark, sf_dir, "documents")
 
 
+def q_tsv_plain_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as one plain text file with line breaks in its fields, read by
+    several tasks and typed."""
+    with Scratch(spark) as scratch:
+        raw = _write_raw_tsv(spark, sf_dir, "documents", scratch.path("plain-documents"), compression="none")
+        # splits of 256 KB, so that also the smallest table has several
+        with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "256k"}):
+            path = bronze_layer(spark, raw, lasting_path(spark, "bronze"), run_date=date(2026, 7, 1))
+    return spark.read.parquet(path)
+
+
 SQL_TSV_ROUNDTRIP_DOCUMENTS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
 SQL_TSV_ROUNDTRIP = """
@@ -953,6 +969,133 @@ SELECT DATE '2026-07-02', count(*) FROM silver WHERE event_type IS NOT NULL
 """
 
 
+# ---------------------------------------------------------------------------
+# samples, mergeable profiles, heavy hitters, footers, refreshed partitions, views
+# ---------------------------------------------------------------------------
+
+_SAMPLE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly 1,000 line items, drawn by the MD5 of their keys (the sample is
+    the feature)."""
+    drawn = sample_rows(table(spark, sf_dir, "lineitem"), 1000, keys=_SAMPLE_KEYS, seed=7)
+    return drawn.select(*_SAMPLE_KEYS, "l_quantity", "l_shipdate")
+
+
+_SAMPLE_SQL = """
+SELECT * FROM lineitem
+ORDER BY substr(md5(concat_ws('|', '7', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 15) LIMIT 1000
+"""
+SQL_SAMPLE_ROWS = f"SELECT {', '.join(_SAMPLE_KEYS)}, l_quantity, l_shipdate FROM ({_SAMPLE_SQL})"
+
+
+def q_profile_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full profile of a sample of exactly 1,000 line items."""
+    return profile(table(spark, sf_dir, "lineitem"), sample_rows=1000, sample_keys=_SAMPLE_KEYS, seed=7)
+
+
+SQL_PROFILE_SAMPLE_ROWS = f"WITH drawn AS ({_SAMPLE_SQL}) " + _profile_sql("drawn", _LINEITEM_COLUMNS)
+
+
+def q_profile_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of two snapshots (orders up to 1995, and those after), each
+    stored as sketches and counts, merged without reading the snapshots again."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
+    root = lasting_path(spark, "profile-states")
+    early = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")
+    for day, part in ((1, orders.where(early)), (2, orders.where(~early))):
+        write_snapshot(profile_state(part), root, date(2026, 7, day), name="profile.parquet")
+    merged = merged_profile(read_snapshots(spark, root, name="profile.parquet"))
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in orders.columns])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in orders.columns])))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1), F.ceil(F.col("exact") * 4 * ERROR))
+    return merged.join(exact, "column").select("column", "type", "total_rows", "non_null_rows", "null_rate", near.alias("distinct_within_error"))
+
+
+SQL_PROFILE_HISTORY = (
+    "WITH o AS (SELECT * REPLACE (NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders) "
+    "SELECT \"column\", type, (SELECT count(*) FROM o) AS total_rows, "
+    "CASE WHEN \"column\" = 'o_orderpriority' THEN (SELECT count(o_orderpriority) FROM o) ELSE (SELECT count(*) FROM o) END AS non_null_rows, "
+    "null_rate, true AS distinct_within_error FROM ("
+    + _profile_sql("o", ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+    + ") p"
+)
+
+
+def q_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 parts ordered most often and the rest, from summaries and one more
+    scan where those prove the list."""
+    return heavy_hitters(table(spark, sf_dir, "lineitem"), "l_partkey", 20).rows
+
+
+SQL_HEAVY_HITTERS = """
+WITH counts AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey),
+top AS (SELECT l_partkey, n FROM counts ORDER BY n DESC, l_partkey LIMIT 20)
+SELECT CAST(l_partkey AS VARCHAR) AS label, n AS cnt FROM top
+UNION ALL
+SELECT 'Other', CAST(sum(n) AS BIGINT) FROM counts WHERE l_partkey NOT IN (SELECT l_partkey FROM top) HAVING count(*) > 0
+"""
+
+
+def q_heavy_hitters_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three commonest event types and the rest."""
+    return heavy_hitters(table(spark, sf_dir, "events"), "event_type", 3).rows
+
+
+SQL_HEAVY_HITTERS_EVENTS = """
+WITH counts AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
+top AS (SELECT event_type, n FROM counts ORDER BY n DESC, event_type LIMIT 3)
+SELECT event_type AS label, n AS cnt FROM top
+UNION ALL
+SELECT 'Other', CAST(sum(n) AS BIGINT) FROM counts WHERE event_type NOT IN (SELECT event_type FROM top) HAVING count(*) > 0
+"""
+
+
+def q_footer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and ranges of the columns of orders from file footers alone."""
+    found = footer_stats(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return found.select("column", "total_rows", "non_null_rows", *[F.col(c).cast("double").alias(c) for c in ("min_value", "max_value")])
+
+
+SQL_FOOTER_STATS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS total_rows, count({c}) AS non_null_rows, "
+    + (f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value" if ranged else "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value")
+    + " FROM orders"
+    for c, ranged in (("o_orderkey", True), ("o_custkey", True), ("o_orderstatus", False), ("o_totalprice", False), ("o_orderdate", False), ("o_orderpriority", False))
+)
+
+
+def q_refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order mart by month, of which March 1996 is written again (twice) with
+    prices doubled; then counts and sums by month."""
+    orders = table(spark, sf_dir, "orders").withColumn("order_month", truncate_period("o_orderdate", "month"))
+    path = write_partitioned(orders, lasting_path(spark, "mart-refreshed"), ["order_month"], ["o_orderpriority"])
+    changed = orders.where(F.col("order_month") == F.lit(date(1996, 3, 1))).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    for _ in range(2):
+        refresh_partitions(changed, path, ["order_month"], ["o_orderpriority"])
+    return spark.read.parquet(path).groupBy("order_month").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+SQL_REFRESH_PARTITIONS = """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month, count(*) AS orders,
+       round(sum(CASE WHEN date_trunc('month', o_orderdate) = DATE '1996-03-01' THEN 2 ELSE 1 END * o_totalprice), 2) AS total
+FROM orders GROUP BY 1
+"""
+
+
+def q_warehouse_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers loaded behind a view, then again with other columns."""
+    customers, path = table(spark, sf_dir, "customer"), lasting_path(spark, "warehouse-view")
+    load_view(customers, "customer_versions", path)
+    changed = customers.drop("c_mktsegment").withColumn("c_owes", F.col("c_acctbal") < 0)
+    load_view(changed, "customer_versions", path)
+    return spark.table("customer_versions")
+
+
+SQL_WAREHOUSE_VIEW = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_acctbal < 0 AS c_owes FROM customer"
+
+
 # name -> (DataFrame query, SQL text or None for a rows-only check)
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "silver_latest": (q_silver_latest, SQL_SILVER_LATEST),
@@ -998,6 +1141,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "snapshot_history": (q_snapshot_history, SQL_SNAPSHOT_HISTORY),
     "latest_of_hot_key": (q_latest_of_hot_key, SQL_LATEST_OF_HOT_KEY),
     "silver_layer": (q_silver_layer, SQL_SILVER_LAYER),
+    "tsv_plain_documents": (q_tsv_plain_documents, SQL_TSV_ROUNDTRIP_DOCUMENTS),
     "tsv_roundtrip_documents": (q_tsv_roundtrip_documents, SQL_TSV_ROUNDTRIP_DOCUMENTS),
     "schema_mismatch": (q_schema_mismatch, SQL_SCHEMA_MISMATCH),
     "value_freq_typed": (q_value_freq_typed, SQL_VALUE_FREQ_TYPED),
@@ -1008,4 +1152,12 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "bucketed_table": (q_bucketed_table, SQL_BUCKETED_TABLE),
     "product_fact": (q_product_fact, SQL_PRODUCT_FACT),
     "additions_mart": (q_additions_mart, SQL_ADDITIONS_MART),
+    "sample_rows": (q_sample_rows, SQL_SAMPLE_ROWS),
+    "profile_sample_rows": (q_profile_sample_rows, SQL_PROFILE_SAMPLE_ROWS),
+    "profile_history": (q_profile_history, SQL_PROFILE_HISTORY),
+    "heavy_hitters": (q_heavy_hitters, SQL_HEAVY_HITTERS),
+    "heavy_hitters_events": (q_heavy_hitters_events, SQL_HEAVY_HITTERS_EVENTS),
+    "footer_stats": (q_footer_stats, SQL_FOOTER_STATS),
+    "refresh_partitions": (q_refresh_partitions, SQL_REFRESH_PARTITIONS),
+    "warehouse_view": (q_warehouse_view, SQL_WAREHOUSE_VIEW),
 }
