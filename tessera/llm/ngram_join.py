@@ -146,7 +146,12 @@ def part_signatures(values: np.ndarray, percent: int) -> np.ndarray:
 # rows that carry many entries: (partition to go to, kind, numbers, numbers)
 _PACKED_DDL = "bucket int, kind int, a binary, b binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
-_SET, _COUNT, _ENTRY = 0, 1, 2
+_SET, _COUNT, _ENTRY, _SHARED = 0, 1, 2, 3
+
+
+def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of documents: by a hash, as ids may share a factor with their number."""
+    return (mix(ids.view(np.uint64)) % _U64(buckets)).astype(np.int64)
 
 
 def _deal(kind: int, bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple]:
@@ -162,7 +167,7 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
-    out: dict[int, list] = {_SET: [], _COUNT: [], _ENTRY: []}
+    out: dict[int, list] = {_SET: [], _COUNT: [], _ENTRY: [], _SHARED: []}
     for batch in batches:
         for kind, a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
             out[kind].append((np.frombuffer(a, dtype=np.int64), np.frombuffer(b, dtype=np.int64)))
@@ -178,7 +183,7 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _screen_batch(size: int, limit: Threshold, buckets: int):
     """Each document's set in brief, with the number of its counted shingles that
     no other document of the batch has; each counted shingle of the batch, with
-    the document that alone has it there, or -1."""
+    the document that alone has it there, or as shared."""
     bound = _U64(limit.screened())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,10 +206,11 @@ def _screen_batch(size: int, limit: Threshold, buckets: int):
             single = np.diff(np.append(first, len(token))) == 1
             shared = ~single[run_of] if len(token) else np.zeros(0, dtype=bool)
             brief[:, 3] -= np.bincount(rows[shared], minlength=len(brief))
-            owner = np.where(single, ids[rows[first]], -1) if len(first) else first
-            token = token[first]
-            out = _deal(_ENTRY, (token % _U64(buckets)).astype(np.int64), token.view(np.int64), owner)
-            yield _packed(out + _deal(_SET, ids % buckets, ids, brief.view([("", np.int64)] * 4).ravel()))
+            out, token, rows = [], token[first], rows[first]
+            for kind, own in ((_ENTRY, single), (_SHARED, ~single)):
+                mine = token[own]
+                out += _deal(kind, (mine % _U64(buckets)).astype(np.int64), mine.view(np.int64), ids[rows[own]])
+            yield _packed(out + _deal(_SET, _bucket(ids, buckets), ids, brief.view([("", np.int64)] * 4).ravel()))
 
     return run
 
@@ -215,17 +221,20 @@ def _count_shared(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = _unpack(batches)
-        if parts[_ENTRY]:
-            token, owner = (np.concatenate(x) for x in zip(*parts.pop(_ENTRY)))
+        entries = parts.pop(_ENTRY) + parts[_SHARED]
+        if entries:
+            known = sum(len(x) for x, _ in parts[_SHARED])  # these come last, and are counted already
+            token, owner = (np.concatenate(x) for x in zip(*entries))
+            alone = np.arange(len(token)) < len(token) - known
             order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
+            token, owner, alone = token[order], owner[order], alone[order]
             first, run_of = _runs(token)
             shared = np.diff(np.append(first, len(token)))[run_of] > 1
-            docs, counts = np.unique(owner[shared & (owner >= 0)], return_counts=True)
+            docs, counts = np.unique(owner[shared & alone], return_counts=True)
             if len(docs):
-                yield _packed(_deal(_COUNT, docs % buckets, docs, counts))
+                yield _packed(_deal(_COUNT, _bucket(docs, buckets), docs, counts))
         for ids, brief in parts[_SET]:
-            yield _packed([(int(ids[0] % buckets), _SET, ids.tobytes(), brief.tobytes())])
+            yield _packed([(int(_bucket(ids[:1], buckets)[0]), _SET, ids.tobytes(), brief.tobytes())])
 
     return run
 
@@ -274,7 +283,7 @@ def _sign(size: int, percent: int, buckets: int):
                 signatures += [part_signatures(values, percent) for values in shingle_sets(buf, offs, size)]
             signed, docs, edges = _stars(np.concatenate(signatures), np.repeat(ids, [len(x) for x in signatures]))
             rows = _deal(_ENTRY, (signed % _U64(buckets)).astype(np.int64), signed.view(np.int64), docs)
-            yield _packed(rows + _deal(_SET, edges[:, 0] % buckets, *edges.T.copy()))
+            yield _packed(rows + _deal(_SET, _bucket(edges[:, 0].copy(), buckets), *edges.T.copy()))
 
     return run
 

@@ -114,3 +114,21 @@ def test_tree_finds_every_link(monkeypatch, bits):
     side = np.arange(len(sets)) % 2
     across = {tuple(sorted(p)) for i, j in tree_links(sets, side, limit) for p in zip(i.tolist(), j.tolist())}
     assert across == {(i, j) for i, j in want if side[i] != side[j]}
+
+
+@pytest.mark.parametrize("ids", [lambda i: -1 - i, lambda i: 64 * 6 * i, lambda i: i - 20, lambda i: -(2**62) + 211 * i])
+def test_links_do_not_depend_on_the_ids(spark, ids):
+    texts = near_copies(seed=11)
+    schema = "doc_id long, text string"
+    groups = lambda df: sorted(sorted(r.doc_id for r in rows) for rows in grouped(df).values())
+
+    def grouped(df):
+        out = {}
+        for r in ngram_jaccard_join(df, shingle_words=3, percent=80).collect():
+            out.setdefault(r.component_id, []).append(r)
+        return out
+
+    plain = groups(spark.createDataFrame(list(enumerate(texts)), schema))
+    spread = spark.createDataFrame([(ids(i), t) for i, t in enumerate(texts)], schema).repartition(len(texts))  # one document to a task
+    back = {ids(i): i for i in range(len(texts))}
+    assert sorted(sorted(back[x] for x in g) for g in groups(spread)) == plain and any(len(g) > 1 for g in plain)
