@@ -133,6 +133,7 @@ def _shared_runs(depth: int):
         hasher = span_hash(61)
         for batch in batches:
             ids = np.asarray(batch.column(0))
+            mixed = mix(ids.view(np.uint64))  # ids may share a factor with the number of salts
             shared = batch.column(2).to_pylist()
             for lo, hi, buf, offs in chunks(batch.column(1)):
                 row, gram, first, last = anchor_runs(buf, offs, depth)
@@ -158,7 +159,7 @@ def _shared_runs(depth: int):
                             rows.append((0, 0, 0, doc, start, (e - s).to_bytes(8, "big")))
                         if head[copy[i]] == i:
                             n = int(salts[place[i]]) if found[i] else 1
-                            rows.append((int(grams[i].view(np.int64)), doc % n, n, doc, start, raw[s:e]))
+                            rows.append((int(grams[i].view(np.int64)), int(mixed[lo + k] % np.uint64(n)), n, doc, start, raw[s:e]))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows), _RUN.types)], schema=_RUN)
 
@@ -272,6 +273,7 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         owned = reps.select("doc_id", F.explode("anchors").alias("anchor"))
         salts = F.ceil(F.col("docs") / TASK_DOCS).cast("int").alias("salts")
         often = owned.groupBy("anchor").agg(F.count("*").alias("docs")).where("docs > 1").select("anchor", salts)
+        often = scratch.table(often, "often")  # written, so that the planner can split an anchor of very many texts
         shared = owned.join(often, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "salts")).alias("shared"))
         alone = reps.where("again").select("doc_id", F.array().cast("array<struct<anchor:bigint,salts:int>>").alias("shared"))
         wanted = shared.unionByName(alone).groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared"))
