@@ -58,8 +58,8 @@ def test_repeated_rows_get_the_same_row(tables, name):
     twice = OPERATORS[name](make(BASE + BASE), *rest)
     found = rows_of(twice)
     assert len(found) == 2 * len(BASE) and found[::2] == found[1::2]
-    if name in ("op5", "op7", "op9", "op10"):
-        assert found[::2] == rows_of(OPERATORS[name](make(BASE), *rest)) or name == "op9"
+    if name in ("op5", "op7", "op10"):  # of op9 the document frequencies change
+        assert found[::2] == rows_of(OPERATORS[name](make(BASE), *rest))
 
 
 def test_packing_takes_every_row(tables):
