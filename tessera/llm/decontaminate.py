@@ -59,9 +59,17 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     )
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """The id as text; rows without one are told apart by a digest of their text,
+    which is all that their result depends on."""
+    digest = F.concat(F.lit("text "), F.sha2(F.coalesce(text, F.lit("")), 256))
+    return F.when(doc_id.isNotNull(), doc_id.cast("long").cast("string")).otherwise(digest)
+
+
 def contamination_spans(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_words) of every row, and (doc_id, start, len, item_id) of every
-    occurrence of an item's window, counted in words."""
+    """(key, doc_id, n_words) of every row of ``docs`` (key, doc_id, text), and
+    (key, start, len, items) of every occurrence of a window, counted in words;
+    items are the ids of the items that hold it, none where all are null."""
     # distinct windows with a number; a window that several items share is joined once
     windows = item_windows(benchmark, window)
     numbered = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
@@ -79,16 +87,16 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, scratch: Scratch,
         wanted = F.broadcast(wanted)
 
     # one row per document (pos -1, its number of words) and one per item shingle in it
-    words = docs.select(F.col("doc_id"), word_array(F.col("text")).alias("words")).select("doc_id", "words", F.size("words").alias("n"))
+    words = docs.select("key", "doc_id", word_array(F.col("text")).alias("words")).select("key", "doc_id", "words", F.size("words").alias("n"))
     rows = F.array(F.struct(F.lit(-1).alias("pos"), F.col("n").cast("long").alias("shingle")))
     for size in sizes:
         at = F.when(F.col("n") >= size, F.sequence(F.lit(0), F.col("n") - size)).otherwise(F.array().cast("array<int>"))
         rows = F.concat(rows, F.transform(at, _placed(size)))
-    rows = words.select("doc_id", F.explode(rows).alias("r")).select("doc_id", "r.pos", "r.shingle")
+    rows = words.select("key", "doc_id", F.explode(rows).alias("r")).select("key", "doc_id", "r.pos", "r.shingle")
     flagged = rows.join(wanted.select(F.col("shingle").alias("known")), F.col("shingle") == F.col("known"), "left")
-    matched = scratch.table(flagged.where("pos = -1 or known is not null").select("doc_id", "pos", "shingle"), "item-shingles")
-    counts = matched.where("pos = -1").select("doc_id", F.col("shingle").alias("n_words"))
-    matched = matched.where("pos >= 0").distinct()
+    matched = scratch.table(flagged.where("pos = -1 or known is not null").select("key", "doc_id", "pos", "shingle"), "item-shingles")
+    counts = matched.where("pos = -1").select("key", "doc_id", F.col("shingle").alias("n_words"))
+    matched = matched.where("pos >= 0").select("key", "pos", "shingle").distinct()
 
     # each window's rarest shingle; windows with a shingle that no document holds fall out
     seen = matched.groupBy("shingle").agg(F.count("*").alias("seen"))
@@ -99,55 +107,65 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, scratch: Scratch,
     prefix = scratch.table(prefix, "window-prefixes")
     candidates = (
         matched.join(prefix, "shingle")
-        .select("doc_id", (F.col("pos") - F.col("shift")).alias("start"), "window", "len", "n")
-        .join(counts.where("n_words > 0").distinct(), "doc_id")
+        .select("key", (F.col("pos") - F.col("shift")).alias("start"), "window", "len", "n")
+        .join(counts.where("n_words > 0").select("key", "n_words").distinct(), "key")
         .where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n_words")))
-        .select("doc_id", "start", "window", "len", "n")
+        .select("key", "start", "window", "len", "n")
     )
     expected = candidates.join(parts.select("window", "shift", "shingle"), "window").select(
-        "doc_id", "start", "window", "len", "n", (F.col("start") + F.col("shift")).alias("pos"), "shingle"
+        "key", "start", "window", "len", "n", (F.col("start") + F.col("shift")).alias("pos"), "shingle"
     )
     verified = (
-        expected.join(matched, ["doc_id", "pos", "shingle"])
-        .groupBy("doc_id", "start", "window", "len", "n")
+        expected.join(matched, ["key", "pos", "shingle"])
+        .groupBy("key", "start", "window", "len", "n")
         .agg(F.count("*").alias("held"))
         .where("held = n")
         .join(numbered.select("window", "items"), "window")
-        .select("doc_id", "start", "len", F.explode("items").alias("item_id"))
+        .select("key", "start", "len", "items")
     )
     return counts, verified
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit (words inside an
-    occurrence of an item's window), items (sorted ids of the items with one),
-    n_items, contaminated (n_hit > 0).
-
-    Null and empty texts have no words; an item without words matches nothing;
-    an item of fewer words than ``window`` matches whole. Repeated items and
-    texts count like others, other columns are ignored. doc_id is distinct but for
-    repeated rows, which each get the result; rows without one have no hits. An empty table of documents gives an empty result, an empty
-    benchmark no hits.
-    """
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     with Scratch(docs.sparkSession) as scratch:
         source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        source = source.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text")
         counts, spans = contamination_spans(source, benchmark, scratch, window)
         spans = scratch.table(spans, "spans")
         word = F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("word")
-        hits = spans.select("doc_id", "start", "len").distinct().select("doc_id", word).distinct()
-        hits = hits.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-        items = spans.select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
-        result = counts.join(hits, "doc_id", "left").join(items, "doc_id", "left").select(
+        hits = spans.select("key", "start", "len").distinct().select("key", word).distinct()
+        hits = hits.groupBy("key").agg(F.count("*").alias("n_hit"))
+        items = spans.select("key", F.explode("items").alias("item_id")).distinct()
+        items = items.groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+        result = counts.join(hits, "key", "left").join(items, "key", "left").select(
+            "key",
             "doc_id",
             "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )
-        result = scratch.keep(result, "decontaminated")
+        return scratch.keep(result, "decontaminated")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit (words inside an
+    occurrence of an item's window), items (sorted ids of the items with one),
+    n_items, contaminated (n_hit > 0).
+
+    Null and empty texts have no words; an item without words matches nothing;
+    an item of fewer words than ``window`` matches whole. An item without an
+    item_id hits words like others, but is neither in items nor in n_items.
+    Repeated items and texts count like others, other columns are ignored. doc_id
+    is distinct but for repeated rows, which each get the result; rows without one
+    are judged like others. An empty table of documents gives an empty result, an
+    empty benchmark no hits.
+    """
+    result = _judged(docs, benchmark, window).drop("key")
     return result.select("*", F.size("items").cast("long").alias("n_items"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` that hold no window of an item; all columns."""
-    hit = decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("_hit_id")).hint("merge")
-    return docs.join(hit, docs["doc_id"] == hit["_hit_id"], "left_anti")
+    """The rows of ``docs`` that hold no window of an item, with or without a
+    doc_id; all columns."""
+    hit = _judged(docs, benchmark, window).where("n_hit > 0").select(F.col("key").alias("_hit_key")).hint("merge")
+    return docs.join(hit, row_key(docs["doc_id"], docs["text"]) == hit["_hit_key"], "left_anti")

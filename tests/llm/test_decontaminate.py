@@ -62,3 +62,13 @@ def test_empty_tables_and_stage(spark, docs_of):
     kept = D.keep_uncontaminated(docs, items)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
 
+
+
+def test_items_and_documents_without_an_id(spark):
+    items = spark.createDataFrame([(None, "one two three"), (None, "shared words"), (4, "shared words")], "item_id long, text string")
+    rows = [(1, "x one two three"), (None, "one two three one"), (None, "clean"), (2, "shared words"), (None, None), (None, "one two three one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"], r["n_items"], r["contaminated"]) for r in D.decontaminate(docs, items).collect())
+    nameless = ("None", 4, 3, [], 0, True)
+    assert got == sorted([("1", 4, 3, [], 0, True), nameless, nameless, ("None", 1, 0, [], 0, False), ("None", 0, 0, [], 0, False), ("2", 2, 2, ["4"], 1, True)])
+    assert sorted(str(r["text"]) for r in D.keep_uncontaminated(docs, items).collect()) == ["None", "clean"]
