@@ -210,7 +210,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but for those predicted to be of label 0; all columns.
-    Rows without a doc_id stay."""
-    bad = quality_scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_bad_id")).hint("merge")
-    return docs.join(bad, docs["doc_id"] == bad["_bad_id"], "left_anti")
+    """The rows of ``docs`` but for those predicted to be of label 0, with or
+    without a doc_id; all columns.
+
+    Each text is scored where it is read, in the pass that filters, so no text is
+    shuffled; the fit is that of :func:`quality_scores`.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        features = scratch.table(document_features(docs), "features")
+        model = fit(features, labels.where(~held_out(F.col("doc_id"))))
+
+    @F.arrow_udf("boolean")
+    def good(text: pa.Array) -> pa.Array:
+        scores = [model.scores(features_of(buf, offs)) for _, _, buf, offs in chunks(text)]
+        return pa.array(np.concatenate(scores) >= 0.5 if scores else [], pa.bool_())
+
+    return docs.where(good(docs["text"]))
