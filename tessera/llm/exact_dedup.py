@@ -111,8 +111,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         digest = F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest")
         digests = scratch.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest), "digests")
         flagged = scratch.keep(possibly_repeated(digests, scratch), "flagged")
-    maybe = flagged.where("maybe").select("doc_id", "digest")
-    groups = maybe.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
+        maybe = flagged.where("maybe").select("doc_id", "digest")
+        groups = maybe.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        # a table, not an aggregate: the planner then splits a digest that very many rows hold
+        groups = scratch.keep(groups.where("group_size > 1"), "groups")
     grouped = maybe.join(groups, "digest", "left").select(
         "doc_id", F.coalesce("keep_id", "doc_id").alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "digest"
     )
