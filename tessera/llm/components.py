@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tessera.scratch import Scratch
 
 
-def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = scratch.table(least.select("u", F.least("u", "m").alias("m")), "least")
+    least = least.select("u", F.least("u", "m").alias("m"))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    least = scratch.table(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+def _small_star(edges: DataFrame) -> DataFrame:
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -27,19 +27,17 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
     Alternating large and small stars: every round moves the larger neighbours
     of a node, then its smaller ones, to its least neighbour, and the result is
-    the fixed point, one star per component. The least neighbours are a table
-    before they meet the edges (an aggregate beside the join would keep the
-    planner from splitting a node with very many neighbours), and so is what the
-    large stars give. Each round is a table in the shared folder; only two numbers (edge count and
+    the fixed point, one star per component. A node with very many neighbours is
+    pre-aggregated before its shuffle, but not split in the join beside that
+    aggregate.
+    Each round is a table in the shared folder; only two numbers (edge count and
     hash sum) come back to the driver. Null ends and loops are dropped.
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = scratch.table(edges, "edges")
     previous, path = None, scratch.last
     while True:
-        with Scratch(edges.sparkSession) as step:
-            large = step.table(_large_star(edges, step), "large-stars")
-            edges = scratch.table(_small_star(large, step), "stars")
+        edges = scratch.table(_small_star(_large_star(edges)), "stars")
         scratch.drop(path)
         path = scratch.last
         state = edges.agg(

@@ -68,21 +68,13 @@ def test_packing_takes_every_row(tables):
     assert sum(r["start"] == 0 for r in rows) == 2 * len(BASE) + len(NAMELESS)
 
 
-def test_stages_judge_rows_without_an_id_by_their_text(spark, tables, monkeypatch):
-    """The classifier and decontamination treat them as rows of the same text
-    with an id; the other stages keep them."""
+def test_stages_keep_rows_without_an_id_but_for_contaminated_ones(spark, tables, monkeypatch):
     make, items, labels = tables
     monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, name: {"labels": labels, "benchmark": items}[name])
     docs = make(BASE + BASE + NAMELESS)
-    twins = make(BASE + BASE + [(i, t) for i, (_, t) in enumerate(NAMELESS, 20)])
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, "unused")
-        nameless = out.where("doc_id is null")
-        if name in ("quality_classifier", "decontamination"):
-            named = stage(spark, twins, "unused").where("doc_id >= 20")
-            assert rows_of(nameless.select("text")) == rows_of(named.select("text")), name
-            assert name != "decontamination" or nameless.count() == 2
-        else:
-            assert nameless.count() == len(NAMELESS), name
+        gone = name == "decontamination"  # one of them holds a window of an item
+        assert out.where("doc_id is null").count() == len(NAMELESS) - gone, name
         empty = stage(spark, docs.where("false"), "unused")
         assert empty.count() == 0 and (name == "packing" or empty.columns == docs.columns), name

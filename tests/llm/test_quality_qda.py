@@ -74,17 +74,3 @@ def test_edges(spark, docs_of, clashing):
     assert all(0 <= s <= 1 for s in scores(both)) and Q.quality_scores(docs, both).count() == len(EDGE_TEXTS)
     assert Q.quality_scores(docs.where("false"), both).collect() == []
     assert Q.keep_good(docs, both).columns == docs.columns
-
-
-def test_filter_goes_by_the_scores(spark, clashing):
-    labels = table(spark, SF_DIR, "labels")
-    docs = clashing(table(spark, SF_DIR, "documents"))
-    good = {r["doc_id"] for r in Q.quality_scores(docs, labels).where("predicted = 1").collect()}
-    texts = sorted(str(r["text"]) for r in docs.where(docs["doc_id"].isin(list(good))).select("text").collect())
-    nameless = docs.withColumn("doc_id", Q.F.when(Q.F.col("doc_id") % 2 == 0, Q.F.col("doc_id")))
-    kept = Q.keep_good(docs, labels)
-    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == good and 0 < len(good) < docs.count()
-    assert sorted(str(r["text"]) for r in kept.select("text").collect()) == texts
-    some = labels.where("doc_id % 2 = 0")
-    want = {str(r["text"]) for r in Q.keep_good(docs, some).select("text").collect()}
-    assert {str(r["text"]) for r in Q.keep_good(nameless, some).select("text").collect()} == want
