@@ -18,7 +18,7 @@ from tessera.functions.dates import truncate_period
 from tessera.functions.multivalue import values_of
 from tessera.functions.nulls import DEFAULT_PLACEHOLDERS, placeholder_to_null
 from tessera.functions.numeric import share
-from tessera.operators.unpivot import SLOT, decode_text, lookup, typed_rows
+from tessera.operators.unpivot import SLOT, lookup, texts, typed_rows
 
 
 def conditional_count(df: DataFrame, conditions: dict[str, Column], total: str | None = "total_rows") -> DataFrame:
@@ -65,9 +65,7 @@ def value_frequencies(
     types = {f.name: f.dataType for f in df.schema.fields}
     rows, values, home = typed_rows(df, names)
     counts = rows.groupBy(SLOT, *values).agg(F.count(F.lit(1)).alias(count_col))
-    text = F.lit(None).cast("string")
-    for i, name in enumerate(names):
-        text = F.when(F.col(SLOT) == i, decode_text(F.col(home[i]), types[name])).otherwise(text)
+    text = texts(home, [types[name] for name in names])
     counts = counts.select(SLOT, text.alias("value"), count_col, F.xxhash64(*values).alias("_hash"))
     if top is not None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -8,12 +8,18 @@ row is unpivoted into one row per column: its slot, and one value column per
 domain, of which only its own can be set. The input, however it was made, runs
 once whatever the number of columns and domains; no value is cast to text, so
 -0.0/0.0 and NaN are grouped as SQL groups them.
+
+A table wider than :data:`WIDE_COLUMNS` is unpivoted in chunks of columns, each
+reading only its own, so that every stage stays within whole-stage code
+generation. A columnar scan is read by the chunks as it is; any other wide input
+is run once, into a table of the shared folder.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +27,14 @@ from pyspark.sql import types as T
 
 from tessera.functions.columns import has_map, map_free, qcol
 from tessera.functions.timezone import ntz_from_micros, ntz_micros
+from tessera.scratch import Scratch
+from tessera.session import column_chunks
 
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 _OWN_DOMAIN = (T.DecimalType, T.BinaryType, T.ArrayType, T.StructType)
 SLOT = "slot"
+#: Columns unpivoted at a time.
+WIDE_COLUMNS = 80
 
 
 def encode(col: Column, dtype: T.DataType) -> Column:
@@ -66,12 +76,35 @@ def _key(dtype: T.DataType) -> str:
     return re.sub(r'"(containsNull|nullable|valueContainsNull)":(true|false)', r'"\1":true', dtype.json())
 
 
+def texts(home: dict[int, str], types: Sequence[T.DataType]) -> Column:
+    """The text of each row's value, whose slot ``i`` is of ``types[i]``: one case
+    for each type, however many columns there are."""
+    kinds: dict[tuple[str, str], list[int]] = {}
+    for i, dtype in enumerate(types):
+        kinds.setdefault((home[i], dtype.json()), []).append(i)
+    text = F.lit(None).cast("string")
+    for (value, _), slots in kinds.items():
+        text = F.when(F.col(SLOT).isin(slots), decode_text(F.col(value), types[slots[0]])).otherwise(text)
+    return text
+
+
+def _columnar_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is columns of Parquet or ORC files, read as they are."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.child()
+    return bool(re.match(r"Relation(V2)?\b.* (parquet|orc)\b", plan.toString().split("\n")[0]))
+
+
 def typed_rows(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str], dict[int, str]]:
     """``df`` unpivoted: (rows with ``slot`` and the value columns, the names of
     the value columns, the value column of each slot). Slot ``i`` is ``columns[i]``."""
     types = {f.name: f.dataType for f in df.schema.fields}
     encoded = [encode(qcol(c), types[c]) for c in columns]
     plain = df.select(*[e.alias(f"_v{i}") for i, e in enumerate(encoded)])
+    if len(columns) > WIDE_COLUMNS and not _columnar_scan(df):
+        with Scratch(df.sparkSession) as scratch:
+            plain = scratch.keep(plain, "columns")
     names: dict[str, str] = {}
     home = {i: names.setdefault(_key(f.dataType), f"v{len(names)}") for i, f in enumerate(plain.schema.fields)}
     kinds = {home[i]: f.dataType for i, f in enumerate(plain.schema.fields)}
@@ -79,7 +112,8 @@ def typed_rows(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[s
         F.struct(F.lit(i).alias(SLOT), *[(F.col(f"_v{i}") if home[i] == v else F.lit(None).cast(kind)).alias(v) for v, kind in kinds.items()])
         for i in range(len(columns))
     ]
-    return plain.select(F.inline(F.array(*cells))), list(kinds), home
+    parts = [plain.select(F.inline(F.array(*chunk))) for chunk in column_chunks(cells, WIDE_COLUMNS)]
+    return reduce(DataFrame.unionAll, parts), list(kinds), home
 
 
 def lookup(values: Sequence) -> Column:

@@ -246,6 +246,27 @@ def test_wide_table_and_its_inference(spark):
     assert all(types[f"n{i}"] == "bigint" for i in range(125)) and all(types[f"t{i}"] == "string" for i in range(125))
 
 
+def test_wide_frequencies_are_counted_in_chunks(spark, workdir):
+    """More columns than one unpivot takes: a Parquet scan is read by each chunk,
+    any other input is run once; the counts are those of each column alone."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.aggregates import value_frequencies
+    from tessera.operators.unpivot import typed_rows
+
+    made = spark.range(60).select(*[((F.col("id") % (i + 2)) if i % 2 else F.concat(F.lit("t"), F.col("id") % (i + 2))).alias(f"c{i}") for i in range(90)])
+    made.write.parquet(f"{workdir}/wide")
+    stored = spark.read.parquet(f"{workdir}/wide")
+    for df in (stored, made.distinct()):
+        plan = typed_rows(df, df.columns)[0]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 2 and "Aggregate" not in plan
+        rows = value_frequencies(df, df.columns).collect()
+        for i in (0, 1, 79, 80, 89):
+            got = {r["value"]: r["cnt"] for r in rows if r["column"] == f"c{i}"}
+            source = df.groupBy(F.col(f"c{i}").cast("string").alias("v")).count().collect()
+            assert got == {r["v"]: r["count"] for r in source}
+
+
 def test_profile_counts_match_brute_force(spark):
     import math
 
