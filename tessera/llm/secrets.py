@@ -4,16 +4,21 @@ Markov models.
 Three patterns give the base spans. Other long tokens are compared under two
 first-order character models, one of random strings and one of ordinary
 identifiers, by the log-likelihood ratio of their transitions. The models are
-trained on every labelled sample of the scanned documents: values of base spans
-are random strings, long tokens of letters alone are identifiers. Only the
-transition counts (at most 2 x 67 x 67 numbers) come back to the driver.
+trained on labelled samples. Random strings are digests of numbers, written in
+the three forms that keys take (:func:`random_samples`, a set of fixed size that
+no document changes), and the documents' own hexadecimal and access keys;
+free-form values after ``password=`` are no sample. Each form has a model of its
+own, and a token goes by the one that fits best. Identifiers are all the documents' long
+tokens of letters. Only the transition counts (at most 6 x 67 x 67 numbers) come
+back to the driver. A token of one class of characters (digits alone, as card
+numbers, or letters of one case) is never added.
 """
 
 from __future__ import annotations
 
 from math import log
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.scratch import Scratch
@@ -31,6 +36,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"^[A-Za-z]+(?:[_-][A-Za-z]+)*$"
 #: Log odds that a token must reach (a random string is rare beforehand).
 MARGIN = log(1000)
+#: Numbers whose digests are the fixed samples of random strings.
+SAMPLES = 4096
 _SMOOTH = 0.5
 _MARKOV = 3
 
@@ -73,6 +80,22 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return rows.withColumn("clear", clear)
 
 
+def random_samples(spark: SparkSession, n: int = SAMPLES) -> DataFrame:
+    """(kind, value, clear): ``3 n`` strings labelled random, the digests of 0 to
+    n-1 in base 64 (kind 0, in place of assigned values), in capitals and digits
+    (as access keys) and in hexadecimal."""
+    number = F.col("id").cast("string").cast("binary")
+    capitals = [F.conv(F.substring(F.sha2(number, 224), at, F.lit(15)), 16, 36) for at in (F.lit(1), F.lit(16))]
+    forms = F.array(F.base64(F.unhex(F.sha2(number, 384))), F.concat(*capitals), F.sha2(number, 256))
+    return spark.range(n).select(F.posexplode(forms).alias("kind", "value"), F.lit(True).alias("clear"))
+
+
+def several_classes(value: Column) -> Column:
+    """Whether two or more of a-z, A-Z and 0-9 occur."""
+    has = [F.rlike(value, F.lit(c)).cast("int") for c in ("[a-z]", "[A-Z]", "[0-9]")]
+    return has[0] + has[1] + has[2] > 1
+
+
 def train(tokens: DataFrame) -> list[float] | None:
     """Log-likelihood ratios, random over identifier, of each pair of characters
     (row by row over :data:`ALPHABET`); None without samples of both labels."""
@@ -109,16 +132,19 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have none; whole texts are scanned. Spans of one kind
     don't overlap; Markov spans overlap none of the others, and there are none
-    where the documents hold no sample of either label. doc_id is distinct but for
+    where the documents hold no identifier to learn from. doc_id is distinct but for
     repeated rows, which each get the result; rows without one have no spans. Other columns are ignored. An empty table gives an empty result.
     """
     with Scratch(docs.sparkSession) as scratch:
         source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        tokens = scratch.table(_tokens(source), "tokens")
-        ratios = train(tokens)
+        tokens = scratch.table(_tokens(source.where("doc_id is not null")), "tokens")
+        keys = tokens.where("kind <> 0").select("kind", "value", "clear")
+        samples = keys.unionByName(random_samples(docs.sparkSession))
+        models = [train(samples.where(F.col("kind").isin(form, _MARKOV))) for form in range(_MARKOV)]
         wanted = F.col("kind") < _MARKOV
-        if ratios:
-            wanted = wanted | (F.col("clear") & (likelihood_ratio(F.col("value"), ratios) >= MARGIN))
+        if all(models):
+            best = F.greatest(*[likelihood_ratio(F.col("value"), ratios) for ratios in models])
+            wanted = wanted | (F.col("clear") & several_classes(F.col("value")) & (best >= MARGIN))
         span = F.struct("start", "kind", "end")
         counts = [F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{KINDS[k]}") for k in range(_MARKOV)]
         spans = tokens.where(wanted).groupBy("doc_id").agg(F.sort_array(F.collect_list(span)).alias("found"), *counts)

@@ -65,6 +65,30 @@ def test_markov_models(spark, docs_of):
     assert {r["value"]: r["r"] for r in got} == pytest.approx({v: sum(ratios[k(a) * n + k(b)] for a, b in zip(v, v[1:])) for v in (r["value"] for r in got)})
 
 
+def test_recall_and_precision_on_planted_secrets(docs_of):
+    """Keys in forms that no fixed pattern knows are found; card numbers, words,
+    names and dates beside them aren't."""
+    rng = random.Random(21)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    parts = ["user", "name", "count", "total", "index", "page", "value", "get", "set", "order", "item", "table", "read", "write", "line"]
+    secret = [draw(low + up + dig + "+/", 40) for _ in range(40)] + [draw(low + dig, 32) for _ in range(40)] + [draw(up + dig, 24) for _ in range(40)]
+    plain = [draw(dig, 16) for _ in range(60)] + ["_".join(rng.choices(parts, k=4)) for _ in range(60)]
+    plain += ["".join(w.title() for w in rng.choices(parts, k=5)) for _ in range(60)] + [rng.choice(parts).upper() * 4 for _ in range(20)]
+    docs = [f"see {v} there" for v in secret + plain]
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "markov"] for r in S.scan_secrets(docs_of(docs)).collect()}
+    hit = [i for i, spans in found.items() if spans]
+    right = sum(i < len(secret) for i in hit)
+    assert right / len(secret) >= 0.9 and right / len(hit) >= 0.95
+    assert not any(found[i] for i in range(len(secret), len(secret) + 60))  # digits alone
+
+
+def test_random_samples_are_fixed(spark):
+    rows = S.random_samples(spark, 3).collect()
+    assert len(rows) == 9 and all(len(r["value"]) >= 16 and set(r["value"]) <= set(S.ALPHABET) for r in rows)
+    assert rows == S.random_samples(spark, 3).collect()
+
+
 def test_no_samples_and_empty_table(docs_of):
     assert [r["spans"] for r in S.scan_secrets(docs_of(["0123456789abcdef0123", None])).collect()] == [[], []]
     assert S.scan_secrets(docs_of(["a"]).where("false")).collect() == []
