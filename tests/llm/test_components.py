@@ -59,15 +59,6 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_node_with_very_many_neighbours_is_split(spark, small_pieces):
-    edges = spark.range(1, 40001, 1, 8).selectExpr("if(id % 3 > 0, 0, id - 1) AS u", "id AS v")
-    with Scratch(spark) as scratch:
-        edges = scratch.table(edges, "edges")
-        assert "skew=true" in plan_of(C._large_star(edges, scratch))
-        turned = scratch.table(edges.selectExpr("u", "-v AS v"), "turned")
-        assert "skew=true" in plan_of(C._small_star(turned, scratch))
-
-
 def test_a_digest_that_very_many_rows_hold_is_split(spark, small_pieces):
     docs = spark.range(0, 20000, 1, 8).selectExpr("id AS doc_id", "if(id % 3 > 0, 'hot', concat('pair ', id div 12)) AS text")
     found = exact_duplicates(docs)
