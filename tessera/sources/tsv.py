@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import qcol
 from tessera.scratch import lasting_path
-from tessera.session import scratch_path, spread
+from tessera.session import scratch_path, spread, spread_pieces
 from tessera.sources.inference import apply_types, infer_types
-from tessera.sources.records import read_record_table
+from tessera.sources.records import stage_record_table
 
 
 #: Files that Spark decompresses, each in one task.
@@ -76,16 +76,17 @@ def read_tsv_staged(
     a job can remove it once its output is written."""
     text = read_text_table(spark, path, sep=sep, header=header, multiline=bool(multiline))
     files = text_files(spark, path)
-    if multiline is True and files and not any(name.endswith(COMPRESSED) for name, _ in files):
-        text = read_record_table(spark, path, list(text.columns), sep=sep, header=header)
     if not multiline and not any(name.endswith(".gz") for name, _ in files):
         # splittable text: typed and read again in place, one pass over all columns
         return apply_types(text, infer_types(text, chunk_columns=None)), None
-    names = list(text.columns)
+    names, size = list(text.columns), estimated_text_bytes(files)
     staged_path = lasting_path(spark, "staged-text") if lasting else scratch_path(spark, "staged-text")
-    positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
-    spread(text.select(*positional), estimated_text_bytes(files)).write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    if multiline is True and files and not any(name.endswith(COMPRESSED) for name, _ in files):
+        staged = stage_record_table(spark, path, staged_path, len(names), spread_pieces(spark, size), sep=sep, header=header)
+    else:
+        positional = [qcol(c).alias(f"_c{i}") for i, c in enumerate(names)]
+        spread(text.select(*positional), size).write.parquet(staged_path)
+        staged = spark.read.parquet(staged_path)
     text = staged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
     return apply_types(text, infer_types(text)), staged_path
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import random
 
+import pyarrow as pa
 import pytest
 
 from tessera.session import session_conf
+from tessera.sources import records
 from tessera.sources.records import read_record_table, read_records
 from tessera.sources.tsv import read_tsv
 
@@ -70,3 +72,23 @@ def test_rows_that_do_not_fit_are_an_error(spark, workdir, line):
 def test_header_only(spark, workdir):
     df = read_tsv(spark, write(os.path.join(workdir, "t.tsv"), "a\tb\n"))
     assert df.columns == ["a", "b"] and df.count() == 0
+
+
+def test_many_splits_are_read_by_few_tasks_and_no_line_is_shuffled(spark, workdir):
+    rows = [(i, f"line {i}\n" * (i % 5) + "end" * (i % 40)) for i in range(400)]
+    path = write(os.path.join(workdir, "t.tsv"), "id\ttext\n" + "".join(f"{i}\t{quoted(t)}\n" for i, t in rows))
+    with split_every(spark, 64), session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert spark.read.text(path).rdd.getNumPartitions() > 100
+        pieces = records.read_pieces(spark, path, 2)
+        assert pieces.rdd.getNumPartitions() == 2
+        plan = pieces._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        df = read_tsv(spark, path)
+        assert df.rdd.getNumPartitions() <= 2
+        assert sorted((r[0], r[1] or "") for r in df.collect()) == rows
+
+
+def test_lines_out_of_order_are_an_error():
+    batch = pa.RecordBatch.from_pydict({"file": ["f"] * 3, "split": [0] * 3, "inside": [False] * 3, "line": ["a", "b", "c"], "seq": [1, 3, 2]})
+    with pytest.raises(RuntimeError, match="follow"):
+        list(records._pieces(iter([batch])))
