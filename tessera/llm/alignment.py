@@ -72,6 +72,8 @@ def words_of(text: str) -> list[str]:
 class Encoders:
     """Both tokenizers, with one encoding and alignment per distinct word."""
 
+    #: New words that are encoded as one text, each of at most so many characters.
+    AT_ONCE, AT_ONCE_CHARS = 256, 64
     #: Forget the known words beyond this number, or this many characters of them.
     MAX_KNOWN, MAX_CHARS = 400_000, 16 << 20
 
@@ -106,31 +108,77 @@ class Encoders:
 
     def learn(self, words: list[str]) -> None:
         """Afterwards every word has a number."""
-        new = list(dict.fromkeys(w for w in words if w not in self.number))
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
         if len(new) + len(self.texts) > self.MAX_KNOWN or self.chars > self.MAX_CHARS:
             self._reset()
             new = list(dict.fromkeys(words))
         if not new:
             return
-        spaced = [" " + w for w in new]
-        a, b = self.a_ids(spaced), self.b_ids(new)
-        raw = [w.encode() for w in spaced]
-        same = [b"".join(map(self.a_bytes.__getitem__, x)) == r == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, r in zip(a, b, raw)]
-        a, b = ([x if s else [] for x, s in zip(side, same)] for side in (a, b))
-        flat_a, flat_b = (np.array([i for x in side for i in x], dtype=np.int64) for side in (a, b))
+        new, (flat_a, n_a), (flat_b, n_b), size, same = self._encoded(new)
         groups = aligned(flat_a, np.cumsum(self.a_size[flat_a]), flat_b, np.cumsum(self.b_size[flat_b]))
-        ends = np.cumsum([len(r) if s else 0 for r, s in zip(raw, same)])
-        upto = np.searchsorted(groups.ends, ends, side="right")
-        texts = groups.texts()
-        cuts = np.concatenate(([0], upto)).tolist()
+        upto = np.searchsorted(groups.ends, np.cumsum(size * same), side="right")
+        marked = groups.marked()
+        cuts = np.concatenate(([0], groups.a_cuts + groups.b_cuts))[np.concatenate(([0], upto))].tolist()
         self.number |= {w: len(self.texts) + i for i, w in enumerate(new)}
         self.chars += sum(map(len, new))
-        self.texts += [";".join(texts[x:y]) for x, y in zip(cuts, cuts[1:])]
+        self.texts += ["".join(marked[x:y]) for x, y in zip(cuts, cuts[1:])]
         self.same = np.append(self.same, same)
-        for k, values, sizes in (("a", flat_a, [len(x) for x in a]), ("b", flat_b, [len(x) for x in b]), ("link", groups.links(), np.diff(cuts))):
+        for k, values, sizes in (("a", flat_a, n_a), ("b", flat_b, n_b), ("link", groups.links(), np.diff(upto, prepend=0))):
             self.start[k] = np.append(self.start[k], self.start[k][-1] + np.cumsum(sizes))
             self.flat[k] = np.append(self.flat[k], values)
 
+    def _encoded(self, new: list[str]) -> tuple[list[str], tuple, tuple, np.ndarray, np.ndarray]:
+        """Words in another order, ids and their number to a word of either side,
+        bytes of each word with its space, and whether both sides give these
+        back (if not, it has no ids)."""
+        joint, single = [], []
+        for w in new:
+            (joint if w and len(w) <= self.AT_ONCE_CHARS and w[0] != " " and w[-1] != " " else single).append(w)
+        order: list[str] = []
+        ids: tuple[list, list] = ([], [])
+        numbers: tuple[list, list] = ([], [])
+        sizes, same = [], []
+        # words with one space between them are a text that both encoders cut there again
+        parts = [joint[i : i + self.AT_ONCE] for i in range(0, len(joint), self.AT_ONCE)]
+        texts = [" ".join(part) for part in parts]
+        for part, text, *both in zip(parts, texts, self.a_ids([" " + t for t in texts]), self.b_ids(texts)):
+            size = np.fromiter(map(len, part if text.isascii() else [w.encode() for w in part]), dtype=np.int64, count=len(part)) + 1
+            found = [self._cut_at(x, size, (" " + text).encode(), *tables) for x, tables in zip(both, ((self.a_bytes, self.a_size), (self.b_bytes, self.b_size)))]
+            if found[0] is None or found[1] is None:  # some word's bytes don't come back
+                single += part
+                continue
+            for i in (0, 1):
+                ids[i].append(found[i][0])
+                numbers[i].append(found[i][1])
+            order += part
+            sizes.append(size)
+            same.append(np.ones(len(part), dtype=bool))
+        if single:
+            spaced = [" " + w for w in single]
+            raw = [w.encode() for w in spaced]
+            a, b = self.a_ids(spaced), self.b_ids(single)
+            good = [b"".join(map(self.a_bytes.__getitem__, x)) == r == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, r in zip(a, b, raw)]
+            for i, side in enumerate((a, b)):
+                side = [x if s else [] for x, s in zip(side, good)]
+                ids[i].append(np.array([i for x in side for i in x], dtype=np.int64))
+                numbers[i].append(np.array([len(x) for x in side], dtype=np.int64))
+            order += single
+            sizes.append(np.array([len(r) for r in raw], dtype=np.int64))
+            same.append(np.array(good))
+        sides = [(np.concatenate(x), np.concatenate(n)) for x, n in zip(ids, numbers)]
+        return order, sides[0], sides[1], np.concatenate(sizes), np.concatenate(same)
+
+    @staticmethod
+    def _cut_at(ids: list[int], size: np.ndarray, raw: bytes, table: list[bytes], table_size: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a text of words, and their number to a word; None unless the
+        tokens give back its bytes and one ends with each word."""
+        if b"".join(map(table.__getitem__, ids)) != raw:
+            return None
+        ids = np.array(ids, dtype=np.int64)
+        ends, words = np.cumsum(table_size[ids]), np.cumsum(size)
+        upto = np.searchsorted(ends, words)
+        return (ids, np.diff(upto + 1, prepend=0)) if (ends[upto] == words).all() else None
+
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
 
@@ -184,10 +232,27 @@ class Groups:
     def __len__(self) -> int:
         return len(self.ends)
 
+    def marked(self) -> list[str]:
+        """Every token of the groups with what follows it in their text: a comma,
+        a bar behind a group's last one of the first side, a semicolon."""
+        if not len(self):
+            return []
+        n_a, n_b = np.diff(self.a_cuts, prepend=0), np.diff(self.b_cuts, prepend=0)
+        a, b = self.a[: self.a_cuts[-1]], self.b[: self.b_cuts[-1]]
+        comma, bar, semicolon = _marks(1 << int(max(a.max(), b.max())).bit_length())
+        out = np.empty(len(a) + len(b), dtype=object)
+        at_a = np.arange(len(a)) + np.repeat(self.b_cuts - n_b, n_a)
+        at_b = np.arange(len(b)) + np.repeat(self.a_cuts, n_b)
+        out[at_a], out[at_b] = comma[a], comma[b]
+        out[at_a[self.a_cuts - 1]], out[at_b[self.b_cuts - 1]] = bar[a[self.a_cuts - 1]], semicolon[b[self.b_cuts - 1]]
+        return out.tolist()
+
+    def text(self) -> str:
+        """The groups as ``a1,a2|b1;a3|b2,b3``."""
+        return "".join(self.marked())[:-1]
+
     def texts(self) -> list[str]:
-        a, b = (list(map(str, x.tolist())) for x in (self.a, self.b))
-        cuts_a, cuts_b = ([0, *x.tolist()] for x in (self.a_cuts, self.b_cuts))
-        return [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
+        return self.text().split(";") if len(self) else []
 
     def links(self) -> np.ndarray:
         """The pairs of tokens that end together, first side's id above the second's."""
@@ -200,10 +265,19 @@ class Groups:
         return Groups(self.a[a0:a1], self.b[b0:b1], self.a_cuts[first:last] - a0, self.b_cuts[first:last] - b0, self.ends[first:last])
 
 
+@lru_cache(maxsize=2)
+def _marks(n: int) -> tuple[np.ndarray, ...]:
+    """The numbers up to ``n`` as text, with a comma, a bar and a semicolon."""
+    return tuple(np.array([f"{i}{mark}" for i in range(n)], dtype=object) for mark in ",|;")
+
+
 def aligned(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> Groups:
     """Groups of tokens with increasing ends; tokens after the last shared end belong to none."""
-    ends, x, y = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-    return Groups(a, b, x + 1, y + 1, ends)
+    if not len(a_ends):
+        return Groups(a, b, a_ends, a_ends, a_ends)
+    place = np.minimum(np.searchsorted(a_ends, b_ends), len(a_ends) - 1)
+    shared = np.flatnonzero(a_ends[place] == b_ends)
+    return Groups(a, b, place[shared] + 1, shared + 1, b_ends[shared])
 
 
 @dataclass
@@ -298,7 +372,7 @@ def _whole_documents(a_path: str, b_path: str, with_groups: bool):
                 kept, keeper = number[good[owner]], owner[good[owner]]
                 n_a, n_b, n_groups = (np.bincount(keeper, weights=encoders.sizes(k, kept), minlength=len(part)).astype(np.int64) for k in ("a", "b", "link"))
                 lists, bounds = number.tolist(), cuts.tolist()
-                groups = [";".join(map(encoders.texts.__getitem__, lists[x:y])) if g else "" for x, y, g in zip(bounds, bounds[1:], good.tolist())]
+                groups = ["".join(map(encoders.texts.__getitem__, lists[x:y]))[:-1] if g else "" for x, y, g in zip(bounds, bounds[1:], good.tolist())]
                 digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in groups]
                 columns = [range(key, key + len(part)), ids, pa.array(n_a), pa.array(n_b), pa.array(n_groups), digests, groups if with_groups else [None] * len(part)]
                 key += len(part)
@@ -366,7 +440,7 @@ def _fragment_row(key, doc_id, chunk, x: Fragment, same: bool, n_a: int, n_b: in
 
 def _part_row(key, chunk, groups: Groups, seam: bool) -> dict:
     """Closed groups: those of a range, or those of the seam in front of it."""
-    return {"key": key, "chunk": chunk, "seam": seam, "n_groups": len(groups), "groups": ";".join(groups.texts()), "links": groups.links().astype("<u8").tobytes()}
+    return {"key": key, "chunk": chunk, "seam": seam, "n_groups": len(groups), "groups": groups.text(), "links": groups.links().astype("<u8").tobytes()}
 
 
 def _read_fragment(row: dict) -> Fragment:

@@ -124,3 +124,23 @@ def test_composition_is_associative_and_gives_the_whole(seed):
     want = shown(whole, [groups.texts()])
     for _ in range(6):
         assert shown(*folded(list(leaves))) == want
+
+
+def test_new_words_are_encoded_together_with_the_ids_of_each_alone(monkeypatch):
+    rng = random.Random(11)
+    words = list(dict.fromkeys("".join(rng.choice("abcdeé.,'\n\t9") for _ in range(rng.randint(1, 12))) for _ in range(1500)))
+    odd = ["", " x", "x ", "ﬁt", "½", "w" * 500, "İ", "<s>", "\x00"]  # spaces at an end, bytes that don't come back, a long one
+    joint, alone = L.Encoders(A, B), L.Encoders(A, B)
+    given = []
+    plain_ids = joint.a_ids
+    monkeypatch.setattr(joint, "a_ids", lambda texts: given.extend(texts) or plain_ids(texts))
+    joint.learn(words)
+    assert len(given) < len(words) / 50
+    joint.learn(words + odd)
+    monkeypatch.setattr(L.Encoders, "AT_ONCE_CHARS", 0)
+    alone.learn(words + odd)
+    assert not all(joint.same)
+    for w in words + odd:
+        x, y = joint.numbers([w]), alone.numbers([w])
+        assert joint.same[x] == alone.same[y] and joint.texts[x[0]] == alone.texts[y[0]]
+        assert all(joint.of(k, x).tolist() == alone.of(k, y).tolist() for k in ("a", "b", "link"))
