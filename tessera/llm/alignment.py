@@ -239,7 +239,7 @@ class Groups:
             return []
         n_a, n_b = np.diff(self.a_cuts, prepend=0), np.diff(self.b_cuts, prepend=0)
         a, b = self.a[: self.a_cuts[-1]], self.b[: self.b_cuts[-1]]
-        comma, bar, semicolon = _marks(1 << int(max(a.max(), b.max())).bit_length())
+        comma, bar, semicolon = _marks(max(1 << 16, 1 << int(max(a.max(), b.max())).bit_length()))
         out = np.empty(len(a) + len(b), dtype=object)
         at_a = np.arange(len(a)) + np.repeat(self.b_cuts - n_b, n_a)
         at_b = np.arange(len(b)) + np.repeat(self.a_cuts, n_b)

@@ -144,3 +144,12 @@ def test_new_words_are_encoded_together_with_the_ids_of_each_alone(monkeypatch):
         x, y = joint.numbers([w]), alone.numbers([w])
         assert joint.same[x] == alone.same[y] and joint.texts[x[0]] == alone.texts[y[0]]
         assert all(joint.of(k, x).tolist() == alone.of(k, y).tolist() for k in ("a", "b", "link"))
+
+
+def test_groups_of_small_and_large_ids_share_their_texts_of_numbers():
+    one, ends = np.ones(1, dtype=np.int64), np.array([3])
+    L._marks.cache_clear()
+    for i in (0, 1, 5, 300, 40_000, 2, 65_535):
+        assert L.aligned(one * i, ends, one, ends).text() == f"{i}|1"
+    assert L._marks.cache_info().misses == 1
+    assert L.aligned(one * 70_000, ends, one, ends).text() == "70000|1"
