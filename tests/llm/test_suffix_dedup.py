@@ -56,6 +56,14 @@ def test_matches_all_windows(docs_of, clashing, monkeypatch, depth, task_docs):
     assert got == want
 
 
+def test_the_query_says_which_documents_lose_bytes(spark):
+    from tessera.llm.queries import op8_suffix_dedup
+
+    rows = op8_suffix_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {r["repeated"] for r in rows} == {True, False}
+    assert all(r["repeated"] == (r["n_removed"] > 0) and r["n_kept"] == r["n_bytes"] - r["n_removed"] for r in rows)
+
+
 def test_empty_table(docs_of):
     assert S.repeated_spans(docs_of(["a"]).where("false")).collect() == []
 
