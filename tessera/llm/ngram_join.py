@@ -12,6 +12,10 @@ reaches a threshold. The join is exact:
    non-empty than two linked sets can differ in elements, so two linked sets
    agree on at least one whole part (pigeonhole). Equal parts are joined as stars.
 3. *Families.* Connected components of these stars hold every linked pair.
+   One passage in very many texts makes one family of them, so a family of
+   several blocks is cut again: its shingles are ordered by how many of its sets
+   hold them, and a set stars with those that share one of its rarest, one more
+   of them than a linked set may lack.
 4. *Signature trees.* Inside a family (cut into blocks of bounded size, every
    pair of blocks one task) sets become token bitmaps under a tree whose nodes
    hold the OR of their bitmaps and their size range. Two trees are traversed
@@ -40,6 +44,8 @@ from tessera.scratch import Scratch, shuffle_partitions
 #: (a single larger set is a block of its own).
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
+#: Shingles of large families that one task counts.
+TASK_SHINGLES = 1 << 20
 FANOUT = 8
 #: Widest token bitmap of a tree, in bits.
 MAX_BITS = 1 << 14
@@ -299,6 +305,102 @@ def _link_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
+# -- step 3: large families by their rarest shingles ------------------------------
+
+
+def _key_batch(size: int, buckets: int):
+    """Rows (family, document, text) to every shingle, as a key of its family's, with
+    its document, and each document's number of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            family, ids = (np.asarray(batch.column(i)) for i in (0, 1))
+            sets = [values for _, _, buf, offs in chunks(batch.column(2)) for values in shingle_sets(buf, offs, size)]
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            keys = mix(np.concatenate(sets) ^ np.repeat(mix(family.view(np.uint64)), n))
+            rows = _deal(_ENTRY, (keys % _U64(buckets)).astype(np.int64), keys.view(np.int64), np.repeat(ids, n))
+            yield _packed(rows + _deal(_SET, _bucket(ids, buckets), ids, n))
+
+    return run
+
+
+def _count_keys(buckets: int):
+    """Of the entries of a bucket's keys: those that several documents hold, with
+    their number, dealt by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = _unpack(batches)
+        if parts[_ENTRY]:
+            keys, docs = (np.concatenate(x) for x in zip(*parts.pop(_ENTRY)))
+            order = np.argsort(keys, kind="stable")
+            keys, docs = keys[order], docs[order]
+            first, run_of = _runs(keys)
+            counts = np.diff(np.append(first, len(keys)))[run_of]
+            keys, docs, counts = (x[counts > 1] for x in (keys, docs, counts))
+            if len(keys):
+                yield _packed(_deal(_COUNT, _bucket(docs, buckets), docs, np.stack((keys, counts), axis=1).view([("", np.int64)] * 2).ravel()))
+        for ids, n in parts[_SET]:
+            yield _packed([(int(_bucket(ids[:1], buckets)[0]), _SET, ids.tobytes(), n.tobytes())])
+
+    return run
+
+
+def _rarest_keys(limit: Threshold, buckets: int):
+    """Of each document's keys the rarest, one more than a linked set may lack: of
+    what two linked sets share, the rarest is among these in both. As for
+    :func:`_sign`, each with the smallest document, and the edges found here."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = _unpack(batches)
+        if not parts[_COUNT]:
+            return
+        ids, n = (np.concatenate(x) for x in zip(*parts.pop(_SET)))
+        ids, once = np.unique(ids, return_index=True)  # repeated rows
+        docs, counted = (np.concatenate(x) for x in zip(*parts.pop(_COUNT)))
+        keys, counts = counted.reshape(-1, 2).T.copy()
+        order = np.lexsort((keys, counts, docs))
+        keys, docs = keys[order], docs[order]
+        new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])))
+        keys, docs = keys[new], docs[new]
+        first, run_of = _runs(docs)
+        n, shared = n[once][np.searchsorted(ids, docs[first])], np.diff(np.append(first, len(docs)))
+        kept = limit.most_alone(n) + 1 - (n - shared)  # those of one document alone are the rarest
+        kept = np.arange(len(docs)) - first[run_of] < kept[run_of]
+        signed, docs, edges = _stars(keys[kept].view(np.uint64), docs[kept])
+        rows = _deal(_ENTRY, (signed % _U64(buckets)).astype(np.int64), signed.view(np.int64), docs)
+        if rows:
+            yield _packed(rows + _deal(_SET, _bucket(edges[:, 0].copy(), buckets), *edges.T.copy()))
+
+    return run
+
+
+def _with_blocks(members: DataFrame) -> DataFrame:
+    """Members (rep, weight, n, family) with the number of their family's blocks."""
+    totals = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    return members.join(totals.select("family", blocks.alias("blocks")), "family").select("family", "rep", "weight", "n", "blocks")
+
+
+def _cut_families(members: DataFrame, texts: DataFrame, size: int, limit: Threshold, buckets: int, scratch: Scratch) -> DataFrame:
+    """``members`` with families of several blocks cut by their rarest shingles;
+    a member that then shares none of these links with nothing and goes."""
+    large = members.where("blocks > 1")
+    shingles = large.agg(F.sum("n")).first()[0]
+    if shingles is None:
+        return members
+    buckets = max(buckets, -(-shingles // TASK_SHINGLES))
+    named = large.select("family", F.col("rep").alias("doc_id")).hint("merge")
+    keys = texts.join(named, "doc_id").select("family", "doc_id", "text").mapInArrow(_key_batch(size, buckets), _PACKED_DDL)
+    counted = keys.repartition(buckets, "bucket").mapInArrow(_count_keys(buckets), _PACKED_DDL)
+    rarest = counted.repartition(buckets, "bucket").mapInArrow(_rarest_keys(limit, buckets), _PACKED_DDL)
+    stars = rarest.repartition(buckets, "bucket").mapInArrow(_link_parts, "u long, v long")
+    finer = connected_components(stars, scratch)
+    cut = large.join(finer, large["rep"] == finer["node"]).select("rep", "weight", "n", F.col("component").alias("family"))
+    return scratch.table(members.where("blocks = 1").unionByName(_with_blocks(cut)), "members")
+
+
 # -- step 4: signature trees ---------------------------------------------------
 
 
@@ -502,12 +604,9 @@ def ngram_jaccard_join(docs: DataFrame, shingle_words: int = 5, percent: int = 8
         families = scratch.table(connected_components(stars, scratch), "families")
 
         members = classes.join(families, classes["rep"] == families["node"]).select("rep", "weight", "n", F.col("component").alias("family"))
-        totals = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-        blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-        placed = (
-            members.join(totals.select("family", blocks.alias("blocks")), "family")
-            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        )
+        members = scratch.table(_with_blocks(members), "members")
+        members = _cut_families(members, texts, shingle_words, limit, buckets, scratch)
+        placed = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         # each set to every task of its block
         placed = placed.hint("merge")
         placed = texts.join(placed, texts["doc_id"] == placed["rep"]).select("family", "rep", "weight", "block", "blocks", "text")

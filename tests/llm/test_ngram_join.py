@@ -132,3 +132,41 @@ def test_links_do_not_depend_on_the_ids(spark, ids):
     spread = spark.createDataFrame([(ids(i), t) for i, t in enumerate(texts)], schema).repartition(len(texts))  # one document to a task
     back = {ids(i): i for i in range(len(texts))}
     assert sorted(sorted(back[x] for x in g) for g in groups(spread)) == plain and any(len(g) > 1 for g in plain)
+
+
+def test_texts_with_one_passage_are_no_large_family(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
+    sent, join_blocks = spark.sparkContext.accumulator(0), ngram_join._join_blocks
+
+    def counted(percent):
+        solve = join_blocks(percent)
+
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    sent.add(batch.num_rows)
+                    yield batch
+
+            return solve(seen())
+
+        return run
+
+    monkeypatch.setattr(ngram_join, "_join_blocks", counted)
+    rng = random.Random(4)
+    passage, texts = [f"p{i}" for i in range(40)], []
+    for g in range(50):  # pairs of near copies that share the passage with all others
+        own = [f"g{g}w{i}" for i in range(40)]
+        texts += [" ".join(passage + own), " ".join(passage + own[:-1] + [f"g{g}end"])]
+    texts += [" ".join(passage)] * 3 + [" ".join(passage[: rng.randint(34, 40)]) for _ in range(4)]
+    got = docs_of(texts)
+    got = got.unionByName(got.where("doc_id in (3, 8)"))  # repeated rows
+    want = brute(texts + [texts[3], texts[8]], 3, 80)
+    rows = [(r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_jaccard_join(got, 3, 80).orderBy("doc_id").collect()]
+    twice = sorted([*range(len(texts)), 3, 8])
+    assert rows == [want[i] for i in twice]
+    assert sent.value < 2 * len(texts)
+    # the same without the cut, where every set goes to each block of one family
+    monkeypatch.setattr(ngram_join, "_cut_families", lambda members, *_: members)
+    before, plain = sent.value, ngram_jaccard_join(got, 3, 80).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"], r["n_links"]) for r in plain] == rows
+    assert sent.value - before > 5 * len(texts)

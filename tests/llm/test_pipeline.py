@@ -49,3 +49,17 @@ def test_stages(spark):
     assert sizes == {r["doc_id"]: r["doc_tokens"] for r in last} and sizes.keys() == rows["decontamination"].keys()
     whole = P.run(spark, SF_DIR)
     assert sorted(whole.drop("sequence_id", "offset").collect()) == sorted(tuple(r[c] for c in whole.drop("sequence_id", "offset").columns) for r in last)
+
+
+def test_a_stage_is_dropped_when_the_next_is_written(spark, monkeypatch):
+    seen, tables = [], Scratch.table
+
+    def table_of(self, df, name="step"):
+        seen.append(len(self._paths))
+        return tables(self, df, name)
+
+    same = lambda spark, docs, sf_dir: docs
+    monkeypatch.setattr(P, "STAGES", [(f"same{i}", same) for i in range(5)])
+    monkeypatch.setattr(Scratch, "table", table_of)
+    assert P.run(spark, SF_DIR).count() == table(spark, SF_DIR, "documents").count()
+    assert seen == [0, 1, 1, 1]

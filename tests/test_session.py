@@ -127,3 +127,23 @@ def test_scratch_tables_go(spark):
     assert os.path.isdir(path)
     scratch._remove_kept()
     assert not os.path.exists(path)
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    import glob
+    import time
+
+    from tessera import scratch
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, key = files(), next(iter(scratch.WRITE_CONF))
+    setting = spark.conf.get(key, None)
+    with scratch.Scratch(spark) as s:
+        table = s.table(spark.range(0, 1000, 1, 4).repartition(3, "id"))
+        ends = time.time() + 20
+        while files() - before and time.time() < ends:
+            time.sleep(0.1)
+        assert not files() - before
+        assert table.count() == 1000
+    assert spark.conf.get(key, None) == setting
