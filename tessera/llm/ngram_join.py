@@ -13,7 +13,7 @@ reaches a threshold. The join is exact:
    agree on at least one whole part (pigeonhole). Equal parts are joined as stars.
 3. *Families.* Connected components of these stars hold every linked pair.
    One passage in very many texts makes one family of them, so a family of
-   several blocks is cut again: its shingles are ordered by how many of its sets
+   very many blocks is cut again: its shingles are ordered by how many of its sets
    hold them, and a set stars with those that share one of its rarest, one more
    of them than a linked set may lack.
 4. *Signature trees.* Inside a family (cut into blocks of bounded size, every
@@ -44,7 +44,9 @@ from tessera.scratch import Scratch, shuffle_partitions
 #: (a single larger set is a block of its own).
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
-#: Shingles of large families that one task counts.
+#: A family of more blocks than this is cut: that ships some 33 bytes a shingle,
+#: and as many blocks 8 bytes each. Shingles that one task counts for it.
+CUT_BLOCKS = 4
 TASK_SHINGLES = 1 << 20
 FANOUT = 8
 #: Widest token bitmap of a tree, in bits.
@@ -384,9 +386,9 @@ def _with_blocks(members: DataFrame) -> DataFrame:
 
 
 def _cut_families(members: DataFrame, texts: DataFrame, size: int, limit: Threshold, buckets: int, scratch: Scratch) -> DataFrame:
-    """``members`` with families of several blocks cut by their rarest shingles;
+    """``members`` with families of very many blocks cut by their rarest shingles;
     a member that then shares none of these links with nothing and goes."""
-    large = members.where("blocks > 1")
+    large = members.where(F.col("blocks") > CUT_BLOCKS)
     shingles = large.agg(F.sum("n")).first()[0]
     if shingles is None:
         return members
@@ -398,7 +400,7 @@ def _cut_families(members: DataFrame, texts: DataFrame, size: int, limit: Thresh
     stars = rarest.repartition(buckets, "bucket").mapInArrow(_link_parts, "u long, v long")
     finer = connected_components(stars, scratch)
     cut = large.join(finer, large["rep"] == finer["node"]).select("rep", "weight", "n", F.col("component").alias("family"))
-    return scratch.table(members.where("blocks = 1").unionByName(_with_blocks(cut)), "members")
+    return scratch.table(members.where(F.col("blocks") <= CUT_BLOCKS).unionByName(_with_blocks(cut)), "members")
 
 
 # -- step 4: signature trees ---------------------------------------------------
